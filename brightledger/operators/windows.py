@@ -3,8 +3,8 @@
 Series windows take frames with one row per (keys, date): a window partition then never
 holds more rows than the calendar has days, however large the facts below are. ``keys=[]``
 is one series; pass keys for many. ``dedup_latest`` and ``topk`` work on raw rows:
-the first is a hash aggregate with a map-side pass, the second prunes to k rows per
-task before the shuffle, so a hot key is never sorted as a whole.
+the first is an aggregate with a map-side pass, the second prunes to k rows per
+task before the shuffle, so a hot key never meets in one task as a whole.
 """
 
 from __future__ import annotations

@@ -131,7 +131,7 @@ class Tables:
             F.sequence(F.lit(1), n_items),
             lambda i: F.struct(
                 F.concat(F.lit("item"), i.cast("string")).alias("name"),
-                (F.col("value") * i).alias("price"),
+                (F.floor(F.col("value") * 100.0 + 0.5) * i / 100.0).alias("price"),
                 F.when(i > 1, F.array(F.lit("t1"), F.concat(F.lit("t"), i.cast("string")))).alias("tags"),
             ),
         )
@@ -220,7 +220,7 @@ WITH: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "ev_items": (
         ("ev",),
-        """SELECT event_id, username, action, i - 1 AS array_position, 'item' || i AS item, value * i AS price,
+        """SELECT event_id, username, action, i - 1 AS array_position, 'item' || i AS item, floor(value * CAST(100 AS DOUBLE) + CAST(0.5 AS DOUBLE)) * i / CAST(100 AS DOUBLE) AS price,
              CASE WHEN i > 1 THEN ['t1', 't' || i] END AS tags
            FROM (SELECT *, UNNEST(generate_series(1, k % 4)) AS i FROM ev WHERE action = 'purchase')""",
     ),
