@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from .numbers import ColumnOrName, as_col, dbl, min_max_scale, round_half_up, tier
 
-TIERS = [(2_000_000, "HIGH"), (1_500_000, "MEDIUM"), (1_000_000, "LOW")]
+# Tiers of a day by its revenue as a multiple of the mean day.
+TIERS = [(1.25, "HIGH"), (1.0, "MEDIUM"), (0.75, "LOW")]
 
 
 def classify_revenue(c: ColumnOrName) -> Column:

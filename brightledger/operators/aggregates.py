@@ -61,8 +61,8 @@ def quarter_stats(daily: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def by_tier(daily: DataFrame) -> DataFrame:
-    return daily.groupBy(revenue_tier(REV).alias("revenue_tier")).agg(
+def by_tier(daily: DataFrame, value: str = "revenue_index", bounds=None) -> DataFrame:
+    return daily.groupBy(revenue_tier(value, bounds).alias("revenue_tier")).agg(
         F.count(F.lit(1)).alias("num_days"), r2(mean_of(REV)).alias("avg_rev_in_tier")
     )
 

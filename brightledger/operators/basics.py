@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.numbers import dbl, ratio, r2, tier
 
-TIERS = [(2_000_000, "HIGH"), (1_500_000, "MEDIUM"), (1_000_000, "LOW")]
+# Tiers of a day by its revenue as a multiple of the mean day.
+TIERS = [(1.25, "HIGH"), (1.0, "MEDIUM"), (0.75, "LOW")]
 OTHER_TIER = "VERY LOW"
 
 
@@ -23,7 +24,7 @@ def revenue_tier(revenue: Column | str, bounds=None, otherwise: str = OTHER_TIER
 def top_days(daily: DataFrame, min_revenue, since: str, n: int) -> DataFrame:
     """The n best days above a revenue and after a date; the date breaks ties."""
     return (
-        daily.where((F.col("daily_revenue") > F.lit(min_revenue)) & (F.col("sale_date") >= F.lit(since).cast("date")))
+        daily.where((dbl("daily_revenue") > F.lit(min_revenue)) & (F.col("sale_date") >= F.lit(since).cast("date")))
         .orderBy(F.desc("daily_revenue"), "sale_date")
         .limit(n)
         .select("sale_date", dbl("daily_revenue").alias("daily_revenue"), "num_orders")
@@ -47,7 +48,7 @@ def distinct_months(daily: DataFrame) -> DataFrame:
 
 def either_and(daily: DataFrame, min_revenue, min_orders: int, since: str) -> DataFrame:
     """(revenue above x OR orders above y) AND date from d."""
-    strong = (F.col("daily_revenue") > F.lit(min_revenue)) | (F.col("num_orders") > min_orders)
+    strong = (dbl("daily_revenue") > F.lit(min_revenue)) | (F.col("num_orders") > min_orders)
     return _plain(daily.where(strong & (F.col("sale_date") >= F.lit(since).cast("date"))))
 
 
@@ -64,7 +65,7 @@ def month_like(daily: DataFrame, pattern: str) -> DataFrame:
 
 
 def revenue_between(daily: DataFrame, low, high, since: str) -> DataFrame:
-    in_range = F.col("daily_revenue").between(F.lit(low), F.lit(high))
+    in_range = dbl("daily_revenue").between(F.lit(low), F.lit(high))
     return _plain(daily.where(in_range & (F.col("sale_date") >= F.lit(since).cast("date"))))
 
 
@@ -72,7 +73,7 @@ def not_null(df: DataFrame, column: str, negate: bool = False) -> DataFrame:
     return df.where(F.col(column).isNull() if negate else F.col(column).isNotNull())
 
 
-def buckets(daily: DataFrame) -> DataFrame:
+def buckets(daily: DataFrame, value: str = "revenue_index", bounds=None) -> DataFrame:
     """Searched CASE for the tier and simple CASE for the season."""
     month = F.month("sale_date")
     season = (
@@ -82,7 +83,7 @@ def buckets(daily: DataFrame) -> DataFrame:
         .otherwise(F.lit("AUTUMN"))
     )
     return daily.select(
-        "sale_date", revenue_tier("daily_revenue").alias("revenue_tier"), season.alias("season")
+        "sale_date", revenue_tier(value, bounds).alias("revenue_tier"), season.alias("season")
     )
 
 

@@ -237,7 +237,8 @@ query(
     "dq_fact_consistency",
     on_daily(
         """SELECT 'gold_fact_daily_sales consistency' AS check_name, COUNT(DISTINCT strftime(sale_date, '%Y%m%d')) AS distinct_date_keys,
-             COUNT(DISTINCT sale_date) AS distinct_dates, 'PASS' AS status FROM daily"""
+             COUNT(DISTINCT sale_date) AS distinct_dates,
+             CASE WHEN COUNT(DISTINCT strftime(sale_date, '%Y%m%d')) = COUNT(DISTINCT sale_date) THEN 'PASS' ELSE 'FAIL' END AS status FROM daily"""
     ),
 )(
     lambda t: Q.key_consistency(
@@ -331,10 +332,13 @@ query(
     ),
 )(lambda t: Q.order_rules(order_lines(t), ["l_orderkey", "l_linenumber"]))
 
-query(
-    "dq_scd_rules",
-    "SELECT name AS \"check\", TRUE AS passed, CAST(0 AS BIGINT) AS failed_rows FROM (VALUES ('unique version'), ('no overlap'), ('current means open')) v(name)",
-)(lambda t: Q.scd_rules(dim_v2(t), "c_custkey"))
+_SCD_SQL = f"""WITH d AS (SELECT *, lead(effective_date) OVER (PARTITION BY c_custkey ORDER BY effective_date) AS nxt FROM ({SCD2})),
+  f AS (SELECT 'unique version' AS name, COUNT(*) - COUNT(DISTINCT (c_custkey, effective_date)) AS n FROM d
+    UNION ALL SELECT 'no overlap', COUNT(CASE WHEN nxt IS NOT NULL AND (end_date IS NULL OR end_date >= nxt) THEN 1 END) FROM d
+    UNION ALL SELECT 'current means open', COUNT(CASE WHEN is_current <> (end_date IS NULL) THEN 1 END) FROM d)
+  SELECT name AS "check", n = 0 AS passed, n AS failed_rows FROM f"""
+
+query("dq_scd_rules", _SCD_SQL)(lambda t: Q.scd_rules(dim_v2(t), "c_custkey"))
 
 query(
     "dq_not_null",

@@ -16,9 +16,9 @@ from .relations import sql_d, sql_dayname, sql_mean, sql_r, with_sql
 REV = "CAST(daily_revenue AS DOUBLE) AS daily_revenue"
 PLAIN = f"SELECT sale_date, {REV}, num_orders FROM daily"
 TIER = (
-    "CASE WHEN daily_revenue >= 2000000 THEN 'HIGH' WHEN daily_revenue >= 1500000 THEN 'MEDIUM' "
-    "WHEN daily_revenue >= 1000000 THEN 'LOW' ELSE 'VERY LOW' END"
+    "CASE WHEN revenue_index >= 1.25 THEN 'HIGH' WHEN revenue_index >= 1 THEN 'MEDIUM' WHEN revenue_index >= 0.75 THEN 'LOW' ELSE 'VERY LOW' END"
 )
+MEAN_DAY = "(SELECT CAST(SUM(daily_revenue) AS DOUBLE) / COUNT(*) FROM daily)"
 MONTH = "CAST(date_trunc('month', sale_date) AS DATE)"
 QUARTER = "CAST(date_trunc('quarter', sale_date) AS DATE)"
 
@@ -31,8 +31,8 @@ def on_daily(body: str) -> str:
 
 query(
     "filter_topn",
-    on_daily(f"{PLAIN} WHERE daily_revenue > 1000000 AND sale_date >= DATE '1997-01-01' ORDER BY daily_revenue DESC, sale_date LIMIT 10"),
-)(lambda t: B.top_days(t.daily, 1_000_000, "1997-01-01", 10))
+    on_daily(f"{PLAIN} WHERE CAST(daily_revenue AS DOUBLE) > {MEAN_DAY} AND sale_date >= DATE '1997-01-01' ORDER BY daily_revenue DESC, sale_date LIMIT 10"),
+)(lambda t: B.top_days(t.daily, t.daily_mean(), "1997-01-01", 10))
 
 query(
     "project_computed",
@@ -48,8 +48,8 @@ query("distinct_months", on_daily(f"SELECT DISTINCT {MONTH} AS month FROM daily"
 
 query(
     "filter_or_and",
-    on_daily(f"{PLAIN} WHERE (daily_revenue > 2000000 OR num_orders > 9) AND sale_date >= DATE '1996-01-01'"),
-)(lambda t: B.either_and(t.daily, 2_000_000, 9, "1996-01-01"))
+    on_daily(f"{PLAIN} WHERE (CAST(daily_revenue AS DOUBLE) > {MEAN_DAY} * 1.5 OR num_orders > 9) AND sale_date >= DATE '1996-01-01'"),
+)(lambda t: B.either_and(t.daily, t.daily_mean() * 1.5, 9, "1996-01-01"))
 
 query(
     "filter_in_dayname",
@@ -73,8 +73,8 @@ query("filter_like", on_daily(f"{PLAIN} WHERE strftime(sale_date, '%Y-%m') LIKE
 
 query(
     "filter_between",
-    on_daily(f"{PLAIN} WHERE daily_revenue BETWEEN 1000000 AND 2000000 AND sale_date >= DATE '1996-01-01'"),
-)(lambda t: B.revenue_between(t.daily, 1_000_000, 2_000_000, "1996-01-01"))
+    on_daily(f"{PLAIN} WHERE CAST(daily_revenue AS DOUBLE) BETWEEN {MEAN_DAY} * 0.5 AND {MEAN_DAY} * 1.25 AND sale_date >= DATE '1996-01-01'"),
+)(lambda t: B.revenue_between(t.daily, t.daily_mean() * 0.5, t.daily_mean() * 1.25, "1996-01-01"))
 
 query(
     "filter_not_null",
@@ -87,14 +87,15 @@ query(
 
 query(
     "case_buckets",
-    on_daily(
+    with_sql(
+        "daily_indexed",
         f"""SELECT sale_date, {TIER} AS revenue_tier,
               CASE month(sale_date) WHEN 12 THEN 'WINTER' WHEN 1 THEN 'WINTER' WHEN 2 THEN 'WINTER'
                 WHEN 3 THEN 'SPRING' WHEN 4 THEN 'SPRING' WHEN 5 THEN 'SPRING'
                 WHEN 6 THEN 'SUMMER' WHEN 7 THEN 'SUMMER' WHEN 8 THEN 'SUMMER' ELSE 'AUTUMN' END AS season
-            FROM daily"""
+            FROM daily_indexed"""
     ),
-)(lambda t: B.buckets(t.daily))
+)(lambda t: B.buckets(t.daily_indexed))
 
 query(
     "typed_nulls_casts",
@@ -309,30 +310,32 @@ query(
 
 query(
     "agg_case_tier",
-    on_daily(f"SELECT {TIER} AS revenue_tier, COUNT(*) AS num_days, {AVG} AS avg_rev_in_tier FROM daily GROUP BY 1"),
-)(lambda t: A.by_tier(t.daily))
+    with_sql(
+        "daily_indexed", f"SELECT {TIER} AS revenue_tier, COUNT(*) AS num_days, {AVG} AS avg_rev_in_tier FROM daily_indexed GROUP BY 1"
+    ),
+)(lambda t: A.by_tier(t.daily_indexed))
 
 HAVING = f"""SELECT {MONTH} AS month, {SUM} AS total_revenue, COUNT(*) AS selling_days, {AVG} AS avg_daily_revenue
              FROM daily {{where}} GROUP BY 1 HAVING {{having}}"""
 
-query("having_sum", on_daily(HAVING.format(where="", having="SUM(daily_revenue) > 45000000")))(
-    lambda t: A.months_having(t.daily, F.col("_sum") > 45_000_000)
+query("having_sum", on_daily(HAVING.format(where="", having=f"CAST(SUM(daily_revenue) AS DOUBLE) > {MEAN_DAY} * 30")))(
+    lambda t: A.months_having(t.daily, F.col("_sum").cast("double") > t.daily_mean() * 30)
 )
 query("having_count", on_daily(HAVING.format(where="", having="COUNT(*) > 28")))(
     lambda t: A.months_having(t.daily, F.col("_days") > 28)
 )
-query("having_avg", on_daily(HAVING.format(where="", having=f"{sql_mean('daily_revenue')} > 1500000")))(
-    lambda t: A.months_having(t.daily, F.col("_mean") > 1_500_000)
+query("having_avg", on_daily(HAVING.format(where="", having=f"{sql_mean('daily_revenue')} > {MEAN_DAY}")))(
+    lambda t: A.months_having(t.daily, F.col("_mean") > t.daily_mean())
 )
 query(
     "where_group_having",
     on_daily(
         HAVING.format(
             where=f"WHERE sale_date >= DATE '1996-01-01' AND {sql_dayname('sale_date')} NOT IN ('Sat', 'Sun')",
-            having=f"{sql_mean('daily_revenue')} > 1500000",
+            having=f"{sql_mean('daily_revenue')} > {MEAN_DAY}",
         )
     ),
-)(lambda t: A.months_having(t.daily, F.col("_mean") > 1_500_000, weekdays_only_since="1996-01-01"))
+)(lambda t: A.months_having(t.daily, F.col("_mean") > t.daily_mean(), weekdays_only_since="1996-01-01"))
 
 query(
     "agg_conditional_count",
@@ -470,9 +473,9 @@ query(
     on_daily(
         f"""SELECT sale_date, {REV}, num_orders,
               {sql_r('CAST(daily_revenue AS DOUBLE) / NULLIF(CAST(num_orders AS DOUBLE), 0)')} AS rev_per_order
-            FROM daily WHERE CAST(daily_revenue AS DOUBLE) >= 1000000 AND sale_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"""
+            FROM daily WHERE CAST(daily_revenue AS DOUBLE) >= {MEAN_DAY} * 0.5 AND sale_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"""
     ),
-)(lambda t: A.explorer(t.daily, 1_000_000.0, "1996-01-01", "2000-12-31"))
+)(lambda t: A.explorer(t.daily, t.daily_mean() * 0.5, "1996-01-01", "2000-12-31"))
 
 query(
     "report_seasonality",

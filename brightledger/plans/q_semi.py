@@ -250,15 +250,18 @@ query(
 # --- user functions -------------------------------------------------------------------------
 
 CLASS_SQL = (
-    "CASE WHEN daily.daily_revenue >= 2000000 THEN 'HIGH' WHEN daily.daily_revenue >= 1500000 THEN 'MEDIUM' "
-    "WHEN daily.daily_revenue >= 1000000 THEN 'LOW' ELSE 'VERY LOW' END"
+    "CASE WHEN revenue_index >= 1.25 THEN 'HIGH' WHEN revenue_index >= 1 THEN 'MEDIUM' WHEN revenue_index >= 0.75 THEN 'LOW' ELSE 'VERY LOW' END"
 )
 
-query("udf_scalar", on_daily(f"SELECT sale_date, {REV}, {CLASS_SQL} AS class, {CLASS_SQL} AS class_udf FROM daily"))(
-    lambda t: t.daily.select("sale_date", dbl("daily_revenue").alias("daily_revenue")).select(
-        "*",
-        U.classify_revenue("daily_revenue").alias("class"),
-        U.classify_revenue_udf("daily_revenue").alias("class_udf"),
+query(
+    "udf_scalar",
+    with_sql("daily_indexed", f"SELECT sale_date, {REV}, {CLASS_SQL} AS class, {CLASS_SQL} AS class_udf FROM daily_indexed"),
+)(
+    lambda t: t.daily_indexed.select(
+        "sale_date",
+        dbl("daily_revenue").alias("daily_revenue"),
+        U.classify_revenue("revenue_index").alias("class"),
+        U.classify_revenue_udf("revenue_index").alias("class_udf"),
     )
 )
 
@@ -326,8 +329,8 @@ query("udtf_lateral", SPLIT_SQL)(_lateral)
 
 def _sql_udf(t):
     U.register(t.spark)
-    sql = "SELECT sale_date, CAST(daily_revenue AS DOUBLE) AS daily_revenue, revenue_tier(CAST(daily_revenue AS DOUBLE)) AS tier FROM {daily}"
-    return t.spark.sql(sql, daily=t.daily)
+    sql = "SELECT sale_date, CAST(daily_revenue AS DOUBLE) AS daily_revenue, revenue_tier(revenue_index) AS tier FROM {daily}"
+    return t.spark.sql(sql, daily=t.daily_indexed)
 
 
-query("sql_udf", on_daily(f"SELECT sale_date, {REV}, {CLASS_SQL} AS tier FROM daily"))(_sql_udf)
+query("sql_udf", with_sql("daily_indexed", f"SELECT sale_date, {REV}, {CLASS_SQL} AS tier FROM daily_indexed"))(_sql_udf)

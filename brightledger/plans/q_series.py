@@ -27,8 +27,8 @@ def fit_sql(source: str, key: str = "") -> str:
         f"""cells AS (SELECT {k}month(d) AS m, dayofweek(d) AS w, CAST(COUNT(*) AS DOUBLE) AS n,
               CAST(SUM(CAST({X} AS BIGINT)) AS DOUBLE) AS sx, CAST(SUM(CAST({X} AS BIGINT) * {X}) AS DOUBLE) AS sxx,
               CAST(SUM(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS sy,
-              CAST(SUM(CAST({X} AS DECIMAL(10,0)) * CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS sxy,
-              CAST(SUM(CAST(v AS DECIMAL(18,2)) * CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS syy, MAX(d) AS last
+              CAST(SUM(CAST({X} AS DECIMAL(19,0)) * CAST(v AS DECIMAL(19,2))) AS DOUBLE) AS sxy,
+              CAST(SUM(CAST(v AS DECIMAL(19,2)) * CAST(v AS DECIMAL(19,2))) AS DOUBLE) AS syy, MAX(d) AS last
             FROM {source} GROUP BY ALL)""",
         f"""f0 AS (SELECT *, SUM(sxy - sx * sy / n) OVER ({by}) / SUM(sxx - sx * sx / n) OVER ({by}) AS slope FROM cells)""",
         f"""f1 AS (SELECT *, SUM(sy - slope * sx) OVER ({by}) / SUM(n) OVER ({by}) AS level FROM f0)""",
@@ -227,9 +227,9 @@ query("sink_export_forecast", on_daily(forecast_sql(90) + "SELECT * FROM tab"))(
 
 def _classified(t):
     """Tier of a day from revenue, orders and weekday."""
-    rows = t.daily.select(
+    rows = t.daily_indexed.select(
         "sale_date", dbl("daily_revenue").alias("daily_revenue"), "num_orders",
-        D.dow0("sale_date").alias("day_of_week"), revenue_tier("daily_revenue").alias("revenue_class"),
+        D.dow0("sale_date").alias("day_of_week"), revenue_tier("revenue_index").alias("revenue_class"),
     )
     model = L.fit_classifier(rows, ["daily_revenue", "num_orders", "day_of_week"], "revenue_class")
     return L.predict(rows, model)

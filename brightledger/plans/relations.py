@@ -80,6 +80,11 @@ class Tables:
             .select("sale_date", money("_cents").alias("daily_revenue"), "num_orders")
         )
 
+    @cached_property
+    def daily_indexed(self) -> DataFrame:
+        """``daily`` with each day's revenue as a multiple of the mean day."""
+        return self.daily.withColumn("revenue_index", F.col("daily_revenue").cast("double") / self.daily_mean())
+
     @cached_property
     def cats(self) -> DataFrame:
         """Category dimension: the part types with their margin."""
@@ -196,6 +201,11 @@ WITH: dict[str, tuple[tuple[str, ...], str]] = {
              SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS daily_revenue, COUNT(*) AS num_orders
            FROM orders GROUP BY 1""",
     ),
+    "daily_indexed": (
+        ("daily",),
+        """SELECT *, CAST(daily_revenue AS DOUBLE)
+             / (SELECT CAST(SUM(daily_revenue) AS DOUBLE) / COUNT(*) FROM daily) AS revenue_index FROM daily""",
+    ),
     "cats": (
         (),
         f"""SELECT category, margin_pct FROM (VALUES {_MARGIN_ROWS}) m(category, margin_pct)

@@ -22,9 +22,16 @@ class PipelineLog:
         self.path = path
 
     def add(self, layer: str, table: str, rows: int | None, seconds: float, status: str, error: str | None = None) -> None:
-        row = [(uuid.uuid4().hex, layer, table, rows, seconds, status, error)]
-        head = LOG.rsplit(", ", 1)[0]
-        entry = self.spark.createDataFrame(row, head).withColumn("load_timestamp", F.current_timestamp())
+        entry = self.spark.range(1).select(
+            F.lit(uuid.uuid4().hex).alias("load_id"),
+            F.lit(layer).alias("layer"),
+            F.lit(table).alias("table_name"),
+            F.lit(rows).cast("bigint").alias("row_count"),
+            F.lit(seconds).cast("double").alias("execution_time"),
+            F.lit(status).alias("status"),
+            F.lit(error).cast("string").alias("error_message"),
+            F.current_timestamp().alias("load_timestamp"),
+        )
         entry.coalesce(1).write.mode("append").parquet(self.path)
 
     def run(self, layer: str, table: str, job: Callable[[], int]) -> int:
