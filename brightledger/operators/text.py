@@ -99,16 +99,21 @@ def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int
     base = rows.select(F.col(group).alias("_g"), (F.lit(0) if order is None else F.col(order)).alias("_o"), F.col(text).alias("_t"))
     sentences = base.select("_g", "_o", F.posexplode(F.split("_t", SENTENCE_BREAK)).alias("_pos", "_s"))
     tokens = sentences.select("_g", "_o", "_pos", F.explode(token_array("_s")).alias("_k"))
-    tf = tokens.groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_tf"))
-    df = tf.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
+    # One row per (text, word) with the sentences it stands in: never longer than the text itself.
+    places = tokens.groupBy("_g", "_o", "_k").agg(F.collect_list("_pos").alias("_p"))
+    if order is None:
+        tf = places.select("_g", "_o", "_k", "_p", F.size("_p").cast("bigint").alias("_tf"))
+        df = places.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
+    else:
+        per_group = places.groupBy("_g", "_k").agg(F.sum(F.size("_p")).alias("_tf"))
+        tf = places.join(per_group, ["_g", "_k"])
+        df = per_group.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
     total = base.select(F.count_distinct("_g")).scalar()
     idf = df.withColumn("_n", total).select(
         "_k", _micro(F.ln((F.col("_n") + 1).cast("double") / (F.col("_df") + 1).cast("double")) + F.lit(1.0)).alias("_idf")
     )
-    weights = tf.join(idf, "_k").select("_g", "_k", (F.col("_tf") * F.col("_idf")).alias("_w"))
-    scores = (
-        tokens.join(weights, ["_g", "_k"]).groupBy("_g", "_o", "_pos").agg(ratio(F.sum("_w"), F.count(F.lit(1))).alias("_score"))
-    )
+    weighted = tf.join(idf, "_k").select("_g", "_o", (F.col("_tf") * F.col("_idf")).alias("_w"), F.explode("_p").alias("_pos"))
+    scores = weighted.groupBy("_g", "_o", "_pos").agg(ratio(F.sum("_w"), F.count(F.lit(1))).alias("_score"))
     w = W.partitionBy("_g").orderBy(F.desc("_score"), "_o", "_pos")
     chosen = scores.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).select("_g", "_o", "_pos")
     back = base.join(chosen, ["_g", "_o"]).select(
@@ -123,30 +128,30 @@ def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int
 def extract_answer(docs: DataFrame, question: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per text, the sentence that shares the most informative words with a question; the earliest wins a tie.
 
-    Only the words of the question need weights: one aggregate counts the texts that hold each. Texts
-    that share no word give no row.
+    Only the words of the question need weights: one aggregate counts the texts that hold each.
+    Everything else happens within the row of a text, so no text is shuffled. A text that shares no word gets a
+    NULL answer and score 0.
     """
     words = sorted({w for w in "".join(c if c.isalpha() else " " for c in question.lower()).split()})
     held = docs.select(token_array(text).alias("_t")).agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.array_contains("_t", w)).alias(f"q{i}") for i, w in enumerate(words)]
     )
-    idf = held.select(
-        F.struct(*[
-            _micro(F.ln((F.col("n") + 1).cast("double") / (F.col(f"q{i}") + 1).cast("double"))).alias(f"q{i}")
-            for i in range(len(words))
-        ])
-    ).scalar()
-    sentences = (
-        docs.select(id, F.posexplode(F.split(text, SENTENCE_BREAK)).alias("pos", "sentence"))
-        .withColumn("_t", token_array("sentence"))
-        .withColumn("_i", idf)
+    micros = [_micro(F.ln((F.col("n") + 1).cast("double") / (F.col(f"q{i}") + 1).cast("double"))) for i in range(len(words))]
+    asked = F.array(*[F.lit(w) for w in words])
+    idf = held.select(F.map_from_arrays(asked, F.array(*micros))).scalar()
+
+    def score(sentence: Column, position: Column) -> Column:
+        shared = F.array_intersect(token_array(sentence), asked)
+        total = F.aggregate(shared, F.lit(0).cast("bigint"), lambda acc, w: acc + F.element_at("_idf", w))
+        return F.struct(total.alias("score"), (-position).alias("back"))
+
+    best = docs.select(id, F.split(text, SENTENCE_BREAK).alias("_s"), idf.alias("_idf")).select(
+        id, "_s", F.array_max(F.transform("_s", score)).alias("_b")
+    )
+    answer = F.trim(F.element_at("_s", 1 - F.col("_b.back")))
+    return best.select(
+        id, F.when(F.col("_b.score") > 0, answer).alias("answer"), F.col("_b.score").alias("score")
     )
-    score = sum(
-        (F.when(F.array_contains("_t", w), F.col(f"_i.q{i}")).otherwise(F.lit(0)) for i, w in enumerate(words)), F.lit(0)
-    ).cast("bigint")
-    scored = sentences.select(id, "pos", F.trim("sentence").alias("sentence"), score.alias("score")).where(F.col("score") > 0)
-    best = F.max_by(F.struct("sentence", "score"), F.struct("score", (-F.col("pos")).alias("p"))).alias("b")
-    return scored.groupBy(id).agg(best).select(id, F.col("b.sentence").alias("answer"), F.col("b.score").alias("score"))
 
 
 def fit_text_classes(

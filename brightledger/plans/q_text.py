@@ -97,7 +97,7 @@ query(
         FROM (SELECT doc_id, {SENT.format(t='text')} AS a FROM documents)),
       c AS (SELECT doc_id, pos, trim(sentence) AS answer, CAST({_SCORE} AS BIGINT) AS score
         FROM (SELECT *, {TOK.format(t='sentence')} AS tk FROM s) CROSS JOIN idf)
-      SELECT c.doc_id, answer, score FROM c JOIN scored ON c.doc_id = scored.doc_id WHERE score > 0 AND sentiment < 0
+      SELECT c.doc_id, CASE WHEN score > 0 THEN answer END AS answer, score FROM c JOIN scored ON c.doc_id = scored.doc_id WHERE sentiment < 0
       QUALIFY row_number() OVER (PARTITION BY c.doc_id ORDER BY score DESC, pos) = 1""",
 )(
     # Asked of the texts with a negative score only; the word weights come from all texts.
