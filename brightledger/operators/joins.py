@@ -136,7 +136,7 @@ def active_customers(customer: DataFrame, orders: DataFrame, as_of: str, days: i
     """Customers IN (those who ordered in the last days)."""
     recent = orders.where(
         F.col("o_orderdate") >= F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp_ntz")
-    ).select("o_custkey")
+    ).select("o_custkey").distinct()
     return customer.join(recent, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select(
         "c_custkey", "c_name", "c_mktsegment"
     )

@@ -6,38 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
+# monotonically_increasing_id holds the partition above these bits and the row within it below.
+_ROW_BITS = 33
+
 
 def hash_key(*natural: str) -> Column:
     """A 64-bit key from the natural key: no order, no shuffle, the same on every run."""
     return F.xxhash64(*natural)
 
 
-def _bucket(x: Column, bounds: list[float], low: int = 0) -> Column:
-    """Index of the range that x falls in, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(low)
-    mid = len(bounds) // 2
-    return F.when(x < F.lit(bounds[mid]), _bucket(x, bounds[:mid], low)).otherwise(
-        _bucket(x, bounds[mid + 1 :], low + mid + 1)
-    )
-
-
-def dense_numbers(df: DataFrame, order: str, name: str, buckets: int = 64) -> DataFrame:
-    """1, 2, 3 ... in the order of a unique numeric column, without sorting everything in one task.
+def dense_numbers(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """1, 2, 3 ... in the order of columns that together are unique, without sorting everything in one task.
 
-    Quantiles of the column (a bounded list, found by one job) cut it into ranges of about equal
-    size; rows are numbered within their range, and the sizes of the ranges before it (at most
-    ``buckets`` rows) are added.
+    Rows are range-partitioned and sorted, then numbered within their partition; the sizes of the
+    partitions before are added. The numbered rows are checkpointed, so that both
+    steps see the same partitions even when an executor is lost. Runs a job.
     """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order, probabilities, 1 / (4 * buckets))))
-    cut = df.withColumn("_bucket", _bucket(F.col(order), bounds))
-    sizes = cut.groupBy("_bucket").count()
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(W.partitionBy("_bucket").orderBy(order))
-    return (
-        cut.join(offsets, "_bucket")
-        .withColumn(name, F.col("_offset") + within)
-        .drop("_bucket", "_offset")
+    shared_dir(df.sparkSession)
+    placed = (
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
     )
+    placed = placed.withColumn("_part", F.shiftright("_id", _ROW_BITS))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    # One row per partition: safe to broadcast at any size of the data.
+    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, (F.col("_offset") + row + 1).alias(name))

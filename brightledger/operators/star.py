@@ -129,7 +129,7 @@ def gold_agg_daily_sales(fact: DataFrame, day: int | None = None) -> DataFrame:
 
 
 def gold_dim_product(part: DataFrame) -> DataFrame:
-    """Product dimension with a dense surrogate key. Runs a job for the key ranges."""
+    """Product dimension with a dense surrogate key. Runs a job."""
     rows = part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
@@ -138,4 +138,4 @@ def gold_dim_product(part: DataFrame) -> DataFrame:
         F.col("p_retailprice").alias("unit_price"),
         (F.col("p_size") > 0).alias("is_active"),
     )
-    return dense_numbers(rows, "product_id", "product_key")
+    return dense_numbers(rows, ["product_id"], "product_key")

@@ -97,13 +97,16 @@ def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int
     ranking, and only the chosen ones are read back.
     """
     base = rows.select(F.col(group).alias("_g"), (F.lit(0) if order is None else F.col(order)).alias("_o"), F.col(text).alias("_t"))
+    # Said up front, so that every branch below reads the same rows and shuffles can be shared.
+    base = base.where(F.col("_g").isNotNull() & F.col("_o").isNotNull())
     sentences = base.select("_g", "_o", F.posexplode(F.split("_t", SENTENCE_BREAK)).alias("_pos", "_s"))
     tokens = sentences.select("_g", "_o", "_pos", F.explode(token_array("_s")).alias("_k"))
     # One row per (text, word) with the sentences it stands in: never longer than the text itself.
     places = tokens.groupBy("_g", "_o", "_k").agg(F.collect_list("_pos").alias("_p"))
     if order is None:
         tf = places.select("_g", "_o", "_k", "_p", F.size("_p").cast("bigint").alias("_tf"))
-        df = places.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
+        # Counting through _p keeps this branch equal to the one above, so its shuffle is reused.
+        df = places.groupBy("_k").agg(F.count_if(F.size("_p") > 0).alias("_df"))
     else:
         per_group = places.groupBy("_g", "_k").agg(F.sum(F.size("_p")).alias("_tf"))
         tf = places.join(per_group, ["_g", "_k"])
@@ -112,7 +115,8 @@ def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int
     idf = df.withColumn("_n", total).select(
         "_k", _micro(F.ln((F.col("_n") + 1).cast("double") / (F.col("_df") + 1).cast("double")) + F.lit(1.0)).alias("_idf")
     )
-    weighted = tf.join(idf, "_k").select("_g", "_o", (F.col("_tf") * F.col("_idf")).alias("_w"), F.explode("_p").alias("_pos"))
+    # Hash the vocabulary, the smaller side, per shuffle partition; the large side is neither sorted nor broadcast.
+    weighted = tf.join(idf.hint("shuffle_hash"), "_k").select("_g", "_o", (F.col("_tf") * F.col("_idf")).alias("_w"), F.explode("_p").alias("_pos"))
     scores = weighted.groupBy("_g", "_o", "_pos").agg(ratio(F.sum("_w"), F.count(F.lit(1))).alias("_score"))
     w = W.partitionBy("_g").orderBy(F.desc("_score"), "_o", "_pos")
     chosen = scores.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).select("_g", "_o", "_pos")

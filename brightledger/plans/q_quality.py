@@ -151,24 +151,28 @@ query(
     )
 )
 
-CUSTOMER_ORDERS = """(SELECT c_custkey, c_name, c_mktsegment, o_orderkey, o_orderpriority FROM customer LEFT JOIN
-  (SELECT * FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey)"""
-NULL_COLS = ["c_custkey", "c_name", "c_mktsegment", "o_orderkey", "o_orderpriority"]
-
-
-def customer_orders(t):
-    """Customers beside their finished orders: NULLs where there is none."""
-    done = t.orders.where("o_orderstatus = 'F'")
-    return t.customer.join(done, F.col("c_custkey") == F.col("o_custkey"), "left").select(*NULL_COLS)
+HOLED_ORDERS = """(SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS o_custkey, o_orderstatus,
+  CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority FROM orders)"""
+NULL_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+def holed_orders(t):
+    """Orders with planted NULLs: every 50th customer, and the priority of unfinished orders."""
+    return t.orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey")).alias("o_custkey"),
+        "o_orderstatus",
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
 
 
 query(
     "dq_nulls",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count, COUNT(*) AS total_rows FROM {CUSTOMER_ORDERS}"
+        f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count, COUNT(*) AS total_rows FROM {HOLED_ORDERS}"
         for c in NULL_COLS
     ),
-)(lambda t: Q.null_counts(customer_orders(t)))
+)(lambda t: Q.null_counts(holed_orders(t)))
 
 query(
     "dq_gaps",
@@ -342,10 +346,10 @@ query("dq_scd_rules", _SCD_SQL)(lambda t: Q.scd_rules(dim_v2(t), "c_custkey"))
 
 query(
     "dq_not_null",
-    _rules_sql(CUSTOMER_ORDERS, {"c_custkey": "c_custkey IS NULL", "o_orderkey": "o_orderkey IS NULL"}),
+    _rules_sql(HOLED_ORDERS, {"o_custkey": "o_custkey IS NULL", "o_orderkey": "o_orderkey IS NULL"}),
 )(
     lambda t: Q.run_rules(
-        customer_orders(t), {"c_custkey": F.col("c_custkey").isNotNull(), "o_orderkey": F.col("o_orderkey").isNotNull()}
+        holed_orders(t), {"o_custkey": F.col("o_custkey").isNotNull(), "o_orderkey": F.col("o_orderkey").isNotNull()}
     )
 )
 

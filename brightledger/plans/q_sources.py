@@ -186,7 +186,7 @@ query("ctas_and_views", on_daily(f"SELECT sale_date, {REV} FROM daily"))(_ctas)
 query(
     "surrogate_key",
     "SELECT c_custkey, c_name, CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS customer_key FROM customer",
-)(lambda t: dense_numbers(t.customer.select("c_custkey", "c_name"), "c_custkey", "customer_key"))
+)(lambda t: dense_numbers(t.customer.select("c_custkey", "c_name"), ["c_custkey"], "customer_key"))
 
 query(
     "gen_date_spine",

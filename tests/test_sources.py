@@ -137,12 +137,12 @@ def test_versions_may_read_themselves(spark, tmp_path):
 def test_dense_numbers(spark, partitions):
     keys = [k * k % 10_007 for k in range(1, 3000)]
     df = spark.createDataFrame([(k,) for k in sorted(set(keys), reverse=True)], "k bigint").repartition(partitions)
-    got = [(r.k, r.n) for r in dense_numbers(df, "k", "n").collect()]
+    got = [(r.k, r.n) for r in dense_numbers(df, ["k"], "n").collect()]
     assert sorted(got) == [(k, i + 1) for i, k in enumerate(sorted(set(keys)))]
 
 
 def test_dense_numbers_of_nothing(spark):
-    assert dense_numbers(spark.createDataFrame([], "k bigint"), "k", "n").count() == 0
+    assert dense_numbers(spark.createDataFrame([], "k bigint"), ["k"], "n").count() == 0
 
 
 def test_generator_is_the_same_on_any_layout(spark, rows):
