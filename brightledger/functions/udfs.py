@@ -59,8 +59,9 @@ def global_zscore(df: DataFrame, value: str, name: str = "zscore") -> DataFrame:
 
 def normalized(df: DataFrame, value: str, name: str = "normalized") -> DataFrame:
     """Min-max scale by the bounds of the whole frame."""
-    low, high = df.select(F.min(value)).scalar(), df.select(F.max(value)).scalar()
-    return df.withColumn(name, min_max_scale(value, low, high))
+    span = df.select(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    out = df.withColumn("_span", span).withColumn(name, min_max_scale(value, F.col("_span.low"), F.col("_span.high")))
+    return out.drop("_span")
 
 
 def split_rows(df: DataFrame, text: str, sep: str) -> DataFrame:
@@ -71,7 +72,7 @@ def split_rows(df: DataFrame, text: str, sep: str) -> DataFrame:
     )
 
 
-@F.udtf(returnType="item string, position int")
+@F.udtf(returnType="item string, position int", useArrow=True)
 class SplitToRows:
     """Table function form of ``split_rows``."""
 
