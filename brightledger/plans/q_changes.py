@@ -100,7 +100,8 @@ query(
 
 def _hourly(t):
     out, checkpoint = scratch_path(t.spark, "hourly"), scratch_path(t.spark, "checkpoint")
-    stream = jobs.follow(t.spark, t.dir, t.events.schema, pathGlobFilter="events.parquet")
+    # Written as a pattern, the path may be one file or a folder of files.
+    stream = jobs.follow(t.spark, f"{t.dir}/events.parque[t]", t.events.schema)
     jobs.hourly_rollup(stream, "ts", out, checkpoint)
     return jobs.read_rollup(t.spark, out)
 

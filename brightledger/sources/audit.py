@@ -6,10 +6,11 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .readers import read_or_empty
+
 LOG = (
     "load_id string, layer string, table_name string, row_count bigint, execution_time double, "
     "status string, error_message string, load_timestamp timestamp"
@@ -46,12 +47,7 @@ class PipelineLog:
         return rows
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG).parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], LOG)
-            raise
+        return read_or_empty(self.spark, self.path, LOG)
 
     def newest(self, n: int = 10) -> DataFrame:
         return self.read().orderBy(F.desc("load_timestamp"), "load_id").limit(n)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,16 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str, mer
     return match_columns(spark.read.option("mergeSchema", str(merge).lower()).parquet(path), schema)
 
 
+def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Parquet under a path, or no rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
+
+
 def _raw_csv(spark: SparkSession, path: str, names: list[str], header: bool, trim: bool) -> DataFrame:
     """Every field as text, so that short and long rows and bad values survive the read."""
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])

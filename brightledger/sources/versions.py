@@ -7,10 +7,11 @@ is never seen half done.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .readers import read_or_empty
+
 LOG = "version int, action string, committed_at timestamp"
 
 
@@ -21,12 +22,7 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """The log: one row per committed version."""
-        try:
-            return self.spark.read.schema(LOG).parquet(f"{self.path}/log")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], LOG)
-            raise
+        return read_or_empty(self.spark, f"{self.path}/log", LOG)
 
     def version(self) -> int:
         """Current version, 0 before the first write. Runs a job over the log."""

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions import dates as D
 from ..functions.numbers import cents, dbl, money, r2, ratio
 from ..operators.changes import incremental_sum, labelled
+from ..sources.readers import read_or_empty
 
 
 def follow(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None, **options) -> DataFrame:
@@ -65,7 +65,9 @@ def hourly_rollup(stream: DataFrame, ts: str, out_path: str, checkpoint: str) ->
 
 
 def read_rollup(spark: SparkSession, out_path: str) -> DataFrame:
-    return spark.read.parquet(out_path).groupBy("hour").agg(F.sum("new_rows").alias("new_rows"))
+    """Rows per hour so far; no rows before the first batch."""
+    rows = read_or_empty(spark, out_path, "hour timestamp_ntz, new_rows bigint")
+    return rows.groupBy("hour").agg(F.sum("new_rows").alias("new_rows"))
 
 
 class RevenueSummaries:
@@ -97,12 +99,7 @@ class RevenueSummaries:
         return run_available(stream, f"{self.path}/checkpoint", on_batch)
 
     def _stored(self, level: str, ddl: str, before: int | None = None) -> DataFrame:
-        try:
-            df = self.spark.read.schema(ddl).parquet(f"{self.path}/{level}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            df = self.spark.createDataFrame([], ddl)
+        df = read_or_empty(self.spark, f"{self.path}/{level}", ddl)
         return df if before is None else df.where(F.col("batch_id") < before)
 
     def _latest(self, level: str, ddl: str, period: str, before: int | None = None) -> DataFrame:
