@@ -145,8 +145,14 @@ def date_spine(spark: SparkSession, start, n, keys: DataFrame | None = None, nam
     return base.where(n >= 1).withColumn(name, days)
 
 
-def dim_date(days: DataFrame, d: str = "date", holidays: DataFrame | None = None) -> DataFrame:
-    """Calendar dimension for a column of distinct days; ``holidays`` has one date column."""
+def dim_date(spark: SparkSession, start: str, end: str, holidays: DataFrame | None = None) -> DataFrame:
+    """Calendar dimension from one date to another; ``holidays`` has one date column."""
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    return describe_days(date_spine(spark, first, F.datediff(last, first) + 1, name="date"), "date", holidays)
+
+
+def describe_days(days: DataFrame, d: str = "date", holidays: DataFrame | None = None) -> DataFrame:
+    """Calendar columns for a column of distinct days."""
     out = days.select(
         D.date_key(d).alias("date_id"),
         F.col(d).alias("date"),

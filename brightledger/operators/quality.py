@@ -303,3 +303,18 @@ class QualityReport:
 
     def generate_report(self) -> DataFrame:
         return report(self.details(), self.table_name)
+
+    def summary(self) -> dict:
+        """The report as a dictionary, with the checks as ``details``."""
+        details = [dict(zip(("check", "passed", "details"), c)) for c in self.checks]
+        return {**self.generate_report().first().asDict(), "details": details}
+
+
+class DataValidator:
+    """The validators under one name."""
+
+    validate_not_null = staticmethod(validate_not_null)
+    validate_data_types = staticmethod(validate_data_types)
+    validate_row_count = staticmethod(validate_row_count)
+    validate_duplicates = staticmethod(validate_duplicates)
+    validate_column_values = staticmethod(validate_column_values)

@@ -55,7 +55,7 @@ def _silver_customer(t: Tables, read: Read, as_of: str) -> DataFrame:
 def _dim_date(t: Tables, read: Read, as_of: str) -> DataFrame:
     span = read("silver.daily_sales").agg(F.min("sale_date").alias("lo"), F.max("sale_date").alias("hi"))
     first, last = F.trunc("lo", "YEAR"), F.make_date(F.year("hi"), F.lit(12), F.lit(31))
-    return C.dim_date(C.date_spine(t.spark, first, F.datediff(last, first) + 1, span, "date"), "date")
+    return C.describe_days(C.date_spine(t.spark, first, F.datediff(last, first) + 1, span, "date"), "date")
 
 
 def _forecast(days: int):

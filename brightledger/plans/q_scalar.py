@@ -143,7 +143,7 @@ query(
           (month(d) = 1 AND day(d) = 1 OR month(d) = 12 AND day(d) = 25)
             AND year(d) IN (SELECT year(o_orderdate) FROM orders) AS is_holiday
         FROM cal""",
-)(lambda t: C.dim_date(_calendar(t), "date", _holidays(t)))
+)(lambda t: C.describe_days(_calendar(t), "date", _holidays(t)))
 
 # --- strings and numbers --------------------------------------------------------------------
 

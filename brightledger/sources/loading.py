@@ -80,7 +80,10 @@ def validate_load(
 
 
 def bronze_load(staged: DataFrame, id: str, load_date: str, source_system: str) -> DataFrame:
-    """Staged rows that have an id, with load date, source system and file name added."""
+    """Staged rows that have an id, with load date and source system added.
+
+    The file name comes with the staged rows, as ``_metadata.file_name`` or ``_metadata.file_path`` of the read.
+    """
     return (
         staged.where(F.col(id).isNotNull())
         .withColumn("_load_date", F.lit(load_date).cast("date"))

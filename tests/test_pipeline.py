@@ -105,3 +105,29 @@ def test_hot_customer_in_daily_totals(spark):
     assert out.agg(F.sum("transaction_count")).first()[0] == 300
     first_day = star.gold_agg_daily_sales(fact, day=20240101)
     assert first_day.agg(F.sum("new_customers")).first()[0] == 100
+
+
+def test_a_hot_join_key_is_split(spark, rows):
+    """AQE splits the partition of a key that holds most of the line rows, and the fact is the same."""
+    t = Tables(spark, SF)
+    hot = t.lineitem.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 > 0, F.lit(7)).otherwise(F.col("l_orderkey")))
+    hot = hot.repartition(16)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    want = rows(star.gold_fact_sales(hot, t.orders, t.part))
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact = star.gold_fact_sales(hot, t.orders, t.part)
+        got = rows(fact)
+        text = plan(fact)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want
+    assert "skew=true" in text

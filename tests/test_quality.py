@@ -60,6 +60,8 @@ def test_report(spark, outcome, rate):
     row = report.generate_report().first()
     assert (row.total_checks, row.passed_checks, row.failed_checks) == (len(outcome), sum(outcome), len(outcome) - sum(outcome))
     assert row.success_rate == rate
+    summary = report.summary()
+    assert (summary["table"], summary["failed_checks"], len(summary["details"])) == ("t", len(outcome) - sum(outcome), len(outcome))
 
 
 def test_rules_count_null_as_failure(spark):

@@ -200,8 +200,8 @@ def test_keys_and_ages(spark):
 
 
 def test_dim_date_and_spine(spark):
-    spine = C.date_spine(spark, "2020-01-01", 4018, name="date")
-    dim = C.dim_date(spine, "date", spark.createDataFrame([(dt.date(2024, 12, 25),)], "d date"))
+    assert C.date_spine(spark, "2020-01-01", 3).count() == 3 and C.date_spine(spark, "2020-01-01", 0).count() == 0
+    dim = C.dim_date(spark, "2020-01-01", "2030-12-31", spark.createDataFrame([(dt.date(2024, 12, 25),)], "d date"))
     assert dim.count() == 4018 and dim.where("is_holiday").count() == 1
     last = dim.orderBy(F.desc("date_id")).first()
     assert (last.date_id, last.is_weekday, last.day_name) == (20301231, True, "Tue")
