@@ -318,8 +318,17 @@ query(
 HAVING = f"""SELECT {MONTH} AS month, {SUM} AS total_revenue, COUNT(*) AS selling_days, {AVG} AS avg_daily_revenue
              FROM daily {{where}} GROUP BY 1 HAVING {{having}}"""
 
-query("having_sum", on_daily(HAVING.format(where="", having=f"CAST(SUM(daily_revenue) AS DOUBLE) > {MEAN_DAY} * 30")))(
-    lambda t: A.months_having(t.daily, F.col("_sum").cast("double") > t.daily_mean() * 30)
+MEAN_MONTH = f"(SELECT CAST(SUM(daily_revenue) AS DOUBLE) / COUNT(DISTINCT {MONTH}) FROM daily)"
+
+
+def mean_month(t):
+    """Revenue of the mean month, as a scalar subquery."""
+    months = F.count_distinct(D.month_start("sale_date"))
+    return t.daily.select(F.sum("daily_revenue").cast("double") / months).scalar()
+
+
+query("having_sum", on_daily(HAVING.format(where="", having=f"CAST(SUM(daily_revenue) AS DOUBLE) > {MEAN_MONTH}")))(
+    lambda t: A.months_having(t.daily, F.col("_sum").cast("double") > mean_month(t))
 )
 query("having_count", on_daily(HAVING.format(where="", having="COUNT(*) > 28")))(
     lambda t: A.months_having(t.daily, F.col("_days") > 28)
