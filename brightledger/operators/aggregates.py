@@ -11,6 +11,11 @@ from .basics import revenue_tier
 
 REV, N = "daily_revenue", "num_orders"
 
+# The metric names of the exploration report.
+EXPLORATION = (
+    "Total Records", "Date Range", "Average Daily Revenue", "Total Revenue", "Min Daily Revenue", "Max Daily Revenue",
+)
+
 
 def summary(daily: DataFrame) -> DataFrame:
     """Whole-table count, dates, mean, range and totals."""
@@ -293,16 +298,17 @@ def exploration(daily: DataFrame) -> DataFrame:
         dbl(F.min(REV)).alias("low"),
         dbl(F.max(REV)).alias("high"),
     )
-    none_d, none_t = "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
-    return one.selectExpr(
-        "stack(6,"
-        f" 'Total Records', {none_d}, CAST(n AS STRING),"
-        f" 'Date Range', {none_d}, concat(CAST(lo AS STRING), ' to ', CAST(hi AS STRING)),"
-        f" 'Average Daily Revenue', mean, {none_t},"
-        f" 'Total Revenue', total, {none_t},"
-        f" 'Min Daily Revenue', low, {none_t},"
-        f" 'Max Daily Revenue', high, {none_t}) AS (metric, value_numeric, value_text)"
-    ).select("metric", F.lit(None).cast("date").alias("date_dimension"), "value_numeric", "value_text")
+    number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    dates = F.concat(F.col("lo").cast("string"), F.lit(" to "), F.col("hi").cast("string"))
+    values = [(number, F.col("n").cast("string")), (number, dates), *[(F.col(c), text) for c in ("mean", "total", "low", "high")]]
+    rows = [
+        F.struct(
+            F.lit(name).alias("metric"), F.lit(None).cast("date").alias("date_dimension"),
+            v.alias("value_numeric"), t.alias("value_text"),
+        )
+        for name, (v, t) in zip(EXPLORATION, values)
+    ]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def kpis(daily: DataFrame) -> DataFrame:

@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from ..functions.numbers import dbl, mean_of, r2, ratio
 from .windows import zscore_window
 
+# The status texts of the checks.
+GAPS_PASS, GAPS_FAIL = "PASS: No gaps in data", "FAIL: Data gaps detected"
+POSITIVE_PASS, POSITIVE_FAIL = "PASS: All revenue positive", "FAIL: Negative or zero revenue found"
+STALE, FRESH = "ALERT: No data loaded today", "OK"
+MONTHS_CHECK = "Monthly aggregates completeness"
+
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once."""
@@ -39,7 +45,7 @@ def gaps(df: DataFrame, date: str, keys: Sequence[str] = ()) -> DataFrame:
     )
     ok = F.col("total_rows") == F.col("expected_days")
     return out.withColumn(
-        "gap_check", F.when(ok, F.lit("PASS: No gaps in data")).otherwise(F.lit("FAIL: Data gaps detected"))
+        "gap_check", F.when(ok, F.lit(GAPS_PASS)).otherwise(F.lit(GAPS_FAIL))
     )
 
 
@@ -52,7 +58,7 @@ def positive(df: DataFrame, value: str) -> DataFrame:
     ok = F.col("positive_revenue") == F.col("total_rows")
     return out.withColumn(
         "revenue_check",
-        F.when(ok, F.lit("PASS: All revenue positive")).otherwise(F.lit("FAIL: Negative or zero revenue found")),
+        F.when(ok, F.lit(POSITIVE_PASS)).otherwise(F.lit(POSITIVE_FAIL)),
     )
 
 
@@ -127,7 +133,7 @@ def months_complete(agg: DataFrame, month: str, fact: DataFrame, date: str) -> D
     out = agg.agg(F.count_distinct(month).alias("aggregated_months")).withColumn("expected_months", expected)
     ok = F.col("aggregated_months") == F.col("expected_months")
     return out.select(
-        F.lit("Monthly aggregates completeness").alias("check_name"), "*",
+        F.lit(MONTHS_CHECK).alias("check_name"), "*",
         F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
     )
 
@@ -173,7 +179,7 @@ def freshness(df: DataFrame, load_date: str, as_of: str) -> DataFrame:
     last = F.max(load_date).cast("date")
     return df.agg(last.alias("last_load")).withColumn(
         "status",
-        F.when(F.col("last_load") < F.lit(as_of).cast("date"), F.lit("ALERT: No data loaded today")).otherwise(F.lit("OK")),
+        F.when(F.col("last_load") < F.lit(as_of).cast("date"), F.lit(STALE)).otherwise(F.lit(FRESH)),
     )
 
 

@@ -24,6 +24,8 @@ from ..functions.numbers import dbl, r2, ratio, round_half_up
 Z = {0.80: 1.2815515655446004, 0.90: 1.6448536269514722, 0.95: 1.959963984540054, 0.99: 2.5758293035489004}
 EPOCH = "2000-01-01"
 PASSES = 3
+# Fixed value: name of the forecast quality row.
+ASSESSMENT = "Forecast Model Performance"
 MIN_ROWS = 30
 
 
@@ -242,7 +244,7 @@ def quality_summary(table: DataFrame) -> DataFrame:
         r2(ratio(F.sum(c("confidence_interval_width")), n)).alias("avg_confidence_width"),
         dbl(F.sum(c("forecasted_revenue"))).alias("total_forecast"),
         r2(ratio(F.sum(c("forecasted_revenue")), n)).alias("avg_daily_forecast"),
-    ).select(F.lit("Forecast Model Performance").alias("assessment"), "*")
+    ).select(F.lit(ASSESSMENT).alias("assessment"), "*")
 
 
 def uncertainty(table: DataFrame, days: int = 30) -> DataFrame:

@@ -46,11 +46,29 @@ def token_weights(docs: DataFrame, labels: DataFrame, positive: Column, id: str
     return counts.withColumn("_t", total).select("token", _micro(share("p") - share("q")).alias("weight"))
 
 
+def _run_starts(keys: Column) -> Column:
+    """Where the runs of equal values in a sorted array begin, as (value, index), closed by (NULL, length)."""
+    before = F.concat(F.array(F.lit(None).cast("string")), keys)
+    pairs = F.zip_with(keys, before, lambda x, y: F.struct(x.alias("t"), (~x.eqNullSafe(y)).alias("starts")))
+    indexed = F.transform(pairs, lambda x, i: F.struct(x["t"].alias("t"), i.alias("i"), x["starts"].alias("starts")))
+    return F.filter(indexed, lambda x: x["starts"])
+
+
+def _following(starts: str) -> Column:
+    """The starts of the next runs."""
+    return F.slice(starts, F.lit(2), F.greatest(F.size(starts), F.lit(1)))
+
+
 def token_counts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, token, count); a text without tokens gives one row with a NULL token."""
-    return (
-        docs.select(id, F.explode_outer(token_array(text)).alias("token")).groupBy(id, "token").agg(F.count("token").alias("n"))
-    )
+    """(id, token, count); a text without tokens gives one row with a NULL token.
+
+    A text is one row, so its tokens are sorted and counted within the row: nothing is shuffled.
+    """
+    tokens = docs.select(id, F.sort_array(token_array(text)).alias("_k"))
+    starts = tokens.select(id, _run_starts(F.col("_k")).alias("_m"))
+    count = lambda x, y: F.struct(x["t"].alias("token"), (y["i"] - x["i"]).cast("bigint").alias("n"))
+    runs = F.filter(F.zip_with("_m", _following("_m"), count), lambda x: x["n"].isNotNull())
+    return starts.select(id, F.explode_outer(runs).alias("_r")).select(id, "_r.token", F.coalesce("_r.n", F.lit(0)).alias("n"))
 
 
 def sentiment(docs: DataFrame, weights: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
