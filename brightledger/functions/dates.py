@@ -87,6 +87,21 @@ def _epoch_seconds(ts: Column) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.extract(F.lit("SECOND"), ts)).cast("bigint")
 
 
+def trunc_wall(ts: ColumnOrName, unit: str) -> Column:
+    """Truncate a timestamp without zone to second, minute, hour or day, without passing through the session zone."""
+    ts = as_col(ts)
+    units = ("day", "hour", "minute", "second")
+    kept = units[: units.index(unit) + 1]
+    d = ts.cast("date")
+    second = F.floor(F.extract(F.lit("SECOND"), ts))
+    return F.make_timestamp_ntz(
+        F.year(d), F.month(d), F.dayofmonth(d),
+        F.hour(ts) if "hour" in kept else F.lit(0),
+        F.minute(ts) if "minute" in kept else F.lit(0),
+        (second if "second" in kept else F.lit(0)).cast("decimal(16,6)"),
+    )
+
+
 def diff_hours(a: ColumnOrName, b: ColumnOrName) -> Column:
     """Hour boundaries from timestamp a to timestamp b."""
     return F.floor(_epoch_seconds(as_col(b)) / 3600) - F.floor(_epoch_seconds(as_col(a)) / 3600)

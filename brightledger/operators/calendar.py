@@ -51,7 +51,7 @@ def date_trunc_units(df: DataFrame, id: str, ts: str) -> DataFrame:
     d = F.col(ts).cast("date")
     return df.select(
         id,
-        *[F.date_trunc(u, ts).cast("timestamp_ntz").alias(f"trunc_{u}") for u in ("second", "minute", "hour", "day")],
+        *[D.trunc_wall(ts, u).alias(f"trunc_{u}") for u in ("second", "minute", "hour", "day")],
         D.week_start(d).alias("trunc_week"),
         D.month_start(d).alias("trunc_month"),
         D.quarter_start(d).alias("trunc_quarter"),
@@ -76,8 +76,9 @@ def date_extract(df: DataFrame, id: str, ts: str) -> DataFrame:
 def date_parts_parse_format(df: DataFrame, id: str, ts: str) -> DataFrame:
     """Build from parts, parse by pattern, format by pattern."""
     d = F.col(ts).cast("date")
-    text = F.date_format(ts, "dd/MM/yyyy")
-    stamp = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    text = F.date_format(d, "dd/MM/yyyy")
+    # A timestamp without zone prints its wall clock, whatever the session zone is.
+    stamp = F.left(F.col(ts).cast("string"), F.lit(19))
     return df.select(
         id,
         F.make_date(F.year(d), F.month(d), F.dayofmonth(d)).alias("built_date"),
@@ -86,9 +87,9 @@ def date_parts_parse_format(df: DataFrame, id: str, ts: str) -> DataFrame:
         ).alias("built_ts"),
         F.to_date(text, "dd/MM/yyyy").alias("parsed_date"),
         F.to_timestamp_ntz(stamp, F.lit("yyyy-MM-dd HH:mm:ss")).alias("parsed_ts"),
-        F.date_format(ts, "MMM dd, yyyy").alias("formatted_1"),
-        F.date_format(ts, "yyyy/MM/dd").alias("formatted_2"),
-        F.date_format(ts, "HH:mm:ss").alias("time_only"),
+        F.date_format(d, "MMM dd, yyyy").alias("formatted_1"),
+        F.date_format(d, "yyyy/MM/dd").alias("formatted_2"),
+        F.right(stamp, F.lit(8)).alias("time_only"),
     )
 
 

@@ -58,7 +58,7 @@ def hourly_rollup(stream: DataFrame, ts: str, out_path: str, checkpoint: str) ->
     """Rows per hour of each batch. Counts add up across batches, so late rows count and no state is kept."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        hours = batch.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour"))
+        hours = batch.groupBy(D.trunc_wall(ts, "hour").alias("hour"))
         hours.agg(F.count(F.lit(1)).alias("new_rows")).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     return run_available(stream, checkpoint, write)

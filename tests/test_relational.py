@@ -183,6 +183,8 @@ def test_timestamp_differences_ignore_the_session_zone(spark):
         for z in ("UTC", "America/New_York"):
             spark.conf.set("spark.sql.session.timeZone", z)
             # Across the New York clock change of 10 March 2024.
+            late = one(spark, **{u: D.trunc_wall(t("2024-03-10 02:59:58.7"), u) for u in ("second", "minute", "hour", "day")})
+            assert [str(v) for v in late] == ["2024-03-10 02:59:58", "2024-03-10 02:59:00", "2024-03-10 02:00:00", "2024-03-10 00:00:00"]
             r = one(spark, h=D.diff_hours(t("2024-03-10 01:59:00"), t("2024-03-10 03:00:00")), m=D.diff_minutes(t("2024-06-01 08:00:00"), t("2024-06-01 17:30:30")))
             assert tuple(r) == (2, 570)
     finally:
