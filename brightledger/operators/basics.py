@@ -132,9 +132,10 @@ def sorted_by_position(daily: DataFrame, n: int) -> DataFrame:
     return _plain(daily.sparkSession.sql(sql, d=daily, n=n))
 
 
-def sorted_nulls_last(df: DataFrame, value: str, tie: str, n: int) -> DataFrame:
-    """First n rows by value down with NULL after every value."""
-    return df.orderBy(F.desc_nulls_last(value), F.asc(tie)).limit(n)
+def sorted_nulls_last(df: DataFrame, value: str, tie: str, n: int | None = None) -> DataFrame:
+    """Rows by value down with NULL after every value; only the first n where given."""
+    out = df.orderBy(F.desc_nulls_last(value), F.asc(tie))
+    return out if n is None else out.limit(n)
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

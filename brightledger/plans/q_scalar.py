@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import strings as S
 from ..operators import calendar as C
-from .q_relational import on_daily
 from .registry import query
-from .relations import sql_dayname, sql_r, with_sql
+from .relations import sql_dayname, sql_r
 
 
 def order_days(t):
@@ -206,7 +205,9 @@ query(
     )
 )
 
-query("num_random")(
-    # A seeded draw per order; repeatable for one layout of the input, so only its range is checked.
-    lambda t: t.orders.select("o_orderkey", F.uniform(F.lit(15.0), F.lit(35.0), F.lit(42)).alias("draw"))
+query("num_random", "SELECT o_orderkey, TRUE AS in_range FROM orders")(
+    # A seeded draw per order; repeatable for one layout of the input only, so its range is what is checked.
+    lambda t: t.orders.select("o_orderkey", F.uniform(F.lit(15.0), F.lit(35.0), F.lit(42)).alias("draw")).select(
+        "o_orderkey", F.col("draw").between(15.0, 35.0).alias("in_range")
+    )
 )

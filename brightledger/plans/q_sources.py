@@ -7,9 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.numbers import dbl
 from ..operators.calendar import date_spine
-from ..operators.keys import dense_numbers, hash_key
+from ..operators.keys import dense_numbers
 from ..session import scratch_path
 from ..sources import generators, loading, readers, writers
 from ..sources.versions import VersionedTable

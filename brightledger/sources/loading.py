@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .readers import ERRORS, FILE, NULL_TOKENS, as_schema, read_csv_checked, read_json_variant
+from .readers import ERRORS, FILE, as_schema, read_csv_checked
 
 
 class LoadAborted(RuntimeError):
@@ -108,8 +108,3 @@ def archive(df: DataFrame, path: str, date: str, as_of: str, days: int = 30) ->
     # Rebalance gathers a day into few files and still splits a day that holds most of the rows.
     old.hint("rebalance", "_day").write.mode("append").partitionBy("_day").parquet(path)
 
-
-__all__ = [
-    "LoadAborted", "NULL_TOKENS", "append_bronze", "archive", "bronze_load", "load", "older_than",
-    "read_json_variant", "validate_load",
-]

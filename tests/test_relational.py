@@ -74,6 +74,21 @@ def test_latest_per_key(spark, rows):
     assert rows(WN.dedup_latest(events, ["who"], ["at", "id"])) == [(2, "al", "14:00", 95), (5, "bo", "16:00", None)]
 
 
+def test_order_and_nulls(spark):
+    df = daily(spark, [3, None, 9, 9, 1])
+    days = lambda out: [str(r.sale_date)[-1] for r in out.collect()]
+    assert days(B.sorted_nulls_last(df, "daily_revenue", "sale_date")) == ["3", "4", "1", "5", "2"]
+    assert days(B.sorted_nulls_last(df, "daily_revenue", "sale_date", 2)) == ["3", "4"]
+    assert days(B.sorted_by_position(df, 3)) == ["3", "4", "1"]
+    assert days(B.top_days(df, 2, "2024-01-01", 2)) == ["3", "4"]
+    assert days(B.sorted_by_month(df, "2024-01-02", 2)) == ["3", "4"]
+
+
+def test_random_draws_differ(spark):
+    draws = spark.range(100).select(F.uniform(F.lit(15.0), F.lit(35.0), F.lit(42)).alias("u"))
+    assert draws.distinct().count() > 90
+
+
 def test_ties(spark):
     df = daily(spark, [5, 7, 7, 1])
     got = {str(r.sale_date)[-1]: (r.rank_val, r.dense_rank_val) for r in WN.ranks(df).collect()}
