@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {name: q for name, q in entry.queries().items() if name in entry.REGISTRY}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in entry.REGISTRY}
 ROWS_ONLY = {"ml_classify"}
 # Finds nothing in the smallest tables: no month there has more than 28 days with orders.
 MAY_BE_EMPTY = {"having_count"}
