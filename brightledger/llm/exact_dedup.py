@@ -46,7 +46,8 @@ def frequent(rows: DataFrame, top: int = TOP, tracked: int = TRACKED) -> DataFra
     parts = heads.groupBy((F.spark_partition_id() % MERGERS).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(head, {tracked})").alias("sketch")
     )
-    total = parts.agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
+    # Grouped by a constant, so that tasks without rows add no empty sketch.
+    total = parts.groupBy(F.lit(1).alias("all")).agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
     candidates = total.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {top})")).alias("c")).select(F.col("c.item").alias("head"))
     counted = (
         rows.withColumn("head", head)
