@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, packing, token_files
 from .common import table
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -36,3 +43,15 @@ def query(name: str, oracle: str | None = None):
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy that stays in its place."""
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
+
+
+@query("op2_token_files")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from the token files."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence."""
+    return packing.checked(packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1, longest=2048))
