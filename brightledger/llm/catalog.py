@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, exact_dedup, packing, token_files
+from . import chat, decontaminate, exact_dedup, html_text, packing, token_files
 from .common import table
 
 def vocabulary(name: str) -> str:
@@ -91,3 +91,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence."""
     return packing.checked(packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1, longest=2048))
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
