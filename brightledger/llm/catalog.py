@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, html_text, packing, token_files
+from . import chat, decontaminate, exact_dedup, html_text, packing, substring_dedup, token_files
 from .common import table
 
 def vocabulary(name: str) -> str:
@@ -51,6 +52,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+@query(
+    "op3_substring_dedup",
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+    x AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM p),
+    f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS again FROM x),
+    c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM f WHERE again),
+    g AS (SELECT doc_id, list(k) AS gone FROM c GROUP BY doc_id),
+    o AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d),
+    t AS (
+        SELECT o.doc_id, string_agg(o.w[o.k], ' ' ORDER BY o.k) AS kept FROM o ANTI JOIN c USING (doc_id, k) GROUP BY o.doc_id)
+    SELECT d.doc_id, len(d.w) AS n_words, coalesce(len(g.gone), 0) AS n_removed, sha256(coalesce(t.kept, '')) AS kept_sha256
+    FROM d LEFT JOIN g USING (doc_id) LEFT JOIN t USING (doc_id)
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that occur earlier."""
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 #: A conversation whose texts imitate the control strings of the template.
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
