@@ -7,15 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, html_text, packing, quality, substring_dedup, token_files, toxicity, training
-from .common import table
-
-def vocabulary(name: str) -> str:
-    """The place of a public tokenizer file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+import corpus_pipeline
 
+from . import chat, decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, token_files, toxicity, training
+from .common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,6 +116,32 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns, vocabulary("byte_bpe_50k.json")))
 
 
+@query(
+    "op6_near_dedup",
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)
+        UNION ALL SELECT doc_id, w[1] FROM d WHERE len(w) = 1),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (
+        SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * c.c >= 80 * (x.n + y.n - c.c)),
+    e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+    r AS (SELECT doc_id, doc_id AS m FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.m)
+    SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(m) AS component_id, doc_id = min(m) AS kept
+    FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of near-duplicates."""
+    found = near_dedup.groups(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query("op7_decontaminate")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that overlap."""
@@ -145,3 +166,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
