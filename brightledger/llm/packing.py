@@ -5,22 +5,20 @@ as fit, then the binary digits of what is left, from high to low. Every piece is
 the sequences of the same length, so no sequence crosses documents and none needs padding; training takes
 batches from one length at a time.
 
-``pack`` writes the sequences below the shared folder, in one directory for each length, and returns them with dense
-sequence numbers: longest first, then by shard and place. Defined cases: null text counts as empty and gives one piece with
+``pack`` writes the sequences below the shared folder, in one directory for each length, and returns what it wrote. A sequence number holds
+the shard (the task that made it) above ``SHARD_BITS`` and the place in the shard below, so numbering needs no shuffle. Defined cases: null text counts as empty and gives one piece with
 the end id; a null or repeated doc_id is kept as it is, each row being a document of its own; an empty table
 gives no pieces; a text of any length gives as many of the longest pieces as it needs.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shared_dir
@@ -29,8 +27,10 @@ from .tokens import encoder
 
 LONGEST = 2048
 
-PIECES = "shard long, row long, doc_id long, start long, length long, doc_tokens long, ids binary"
-_TYPES = pa.schema([(c, pa.int64()) for c in ("shard", "row", "doc_id", "start", "length", "doc_tokens")] + [("ids", pa.binary())])
+SHARD_BITS = 33
+
+PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
+_TYPES = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
 
 
 def lengths(n: int, longest: int = LONGEST) -> list[int]:
@@ -42,7 +42,7 @@ def _cut(path: str, end_id: int, longest: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, shard, rows = encoder(path), TaskContext.get().partitionId(), Counter()
+        enc, number = encoder(path), TaskContext.get().partitionId() << SHARD_BITS
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for low in range(0, len(ids), 256):
@@ -51,8 +51,8 @@ def _cut(path: str, end_id: int, longest: int):
                     data += end
                     n, at = len(data) // 4, 0
                     for size in lengths(n, longest):
-                        out.append((shard, rows[size], doc_id, at, size, n, data[4 * at : 4 * (at + size)]))
-                        rows[size] += 1
+                        out.append((doc_id, at, size, n, number, 0, data[4 * at : 4 * (at + size)]))
+                        number += 1
                         at += size
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], schema=_TYPES)
 
@@ -73,23 +73,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = LONGES
         .option("compression", "zstd")
         .parquet(path)
     )
-    pieces = spark.read.schema(PIECES).parquet(path)
-    # One row for each shard and length; at most a dozen lengths.
-    counts = pieces.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n"))
-    before = W.partitionBy("length").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    longer = W.orderBy(F.col("length").desc()).rowsBetween(W.unboundedPreceding, -1)
-    totals = counts.groupBy("length").agg(F.sum("n").alias("all"))
-    bases = totals.select("length", F.coalesce(F.sum("all").over(longer), F.lit(0)).alias("base"))
-    places = counts.select("length", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("place")).join(bases, "length")
-    return pieces.join(places, ["length", "shard"]).select(
-        "doc_id",
-        "start",
-        "length",
-        "doc_tokens",
-        (F.col("base") + F.col("place") + F.col("row")).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"),
-        "ids",
-    )
+    return spark.read.schema(PIECES).parquet(path)
 
 
 def checked(pieces: DataFrame) -> DataFrame:
