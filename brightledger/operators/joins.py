@@ -63,11 +63,9 @@ def grid(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every row of one small list beside every row of another.
 
     The grid is the result itself, so both sides must be key lists (days of the calendar,
-    categories of a dimension), never fact rows. The right list rides along as one array and is exploded
-    per left row: the left side may have any size.
+    categories of a dimension), never fact rows. Spark plans the cross join of the distinct keys by their size.
     """
-    entries = right.select(F.collect_set(F.struct(*right.columns))).scalar()
-    return left.distinct().withColumn("_r", F.explode(entries)).select(*left.columns, "_r.*")
+    return left.distinct().crossJoin(right.distinct())
 
 
 def beside_scalar(df: DataFrame, aggregates: dict) -> DataFrame:

@@ -1,15 +1,18 @@
-"""Layout of input before work that is heavy per row."""
+"""Intermediate results as tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import scratch_path
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over at least as many tasks as there are cores.
 
-    A scan of a few unsplittable files would leave most cores idle in text work. Where the scan already
-    has enough splits, as on any large table, nothing is moved.
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame, written to the scratch folder and read back.
+
+    A join of two frames that are both read, not aggregated, has a plain exchange on either side, so Spark can
+    split the rows of a hot key over several tasks.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

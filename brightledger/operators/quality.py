@@ -257,9 +257,8 @@ def validate_data_types(df: DataFrame, expected_types: dict[str, str]) -> bool:
 
 
 def validate_row_count(df: DataFrame, min_rows: int = 0, max_rows: int | None = None) -> bool:
-    """Row count within limits; a maximum of None or 0 is no limit. Stops counting past the limits."""
-    stop = max_rows + 1 if max_rows else min_rows
-    n = df.limit(stop).count() if stop else 0
+    """Row count within limits; a maximum of None or 0 is no limit."""
+    n = df.count()
     return n >= min_rows and not (max_rows and n > max_rows)
 
 

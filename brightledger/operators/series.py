@@ -12,6 +12,7 @@ A frame holds one row per (keys, date). ``keys=[]`` is one series.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,13 +21,10 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.numbers import dbl, r2, ratio, round_half_up
 
-# Two-sided normal quantiles by coverage.
-Z = {0.80: 1.2815515655446004, 0.90: 1.6448536269514722, 0.95: 1.959963984540054, 0.99: 2.5758293035489004}
 EPOCH = "2000-01-01"
 PASSES = 3
 # Fixed value: name of the forecast quality row.
 ASSESSMENT = "Forecast Model Performance"
-MIN_ROWS = 30
 
 
 def _day(ts: str) -> Column:
@@ -58,8 +56,9 @@ def _cells(df: DataFrame, ts: str, value: str, keys: Sequence[str], decimals: in
 def ts_fit(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), decimals: int = 2) -> DataFrame:
     """One model row per series: slope, level, month and weekday effects (as maps), deviation, rows, last date.
 
-    Values are read to ``decimals`` places, so that their sums are exact. Series of fewer than
-    30 rows get no row. Missing days are allowed.
+    Values are read to ``decimals`` places, so that their sums are exact. Missing days are allowed. A short series is
+    fitted as far as its rows go: on one day the slope is 0, and with one row there is no deviation. Only a
+    series without any value has no model.
     """
     cells = _cells(df, ts, value, keys, decimals)
     # All windows below partition by the keys or finer, so this is their only shuffle.
@@ -98,7 +97,6 @@ def ts_fit(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), decimal
             rows.cast("bigint").alias("n_rows"),
             F.max("last").alias("last_date"),
         )
-        .where(F.col("n_rows") >= MIN_ROWS)
     )
 
 
@@ -111,10 +109,15 @@ def _point(date: str) -> Column:
     )
 
 
+def quantile(prediction_interval: float) -> float:
+    """How many deviations either side of the mean hold this share of a normal distribution."""
+    if not 0 < prediction_interval < 1:
+        raise ValueError("prediction interval must lie between 0 and 1")
+    return NormalDist().inv_cdf((1 + prediction_interval) / 2)
+
+
 def _z(prediction_interval: float) -> Column:
-    if prediction_interval not in Z:
-        raise ValueError(f"prediction interval must be one of {sorted(Z)}")
-    return F.lit(Z[prediction_interval])
+    return F.lit(quantile(prediction_interval))
 
 
 def ts_forecast(
@@ -133,12 +136,12 @@ def ts_forecast(
 
 
 def ts_fitted(df: DataFrame, model: DataFrame, ts: str, value: str, keys: Sequence[str], prediction_interval: float) -> DataFrame:
-    """Actual rows beside the model's value and bounds for their date."""
+    """Every actual row beside the model's value and bounds for its date, NULL where there are none."""
     if keys:
-        rows = df.join(model, list(keys))
+        rows = df.join(model, list(keys), "left")
     else:
         one = model.select(F.struct(*[F.col(c) for c in model.columns])).scalar()
-        rows = df.withColumn("_m", one).select(*df.columns, "_m.*").where(F.col("level").isNotNull())
+        rows = df.withColumn("_m", one).select(*df.columns, "_m.*")
     half = _z(prediction_interval) * F.col("sigma")
     return rows.withColumn("forecast", _point(ts)).select(
         *keys, F.col(ts).alias("ts"), dbl(value).alias("actual"), "forecast",
@@ -175,7 +178,7 @@ def ts_evaluate(
 def ts_anomaly(
     df: DataFrame, model: DataFrame, ts: str, value: str, keys: Sequence[str] = (), prediction_interval: float = 0.99
 ) -> DataFrame:
-    """Every row with the model's value and bounds, and whether it lies outside them."""
+    """Every row with the model's value and bounds, and whether it lies outside them (NULL without bounds)."""
     rows = ts_fitted(df, model, ts, value, keys, prediction_interval)
     outside = ~F.col("actual").between(F.col("lower_bound"), F.col("upper_bound"))
     return rows.withColumn("is_anomaly", outside)

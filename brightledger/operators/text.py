@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import as_col, ratio, round_half_up
 from ..functions.strings import preview
+from .layout import stored
 
 TOKEN_BREAK = r"[^\p{L}]+"
 SENTENCE_BREAK = r"[.!?\n]+"
@@ -75,9 +76,10 @@ def sentiment(docs: DataFrame, weights: DataFrame, id: str = "doc_id", text: str
     """(id, sentiment) from -1 to +1: tanh of the mean weight of the known tokens, 0 where none is known.
 
     Tokens are counted per text before they meet the weights, so a frequent word costs one
-    row per text.
+    row per text. The weights are stored first: Spark broadcasts them if they are small, and splits the rows of a word that
+    stands in most texts if not.
     """
-    joined = token_counts(docs, id, text).join(weights, "token", "left")
+    joined = token_counts(docs, id, text).join(stored(weights, "weights"), "token", "left")
     known = F.when(F.col("weight").isNotNull(), F.col("n"))
     mean = ratio(F.sum(F.col("n") * F.col("weight")), F.sum(known))
     score = F.tanh(mean / F.lit(float(MICRO)) * F.lit(GAIN))
@@ -108,43 +110,43 @@ def labelled_preview(docs: DataFrame, scored: DataFrame, id: str = "doc_id", tex
 
 
 def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int = 2) -> DataFrame:
-    """The k sentences of each group with the highest mean tf-idf, in their original order.
+    """The k sentences of each group with the highest mean tf-idf, in their original order; NULL for a group without words.
 
-    ``rows`` holds one text per (group, order); with ``order=None`` one text per group. The texts of a
+    ``rows`` holds one text per (group, order); with ``order=None`` one text per group. NULL is a group, and a place in the order, of its own. The texts of a
     group are never gathered: sentences are scored as rows, pruned to k per task before the final
-    ranking, and only the chosen ones are read back.
+    ranking, and only the chosen ones are read back. Word statistics are stored before they are joined, so that a word
+    that stands in most texts can be split over tasks.
     """
-    base = rows.select(F.col(group).alias("_g"), (F.lit(0) if order is None else F.col(order)).alias("_o"), F.col(text).alias("_t"))
-    # Said up front, so that every branch below reads the same rows and shuffles can be shared.
-    base = base.where(F.col("_g").isNotNull() & F.col("_o").isNotNull())
+    # In a struct, NULL equals NULL.
+    base = rows.select(
+        F.struct(F.col(group).alias("v")).alias("_g"), F.struct((F.lit(0) if order is None else F.col(order)).alias("v")).alias("_o"), F.col(text).alias("_t")
+    )
     sentences = base.select("_g", "_o", F.posexplode(F.split("_t", SENTENCE_BREAK)).alias("_pos", "_s"))
     tokens = sentences.select("_g", "_o", "_pos", F.explode(token_array("_s")).alias("_k"))
     # One row per (text, word) with the sentences it stands in: never longer than the text itself.
     places = tokens.groupBy("_g", "_o", "_k").agg(F.collect_list("_pos").alias("_p"))
     if order is None:
-        tf = places.select("_g", "_o", "_k", "_p", F.size("_p").cast("bigint").alias("_tf"))
-        # Counting through _p keeps this branch equal to the one above, so its shuffle is reused.
-        df = places.groupBy("_k").agg(F.count_if(F.size("_p") > 0).alias("_df"))
+        tf = places.withColumn("_tf", F.size("_p").cast("bigint"))
+        df = base.select(F.explode(F.array_distinct(token_array("_t"))).alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
     else:
-        per_group = places.groupBy("_g", "_k").agg(F.sum(F.size("_p")).alias("_tf"))
+        per_group = stored(tokens.groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_tf")), "term-counts")
         tf = places.join(per_group, ["_g", "_k"])
         df = per_group.groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
     total = base.select(F.count_distinct("_g")).scalar()
     idf = df.withColumn("_n", total).select(
         "_k", _micro(F.ln((F.col("_n") + 1).cast("double") / (F.col("_df") + 1).cast("double")) + F.lit(1.0)).alias("_idf")
     )
-    # Hash the vocabulary, the smaller side, per shuffle partition; the large side is neither sorted nor broadcast.
-    weighted = tf.join(idf.hint("shuffle_hash"), "_k").select("_g", "_o", (F.col("_tf") * F.col("_idf")).alias("_w"), F.explode("_p").alias("_pos"))
+    weighted = tf.join(stored(idf, "idf"), "_k").select("_g", "_o", (F.col("_tf") * F.col("_idf")).alias("_w"), F.explode("_p").alias("_pos"))
     scores = weighted.groupBy("_g", "_o", "_pos").agg(ratio(F.sum("_w"), F.count(F.lit(1))).alias("_score"))
     w = W.partitionBy("_g").orderBy(F.desc("_score"), "_o", "_pos")
     chosen = scores.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).select("_g", "_o", "_pos")
-    back = base.join(chosen, ["_g", "_o"]).select(
+    # At most k rows a group. Stored, so that the joins above are planned by themselves.
+    back = base.join(stored(chosen, "chosen"), ["_g", "_o"]).select(
         "_g", "_o", "_pos", F.trim(F.element_at(F.split("_t", SENTENCE_BREAK), F.col("_pos") + 1)).alias("_s")
     )
     parts = F.array_sort(F.collect_list(F.struct("_o", "_pos", "_s")))
-    return back.groupBy("_g").agg(F.concat_ws(". ", F.transform(parts, lambda p: p["_s"])).alias("summary")).select(
-        F.col("_g").alias(group), "summary"
-    )
+    found = back.groupBy("_g").agg(F.concat_ws(". ", F.transform(parts, lambda p: p["_s"])).alias("summary"))
+    return base.select("_g").distinct().join(found, "_g", "left").select(F.col("_g.v").alias(group), "summary")
 
 
 def extract_answer(docs: DataFrame, question: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,7 +214,7 @@ def classify_text(
 ) -> DataFrame:
     """The most likely of the given classes per text; words never seen in training are skipped, and the first class wins a tie."""
     weights, priors = model
-    joined = token_counts(docs, id, text).join(weights, "token", "left")
+    joined = token_counts(docs, id, text).join(stored(weights, "weights"), "token", "left")
     sums = joined.groupBy(id).agg(
         *[F.coalesce(F.sum(F.col("n") * F.col(f"w{i}")), F.lit(0)).alias(f"s{i}") for i in range(len(classes))]
     )

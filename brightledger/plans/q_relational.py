@@ -168,18 +168,18 @@ query(
     with_sql(
         "part_sales small_parts",
         """SELECT p_partkey, p_name AS part_name, part_id, CAST(amount AS DOUBLE) AS amount
-           FROM (SELECT * FROM part_sales WHERE num_lines > 25) RIGHT JOIN small_parts ON part_id = p_partkey""",
+           FROM part_sales RIGHT JOIN small_parts ON part_id = p_partkey""",
     ),
-)(lambda t: J.right_all_dim(t.part_sales.where("num_lines > 25"), t.small_parts))
+)(lambda t: J.right_all_dim(t.part_sales, t.small_parts))
 
 query(
     "join_full_outer",
     with_sql(
         "part_sales small_parts",
         """SELECT COALESCE(part_id, p_partkey) AS part_key, p_name AS part_name, CAST(amount AS DOUBLE) AS amount
-           FROM (SELECT * FROM part_sales WHERE num_lines > 25) FULL JOIN small_parts ON part_id = p_partkey""",
+           FROM part_sales FULL JOIN small_parts ON part_id = p_partkey""",
     ),
-)(lambda t: J.full_both(t.part_sales.where("num_lines > 25"), t.small_parts))
+)(lambda t: J.full_both(t.part_sales, t.small_parts))
 
 query(
     "join_cross_grid",
@@ -531,12 +531,12 @@ query(
     with_sql(
         "part_sales small_parts",
         """SELECT p_partkey, p_name AS part_name, part_id, CAST(amount AS DOUBLE) AS amount
-           FROM (SELECT * FROM part_sales WHERE num_lines > 25) s RIGHT JOIN small_parts ON part_id = p_partkey
+           FROM part_sales s RIGHT JOIN small_parts ON part_id = p_partkey
            ORDER BY s.amount DESC NULLS LAST, p_partkey""",
     ),
 )(
     lambda t: B.sorted_nulls_last(
-        J.right_all_dim(t.part_sales.where("num_lines > 25"), t.small_parts), "amount", "p_partkey"
+        J.right_all_dim(t.part_sales, t.small_parts), "amount", "p_partkey"
     )
 )
 

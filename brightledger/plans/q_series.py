@@ -55,7 +55,7 @@ POINT = f"level + slope * {X} + COALESCE(a, 0) + COALESCE(b, 0)"
 
 
 def forecast_sql(days: int, interval: float = 0.95) -> str:
-    z = repr(S.Z[interval])
+    z = repr(S.quantile(interval))
     return f"""WITH {DAILY_V}, {fit_sql('series')},
       ahead AS (SELECT *, CAST(last_date + CAST(i AS INTEGER) AS DATE) AS d FROM (SELECT *, UNNEST(generate_series(1, {days})) AS i FROM model)),
       fc AS (SELECT d, {POINT} AS point, CAST({z} AS DOUBLE) * sigma AS half
@@ -76,11 +76,11 @@ def combined(t, days=90):
 query(
     "ts_forecast",
     on_daily(
-        forecast_sql(30, 0.90)
+        forecast_sql(30, 0.85)
         + "SELECT forecast_date AS ts, forecasted_revenue AS forecast, lower_bound_95pct AS lower_bound, upper_bound_95pct AS upper_bound FROM tab"
     ),
 )(
-    lambda t: S.ts_forecast(S.ts_fit(t.daily, "sale_date", "daily_revenue"), 30, 0.90).select(
+    lambda t: S.ts_forecast(S.ts_fit(t.daily, "sale_date", "daily_revenue"), 30, 0.85).select(
         "ts", r2("forecast").alias("forecast"), r2("lower_bound").alias("lower_bound"), r2("upper_bound").alias("upper_bound")
     )
 )
@@ -90,7 +90,7 @@ query(
     on_daily(
         f"""WITH allrows AS (SELECT sale_date AS d, daily_revenue AS v FROM daily), edge AS (SELECT MAX(d) - 90 AS e FROM allrows),
               series AS (SELECT d, v FROM allrows, edge WHERE d <= e), {fit_sql('series')},
-              s AS (SELECT CAST(v AS DOUBLE) AS actual, {POINT} AS f, CAST({S.Z[0.95]!r} AS DOUBLE) * sigma AS half
+              s AS (SELECT CAST(v AS DOUBLE) AS actual, {POINT} AS f, CAST({S.quantile(0.95)!r} AS DOUBLE) * sigma AS half
                 FROM allrows CROSS JOIN edge CROSS JOIN model LEFT JOIN em ON em.m = month(d) LEFT JOIN ew ON ew.w = dayofweek(d) WHERE d > e)
             SELECT COUNT(*) AS n, {sql_r('SUM(abs((actual - f) / NULLIF(actual, 0))) / COUNT(*) * 100', 4)} AS mape,
               {sql_r('SUM(abs(actual - f)) / COUNT(*)')} AS mae, round(SUM((actual - f) * (actual - f)) / COUNT(*), 0) AS mse,
@@ -203,7 +203,7 @@ query(
     f"""WITH series AS (SELECT c_mktsegment AS segment, CAST(o_orderdate AS DATE) AS d, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v
           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
         {fit_sql('series', 'segment')},
-        s AS (SELECT s.segment, d, CAST(v AS DOUBLE) AS actual, {POINT} AS f, CAST({S.Z[0.99]!r} AS DOUBLE) * sigma AS half
+        s AS (SELECT s.segment, d, CAST(v AS DOUBLE) AS actual, {POINT} AS f, CAST({S.quantile(0.99)!r} AS DOUBLE) * sigma AS half
           FROM series s JOIN model ON s.segment = model.segment LEFT JOIN em ON em.m = month(d) AND em.segment = s.segment
           LEFT JOIN ew ON ew.w = dayofweek(d) AND ew.segment = s.segment)
         SELECT segment, d AS ts, actual, {sql_r('f')} AS forecast, {sql_r('f - half')} AS lower_bound, {sql_r('f + half')} AS upper_bound,

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_half_up
 from ..operators import text as X
-from ..operators.layout import spread
 from .registry import query
 from .relations import sql_r
 
@@ -34,7 +33,7 @@ SCORED = f"""
 
 def scored(t):
     positive = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    docs = spread(t.documents)
+    docs = t.documents
     return X.sentiment(docs, X.token_weights(docs, t.labels, positive))
 
 
@@ -73,13 +72,13 @@ def summary_sql(rows: str, k: int) -> str:
 
 query(
     "text_summarize",
-    f"SELECT g AS doc_id, summary FROM ({summary_sql('SELECT doc_id AS g, 0 AS o, text AS t FROM documents', 2)})",
-)(lambda t: X.summarize(spread(t.documents), "doc_id", None, "text", 2))
+    f"SELECT doc_id, summary FROM documents LEFT JOIN ({summary_sql('SELECT doc_id AS g, 0 AS o, text AS t FROM documents', 2)}) ON g = doc_id",
+)(lambda t: X.summarize(t.documents, "doc_id", None, "text", 2))
 
 query(
     "text_summarize_group",
-    f"SELECT g AS conv_id, summary FROM ({summary_sql('SELECT conv_id AS g, turn AS o, text AS t FROM conversations', 3)})",
-)(lambda t: X.summarize(spread(t.conversations), "conv_id", "turn", "text", 3))
+    f"SELECT conv_id, summary FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN ({summary_sql('SELECT conv_id AS g, turn AS o, text AS t FROM conversations', 3)}) ON g = conv_id",
+)(lambda t: X.summarize(t.conversations, "conv_id", "turn", "text", 3))
 
 QUESTION = "What was that with the order, and how is it?"
 WORDS = ["and", "how", "is", "it", "order", "that", "the", "was", "what", "with"]
@@ -101,7 +100,7 @@ query(
       QUALIFY row_number() OVER (PARTITION BY c.doc_id ORDER BY score DESC, pos) = 1""",
 )(
     # Asked of the texts with a negative score only; the word weights come from all texts.
-    lambda t: X.extract_answer(spread(t.documents), QUESTION).join(scored(t).where("sentiment < 0").select("doc_id"), "doc_id", "left_semi")
+    lambda t: X.extract_answer(t.documents, QUESTION).join(scored(t).where("sentiment < 0").select("doc_id"), "doc_id", "left_semi")
 )
 
 CLASSES = ["Positive", "Negative", "Mixed"]
@@ -110,7 +109,7 @@ CLASS_SQL = "CASE WHEN toxic = 1 THEN 'Negative' WHEN quality = 1 THEN 'Positive
 
 def _classified(t):
     of = F.when(F.col("toxic") == 1, "Negative").when(F.col("quality") == 1, "Positive").otherwise("Mixed")
-    docs = spread(t.documents)
+    docs = t.documents
     return X.classify_text(docs, X.fit_text_classes(docs, t.labels, of, CLASSES), CLASSES)
 
 

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import cents, money
 
-# Margin per part type, the stand-in for a product category table.
-MARGINS = {"ECONOMY": 0.15, "LARGE": 0.4, "MEDIUM": 0.25, "PROMO": 0.35, "SMALL": 0.5, "STANDARD": 0.3}
-
 
 class Tables:
     """Lazy access to the base tables of one folder and the relations derived from them."""
@@ -87,11 +84,9 @@ class Tables:
 
     @cached_property
     def cats(self) -> DataFrame:
-        """Category dimension: the part types with their margin."""
-        margin = F.create_map(*[F.lit(x) for kv in MARGINS.items() for x in kv])
-        return self.part.select(F.col("p_type").alias("category")).distinct().withColumn(
-            "margin_pct", F.element_at(margin, F.col("category"))
-        )
+        """Category dimension: the part types with a margin, the share of large parts among theirs."""
+        margin = F.count_if(F.col("p_size") >= 35).cast("double") / F.count(F.lit(1))
+        return self.part.groupBy(F.col("p_type").alias("category")).agg(margin.alias("margin_pct"))
 
     def _lines(self, part: DataFrame) -> DataFrame:
         by_part = self.lineitem.groupBy(
@@ -120,8 +115,11 @@ class Tables:
 
     @cached_property
     def small_parts(self) -> DataFrame:
-        """Parts up to size 25: a dimension that leaves half of the sales without a match."""
-        return self.part.where(F.col("p_size") <= 25).select("p_partkey", "p_name", "p_type")
+        """Parts up to size 25 and announced ones without sales: either side of a join with the sales has rows without a match."""
+        announced = self.part.where(F.col("p_size") == 1).select(
+            (-F.col("p_partkey")).alias("p_partkey"), F.concat("p_name", F.lit(" (announced)")).alias("p_name"), "p_type"
+        )
+        return self.part.where(F.col("p_size") <= 25).select("p_partkey", "p_name", "p_type").unionByName(announced)
 
     @cached_property
     def events_json(self) -> DataFrame:
@@ -172,19 +170,9 @@ class Tables:
 
     @cached_property
     def tree(self) -> DataFrame:
-        """Customers as an org tree: the parent of k is (k - 1) div 10, key 0 is the root."""
+        """Customers as branches of a binary tree: halving a key gives the branch it grows from, keys 0 and 1 are roots."""
         k = F.col("c_custkey")
-        return self.customer.select(
-            k.alias("emp_id"),
-            F.col("c_name").alias("emp_name"),
-            F.when(k > 0, F.floor((k - 1) / 10)).alias("manager_id"),
-        )
-
-    @cached_property
-    def line_sales(self) -> DataFrame:
-        """Line fact with customer and product, in exact decimals."""
-        o = self.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_orderstatus")
-        return self.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+        return self.customer.select(k.alias("branch"), F.col("c_name").alias("title"), F.when(k > 1, F.shiftright(k, 1)).alias("grows_from"))
 
     def daily_mean(self) -> Column:
         """Mean daily revenue as a scalar subquery."""
@@ -192,8 +180,6 @@ class Tables:
 
 
 # The same relations as SQL.
-_MARGIN_ROWS = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in MARGINS.items())
-
 WITH: dict[str, tuple[tuple[str, ...], str]] = {
     "daily": (
         (),
@@ -208,8 +194,8 @@ WITH: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "cats": (
         (),
-        f"""SELECT category, margin_pct FROM (VALUES {_MARGIN_ROWS}) m(category, margin_pct)
-            WHERE category IN (SELECT p_type FROM part)""",
+        """SELECT p_type AS category, CAST(COUNT(CASE WHEN p_size >= 35 THEN 1 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS margin_pct
+           FROM part GROUP BY 1""",
     ),
     "lines": (
         (),
@@ -222,7 +208,11 @@ WITH: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT l_partkey AS part_id, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS amount, COUNT(*) AS num_lines
            FROM lineitem GROUP BY 1""",
     ),
-    "small_parts": ((), "SELECT p_partkey, p_name, p_type FROM part WHERE p_size <= 25"),
+    "small_parts": (
+        (),
+        """SELECT p_partkey, p_name, p_type FROM part WHERE p_size <= 25
+           UNION ALL SELECT -p_partkey, p_name || ' (announced)', p_type FROM part WHERE p_size = 1""",
+    ),
     "ev": (
         (),
         """SELECT event_id, ts, 'user' || user_id AS username, user_id, event_type AS action, value,
@@ -251,8 +241,7 @@ WITH: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "tree": (
         (),
-        """SELECT c_custkey AS emp_id, c_name AS emp_name,
-             CASE WHEN c_custkey > 0 THEN (c_custkey - 1) // 10 END AS manager_id FROM customer""",
+        """SELECT c_custkey AS branch, c_name AS title, CASE WHEN c_custkey > 1 THEN c_custkey >> 1 END AS grows_from FROM customer""",
     ),
 }
 

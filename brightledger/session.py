@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,7 +31,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    A local session without that setting uses a folder in its warehouse; a cluster has to name one.
     """
     conf = spark.sparkContext.getConf()
     named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
@@ -41,12 +40,24 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="brightledger-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that holds all scratch data of this application."""
+    return f"{shared_dir(spark).rstrip('/')}/brightledger-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the folder of this run."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete the scratch data of this run, once its results have been read. Says whether there was any."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(path, True)

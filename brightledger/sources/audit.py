@@ -41,7 +41,7 @@ class PipelineLog:
         try:
             rows = job()
         except Exception as e:
-            self.add(layer, table, None, time.monotonic() - start, "FAILED", f"{type(e).__name__}: {e}"[:1000])
+            self.add(layer, table, None, time.monotonic() - start, "FAILED", f"{type(e).__name__}: {e}")
             raise
         self.add(layer, table, rows, time.monotonic() - start, "SUCCESS")
         return rows

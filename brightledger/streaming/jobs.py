@@ -28,20 +28,31 @@ def follow(spark: SparkSession, path: str, schema: T.StructType, max_files: int
 
 
 def run_available(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> int:
-    """Process what has arrived since the last run, then stop. Returns the rows read; without new data no batch runs."""
+    """Process what has arrived since the last run, then stop. Returns the rows of all batches; without new data no batch runs."""
+    return sum(_batches(stream, checkpoint, on_batch).values())
+
+
+def _batches(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> dict[int, int]:
+    """Rows of each batch that ran, counted once however often the job reads its batch."""
+    rows: dict[int, int] = {}
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        on_batch(batch, batch_id)
+        rows[batch_id] = batch.count()
+
     q = (
-        stream.writeStream.foreachBatch(on_batch)
+        stream.writeStream.foreachBatch(counted)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return sum(p["numInputRows"] for p in q.recentProgress)
+    return rows
 
 
 def run_if_data(stream: DataFrame, checkpoint: str, job: Callable[[DataFrame, int], None]) -> bool:
     """Run a job only when the stream has rows it has not consumed yet. Returns whether it ran."""
-    return run_available(stream, checkpoint, job) > 0
+    return bool(_batches(stream, checkpoint, job))
 
 
 def consume(stream: DataFrame, log_path: str, checkpoint: str) -> int:

@@ -9,56 +9,59 @@ from brightledger.operators import scd
 from brightledger.streaming import jobs
 
 
+SEATS = "seat string, deck int, fare double"
+
+
 @pytest.fixture
 def versions(spark):
-    old = spark.createDataFrame([(1, "alpha", 100.0), (2, "beta", 200.0), (3, "gamma", None)], "id int, name string, value double")
-    new = spark.createDataFrame([(1, "alpha", 200.0), (2, "beta", 200.0), (9, "new", 1.0)], "id int, name string, value double")
-    return old, new
+    """Two states of a seat plan: one fare set, one deck moved, two seats gone, one new, one untouched."""
+    old = [("A1", 1, None), ("A2", 1, 80.0), ("B1", 2, 55.5), ("B2", 2, 55.5), ("C9", 3, 20.0)]
+    new = [("A1", 1, 95.0), ("A2", 4, 80.0), ("B2", 2, 55.5), ("D4", 4, None)]
+    return spark.createDataFrame(old, SEATS), spark.createDataFrame(new, SEATS)
 
 
-def test_apply_changes(spark, versions, rows):
+def test_apply_changes(versions, rows):
     old, _ = versions
-    got = C.apply_changes(old, {"value": F.col("value") * 2}, F.col("id") == 1, F.col("id") == 3)
-    assert rows(got) == [(1, "alpha", 200.0), (2, "beta", 200.0)]
+    got = C.apply_changes(old, {"fare": F.col("fare") + F.col("deck")}, F.col("deck") == 2, F.col("seat").startswith("C"))
+    assert rows(got, "seat", "fare") == [("A1", None), ("A2", 80.0), ("B1", 57.5), ("B2", 57.5)]
 
 
-def test_null_condition_changes_nothing(versions):
+def test_null_condition_changes_nothing(versions, rows):
     old, _ = versions
-    assert C.apply_changes(old, delete_where=F.col("value") > 150).count() == 2  # the NULL value stays
+    assert rows(C.apply_changes(old, delete_where=F.col("fare") < 60), "seat") == [("A1",), ("A2",)]  # a NULL fare is not below 60
 
 
 def test_upsert(versions, rows):
     old, new = versions
-    got = C.upsert(old, new.where("id <> 2"), old.where("id = 3"), ["id"])
-    assert rows(got, "id", "value") == [(1, 200.0), (2, 200.0), (9, 1.0)]
+    got = C.upsert(old, new.where("deck = 4"), old.where("deck = 2"), ["seat"])
+    assert rows(got, "seat", "deck") == [("A1", 1), ("A2", 4), ("C9", 3), ("D4", 4)]
 
 
 def test_net_changes(versions, rows):
     old, new = versions
-    got = rows(C.net_changes(old, new, ["id"]), "id", "action", "is_update")
-    assert got == [(1, "DELETE", True), (1, "INSERT", True), (3, "DELETE", False), (9, "INSERT", False)]
-    labels = rows(C.labelled(C.net_changes(old, new, ["id"])), "id", "change_type")
-    assert labels == [(1, "UPDATE"), (3, "DELETE"), (9, "INSERT")]
-    assert C.labelled(C.net_changes(old, new, ["id"]), keep_before=True).count() == 4
-    assert C.net_changes(old, old, ["id"]).count() == 0
+    net = C.net_changes(old, new, ["seat"])
+    assert rows(net, "seat", "action", "is_update") == [
+        ("A1", "DELETE", True), ("A1", "INSERT", True), ("A2", "DELETE", True), ("A2", "INSERT", True),
+        ("B1", "DELETE", False), ("C9", "DELETE", False), ("D4", "INSERT", False),
+    ]
+    assert rows(C.labelled(net), "seat", "change_type") == [("A1", "UPDATE"), ("A2", "UPDATE"), ("B1", "DELETE"), ("C9", "DELETE"), ("D4", "INSERT")]
+    assert C.labelled(net, keep_before=True).count() == 7
+    assert C.net_changes(new, new, ["seat"]).count() == 0
 
 
 def test_row_id_links_both_images(versions):
-    ids = C.net_changes(*versions, ["id"]).where("id = 1").select("row_id").distinct()
-    assert ids.count() == 1
+    ids = C.net_changes(*versions, ["seat"]).where("is_update").groupBy("row_id").count()
+    assert sorted(r["count"] for r in ids.collect()) == [2, 2]
 
 
 def test_time_travel(versions, rows):
     old, new = versions
-    log = C.log_rows(old, "I", "2024-01-01 00:00:00", 1).unionByName(
-        C.log_changes(C.net_changes(old, new, ["id"]), "2024-01-02 00:00:00", 2)
-    )
-    assert rows(C.as_of(log, ["id"], "2024-01-01 12:00:00")) == rows(old)
-    assert rows(C.as_of(log, ["id"], "2024-01-02 00:00:00")) == rows(new)
-    assert rows(C.as_of(log, ["id"], "2024-01-02 00:00:30", -60)) == rows(old)
-    assert rows(C.before_change(log, ["id"], 2)) == rows(old)
-    assert C.as_of(log, ["id"], "2023-01-01 00:00:00").count() == 0
-    assert rows(C.restore(new, log, ["id"], "2024-01-01 12:00:00"), "id") == [(1,), (2,), (3,), (9,)]
+    log = C.log_rows(old, "I", "2031-05-06 07:00:00", 1).unionByName(C.log_changes(C.net_changes(old, new, ["seat"]), "2031-05-06 09:30:00", 2))
+    for moment, back, state in (("09:29:59", 0, old), ("09:30:00", 0, new), ("09:31:00", -61, old), ("07:00:00", 0, old), ("23:00:00", 0, new)):
+        assert rows(C.as_of(log, ["seat"], f"2031-05-06 {moment}", back)) == rows(state), moment
+    assert rows(C.before_change(log, ["seat"], 2)) == rows(old)
+    assert C.as_of(log, ["seat"], "2031-05-06 06:59:59").count() == 0
+    assert rows(C.restore(new, log, ["seat"], "2031-05-06 08:00:00"), "seat") == [("A1",), ("A2",), ("B1",), ("B2",), ("C9",), ("D4",)]
 
 
 def test_scd2_over_three_loads(spark):
@@ -101,7 +104,7 @@ def test_silver_customer_keeps_the_latest_load(spark):
 
 def _changes_folder(spark, tmp_path, versions):
     path = str(tmp_path / "changes")
-    changes = C.net_changes(*versions, ["id"])
+    changes = C.net_changes(*versions, ["seat"])
     changes.write.parquet(path)
     return path, changes
 
@@ -110,12 +113,24 @@ def test_consume_once(spark, tmp_path, versions):
     path, changes = _changes_folder(spark, tmp_path, versions)
     stream = jobs.follow(spark, path, changes.schema)
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "cp")
-    assert jobs.consume(stream, log, checkpoint) == 4
+    assert jobs.consume(stream, log, checkpoint) == 7
     assert jobs.consume(stream, log, checkpoint) == 0
-    assert spark.read.parquet(log).count() == 3
-    changes.where("id = 9").write.mode("append").parquet(path)
+    assert spark.read.parquet(log).count() == 5
+    changes.where("seat = 'D4'").write.mode("append").parquet(path)
     assert jobs.consume(stream, log, checkpoint) == 1
-    assert spark.read.parquet(log).count() == 4
+    assert spark.read.parquet(log).count() == 6
+
+
+def test_rows_of_many_batches_count_once(spark, tmp_path):
+    """More batches than a query keeps reports of; the job reads each twice, or not at all."""
+    path = str(tmp_path / "in")
+    spark.range(110 * 3).repartition(110, "id").sortWithinPartitions("id").write.parquet(path)
+    files = len(list((tmp_path / "in").glob("part-*")))
+    assert files > 100
+    stream = lambda: jobs.follow(spark, path, spark.range(1).schema, max_files=1)
+    assert jobs.run_available(stream(), str(tmp_path / "twice"), lambda batch, _: (batch.count(), batch.count())) == 330
+    assert jobs.run_if_data(stream(), str(tmp_path / "never"), lambda batch, _: None) is True
+    assert jobs.run_if_data(stream(), str(tmp_path / "never"), lambda batch, _: None) is False
 
 
 def test_rollup_counts_late_rows_and_survives_a_lost_commit(spark, tmp_path, rows):

@@ -7,49 +7,41 @@ from brightledger.operators import quality as Q
 
 
 @pytest.fixture
-def people(spark):
+def trips(spark):
     return spark.createDataFrame(
-        [(1, "Ann", "ann@shop.com"), (2, "Bob", "bob@shop.com"), (3, "Cy", "cy@shop.com")], "id int, name string, email string"
+        [("t-07", 12.5, "tram", 3), ("t-08", None, "bus", 3), ("t-09", 4.0, None, 1), ("t-09", 4.0, "bus", None)],
+        "trip string, km double, mode string, zone int",
     )
 
 
-def test_not_null(spark, people):
-    assert Q.validate_not_null(people, ["id", "name"])
-    broken = spark.createDataFrame([(1, "Ann"), (None, "Bob"), (3, "Cy")], "id int, name string")
-    assert not Q.validate_not_null(broken, ["id"])
-    assert Q.validate_not_null(broken, ["name"])
-    assert Q.validate_not_null(broken, ["no such column"])
+@pytest.mark.parametrize("columns, good", [(["trip"], True), (["km"], False), (["trip", "zone"], False), (["speed"], True), (["speed", "mode"], False), ([], True)])
+def test_not_null(trips, columns, good):
+    assert Q.validate_not_null(trips, columns) is good
 
 
-def test_row_count(spark):
-    n = lambda k: spark.range(k)
-    assert Q.validate_row_count(n(100), min_rows=50, max_rows=150)
-    assert not Q.validate_row_count(n(10), min_rows=50)
-    assert not Q.validate_row_count(n(200), max_rows=150)
-    assert Q.validate_row_count(n(200), max_rows=0)
-    assert Q.validate_row_count(n(0))
-    assert Q.validate_row_count(n(5), min_rows=5, max_rows=5)
+@pytest.mark.parametrize("limits, good", [({}, True), ({"min_rows": 4, "max_rows": 4}, True), ({"min_rows": 5}, False), ({"max_rows": 3}, False), ({"max_rows": 0}, True), ({"max_rows": None}, True)])
+def test_row_count(trips, limits, good):
+    assert Q.validate_row_count(trips, **limits) is good
+    assert Q.validate_row_count(trips.where("zone = 8"))
 
 
-def test_duplicates(spark):
-    df = lambda keys: spark.createDataFrame([(k,) for k in keys], "customer_id string")
-    assert Q.validate_duplicates(df(["C1", "C2", "C3"]), ["customer_id"])
-    assert not Q.validate_duplicates(df(["C1", "C1", "C2"]), ["customer_id"])
-    assert not Q.validate_duplicates(df([None, None]), ["customer_id"])
+def test_duplicates(trips):
+    assert Q.validate_duplicates(trips, ["trip", "mode"])
+    assert not Q.validate_duplicates(trips, ["trip"])
+    assert not Q.validate_duplicates(trips.select("km").where("km IS NULL").union(trips.select("km").where("km IS NULL")), ["km"])
 
 
-def test_types(people):
-    assert Q.validate_data_types(people, {"id": "int", "name": "string"})
-    assert not Q.validate_data_types(people, {"id": "string"})
-    assert not Q.validate_data_types(people, {"missing": "int"})
+def test_types(trips):
+    assert Q.validate_data_types(trips, {"km": "double", "zone": "int", "trip": "str"})
+    assert not Q.validate_data_types(trips, {"km": "int"})
+    assert not Q.validate_data_types(trips, {"trip": "string", "speed": "double"})
 
 
-def test_allowed_values(spark):
-    df = lambda vals: spark.createDataFrame([(v,) for v in vals], "status string")
-    assert Q.validate_column_values(df(["active", "active", "inactive"]), "status", ["active", "inactive"])
-    assert not Q.validate_column_values(df(["active", "pending"]), "status", ["active", "inactive"])
-    assert not Q.validate_column_values(df(["active", None]), "status", ["active"])
-    assert Q.validate_column_values(df(["active", None]), "status", ["active", None])
+def test_allowed_values(trips):
+    assert Q.validate_column_values(trips, "trip", ["t-07", "t-08", "t-09", "t-10"])
+    assert not Q.validate_column_values(trips, "zone", [1, 3])  # NULL is listed nowhere
+    assert Q.validate_column_values(trips, "zone", [1, 3, None])
+    assert not Q.validate_column_values(trips, "mode", ["bus", None])
 
 
 @pytest.mark.parametrize("outcome, rate", [([True, False, True], 66.67), ([True, True], 100.0), ([False, False], 0.0), ([], 0.0)])

@@ -33,19 +33,28 @@ def daily(spark, values, start="2024-01-01"):
 
 @pytest.fixture
 def sales(spark):
-    return spark.createDataFrame([(1, Decimal(100), 1), (99, Decimal(50), 1), (3, Decimal(75), 1)], "part_id bigint, amount decimal(20,2), num_lines bigint")
+    return spark.createDataFrame(
+        [(12, Decimal("8.40"), 3), (15, Decimal("0.60"), 1), (40, Decimal("31.25"), 9), (41, Decimal("2.00"), 2)],
+        "part_id bigint, amount decimal(20,2), num_lines bigint",
+    )
 
 
 @pytest.fixture
 def parts(spark):
-    return spark.createDataFrame([(1, "disc"), (2, "cloth"), (3, "bread")], "p_partkey bigint, p_name string")
+    return spark.createDataFrame([(12, "hinge"), (13, "axle"), (14, "cog"), (40, "rivet")], "p_partkey bigint, p_name string")
 
 
 def test_outer_joins(sales, parts, rows):
-    assert rows(J.left_with_orphans(sales, parts), "part_id", "part_name") == [(1, "disc"), (3, "bread"), (99, None)]
-    assert rows(J.orphans(sales, parts), "part_id") == [(99,)]
-    assert rows(J.right_all_dim(sales, parts), "part_name", "amount") == [("bread", 75.0), ("cloth", None), ("disc", 100.0)]
-    assert rows(J.full_both(sales, parts), "part_key") == [(1,), (2,), (3,), (99,)]
+    assert rows(J.left_with_orphans(sales, parts), "part_id", "part_name") == [(12, "hinge"), (15, None), (40, "rivet"), (41, None)]
+    assert rows(J.orphans(sales, parts), "part_id") == [(15,), (41,)]
+    assert rows(J.right_all_dim(sales, parts), "part_name", "amount") == [("axle", None), ("cog", None), ("hinge", 8.4), ("rivet", 31.25)]
+    assert rows(J.full_both(sales, parts), "part_key") == [(12,), (13,), (14,), (15,), (40,), (41,)]
+
+
+def test_grid_is_every_pair_of_keys(spark, rows):
+    days, kinds = spark.createDataFrame([(1,), (2,), (2,)], "d int"), spark.createDataFrame([("x",), (None,), ("x",)], "k string")
+    assert rows(J.grid(days, kinds)) == [(1, None), (1, "x"), (2, None), (2, "x")]
+    assert J.grid(days, kinds.where("k = 'z'")).count() == 0
 
 
 def test_previous_day_is_not_previous_row(spark, rows):
@@ -67,11 +76,12 @@ def test_new_and_repeat(spark):
 
 
 def test_latest_per_key(spark, rows):
-    events = spark.createDataFrame(
-        [(1, "al", "10:00", 80), (2, "al", "14:00", 95), (3, "bo", "09:00", 70), (4, "bo", "11:00", 88), (5, "bo", "16:00", None)],
-        "id int, who string, at string, score int",
+    readings = spark.createDataFrame(
+        [(7, 3, 20.5, "s1"), (7, 3, None, "s9"), (7, 1, 18.0, "s4"), (8, 0, 1.5, "s2"), (None, 5, 2.5, "s3"), (None, 4, 9.0, "s8")],
+        "sensor int, tick int, degrees double, row string",
     )
-    assert rows(WN.dedup_latest(events, ["who"], ["at", "id"])) == [(2, "al", "14:00", 95), (5, "bo", "16:00", None)]
+    latest = WN.dedup_latest(readings, ["sensor"], ["tick", "row"])
+    assert rows(latest, "row") == [("s2",), ("s3",), ("s9",)]  # the tie on the tick goes to the later row; NULL is a sensor
 
 
 def test_order_and_nulls(spark):
@@ -152,16 +162,26 @@ def test_same_result_on_any_layout(spark, rows, partitions):
 
 
 def test_hierarchy(spark):
-    staff = spark.createDataFrame([(1, "Top", None), (2, "Sales", 1), (3, "Tech", 1), (4, "Lead", 2), (5, "Eng", 3), (6, "Rep", 4)], "id int, name string, boss int")
-    got = {r.id: (r.depth, r.path, r.org_chart) for r in hierarchy(staff, "id", "boss", "name").collect()}
-    assert got[6] == (3, "Top > Sales > Lead > Rep", "      Rep") and got[1] == (0, "Top", "Top") and len(got) == 6
+    # Two folder trees; a folder's key is its place on the disk.
+    folders = spark.createDataFrame(
+        [("u", "usr", None), ("l", "lib", "u"), ("p", "python", "l"), ("e", "etc", None), ("s", "ssl", "e"), ("c", "certs", "s"), ("x", "old", "gone")],
+        "key string, name string, inside string",
+    )
+    got = {r.key: (r.depth, r.path, r.org_chart) for r in hierarchy(folders, "key", "inside", "name", sep="/").collect()}
+    assert got["p"] == (2, "usr/lib/python", "    python") and got["c"] == (2, "etc/ssl/certs", "    certs")
+    assert got["e"] == (0, "etc", "etc") and set(got) == set("ulpesc")  # a folder in an unknown one hangs below no root
 
 
-def test_hierarchy_too_deep_and_orphans(spark):
-    chain = spark.createDataFrame([(i, f"n{i}", i - 1 if i else None) for i in range(6)] + [(50, "lost", 49)], "id int, name string, boss int")
-    assert hierarchy(chain, "id", "boss", "name").count() == 6
-    with pytest.raises(ValueError):
-        hierarchy(chain, "id", "boss", "name", max_depth=3)
+def test_hierarchy_of_any_depth(spark):
+    chain = spark.sql("SELECT id, CAST(id AS STRING) AS name, IF(id > 0, id - 1, NULL) AS up FROM range(300)")
+    deepest = hierarchy(chain, "id", "up", "name", sep=".").where("id = 299").first()
+    assert deepest.depth == 299 and deepest.path == ".".join(map(str, range(300)))
+
+
+def test_hierarchy_names_the_id_of_a_cycle(spark):
+    ring = spark.createDataFrame([(1, "a", None), (5, "b", 7), (6, "c", 5), (7, "d", 6)], "id int, name string, up int")
+    with pytest.raises(ValueError, match="[567]"):
+        hierarchy(ring, "id", "up", "name")
 
 
 # --- dates, numbers, strings ----------------------------------------------------------------
@@ -254,8 +274,8 @@ def test_native_and_python_forms_agree(spark):
 
 
 def test_split_rows(spark, rows):
-    df = spark.createDataFrame([(1, "apple, banana, cherry, date"), (2, None), (3, "a.b")], "id int, tags string")
-    want = [(1, "apple", 0), (1, "banana", 1), (1, "cherry", 2), (1, "date", 3), (3, "a.b", 0)]
+    df = spark.createDataFrame([(1, "red,  blue"), (2, None), (3, "a.b")], "id int, tags string")
+    want = [(1, "blue", 1), (1, "red", 0), (3, "a.b", 0)]
     assert rows(U.split_rows(df, "tags", ","), "id", "item", "position") == want
     U.register(spark)
     sql = "SELECT p.id, s.item, s.position FROM {p} p, LATERAL split_to_rows(p.tags, ',') s"
@@ -269,33 +289,34 @@ def test_split_rows(spark, rows):
 @pytest.fixture
 def docs(spark):
     texts = [
-        '{"user":"al","action":"buy","items":[{"name":"Lamp","price":99},{"name":"Pen","price":2.5}]}',
-        '{"user":"bo","action":"look","pages":["home","list","cart"]}',
-        '{"user":"cy","action":"buy","items":[{"name":"Key","price":75,"tags":["new","small"]}]}',
-        '{"user":"di","action":"join","profile":{"age":30,"city":"Lima","likes":["x"]}}',
-        '{"user":"ed","action":"buy","items":[]}',
+        '{"ship":"Ara","legs":[{"port":"Cork","days":2},{"port":"Vigo","days":0.5},{"port":"Faro","days":7,"crew":["mo"]}]}',
+        '{"ship":"Bly","cargo":["salt"],"hull":{"year":1987,"builder":{"yard":"K","no":4},"decks":["a","b"]}}',
+        '{"ship":"Cid","legs":[]}',
+        '{"ship":"Dov","legs":[{"port":"Oban","crew":["ty","al","jo"]}]}',
     ]
     return spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("v"))
 
 
 def test_flatten(docs, rows):
-    user = V.at("v", "user")
-    assert rows(V.flatten(docs, "v", "items"), user, V.at("f_value", "name"), "f_path") == [
-        ("al", "Lamp", "items[0]"), ("al", "Pen", "items[1]"), ("cy", "Key", "items[0]"),
+    ship = V.at("v", "ship")
+    assert rows(V.flatten(docs, "v", "legs"), ship, V.at("f_value", "port"), "f_path") == [
+        ("Ara", "Cork", "legs[0]"), ("Ara", "Faro", "legs[2]"), ("Ara", "Vigo", "legs[1]"), ("Dov", "Oban", "legs[0]"),
+    ]
+    outer = V.flatten(docs, "v", "legs", outer=True)
+    assert rows(outer, ship) == [("Ara",), ("Ara",), ("Ara",), ("Bly",), ("Cid",), ("Dov",)]
+    crew = V.flatten(V.flatten(docs, "v", "legs", prefix="i"), "i_value", "crew", outer=True, prefix="t")
+    assert rows(crew, ship, F.try_variant_get("t_value", "$", "string")) == [
+        ("Ara", None), ("Ara", None), ("Ara", "mo"), ("Dov", "al"), ("Dov", "jo"), ("Dov", "ty"),
     ]
-    outer = V.flatten(docs, "v", "items", outer=True)
-    assert rows(outer, user) == [("al",), ("al",), ("bo",), ("cy",), ("di",), ("ed",)]
-    tags = V.flatten(V.flatten(docs, "v", "items", prefix="i"), "i_value", "tags", outer=True, prefix="t")
-    assert rows(tags, user, F.try_variant_get("t_value", "$", "string")) == [("al", None), ("al", None), ("cy", "new"), ("cy", "small")]
-    assert rows(V.flatten(docs, "v", "profile"), "f_key", "f_path") == [("age", "profile.age"), ("city", "profile.city"), ("likes", "profile.likes")]
+    assert rows(V.flatten(docs, "v", "hull"), "f_key", "f_path") == [("builder", "hull.builder"), ("decks", "hull.decks"), ("year", "hull.year")]
 
 
 def test_types_and_sizes(docs):
-    got = docs.where(V.at("v", "user") == "di").select(
-        *[V.type_of(V.at("v", p, "variant")) for p in ("user", "profile", "profile.age", "profile.likes", "nothing")],
-        V.array_size("v", "profile.likes"), V.array_size("v", "pages"),
+    got = docs.where(V.at("v", "ship") == "Bly").select(
+        *[V.type_of(V.at("v", p, "variant")) for p in ("ship", "hull", "hull.builder.no", "hull.decks", "nothing")],
+        V.array_size("v", "hull.decks"), V.array_size("v", "legs"),
     ).first()
-    assert tuple(got) == ("VARCHAR", "OBJECT", "INTEGER", "ARRAY", None, 1, None)
+    assert tuple(got) == ("VARCHAR", "OBJECT", "INTEGER", "ARRAY", None, 2, None)
 
 
 def test_objects_and_slices(spark):

@@ -41,10 +41,28 @@ def test_keys_give_the_same_model_as_single_series(spark):
     assert ahead.groupBy("k").count().orderBy("k").collect() == [("a", 10), ("b", 10)]
 
 
-def test_short_series_gets_no_model(spark):
-    few = daily_sales(spark, n=29)
-    assert S.ts_fit(few, "sale_date", "daily_revenue").count() == 0
-    assert S.ts_anomaly(few, S.ts_fit(few, "sale_date", "daily_revenue"), "sale_date", "daily_revenue").count() == 0
+def test_short_series_keep_every_row(spark):
+    """29 days, one day, and a series of NULLs: a model as far as the rows go, and every row in the result."""
+    short = daily_sales(spark, n=29).withColumn("k", F.lit("short"))
+    one = daily_sales(spark, n=1).withColumn("k", F.lit("one"))
+    none = daily_sales(spark, n=3).withColumn("daily_revenue", F.lit(None).cast(short.schema["daily_revenue"].dataType)).withColumn("k", F.lit("none"))
+    rows = short.unionByName(one).unionByName(none)
+    model = S.ts_fit(rows, "sale_date", "daily_revenue", ["k"])
+    assert {r.k: r.n_rows for r in model.collect()} == {"short": 29, "one": 1}
+    got = S.ts_anomaly(rows, model, "sale_date", "daily_revenue", ["k"]).collect()
+    assert len(got) == 33
+    by = {k: [r for r in got if r.k == k] for k in ("short", "one", "none")}
+    assert all(r.lower_bound < r.forecast < r.upper_bound for r in by["short"])
+    assert by["one"][0].forecast == pytest.approx(by["one"][0].actual) and by["one"][0].lower_bound is None
+    assert all(r.forecast is None and r.is_anomaly is None for r in by["none"])
+    assert S.ts_anomaly(none, S.ts_fit(none, "sale_date", "daily_revenue"), "sale_date", "daily_revenue").count() == 3
+
+
+@pytest.mark.parametrize("share, z", [(0.5, 0.67449), (0.8, 1.28155), (0.977, 2.27343)])
+def test_any_interval_width(share, z):
+    assert S.quantile(share) == pytest.approx(z, abs=1e-5)
+    with pytest.raises(ValueError):
+        S.quantile(share + 1)
 
 
 def test_missing_days_and_nulls(spark):
@@ -66,8 +84,6 @@ def test_wider_interval_for_more_coverage(spark):
     model = S.ts_fit(daily_sales(spark), "sale_date", "daily_revenue")
     width = lambda p: S.ts_forecast(model, 1, p).selectExpr("upper_bound - lower_bound AS w").first().w
     assert width(0.9) < width(0.95) < width(0.99)
-    with pytest.raises(ValueError):
-        S.ts_forecast(model, 1, 0.5)
 
 
 def test_anomaly_finds_a_planted_day(spark):
