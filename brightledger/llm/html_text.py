@@ -101,7 +101,7 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
         if skip:
             if name == skip:
                 nested += -1 if ends else 1
-            around = name in ARTICLE and (ends and depth or not ends and not left_out(name, attributes, bool(depth)))
+            around = skip not in ARTICLE and name in ARTICLE and (ends and depth or not ends and not left_out(name, attributes, bool(depth)))
             if nested <= 0 or around or skip == "p" and name in BLOCKS:
                 skip = ""
                 if nested <= 0 and not around:

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
