@@ -1,7 +1,8 @@
 """The same scalar rules as native expressions and as Python functions.
 
 Use the native form: it stays in generated code. The Python forms exist so that user code
-written as functions keeps working; they move Arrow batches, never single rows.
+written as functions keeps working. They move Arrow batches; the scalar ones work on whole batches, and the table
+function is called once for each row, as its call form asks.
 """
 
 from __future__ import annotations
@@ -21,14 +22,12 @@ def classify_revenue(c: ColumnOrName) -> Column:
     return tier(c, TIERS, "VERY LOW")
 
 
-@F.udf(returnType=T.StringType(), useArrow=True)
-def classify_revenue_udf(revenue):
-    if revenue is None:
-        return None
-    for bound, label in TIERS:
-        if revenue >= bound:
-            return label
-    return "VERY LOW"
+@F.pandas_udf(T.StringType())
+def classify_revenue_udf(revenue: pd.Series) -> pd.Series:
+    import numpy as np
+
+    found = np.select([revenue >= bound for bound, _ in TIERS], [label for _, label in TIERS], "VERY LOW")
+    return pd.Series(found, index=revenue.index, dtype=object).where(revenue.notna(), None)
 
 
 def margin(revenue: ColumnOrName, cost_pct: ColumnOrName) -> Column:

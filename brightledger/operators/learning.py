@@ -23,17 +23,15 @@ def fit_classifier(df: DataFrame, features: Sequence[str], label: str, seed: int
         rawPredictionCol="_raw", numTrees=20, maxDepth=6, seed=seed,
     )
     names = IndexToString(inputCol="_prediction", outputCol="predicted_class", labels=indexer.labels)
-    model = Pipeline(stages=[vector, forest, names]).fit(indexer.transform(df))
-    model.class_names = list(indexer.labels)
-    return model
+    return Pipeline(stages=[vector, forest, names]).fit(indexer.transform(df))
 
 
 def predict(df: DataFrame, model) -> DataFrame:
-    """Rows with the predicted class and a probability per class."""
+    """Rows, seen or new, with the predicted class and a probability per class. The model may have been saved and loaded."""
     from pyspark.ml.functions import vector_to_array
 
     p = vector_to_array("_probability")
-    columns = [p[i].alias(f"p_{name.lower()}") for i, name in enumerate(model.class_names)]
+    columns = [p[i].alias(f"p_{name.lower()}") for i, name in enumerate(model.stages[-1].getLabels())]
     return model.transform(df).select(*df.columns, "predicted_class", *columns)
 
 

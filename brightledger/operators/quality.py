@@ -140,13 +140,14 @@ def months_complete(agg: DataFrame, month: str, fact: DataFrame, date: str) -> D
 
 def profile(df: DataFrame, table: str, keys: list[str], previous_rows: Column | int | None) -> DataFrame:
     """Health of one load: rows, growth against the load before, NULL share of all cells, duplicate share."""
-    cells = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)],
+    empty = sum((F.col(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(empty).alias("_e"))
+    cells = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_repeats"),
+        F.coalesce(F.sum("_e"), F.lit(0)).alias("_nulls"),
     )
-    nulls = sum((F.col(f"_n{i}") for i in range(len(df.columns))), F.lit(0))
-    keys_seen = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    repeats = keys_seen.select(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
+    nulls, repeats = F.col("_nulls"), F.col("_repeats")
     previous = F.lit(None).cast("bigint") if previous_rows is None else (
         F.lit(previous_rows) if isinstance(previous_rows, int) else previous_rows
     )
@@ -199,6 +200,18 @@ def unique_rule(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     return n.select(F.lit(name).alias("check"), (F.col("failed_rows") == 0).alias("passed"), "failed_rows")
 
 
+def keyed_rules(df: DataFrame, name: str, keys: list[str], rules: dict[str, Column]) -> DataFrame:
+    """``unique_rule`` and ``run_rules`` together, from one aggregate on the keys: the rows are read once."""
+    fails = [F.count_if(~F.coalesce(r, F.lit(False))).alias(f"_{i}") for i, r in enumerate(rules.values(), 1)]
+    per_key = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("_0"), *fails)
+    names = [name, *rules]
+    one = per_key.agg(*[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(names))])
+    rows = [
+        F.struct(F.lit(n).alias("check"), (F.col(f"_{i}") == 0).alias("passed"), F.col(f"_{i}").alias("failed_rows")) for i, n in enumerate(names)
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
 RAW_STATUSES = ("P", "F", "O")
 
 
@@ -219,7 +232,7 @@ def order_rules(lines: DataFrame, keys: list[str]) -> DataFrame:
         == F.round(F.col("line_amount") * (1 - F.col("discount_percent") / 100), 2),
         "not returned and cancelled": ~(F.col("is_return") & F.col("is_cancelled")),
     }
-    return unique_rule(lines, "unique line id", keys).unionByName(run_rules(lines, rules))
+    return keyed_rules(lines, "unique line id", keys, rules)
 
 
 def scd_rules(dim: DataFrame, key: str) -> DataFrame:
@@ -230,7 +243,7 @@ def scd_rules(dim: DataFrame, key: str) -> DataFrame:
         "no overlap": F.col("_next").isNull() | (F.col("end_date").isNotNull() & (F.col("end_date") < F.col("_next"))),
         "current means open": F.col("is_current") == F.col("end_date").isNull(),
     }
-    return unique_rule(dim, "unique version", [key, "effective_date"]).unionByName(run_rules(lined, rules))
+    return keyed_rules(lined, "unique version", [key, "effective_date"], rules)
 
 
 # --- validators -----------------------------------------------------------------------------

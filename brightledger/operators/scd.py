@@ -24,8 +24,8 @@ def silver_customer(raw: DataFrame, as_of: str, order: Sequence[str] = ("_load_d
         F.coalesce(S.looks_like_email("email"), F.lit(False)).alias("is_valid_email"),
         *order,
     )
-    # Name and mail break a tie between rows of the same load, so a rerun picks the same row.
-    return dedup_latest(clean, ["customer_id"], [*order, "customer_name", "email"]).select(
+    # All columns break a tie between rows of the same load, so a rerun picks the same row.
+    return dedup_latest(clean, ["customer_id"], [*order, "customer_name", "email", *extra]).select(
         "customer_id", "customer_name", "email", *extra, "is_valid_email",
         F.lit(True).alias("is_active"),
         F.lit(as_of).cast("date").alias("effective_date"),

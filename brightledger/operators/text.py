@@ -149,35 +149,49 @@ def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int
     return base.select("_g").distinct().join(found, "_g", "left").select(F.col("_g.v").alias(group), "summary")
 
 
-def extract_answer(docs: DataFrame, question: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per text, the sentence that shares the most informative words with a question; the earliest wins a tie.
+def extract_answers(
+    docs: DataFrame, questions: DataFrame, id: str = "doc_id", text: str = "text", question_id: str = "question_id",
+    question: str = "question", corpus: DataFrame | None = None,
+) -> DataFrame:
+    """Per text and question, the sentence that shares the most informative words with the question; the earliest wins a tie.
 
-    Only the words of the question need weights: one aggregate counts the texts that hold each.
-    Everything else happens within the row of a text, so no text is shuffled. A text that shares no word gets a
-    NULL answer and score 0.
+    Words are weighed by the texts of ``corpus`` (by default the same texts) that hold them, counted for the words of the
+    questions only. Every text is read beside every question, which is the result; everything after that happens within
+    a row. A text that shares no word gets a NULL answer and score 0.
     """
-    words = sorted({w for w in "".join(c if c.isalpha() else " " for c in question.lower()).split()})
-    held = docs.select(token_array(text).alias("_t")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.array_contains("_t", w)).alias(f"q{i}") for i, w in enumerate(words)]
+    corpus = docs if corpus is None else corpus
+    words = questions.select(F.col(question_id).alias("_q"), F.explode(F.array_distinct(token_array(question))).alias("_w"))
+    asked = words.select("_w").distinct()
+    held = corpus.select(F.explode(F.array_distinct(token_array(text))).alias("_w")).join(asked, "_w", "left_semi").groupBy("_w").agg(F.count(F.lit(1)).alias("_df"))
+    total = corpus.select(F.count(F.lit(1))).scalar()
+    weight = _micro(F.ln((F.col("_n") + 1).cast("double") / (F.coalesce("_df", F.lit(0)) + 1).cast("double")))
+    weighed = words.join(held, "_w", "left").withColumn("_n", total).groupBy("_q").agg(
+        F.map_from_entries(F.collect_list(F.struct("_w", weight.alias("_i")))).alias("_idf")
     )
-    micros = [_micro(F.ln((F.col("n") + 1).cast("double") / (F.col(f"q{i}") + 1).cast("double"))) for i in range(len(words))]
-    asked = F.array(*[F.lit(w) for w in words])
-    idf = held.select(F.map_from_arrays(asked, F.array(*micros))).scalar()
+    every = questions.select(F.col(question_id).alias("_q")).distinct().join(weighed, "_q", "left")
+    no_words = F.create_map().cast("map<string,bigint>")
 
     def score(sentence: Column, position: Column) -> Column:
-        shared = F.array_intersect(token_array(sentence), asked)
+        shared = F.array_intersect(token_array(sentence), F.map_keys("_idf"))
         total = F.aggregate(shared, F.lit(0).cast("bigint"), lambda acc, w: acc + F.element_at("_idf", w))
         return F.struct(total.alias("score"), (-position).alias("back"))
 
-    best = docs.select(id, F.split(text, SENTENCE_BREAK).alias("_s"), idf.alias("_idf")).select(
-        id, "_s", F.array_max(F.transform("_s", score)).alias("_b")
+    sentences = docs.select(id, F.split(text, SENTENCE_BREAK).alias("_s"))
+    best = sentences.crossJoin(every.select("_q", F.coalesce("_idf", no_words).alias("_idf"))).select(
+        id, "_q", "_s", F.array_max(F.transform("_s", score)).alias("_b")
     )
     answer = F.trim(F.element_at("_s", 1 - F.col("_b.back")))
     return best.select(
-        id, F.when(F.col("_b.score") > 0, answer).alias("answer"), F.col("_b.score").alias("score")
+        id, F.col("_q").alias(question_id), F.when(F.col("_b.score") > 0, answer).alias("answer"), F.col("_b.score").alias("score")
     )
 
 
+def extract_answer(docs: DataFrame, question: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``extract_answers`` for one question: id, answer, score."""
+    asked = docs.sparkSession.range(1).select(F.lit(0).alias("question_id"), F.lit(question).alias("question"))
+    return extract_answers(docs, asked, id, text).drop("question_id")
+
+
 def fit_text_classes(
     docs: DataFrame, labels: DataFrame, class_of: Column, classes: Sequence[str], id: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, DataFrame]:

@@ -378,11 +378,12 @@ query(
 
 query(
     "dq_row_count",
-    """SELECT 'orders' AS "table", COUNT(*) AS rows, COUNT(*) >= 100 AS above_minimum, COUNT(*) <= 1000 AS below_maximum FROM orders""",
+    """SELECT 'orders' AS "table", COUNT(*) >= 100 AS above_minimum, COUNT(*) <= 1000 AS below_maximum FROM orders""",
 )(
-    lambda t: t.orders.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit("orders").alias("table"), "rows",
-        (F.col("rows") >= 100).alias("above_minimum"), (F.col("rows") <= 1000).alias("below_maximum"),
+    lambda t: t.orders.limit(1).select(
+        F.lit("orders").alias("table"),
+        F.lit(Q.validate_row_count(t.orders, min_rows=100)).alias("above_minimum"),
+        F.lit(Q.validate_row_count(t.orders, max_rows=1000)).alias("below_maximum"),
     )
 )
 

@@ -218,22 +218,20 @@ query(
 
 
 def json_report(events_json):
-    """Items, spend and the list of items per user.
+    """Items, spend and every item bought per user, in order of event and place in it.
 
-    Items are counted per (user, name) first, so the list holds one entry per distinct name
-    with its count, however many purchases a user has.
+    The list is one value of the result, as long as the user's purchases.
     """
     items = V.flatten(events_json.where(V.at("event_data", "action") == "purchase"), "event_data", "items").select(
         V.at("event_data", "user").alias("username"),
-        V.at("f_value", "name").alias("item"),
+        F.struct("event_id", "f_index", V.at("f_value", "name").alias("item")).alias("entry"),
         cents(V.at("f_value", "price", "double")).alias("c"),
     )
-    per_name = items.groupBy("username", "item").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"))
-    entry = F.concat("item", F.lit(" x "), F.col("n").cast("string"))
-    return per_name.groupBy("username").agg(
-        F.sum("n").alias("num_items"),
+    bought = F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["item"])
+    return items.groupBy("username").agg(
+        F.count(F.lit(1)).alias("num_items"),
         dbl(money(F.sum("c"))).alias("total_spent"),
-        F.concat_ws(", ", F.array_sort(F.collect_list(entry))).alias("items_bought"),
+        F.concat_ws(", ", bought).alias("items_bought"),
     )
 
 
@@ -241,9 +239,8 @@ query(
     "json_report",
     with_sql(
         "ev_items",
-        """WITH n AS (SELECT username, item, COUNT(*) AS n, SUM(CAST(price AS DECIMAL(18,2))) AS p FROM ev_items GROUP BY 1, 2)
-           SELECT username, CAST(SUM(n) AS BIGINT) AS num_items, CAST(SUM(p) AS DOUBLE) AS total_spent,
-             string_agg(item || ' x ' || n, ', ' ORDER BY item || ' x ' || n) AS items_bought FROM n GROUP BY 1""",
+        """SELECT username, COUNT(*) AS num_items, CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_spent,
+             string_agg(item, ', ' ORDER BY event_id, array_position) AS items_bought FROM ev_items GROUP BY 1""",
     ),
 )(lambda t: json_report(t.events_json))
 

@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sources import writers
 from .q_relational import on_daily
 from .registry import query
-from .relations import sql_r
+from .relations import sql_r, with_sql
 
 X = "(d - DATE '2000-01-01')"
 
@@ -225,17 +225,37 @@ def _export(t):
 query("sink_export_forecast", on_daily(forecast_sql(90) + "SELECT * FROM tab"))(_export)
 
 
+LABELLED_BEFORE = "1999-01-01"
+
+
 def _classified(t):
-    """Tier of a day from revenue, orders and weekday."""
+    """Tiers of new days from revenue, orders and weekday, learned from the days before; and whether class and probabilities hold."""
     rows = t.daily_indexed.select(
         "sale_date", dbl("daily_revenue").alias("daily_revenue"), "num_orders",
         D.dow0("sale_date").alias("day_of_week"), revenue_tier("revenue_index").alias("revenue_class"),
     )
-    model = L.fit_classifier(rows, ["daily_revenue", "num_orders", "day_of_week"], "revenue_class")
-    return L.predict(rows, model)
+    known, new = (rows.where(c) for c in (f"sale_date < '{LABELLED_BEFORE}'", f"sale_date >= '{LABELLED_BEFORE}'"))
+    found = L.predict(new, L.fit_classifier(known, ["daily_revenue", "num_orders", "day_of_week"], "revenue_class"))
+    shares = [F.col(c) for c in found.columns if c.startswith("p_")]
+    return found.agg(
+        F.count(F.lit(1)).alias("new_days"),
+        F.min("sale_date").alias("first_day"),
+        F.count_distinct("revenue_class").alias("classes"),
+        (F.count_if(F.abs(sum(shares[1:], shares[0]) - 1) > 1e-9) == 0).alias("probabilities_sum_to_one"),
+        (F.count_if(F.col("predicted_class") == F.col("revenue_class")) >= F.count(F.lit(1)) * 0.9).alias("nine_in_ten_right"),
+    )
 
 
-query("ml_classify")(_classified)
+query(
+    "ml_classify",
+    with_sql(
+        "daily_indexed",
+        f"""SELECT COUNT(*) AS new_days, MIN(sale_date) AS first_day,
+              COUNT(DISTINCT CASE WHEN revenue_index >= 1.25 THEN 1 WHEN revenue_index >= 1 THEN 2 WHEN revenue_index >= 0.75 THEN 3 ELSE 4 END) AS classes,
+              TRUE AS probabilities_sum_to_one, TRUE AS nine_in_ten_right
+            FROM daily_indexed WHERE sale_date >= DATE '{LABELLED_BEFORE}'""",
+    ),
+)(_classified)
 
 
 def _insights(t):

@@ -80,28 +80,37 @@ query(
     f"SELECT conv_id, summary FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN ({summary_sql('SELECT conv_id AS g, turn AS o, text AS t FROM conversations', 3)}) ON g = conv_id",
 )(lambda t: X.summarize(t.conversations, "conv_id", "turn", "text", 3))
 
-QUESTION = "What was that with the order, and how is it?"
-WORDS = ["and", "how", "is", "it", "order", "that", "the", "was", "what", "with"]
-_IDF = ", ".join(
-    MICRO.format(x=f"ln(CAST(COUNT(*) + 1 AS DOUBLE) / CAST(COUNT(CASE WHEN list_contains(tk, '{w}') THEN 1 END) + 1 AS DOUBLE))")
-    + f" AS q{i}"
-    for i, w in enumerate(WORDS)
-)
-_SCORE = " + ".join(f"CASE WHEN list_contains(tk, '{w}') THEN q{i} ELSE 0 END" for i, w in enumerate(WORDS))
+QUESTIONS = {1: "What was that with the order, and how is it?", 2: "Quand est-ce que la commande, un et des?"}
+
+
+def _answers_sql(number: int, question: str) -> str:
+    words = sorted(set("".join(c if c.isalpha() else " " for c in question.lower()).split()))
+    idf = ", ".join(
+        MICRO.format(x=f"ln(CAST(COUNT(*) + 1 AS DOUBLE) / CAST(COUNT(CASE WHEN list_contains(tk, '{w}') THEN 1 END) + 1 AS DOUBLE))") + f" AS q{i}"
+        for i, w in enumerate(words)
+    )
+    score = " + ".join(f"CASE WHEN list_contains(tk, '{w}') THEN q{i} ELSE 0 END" for i, w in enumerate(words))
+    return f"""SELECT doc_id, {number} AS question_id, CASE WHEN score > 0 THEN answer END AS answer, score FROM (
+        SELECT t.doc_id, pos, trim(sentence) AS answer, CAST({score} AS BIGINT) AS score
+        FROM t CROSS JOIN (SELECT {idf} FROM (SELECT {TOK.format(t='text')} AS tk FROM documents)))
+      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) = 1"""
+
+
+def _answers(t):
+    """Two questions, asked of the texts with a negative score; the word weights come from all texts."""
+    questions = t.spark.createDataFrame(list(QUESTIONS.items()), "question_id int, question string")
+    negative = t.documents.join(scored(t).where("sentiment < 0").select("doc_id"), "doc_id", "left_semi")
+    return X.extract_answers(negative, questions, corpus=t.documents)
+
 
 query(
     "text_extract_answer",
-    f"""WITH {SCORED}, idf AS (SELECT {_IDF} FROM (SELECT {TOK.format(t='text')} AS tk FROM documents)),
-      s AS (SELECT doc_id, UNNEST(a) AS sentence, UNNEST(generate_series(0, len(a) - 1)) AS pos
-        FROM (SELECT doc_id, {SENT.format(t='text')} AS a FROM documents)),
-      c AS (SELECT doc_id, pos, trim(sentence) AS answer, CAST({_SCORE} AS BIGINT) AS score
-        FROM (SELECT *, {TOK.format(t='sentence')} AS tk FROM s) CROSS JOIN idf)
-      SELECT c.doc_id, CASE WHEN score > 0 THEN answer END AS answer, score FROM c JOIN scored ON c.doc_id = scored.doc_id WHERE sentiment < 0
-      QUALIFY row_number() OVER (PARTITION BY c.doc_id ORDER BY score DESC, pos) = 1""",
-)(
-    # Asked of the texts with a negative score only; the word weights come from all texts.
-    lambda t: X.extract_answer(t.documents, QUESTION).join(scored(t).where("sentiment < 0").select("doc_id"), "doc_id", "left_semi")
-)
+    f"""WITH {SCORED}, s AS (SELECT doc_id, UNNEST(a) AS sentence, UNNEST(generate_series(0, len(a) - 1)) AS pos
+        FROM (SELECT doc_id, {SENT.format(t='text')} AS a FROM scored WHERE sentiment < 0)),
+      t AS (SELECT *, {TOK.format(t='sentence')} AS tk FROM s)
+      """
+    + " UNION ALL ".join(f"SELECT * FROM ({_answers_sql(n, q)})" for n, q in QUESTIONS.items()),
+)(_answers)
 
 CLASSES = ["Positive", "Negative", "Mixed"]
 CLASS_SQL = "CASE WHEN toxic = 1 THEN 'Negative' WHEN quality = 1 THEN 'Positive' ELSE 'Mixed' END"

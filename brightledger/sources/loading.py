@@ -30,9 +30,27 @@ def _checked(spark, path, fmt, schema, options) -> DataFrame:
         return parsed.select(
             *typed, F.struct("value").alias("_raw"), FILE, F.array_compact(F.array(*bad)).alias(ERRORS)
         )
+    if fmt == "parquet":
+        return _parquet_checked(spark, path, schema, options)
     raise ValueError(f"no load for format {fmt}")
 
 
+def _parquet_checked(spark: SparkSession, path: str, schema: T.StructType, options: dict) -> DataFrame:
+    """Columns by name in any case, cast to the schema; a column that the file lacks is NULL."""
+    raw = spark.read.options(**options).parquet(path)
+    by_name = {c.lower(): F.col(f"`{c}`") for c in raw.columns}
+    typed, bad = [], []
+    for f in schema.fields:
+        given = by_name.get(f.name.lower())
+        value = F.lit(None).cast(f.dataType) if given is None else given.try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        if given is not None:
+            bad.append(F.when(given.isNotNull() & value.isNull(), F.lit(f.name)))
+    whole = F.struct(F.to_json(F.struct(*by_name.values())).alias("value"))
+    errors = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    return raw.select(*typed, whole.alias("_raw"), F.col("_metadata.file_path").alias(FILE), errors.alias(ERRORS))
+
+
 def load(
     spark: SparkSession,
     path: str,

@@ -158,3 +158,17 @@ def test_generator_shape(spark):
     assert len(got) == 730 and max(got) == "2024-12-30" and min(got) == "2023-01-01"
     assert got["2023-01-01"] == 100 + MONTH_EFFECT[0] - 20  # a Sunday in January
     assert got["2023-12-25"] == pytest.approx(100 + 358 * 0.15 + 45 + 10)  # a Monday in December
+
+
+def test_parquet_is_loaded_by_name_in_any_case(spark, tmp_path, rows):
+    """Columns in another order and case, one missing, one too many; a value that does not fit is an error of its row."""
+    path = str(tmp_path / "p")
+    spark.createDataFrame([("12", "7.5", "x"), ("no", "1.0", "y"), (None, None, "z")], "ID string, Amount string, spare string").write.parquet(path)
+    schema = "amount double, id bigint, day date"
+    good, bad = loading.load(spark, path, "parquet", schema, on_error="CONTINUE")
+    assert rows(good) == [(None, None, None), (7.5, 12, None)]
+    assert [r._errors for r in bad.collect()] == [["id"]] if "_errors" in bad.columns else bad.count() == 1
+    with pytest.raises(loading.LoadAborted):
+        loading.load(spark, path, "parquet", schema)
+    assert loading.load(spark, path, "parquet", schema, on_error="SKIP_FILE")[0].count() < 3
+    assert loading.validate_load(spark, path, "parquet", schema).count() == 1
