@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,20 +16,20 @@ from .windows import dedup_latest, prior_year, zscore_window
 MONEY = "decimal(18,2)"
 
 
-def silver_daily_sales(bronze: DataFrame, dedup: bool = False, max_z: float | None = None) -> DataFrame:
+def silver_daily_sales(bronze: DataFrame, dedup: bool = False, max_z: float | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Positive days with calendar features, revenue per order, flags and a centred z-score.
 
-    By default rows are only flagged; ``dedup`` keeps one row per day and ``max_z`` drops outliers.
+    By default rows are only flagged; ``dedup`` keeps one row per day and ``max_z`` drops outliers. With ``keys`` every key is a series of its own.
     """
     rows = bronze.where((F.col("daily_revenue") > 0) & (F.col("num_orders") > 0))
     if dedup:
-        rows = dedup_latest(rows, ["sale_date"], ["daily_revenue", "num_orders"])
-    scored = zscore_window(rows, "daily_revenue", "sale_date")
+        rows = dedup_latest(rows, [*keys, "sale_date"], ["daily_revenue", "num_orders"])
+    scored = zscore_window(rows, "daily_revenue", "sale_date", keys=keys)
     if max_z is not None:
         scored = scored.where(F.col("revenue_zscore").isNull() | (F.col("revenue_zscore") <= max_z))
     d = "sale_date"
     return scored.select(
-        d, "daily_revenue", "num_orders",
+        *keys, d, "daily_revenue", "num_orders",
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.quarter(d).alias("quarter"),
@@ -41,19 +43,19 @@ def silver_daily_sales(bronze: DataFrame, dedup: bool = False, max_z: float | No
     )
 
 
-def gold_fact_daily(silver: DataFrame) -> DataFrame:
-    """Daily fact: date key, rolling sums, month to date, same day last year, flags."""
+def gold_fact_daily(silver: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Daily fact: date key, rolling sums, month to date, same day last year, flags; one series per key."""
     d = "sale_date"
-    run = W.orderBy(d)
-    month = W.partitionBy("year", "month").orderBy(d)
+    run = W.partitionBy(*keys).orderBy(d)
+    month = W.partitionBy(*keys, "year", "month").orderBy(d)
     out = silver.select(
-        D.date_key(d).alias("date_key"), d, "daily_revenue", "num_orders", "revenue_per_order",
+        *keys, D.date_key(d).alias("date_key"), d, "daily_revenue", "num_orders", "revenue_per_order",
         "year", "month", "quarter", "day_of_week", "week_of_year", "is_weekend", "is_holiday_season",
         dbl(F.sum("daily_revenue").over(run.rowsBetween(-6, 0))).alias("revenue_7day_rolling"),
         dbl(F.sum("daily_revenue").over(run.rowsBetween(-29, 0))).alias("revenue_30day_rolling"),
         dbl(F.sum("daily_revenue").over(month)).alias("revenue_month_to_date"),
     )
-    return prior_year(out, d, "daily_revenue")
+    return prior_year(out, d, "daily_revenue", keys=keys)
 
 
 def gold_fact_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:

@@ -169,17 +169,16 @@ def prior_year(df: DataFrame, date: str, value: str, keys: Sequence[str] = (), p
     if previous_rows is not None:
         prior = F.lag(value, previous_rows).over(_series(date, keys))
         return df.withColumn("revenue_yoy_prior", dbl(prior)).withColumn("revenue_yoy_pct_change", pct(prior))
-    past = df.select(
-        *[F.col(k).alias(f"_{k}") for k in keys], F.col(date).alias("_d"), F.col(value).alias("_prior")
-    )
-    cond = D.add_years(date, -1) == F.col("_d")
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_{k}"))
+    # The day lies 365 or 366 days back, so one window holds it and at most one neighbour: the rows are read once.
+    near = W.partitionBy(*keys).orderBy(F.unix_date(F.col(date).cast("date"))).rangeBetween(-366, -365)
+    days = F.collect_list(F.struct(F.col(date).cast("date").alias("d"), F.col(value).alias("v"))).over(near)
+    same = F.filter("_near", lambda x: x["d"] == D.add_years(date, -1))
     return (
-        df.join(past, cond, "left")
+        df.withColumn("_near", days)
+        .withColumn("_prior", F.get(same, F.lit(0))["v"])
         .withColumn("revenue_yoy_prior", dbl("_prior"))
         .withColumn("revenue_yoy_pct_change", pct(F.col("_prior")))
-        .drop("_d", "_prior", *[f"_{k}" for k in keys])
+        .drop("_near", "_prior")
     )
 
 

@@ -134,6 +134,25 @@ def test_keys_keep_series_apart(spark):
     assert [r.revenue_7day_rolling for r in got] == [6.0, 6.0]
 
 
+def test_layers_keep_series_apart(spark):
+    from brightledger.operators import star
+
+    one = daily(spark, [i % 11 + 1 for i in range(400)])
+    both = one.withColumn("shop", F.lit("a")).unionByName(one.withColumn("daily_revenue", F.col("daily_revenue") * 3).withColumn("shop", F.lit("b")))
+    alone = star.gold_fact_daily(star.silver_daily_sales(one)).orderBy("sale_date").collect()
+    fact = star.gold_fact_daily(star.silver_daily_sales(both, keys=["shop"]), keys=["shop"])
+    for shop, factor in (("a", 1), ("b", 3)):
+        rows = fact.where(F.col("shop") == shop).orderBy("sale_date").collect()
+        assert [r.revenue_30day_rolling for r in rows] == [factor * r.revenue_30day_rolling for r in alone]
+        assert [r.revenue_yoy_pct_change for r in rows] == [r.revenue_yoy_pct_change for r in alone]
+    assert alone[-1].revenue_yoy_prior is not None
+
+
+def test_year_over_year_reads_its_rows_once(spark):
+    plan = WN.prior_year(daily(spark, [1, 2, 3]), "sale_date", "daily_revenue")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+
+
 def test_gaps_are_filled(spark):
     df = daily(spark, [1, "gap", 3])
     got = WN.fill_gaps(df, F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date")).orderBy("calendar_date").collect()
