@@ -55,9 +55,9 @@ def frequent(rows: DataFrame, top: int = TOP, tracked: int = TRACKED) -> DataFra
         .groupBy("digest")
         .agg(F.max(F.struct("id", "rid")).alias("best"), F.count(F.lit(1)).alias("size"))
     )
-    everything = rows.agg(F.count(F.lit(1)).alias("n"))
+    everything = rows.agg(F.count(F.lit(1))).scalar()
     # More than a top-th of the rows each, so there are fewer than top of them.
-    return counted.crossJoin(F.broadcast(everything)).where((F.col("size") * top > F.col("n")) & (F.col("size") > 1)).drop("n")
+    return counted.where((F.col("size") * top > everything) & (F.col("size") > 1))
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

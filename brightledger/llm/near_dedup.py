@@ -269,9 +269,12 @@ def _across(placed: DataFrame, sets: DataFrame, percent: int, share: float) -> D
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, one of each group, with all their columns."""
     stays = settle(groups(docs, shingle, percent, id_col, text_col).where("first").select(F.col("doc_id").alias("id"), F.col("th").alias("hash")), "stays")
-    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"))
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)).alias("hash"))
+    # Two hashes name a row, null ids included, so that the join and the numbering below share one shuffle of the texts.
+    place = ["hash", "both"]
+    both = F.xxhash64("id", "hash").alias("both")
+    counts = stays.groupBy("hash", both).agg(F.count(F.lit(1)).alias("copies"))
+    kept = whole.select("row", "hash", both).join(counts, place)
     # Rows that share doc_id and text are numbered, as they are in the list of those that stay.
-    copy = W.partitionBy("th", "doc_id").orderBy(F.xxhash64("row"))
-    counts = stays.groupBy("hash", "id").agg(F.count(F.lit(1)).alias("copies"))
-    kept = whole.join(counts, (whole["th"] == counts["hash"]) & whole["doc_id"].eqNullSafe(counts["id"]))
+    copy = W.partitionBy(*place).orderBy(F.xxhash64("row"))
     return kept.withColumn("copy", F.row_number().over(copy)).where("copy <= copies").select("row.*")
