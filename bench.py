@@ -9,13 +9,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from brightledger.plans.catalog import REGISTRY  # noqa: E402
-from brightledger.session import local_session  # noqa: E402
+from brightledger.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINE = [
     "agg_monthly",
@@ -51,13 +52,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=int(cpus), app="bench")
+    spark = local_session(cpus, shuffle_partitions=int(cpus), app="bench", shared=tempfile.mkdtemp(prefix="bench-"))
     times = {}
     for name in names:
         for _ in range(2):
             start = time.perf_counter()
             REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

@@ -17,9 +17,11 @@ LOCAL_CONF = {
 }
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "brightledger") -> SparkSession:
-    """A local session for tests and benchmarks."""
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "brightledger", shared: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks; ``shared`` becomes ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in LOCAL_CONF.items():
         builder = builder.config(key, value)

@@ -6,14 +6,16 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from brightledger.session import local_session, shared_dir  # noqa: E402
+from brightledger.session import clear_scratch, local_session, shared_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(os.environ.get("TEST_CPUS", "8"), shuffle_partitions=8, app="tests")
-    shared_dir(session)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(os.environ.get("TEST_CPUS", "8"), shuffle_partitions=8, app="tests", shared=shared)
+    assert shared_dir(session) == shared
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -107,6 +107,17 @@ def test_hot_customer_in_daily_totals(spark):
     assert first_day.agg(F.sum("new_customers")).first()[0] == 100
 
 
+def test_scratch_data_lies_in_one_folder_that_can_be_cleared(spark):
+    from pathlib import Path
+
+    from brightledger.operators.layout import stored
+    from brightledger.session import clear_scratch, run_dir
+
+    kept = stored(spark.range(3), "three")
+    assert kept.count() == 3 and any(p.name.startswith("three-") for p in Path(run_dir(spark)).iterdir())
+    assert clear_scratch(spark) and not Path(run_dir(spark)).exists() and not clear_scratch(spark)
+
+
 def test_a_hot_join_key_is_split(spark, rows):
     """AQE splits the partition of a key that holds most of the line rows, and the fact is the same."""
     t = Tables(spark, SF)
