@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from . import subwords, training, words
 
 BITS, GRAMS, KINDS = 18, (3, 4, 5), 5
-SAMPLE, SIZE, EPOCHS, RATE = 3000, 8, 5, 1.0
+SAMPLE, SIZE, STEPS, RATE = 3000, 8, 15_000, 1.0
 
 
 def _parts(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -62,21 +62,21 @@ def fit(rows: list[tuple[str, int]], seed: int = 0) -> Model:
         known.append((slots, np.bincount(at, share, len(slots)).astype(np.float32), label))
     vectors = rng.uniform(-1 / SIZE, 1 / SIZE, (1 << BITS, SIZE)).astype(np.float32)
     layer, bias = np.zeros((SIZE, 2), np.float32), np.zeros(2, np.float32)
-    step, steps = 0, EPOCHS * len(known)
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(known)):
-            slots, share, label = known[i]
-            rate = RATE * (1 - step / steps)
-            step += 1
-            text = share @ vectors[slots]
-            odds = text @ layer + bias
-            off = np.exp(odds - odds.max())
-            off /= off.sum()
-            off[label] -= 1
-            back = layer @ off
-            layer -= rate * np.outer(text, off)
-            bias -= 0.1 * rate * off
-            vectors[slots] -= (rate * share)[:, None] * back
+    # Few texts are gone through more often: the number of steps is fixed.
+    passes = -(-STEPS // len(known))
+    order = np.concatenate([rng.permutation(len(known)) for _ in range(passes)])
+    for step, i in enumerate(order.tolist()):
+        slots, share, label = known[i]
+        rate = RATE * (1 - step / len(order))
+        text = share @ vectors[slots]
+        odds = text @ layer + bias
+        off = np.exp(odds - odds.max())
+        off /= off.sum()
+        off[label] -= 1
+        back = layer @ off
+        layer -= rate * np.outer(text, off)
+        bias -= 0.1 * rate * off
+        vectors[slots] -= (rate * share)[:, None] * back
     return Model(vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0]))
 
 

@@ -127,7 +127,7 @@ def test_held_out_accuracy(spark, name, label, parts, held, least):
     sf = "/root/testdata/sf0.01"
     labels = dict(duckdb.sql(f"SELECT doc_id, {label} FROM '{sf}/labels.parquet' WHERE {label} IS NOT NULL").fetchall())
     rows = catalog.QUERIES[name](spark, sf).collect()
-    assert len(rows) == duckdb.sql(f"SELECT count(*) FROM '{sf}/documents.parquet'").fetchone()[0]
+    assert len(rows) == duckdb.sql(f"SELECT count(*) FROM '{sf}/documents.parquet'").fetchall()[0][0]
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % parts == held)
         assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
