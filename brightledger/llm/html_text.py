@@ -4,11 +4,13 @@ A page is read once into text blocks. Elements that name themselves as something
 footer, aside, form, script, style, or a class, id or role of such a kind, such as an advert, a notice or comments) are
 left out with their content. If the page marks its article (``<article>`` or ``<main>``), the blocks inside are the text.
 
-Otherwise the page is compared with its neighbours: pages are put in order of host and URL path, and the blocks of a page are
-aligned with those of the page before and after it on the same host by a longest common subsequence. What they
-share is part of the site and is deleted. A neighbour that shares more than half of the page's text is a copy
-of it and shows nothing about the site, so it is not used. Blocks inside a marked article are never deleted for being shared: two
-articles may quote the same passage.
+Otherwise the page is compared with its neighbours: the different pages of a host (equal ones count once, empty ones not) are put in
+order of URL path, and the blocks of a page are aligned by a longest common subsequence with those of the page before and after it. What they
+share is part of the site and is deleted. A neighbour may be a copy of the page and show nothing about the site; then pages two, four, eight ...
+places away are tried, to the end of the host. What the least similar of all these pages shares is the site's; a page that shares more than half of
+the text that is left is a copy. So menus do not make a copy, however short the article is. Only where a host has two different pages
+that share more than half, this cannot be told, and both are kept whole. Blocks inside a marked article are never deleted
+for being shared: two articles may quote the same passage.
 
 Defined cases: null html counts as empty, and an empty page has an empty text; a null URL belongs to no host and has no neighbour; rows that
 repeat are read alike; an empty table gives an empty result; unclosed elements end with the element around them.
@@ -174,19 +176,39 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def site_lines(own: list[int], sizes: list[int], others: list[tuple[int, list[int]]]) -> np.ndarray:
+    """Which lines of a page are part of the site. ``others`` are (distance, lines), the distance negative before the page.
+
+    What the least similar page shares is the site's in any case. On each side the nearest page counts that does not
+    share more than half of what is left without it: such a page is a copy.
+    """
+    gone, weight = np.zeros(len(own), bool), np.array(sizes, np.int64)
+    same = [(d, shared(own, lines)) for d, lines in sorted(others, key=lambda o: (abs(o[0]), o[0]))]
+    if not same:
+        return gone
+    base = min((s for _, s in same), key=lambda s: weight[s].sum())
+    if 2 * weight[base].sum() > weight.sum():
+        if len(same) == 1:  # a copy, or a short article: one page does not tell
+            return gone
+        base = np.logical_and.reduce([s for _, s in same])
+    for side in (-1, 1):
+        usable = (s for d, s in same if d * side > 0 and 2 * weight[s & ~base].sum() <= weight[~base].sum())
+        gone |= next(usable, gone)
+    return gone
+
+
 def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of the blocks that a page shares with a neighbour that is not its copy."""
+    """Places of the blocks that belong to the site."""
     for batch in batches:
         out = []
-        for rid, own, sizes, *others in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            gone, weight = np.zeros(len(own), bool), np.array(sizes or [0])
-            for other in others:
-                same = shared(own, other or [])
-                if len(own) and 2 * weight[same].sum() <= weight.sum():
-                    gone |= same
-            out.append((rid, np.flatnonzero(gone).tolist()))
+        for host, key, pages in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            own = next(p for p in pages if not p["distance"])
+            others = [p for p in pages if p["distance"]]
+            gone = site_lines(own["lines"], own["sizes"], [(p["distance"], p["lines"]) for p in others])
+            if gone.any():
+                out.append((host, key, np.flatnonzero(gone).tolist()))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int64()), pa.array([g for _, g in out], pa.list_(pa.int64()))], names=["rid", "gone"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.list_(pa.int64())))], names=["host", "key", "gone"])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -211,24 +233,29 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         ),
         "pages",
     )
-    # Only hashes of lines are moved to find the neighbours.
+    read = read.withColumn("inner", F.when(F.col("marked"), F.size("blocks")).otherwise(0)).withColumn("key", F.xxhash64("marked", "inner", "lines"))
+    # Equal pages of a host are one, at the first of their URLs. Only hashes of lines are moved to find the neighbours.
     ordered = dense_numbers(
-        read.where(F.coalesce("host", F.lit("")) != "").select("host", "path", "rid", "marked", "lines", "sizes").dropDuplicates(["rid"]),
+        read.where((F.coalesce("host", F.lit("")) != "") & (F.size("lines") > 0))
+        .groupBy("host", "key")
+        .agg(F.min(F.struct("path", "rid", "marked", "inner", "lines", "sizes")).alias("page"))
+        .select("host", "key", "page.*"),
         ["host", "path", "rid"],
         "position",
     )
-    beside = [
-        ordered.select("host", (F.col("position") + step).alias("position"), F.col("lines").alias(f"other{step}")) for step in (1, -1)
-    ]
-    open_pages = ordered.where(~F.col("marked")).select("rid", "host", "position", "lines", "sizes")
-    for other in beside:
-        open_pages = open_pages.join(other, ["host", "position"], "left")
-    differing = open_pages.select("rid", "lines", "sizes", "other1", "other-1").mapInArrow(_differ, "rid long, gone array<long>")
-    own = read.where(~F.col("marked")).join(differing, "rid", "left")
+    largest = ordered.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    steps = [0, *(side << k for k in range(max(0, largest - 1).bit_length()) for side in (-1, 1))]
+    wanted = ordered.where(~F.col("marked")).select("host", "key", "position", F.explode(F.array(*map(F.lit, steps))).alias("distance"))
+    # A page meets one on each side for every power of two up to the size of its host.
+    met = wanted.select(F.col("host"), F.col("key").alias("of"), (F.col("position") + F.col("distance")).alias("position"), "distance").join(
+        ordered, ["host", "position"]
+    )
+    around = met.groupBy("host", "of").agg(F.collect_list(F.struct("distance", "marked", "inner", "lines", "sizes")).alias("pages"))
+    # Written first, so that a small table is broadcast and the texts are not moved.
+    gone = settle(around.mapInArrow(_differ, "host string, key long, gone array<long>"), "gone")
     left = F.filter("blocks", lambda x, i: ~F.coalesce(F.array_contains("gone", i.cast("long")), F.lit(False)))
     return (
-        read.where("marked")
-        .select("page_id", "url", F.array_join("blocks", "\n\n").alias("text"))
-        .unionByName(own.select("page_id", "url", F.array_join(left, "\n\n").alias("text")))
+        read.join(gone, ["host", "key"], "left")
+        .select("page_id", "url", F.array_join(left, "\n\n").alias("text"))
         .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
     )

@@ -379,6 +379,30 @@ def test_pages_without_markup_lose_what_neighbours_share(spark):
     assert html_text.extract(df.where("false")).count() == 0
 
 
+def test_copies_and_short_articles_lose_what_the_site_adds(spark):
+    page = lambda body: f"<div>My site</div><div>Home | News | Sports | Travel | Food</div>{body}<div>All rights reserved by all of us</div>"
+    second = page("<p>second article, which is another text altogether</p>")
+    long = [f"a long passage of one article, number {k}" for k in range(6)]
+    rows = [
+        # The page of the test above with a copy before it and an empty page after it, and a run of copies.
+        (1, "http://a.org/x/1", page("<p>first article, long enough to be the page</p>")), (2, "http://a.org/x/2", second),
+        (3, "http://a.org/x/3?q=1", second), (4, "http://a.org/x/4", None), (5, "http://a.org/x/5", second), (6, "http://a.org/x/6", second),
+        (7, "http://a.org/x/7", page("<p>third article</p>")),
+        # Menus are most of the text.
+        *((10 + k, f"http://c.org/{k}", page(f"<p>short {k}</p>")) for k in range(4)),
+        # A run of near copies, with other pages far from it.
+        *((20 + k, f"http://d.org/a/{k}", page("".join(f"<p>{x}</p>" for x in long) + f"<p>edition {k}</p>")) for k in range(5)),
+        *((30 + k, f"http://d.org/b/{k}", page(f"<p>{'other ' * 30}{k}</p>")) for k in range(5)),
+    ]
+    texts = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert texts[1] == "first article, long enough to be the page" and texts[4] == ""
+    assert {texts[i] for i in (2, 3, 5, 6)} == {"second article, which is another text altogether"}
+    assert texts[7] == "third article"
+    assert [texts[10 + k] for k in range(4)] == [f"short {k}" for k in range(4)]
+    assert [texts[20 + k] for k in range(5)] == ["\n\n".join([*long, f"edition {k}"]) for k in range(5)]
+    assert [texts[30 + k] for k in range(5)] == ["other " * 30 + str(k) for k in range(5)]
+
+
 # --- classifiers ----------------------------------------------------------------------------
 
 
