@@ -6,11 +6,14 @@ left out with their content. If the page marks its article (``<article>`` or ``<
 
 Otherwise the page is compared with its neighbours: the different pages of a host (equal ones count once, empty ones not) are put in
 order of URL path, and the blocks of a page are aligned by a longest common subsequence with those of the page before and after it. What they
-share is part of the site and is deleted. A neighbour may be a copy of the page and show nothing about the site; then pages two, four, eight ...
+share is part of the site and is deleted. A neighbour may be a copy of the page and show nothing about the site; then pages two, three, four, eight, sixteen ...
 places away are tried, to the end of the host. What the least similar of all these pages shares is the site's; a page that shares more than half of
 the text that is left is a copy. So menus do not make a copy, however short the article is. Only where a host has two different pages
-that share more than half, this cannot be told, and both are kept whole. Blocks inside a marked article are never deleted
-for being shared: two articles may quote the same passage.
+that share more than half, this cannot be told, and both are kept whole.
+
+A marked article loses less, as articles may quote the same passage: only the blocks at its start or end that stand at the same place in
+the marked articles of all the pages tried (copies left out), which must be four at least. A notice or newsletter line that a site
+puts on each page is such a block.
 
 Defined cases: null html counts as empty, and an empty page has an empty text; a null URL belongs to no host and has no neighbour; rows that
 repeat are read alike; an empty table gives an empty result; unclosed elements end with the element around them.
@@ -46,6 +49,8 @@ PARTS = frozenset(
     "comment comments reply replies discussion disqus share sharing social related recommended recommendations widget widgets toolbar "
     "pagination pager login signup search alert".split()
 )
+#: Pages that must agree before a line of a marked article is deleted.
+LEAST_MET = 4
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 
 _tag = re.compile(
@@ -197,6 +202,22 @@ def site_lines(own: list[int], sizes: list[int], others: list[tuple[int, list[in
     return gone
 
 
+def edge_lines(own: list[int], sizes: list[int], others: list[list[int]]) -> np.ndarray:
+    """Which lines of a marked article stand at the same place from its start or end in every other page that is not a copy."""
+    gone, weight, met = np.zeros(len(own), bool), np.array(sizes, np.int64), []
+    for lines in others:
+        if 2 * weight[shared(own, lines)].sum() <= weight.sum():
+            met.append(lines)
+    if len(met) >= LEAST_MET:
+        gone[: min(_run(own, x) for x in met)] = True
+        gone[len(own) - min(_run(own[::-1], x[::-1]) for x in met) :] = True
+    return gone
+
+
+def _run(a: list[int], b: list[int]) -> int:
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
 def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places of the blocks that belong to the site."""
     for batch in batches:
@@ -204,7 +225,11 @@ def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, key, pages in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             own = next(p for p in pages if not p["distance"])
             others = [p for p in pages if p["distance"]]
-            gone = site_lines(own["lines"], own["sizes"], [(p["distance"], p["lines"]) for p in others])
+            if own["marked"]:
+                n = own["inner"]
+                gone = edge_lines(own["lines"][:n], own["sizes"][:n], [p["lines"][: p["inner"]] for p in others if p["inner"]])
+            else:
+                gone = site_lines(own["lines"], own["sizes"], [(p["distance"], p["lines"]) for p in others])
             if gone.any():
                 out.append((host, key, np.flatnonzero(gone).tolist()))
         if out:
@@ -244,9 +269,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         "position",
     )
     largest = ordered.groupBy("host").count().agg(F.max("count")).first()[0] or 0
-    steps = [0, *(side << k for k in range(max(0, largest - 1).bit_length()) for side in (-1, 1))]
-    wanted = ordered.where(~F.col("marked")).select("host", "key", "position", F.explode(F.array(*map(F.lit, steps))).alias("distance"))
-    # A page meets one on each side for every power of two up to the size of its host.
+    far = sorted(d for d in {3, *(1 << k for k in range(max(0, largest - 1).bit_length()))} if d < largest)
+    steps = [0, *(side * d for d in far for side in (-1, 1))]
+    # A marked page can lose its first or last line only if enough other pages begin or end with it.
+    ends = ordered.where(F.col("marked") & (F.col("inner") > 0)).select(
+        "host", "key", "position", F.explode(F.array(F.struct(F.lit(0).alias("end"), F.col("lines")[0].alias("line")), F.struct(F.lit(1).alias("end"), F.col("lines")[F.col("inner") - 1].alias("line")))).alias("edge")
+    ).select("host", "key", "position", "edge.*")
+    often = settle(ends.groupBy("host", "end", "line").count().where(F.col("count") > LEAST_MET).drop("count"), "often")
+    asking = ordered.where(~F.col("marked")).select("host", "key", "position").unionByName(ends.join(often, ["host", "end", "line"], "left_semi").select("host", "key", "position").distinct())
+    wanted = asking.select("host", "key", "position", F.explode(F.array(*map(F.lit, steps))).alias("distance"))
+    # A page meets those one to four places away and at every further power of two, up to the size of its host.
     met = wanted.select(F.col("host"), F.col("key").alias("of"), (F.col("position") + F.col("distance")).alias("position"), "distance").join(
         ordered, ["host", "position"]
     )

@@ -403,6 +403,25 @@ def test_copies_and_short_articles_lose_what_the_site_adds(spark):
     assert [texts[30 + k] for k in range(5)] == ["other " * 30 + str(k) for k in range(5)]
 
 
+def test_marked_articles_lose_the_lines_of_every_page(spark):
+    page = lambda body, first="<p>Partner of the year</p>": f"<nav>x</nav><article>{first}{body}<p>Read us daily</p><div class=box9>By the desk</div></article>"
+    quote = "<p>a quoted passage</p>"
+    rows = [
+        *((k, f"http://a.org/{k}", page(f"<h1>title {k}</h1>{quote}<p>{'text ' * 30}{k}</p>" + (quote if k % 2 else ""))) for k in range(8)),
+        # A passage that ends half of the articles stays; so does all of a host with few pages.
+        *((10 + k, f"http://b.org/{k}", f"<main><p>{'words ' * 20}{k}</p>{quote if k % 2 else ''}</main>") for k in range(8)),
+        *((20 + k, f"http://c.org/{k}", page(f"<p>{'text ' * 30}{k}</p>")) for k in range(4)),
+        *((30 + k, f"http://d.org/{k}", f"<main>{''.join(f'<p>near copy, passage {j}</p>' for j in range(6))}<p>{k}</p></main>") for k in range(8)),
+    ]
+    texts = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(8):
+        want = [f"title {k}", "a quoted passage", "text " * 30 + str(k)] + ["a quoted passage"] * (k % 2)
+        assert texts[k] == "\n\n".join(want)
+        assert texts[30 + k].count("near copy") == 6 and texts[30 + k].endswith(str(k))
+    assert [texts[10 + k].count("quoted") for k in range(8)] == [0, 1] * 4
+    assert all("Partner" in texts[20 + k] and "By the desk" in texts[20 + k] for k in range(4))
+
+
 # --- classifiers ----------------------------------------------------------------------------
 
 
