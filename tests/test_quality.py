@@ -25,6 +25,14 @@ def test_row_count(trips, limits, good):
     assert Q.validate_row_count(trips.where("zone = 8"))
 
 
+def test_row_count_of_an_empty_table_is_a_row(spark, tmp_path):
+    from brightledger.plans.catalog import REGISTRY
+
+    spark.createDataFrame([], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = REGISTRY["dq_row_count"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [("orders", False, True)]
+
+
 def test_duplicates(trips):
     assert Q.validate_duplicates(trips, ["trip", "mode"])
     assert not Q.validate_duplicates(trips, ["trip"])
