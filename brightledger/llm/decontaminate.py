@@ -5,7 +5,8 @@ replaced word under a 0 does not hide a match. Documents and benchmark items are
 each common hash the item is laid over the document, and the two overlap if some run of ``SPAN`` words (the whole item if
 that is shorter) has at least ``SHARE`` equal words in place. The masks miss no such run: with at most a fifth of 13 words
 replaced, three or more unbroken stretches hold the rest, and one of them is five long or two of four words
-stand side by side.
+stand side by side. Whole items of 10 and 11 words are sought by any three unbroken words as well, as 2 of so few words can leave
+stretches of three.
 
 Words are compared in lower case without ASCII punctuation. The items are the small side; they go to the tasks in slices
 of at most ``SLICE_BYTES`` of text, one slice for any ordinary benchmark, and one pass over the documents for each.
@@ -30,6 +31,8 @@ from . import words
 
 MASKS = ("11111", "111101", "101111")
 SPAN, SHARE, LEAST = 13, 0.8, 8
+#: Each mask with the sizes of the items that it seeks.
+SEEDS = tuple((m, (LEAST, None)) for m in MASKS) + (("111", (10, 11)),)
 SLICE_BYTES = 4 << 20
 _TABLE = 1 << 22
 
@@ -64,12 +67,16 @@ class Items:
         self.size = np.diff(self.first)
         owner, place = split.owner(), split.place()
         self.seeds = []
-        for mask in MASKS:
+        for mask, (least, most) in SEEDS:
             s = seed_hashes(self.hash, mask)
             n = len(s)
             own = owner[:n]
-            inside = (own == owner[len(mask) - 1 : len(mask) - 1 + n]) & (self.size[own] >= LEAST)
+            inside = (own == owner[len(mask) - 1 : len(mask) - 1 + n]) & (self.size[own] >= least)
+            if most is not None:
+                inside &= self.size[own] <= most
             at = np.flatnonzero(inside)
+            if not len(at):
+                continue
             order = at[np.argsort(s[at], kind="stable")]
             key, low = np.unique(s[order], return_index=True)
             seen = np.zeros(_TABLE, bool)

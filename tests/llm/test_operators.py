@@ -274,6 +274,16 @@ def test_any_two_of_thirteen_words_may_be_replaced():
     assert not items.search([" ".join(f"other{i}" if i in (2, 6, 10) else w for i, w in enumerate(item)).encode()])
 
 
+@pytest.mark.parametrize("n", range(decontaminate.LEAST, decontaminate.SPAN + 1))
+def test_any_fifth_of_the_words_of_an_item_may_be_replaced(n):
+    item = [f"w{i}" for i in range(n)]
+    items = decontaminate.Items([(1, " ".join(item))])
+    for k in range(n // 5 + 1):
+        for gone in itertools.combinations(range(n), k):
+            assert items.search([" ".join(["so", *(f"other{i}" if i in gone else w for i, w in enumerate(item)), "on"]).encode()]), gone
+    assert not items.search([" ".join(f"other{i}" if i <= n // 5 else w for i, w in enumerate(item)).encode()])
+
+
 def test_overlaps(spark, odd, none):
     words_of = ITEM.split()
     rows = [
