@@ -11,8 +11,8 @@ stretches of three.
 Words are compared in lower case without ASCII punctuation. The items are the small side; they go to the tasks in slices
 of at most ``SLICE_BYTES`` of text, one slice for any ordinary benchmark, and one pass over the documents for each.
 
-Defined cases: null and empty texts overlap with nothing; items under ``LEAST`` words are too short to mean anything and
-are not sought; a null or repeated id is kept as it is; an empty table on either side gives no overlap; whole texts of
+Defined cases: null and empty texts overlap with nothing; items under ``LEAST`` words are sought
+word by word, without replaced ones, and those without a word not at all; a null or repeated id is kept as it is; an empty table on either side gives no overlap; whole texts of
 any length are searched.
 """
 
@@ -32,7 +32,7 @@ from . import words
 MASKS = ("11111", "111101", "101111")
 SPAN, SHARE, LEAST = 13, 0.8, 8
 #: Each mask with the sizes of the items that it seeks.
-SEEDS = tuple((m, (LEAST, None)) for m in MASKS) + (("111", (10, 11)),)
+SEEDS = tuple((m, (LEAST, None)) for m in MASKS) + (("111", (10, 11)),) + tuple(("1" * n, (n, n)) for n in range(1, LEAST))
 SLICE_BYTES = 4 << 20
 _TABLE = 1 << 22
 
@@ -109,6 +109,8 @@ class Items:
     def _verify(self, first: np.ndarray, h: np.ndarray, rows: np.ndarray) -> list[tuple]:
         best: dict[tuple[int, int], tuple] = {}
         for text, item, shift in rows.tolist():
+            if self.size[item] < LEAST and (text, item) in best:  # found whole already
+                continue
             own = self.hash[self.first[item] : self.first[item + 1]]
             low, high = max(shift, int(first[text])), min(shift + len(own), int(first[text + 1]))
             span = min(SPAN, len(own))
@@ -118,7 +120,7 @@ class Items:
             runs = equal[span:] - equal[:-span]
             at = int(runs.argmax())
             n = int(runs[at])
-            if n >= SHARE * span and n > best.get((text, item), (0,) * 6)[5]:
+            if n >= (SHARE * span if len(own) >= LEAST else span) and n > best.get((text, item), (0,) * 6)[5]:
                 best[text, item] = (text, item, low + at - int(first[text]), low + at - shift, span, n)
         return list(best.values())
 

@@ -284,6 +284,15 @@ def test_any_fifth_of_the_words_of_an_item_may_be_replaced(n):
     assert not items.search([" ".join(f"other{i}" if i <= n // 5 else w for i, w in enumerate(item)).encode()])
 
 
+@pytest.mark.parametrize("n", range(1, decontaminate.LEAST))
+def test_short_items_are_sought_word_by_word(n):
+    item = [f"w{i}" for i in range(n)]
+    items = decontaminate.Items([(1, " ".join(item)), (2, "")])
+    found = items.search([f"so {' '.join(item).upper()}, on {' '.join(item)}".encode().lower().replace(b",", b""), b"", b"other"])
+    assert found == [(0, 0, 1, 0, n, n)]
+    assert not items.search([" ".join(["so", *item[:k], "other", *item[k + 1 :], "on"]).encode() for k in range(n)])
+
+
 def test_overlaps(spark, odd, none):
     words_of = ITEM.split()
     rows = [
