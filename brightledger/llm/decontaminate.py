@@ -18,6 +18,7 @@ any length are searched.
 
 from __future__ import annotations
 
+import itertools
 import string
 from collections.abc import Iterator
 from functools import lru_cache
@@ -60,10 +61,10 @@ def seed_hashes(h: np.ndarray, mask: str) -> np.ndarray:
 class Items:
     """Seeds and words of a slice of the benchmark."""
 
-    def __init__(self, rows: list[tuple[int | None, str]]):
-        split = words.split([normal(t) for _, t in rows])
+    def __init__(self, rows: list[tuple]):
+        split = words.split([normal(t) for _, t, *_ in rows])
         self.hash, self.first = split.hashes(), split.first
-        self.ids = [i for i, _ in rows]
+        self.ids = [i for i, *_ in rows]
         self.size = np.diff(self.first)
         owner, place = split.owner(), split.place()
         self.seeds = []
@@ -131,14 +132,21 @@ def _items(rows: tuple) -> Items:
 
 
 def slices(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[tuple]:
-    """The items in slices of a bounded size."""
+    """The items in slices of at most SLICE_BYTES of text (one longer item is a slice): (id, text, how often the row is there)."""
     picked = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    total = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-total // SLICE_BYTES)
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(max(1, parts)))
-    for k in range(parts):
-        # At most about SLICE_BYTES of text, however large the benchmark is.
-        yield tuple((r.id, r.text) for r in picked.where(part == k).orderBy("id", "text").collect())
+    rows = picked.groupBy("id", "text").agg(F.count(F.lit(1)).alias("n"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    held, size = [], 0
+    # The driver has one partition at a time.
+    for r in rows.repartition(max(1, -(-2 * total // SLICE_BYTES)), "id", "text").toLocalIterator():
+        n = len(r.text.encode())
+        if held and size + n > SLICE_BYTES:
+            yield tuple(held)
+            held, size = [], 0
+        held.append((r.id, r.text, r.n))
+        size += n
+    if total:
+        yield tuple(held)
 
 
 def _by_chunk(items: Items, texts: list[str | None]) -> Iterator[tuple]:
@@ -160,8 +168,10 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             items = _items(shared.value)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                hits = [(ids[t], items.ids[i], *rest) for t, i, *rest in _by_chunk(items, batch.column(1).to_pylist())]
-                if hits:
+                found = _by_chunk(items, batch.column(1).to_pylist())
+                # One row for each row of the benchmark; a repeated one is searched once.
+                every = itertools.chain.from_iterable(itertools.repeat((ids[t], items.ids[i], *rest), shared.value[i][2]) for t, i, *rest in found)
+                while hits := list(itertools.islice(every, 1 << 16)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*hits, strict=True)], schema=_HIT_TYPES)
 
         part = picked.mapInArrow(run, HITS)

@@ -320,6 +320,17 @@ def test_slices_of_a_large_benchmark(spark, monkeypatch):
     assert decontaminate.remove(docs, benchmark).count() == 0
 
 
+def test_a_repeated_row_of_the_benchmark_is_in_one_slice_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 200)
+    rows = [(i, " ".join(f"t{i}w{k}" for k in range(14))) for i in range(6)]
+    benchmark = spark.createDataFrame(rows + rows[:1] * 30, "item_id long, text string")
+    got = list(decontaminate.slices(benchmark))
+    assert all(sum(len(t) for _, t, _ in s) <= 200 for s in got)
+    assert sorted(r for s in got for r in s) == [(i, t, 31 if i == 0 else 1) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(r.item_id for r in decontaminate.find(docs, benchmark).collect()) == {0: 31, **{i: 1 for i in range(1, 6)}}
+
+
 # --- chat -----------------------------------------------------------------------------------
 
 
