@@ -16,6 +16,7 @@ from . import words
 REGISTERS = 256
 #: Registers to a band, and bands. At a similarity of 0.8 a pair has no common band with probability 3e-6.
 BAND, BANDS = 6, 42
+MISSED = 3e-6
 _MANTISSA = 4
 #: From the paper on HyperMinHash (Yu and Weber): the chance that registers of disjoint sets agree, times 2**mantissa.
 _CHANCE = 0.169919487159739
@@ -53,11 +54,19 @@ def level(n: int) -> int:
     return max(0, min(REGISTERS.bit_length() - 1, (n // 4).bit_length() - 1))
 
 
+def band_rows(share: float) -> int:
+    """The most registers to a band, ``BAND`` at most, with which a pair at the similarity ``share`` has no common band with probability ``MISSED`` at most."""
+    for rows in range(BAND, 0, -1):
+        if (1 - share**rows) ** (REGISTERS // rows) <= MISSED:
+            return rows
+    raise ValueError(f"{REGISTERS} registers do not find pairs of similarity {share}")
+
+
 def levels(n: int, share: float) -> list[int]:
     """The levels at which a set of n shingles can meet a set that is as large or larger."""
     if not n:
         return []
-    return sorted({level(n), level(int(n / share + 1e-9))})
+    return list(range(level(n), level(int(n / share + 1e-9)) + 1))
 
 
 def registers(shingles: np.ndarray, at: int) -> np.ndarray:
@@ -80,11 +89,12 @@ def registers(shingles: np.ndarray, at: int) -> np.ndarray:
     return out
 
 
-def band_keys(register: np.ndarray, at: int) -> np.ndarray:
+def band_keys(register: np.ndarray, at: int, band: int = BAND) -> np.ndarray:
     """A 64-bit key of each band of a signature."""
-    rows = register[: BAND * BANDS].reshape(BANDS, BAND).astype(np.uint64) + np.uint64(1)
-    mixed = (words.mix(rows * _BAND_FACTORS, 107) * _BAND_FACTORS).sum(axis=1, dtype=np.uint64)
-    return words.mix(mixed + np.uint64(at << 32) + np.arange(BANDS, dtype=np.uint64), 109)
+    bands, factors = REGISTERS // band, _BAND_FACTORS[:band]
+    rows = register[: band * bands].reshape(bands, band).astype(np.uint64) + np.uint64(1)
+    mixed = (words.mix(rows * factors, 107) * factors).sum(axis=1, dtype=np.uint64)
+    return words.mix(mixed + np.uint64(at << 32) + np.arange(bands, dtype=np.uint64), 109)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:

@@ -47,7 +47,14 @@ def _key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
+def _margin(share: float) -> float:
+    """Five standard deviations of the estimate, ``MARGIN`` at least."""
+    return max(MARGIN, 5 * (share * (1 - share) / H.REGISTERS) ** 0.5 if share < 0.8 else 0)
+
+
 def _sign(shingle: int, share: float):
+    band = H.band_rows(share)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
@@ -58,7 +65,7 @@ def _sign(shingle: int, share: float):
                     own = []
                     for at in H.levels(len(s), share):
                         r = H.registers(s, at)
-                        own.append({"level": at, "registers": r.tobytes(), "bands": H.band_keys(r, at).view(np.int64)})
+                        own.append({"level": at, "registers": r.tobytes(), "bands": H.band_keys(r, at, band).view(np.int64)})
                     signed.append(own)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([_key(s) for s in sets], pa.binary()), pa.array(signed, _SIGNATURES)],
@@ -100,7 +107,7 @@ def _confirm(percent: int, share: float):
                     at = H.level(max(n1, n2))
                     if at in regs[0] and at in regs[1]:
                         r1, r2 = (np.frombuffer(r[at], np.uint8)[None] for r in regs)
-                        if H.estimate(r1, r2, np.array([n1]), np.array([n2]))[0] < share - MARGIN:
+                        if H.estimate(r1, r2, np.array([n1]), np.array([n2]))[0] < share - _margin(share):
                             continue
                     if b != last:
                         last, other = b, _unpack(two)
@@ -138,7 +145,7 @@ def _plausible(share: float):
             near = near[~(bands[near, :place] == bands[i, :place]).any(axis=1)]
             if not len(near):
                 continue
-            near = near[H.estimate(regs[near], regs[i][None], size[near], size[i][None]) >= share - MARGIN]
+            near = near[H.estimate(regs[near], regs[i][None], size[near], size[i][None]) >= share - _margin(share)]
             if len(near):
                 takes[near] = takes[i] = True
         return table.select(["band", "mb", "sb", "role", "stray", "node", "component"]).filter(pa.array(takes))

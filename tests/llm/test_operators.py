@@ -260,6 +260,22 @@ def test_groups_equal_all_pairs(spark, odd, none, monkeypatch):
     assert near_dedup.groups(none).count() == 0 and near_dedup.deduplicate(none).count() == 0
 
 
+@pytest.mark.parametrize("percent, rows", [(95, 6), (80, 6), (70, 4), (60, 3), (50, 2), (10, 1)])
+def test_bands_find_pairs_at_any_percent(percent, rows):
+    s = percent / 100
+    assert hyperminhash.band_rows(s) == rows and (1 - s**rows) ** (256 // rows) <= 3e-6
+    for n in (1, 5, 40, 900):
+        assert {hyperminhash.level(m) for m in range(n, int(n / s) + 1)} <= set(hyperminhash.levels(n, s))
+    # Pairs of that similarity, by their real signatures.
+    rng = np.random.default_rng(percent)
+    for _ in range(20):
+        common, one, two = (rng.integers(0, 2**63, k, dtype=np.uint64) for k in (20 * percent, 10 * (100 - percent), 10 * (100 - percent)))
+        a, b = (hyperminhash.band_keys(hyperminhash.registers(np.unique(np.concatenate([common, x])), 7), 7, rows) for x in (one, two))
+        assert (a == b).any()
+    with pytest.raises(ValueError):
+        hyperminhash.band_rows(0.01)
+
+
 # --- decontamination ------------------------------------------------------------------------
 
 ITEM = "The quick brown fox, it jumps over the lazy dog and then it runs home to rest."
