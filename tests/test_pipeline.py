@@ -56,7 +56,8 @@ def test_scratch_follows_the_cluster_setting():
     cluster = MagicMock()
     cluster.conf.get.return_value = "hdfs://shared/checkpoints/"
     cluster.sparkContext.master = "yarn"
-    assert scratch_path(cluster, "x").startswith("hdfs://shared/checkpoints/x-")
+    cluster.sparkContext.applicationId = "app-1"
+    assert scratch_path(cluster, "x").startswith("hdfs://shared/checkpoints/brightledger-app-1/x-")
 
 
 def test_no_machine_local_folder_on_a_cluster():
