@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontaminate, exact_dedup, html_text, near_dedup, packing, quality, substring_dedup, token_files, toxicity, training
+from . import chat, decontaminate, exact_dedup, html_text, licenses, near_dedup, packing, periodic_runs, quality, spelling, substring_dedup, token_files, toxicity, training
 from .common import table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,6 +168,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op11_license_scan")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licences that it names or quotes."""
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), licenses.templates(spark)))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs and what is left without their repetitions; a tenth of the documents get a periodic tail first."""
+    return periodic_runs.digests(periodic_runs.collapse(periodic_runs.with_tail(table(spark, sf_dir, "documents"))))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, its form and its root; one in 199 runs of letters is misspelt first."""
+    return spelling.group(spelling.vocabulary(spelling.misspelt(spelling.occurrences(table(spark, sf_dir, "documents")))))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""

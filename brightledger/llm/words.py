@@ -88,12 +88,12 @@ def window_hashes(h: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     return mix((total[width:] - total[:-width]) * inverse[: n - width + 1], seed + 1)
 
 
-def split(texts: list[bytes]) -> Words:
-    """The words of a chunk of texts."""
+def split(texts: list[bytes], between: np.ndarray = _SPACE) -> Words:
+    """The words of a chunk of texts. ``between`` says of each byte whether it stands between words; a line feed does."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     blank = np.empty(len(data) + 1, bool)
     blank[0] = True
-    np.take(_SPACE, data, out=blank[1:])
+    np.take(between, data, out=blank[1:])
     turn = np.flatnonzero(blank[1:] != blank[:-1])
     start, end = turn[0::2], turn[1::2]
     begins = np.zeros(len(texts) + 1, np.int64)
