@@ -1,4 +1,4 @@
-"""Intermediate results as tables."""
+"""Where the rows of a frame lie."""
 
 from __future__ import annotations
 
@@ -16,3 +16,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """A small table, dealt by its keys; a large one as it lies.
+
+    A small table may be one row group, which one task reads while the others wait. Up to one scan split for each core the
+    rows are dealt, which moves little; beyond that the scan has splits enough, and moving whole texts would cost more than it gives.
+    """
+    spark = df.sparkSession
+    conf = spark._jsparkSession.sessionState().conf()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(*keys) if size <= spark.sparkContext.defaultParallelism * conf.filesMaxPartitionBytes() else df
+
+
+def broadcast_bytes(df: DataFrame) -> int:
+    """How many bytes the session lets Spark broadcast for a join; 0 if it lets it broadcast nothing."""
+    return max(0, df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_half_up
 from ..operators import text as X
+from ..operators.layout import stored
 from .registry import query
 from .relations import sql_r
 
@@ -99,7 +100,7 @@ def _answers_sql(number: int, question: str) -> str:
 def _answers(t):
     """Two questions, asked of the texts with a negative score; the word weights come from all texts."""
     questions = t.spark.createDataFrame(list(QUESTIONS.items()), "question_id int, question string")
-    negative = t.documents.join(scored(t).where("sentiment < 0").select("doc_id"), "doc_id", "left_semi")
+    negative = t.documents.join(stored(scored(t).where("sentiment < 0").select("doc_id"), "negative"), "doc_id", "left_semi")
     return X.extract_answers(negative, questions, corpus=t.documents)
 
 

@@ -157,3 +157,38 @@ def test_the_rows_of_a_hot_word_are_split(spark, job, monkeypatch):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     assert got == want
     assert any("skew=true" in p for p in plans)
+
+
+def test_a_frequent_word_is_looked_up_where_it_is_read(spark, monkeypatch):
+    """Words that fit the broadcast threshold are summed before anything is moved; only the others reach the join."""
+    text = [(i, f"the end{i % 9}. the more word{i % 40} word{i % 40}a" + " longword" * (i % 3)) for i in range(400)]
+    df = spark.createDataFrame(text, "doc_id int, text string").repartition(4)
+    counts = Counter(w for _, t in text for w in words(t))
+    table = spark.createDataFrame([(w, n, len(w) * 7 - 20) for w, n in counts.items()], "token string, n long, weight long")
+    tokens = X._tokens(df, "doc_id", "text")
+    want = sorted(map(tuple, X.word_sums(tokens, ["doc_id"], table.drop("n"), ["weight"]).collect()))
+    for rows in (0, 1, 3, len(counts) + 5):
+        monkeypatch.setattr(X, "broadcast_bytes", lambda df, rows=rows: rows * X.HOT_ROW)
+        hot, rest = X._split_words(table)
+        held = set() if hot is None else {r.token for r in hot.collect()}
+        assert len(held) <= rows and held | {r.token for r in rest.collect()} == set(counts) and rest.count() + len(held) == len(counts)
+        assert min((counts[w] for w in held), default=10**9) > max((counts[w] for w in set(counts) - held), default=0)
+        out = X.word_sums(tokens, ["doc_id"], table, ["weight"])
+        assert sorted(map(tuple, out.collect())) == want
+    assert [(t, k) for _, t, k, _ in want] == [(len(words(t)), len(words(t))) for _, t in sorted(text)]
+
+
+def test_ten_thousand_questions(spark):
+    """An inverted index: no texts beside questions, and only pairs that share a word are made."""
+    texts = [(i, f"alpha{chr(97 + i % 26)} beta. Gamma{chr(97 + i % 7)} delta\nbeta beta omega") for i in range(60)]
+    asked = [(q, f"what is gamma{chr(97 + q % 20)} or psi{q}?") for q in range(10_000)]
+    docs, questions = spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame(asked, "question_id int, question string")
+    out = X.extract_answers(docs, questions, unanswered=False)
+    plan = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended"))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    got = {(r.doc_id, r.question_id): r.answer for r in out.collect()}
+    assert got == {(i, q): f"Gamma{chr(97 + i % 7)} delta" for i, _ in texts for q, _ in asked if i % 7 == q % 20}
+    few = questions.where("question_id < 30")
+    every = X.extract_answers(docs, few).collect()
+    assert len(every) == 60 * 30 and {(r.doc_id, r.question_id) for r in every if r.answer} == {k for k in got if k[1] < 30}
+    assert all((r.answer is None) == (r.score == 0) for r in every)
