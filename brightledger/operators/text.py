@@ -190,7 +190,7 @@ def extract_answers(
     asked = stored(asked.distinct(), "asked")  # so that Spark knows how many words there are
     texts = dealt(corpus.select(id, text), id)
     held = texts.select(F.explode(F.array_distinct(token_array(text))).alias("token")).join(asked.select("token").distinct(), "token", "left_semi")
-    df = held.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
+    df = stored(held.groupBy("token").agg(F.count(F.lit(1)).alias("_df")), "asked-counts")
     total = corpus.select(F.count(F.lit(1))).scalar()
     weight = _micro(F.ln((F.col("_n") + 1).cast("double") / (F.col("_df") + 1).cast("double")))
     index = stored(asked.join(df, "token").withColumn("_n", total).select("token", "_q", weight.alias("_w")).where("_w > 0"), "question-index")

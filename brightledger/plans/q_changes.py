@@ -106,10 +106,19 @@ def _hourly(t):
     return jobs.read_rollup(t.spark, out)
 
 
-query(
-    "stream_hourly_rollup",
-    "SELECT date_trunc('hour', ts) AS hour, CAST(COUNT(*) AS BIGINT) AS new_rows FROM events GROUP BY 1",
-)(_hourly)
+HOURLY = "SELECT date_trunc('hour', ts) AS hour, CAST(COUNT(*) AS BIGINT) AS new_rows FROM events GROUP BY 1"
+
+query("stream_hourly_rollup", HOURLY)(_hourly)
+
+
+def _windowed(t):
+    """The same counts from event-time windows with state. All events come in one batch, so none is late."""
+    out, checkpoint = scratch_path(t.spark, "windows"), scratch_path(t.spark, "checkpoint")
+    jobs.windowed_rollup(jobs.follow(t.spark, f"{t.dir}/events.parque[t]", t.events.schema), "ts", out, checkpoint)
+    return jobs.read_windows(t.spark, out)
+
+
+query("stream_hourly_windows", HOURLY)(_windowed)
 
 
 def customer_log(t):

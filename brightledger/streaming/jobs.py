@@ -1,21 +1,23 @@
 """Streaming jobs.
 
-Every job reads only new files, keeps its place in a checkpoint, and writes each micro-batch to a
-folder named after the batch number. A batch that runs again after a failure replaces its own
-folder, so results count every row once.
+Every job reads only new files, keeps its place in a checkpoint, and writes each micro-batch under
+the batch's number. A batch that runs again after a failure replaces what it wrote, so results count every row once. Rows are
+counted while the batch is written, so it is read once.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates as D
 from ..functions.numbers import cents, dbl, money, r2, ratio
 from ..operators.changes import incremental_sum, labelled
+from ..sources.parts import PartTable
 from ..sources.readers import read_or_empty
 
 
@@ -29,30 +31,46 @@ def follow(spark: SparkSession, path: str, schema: T.StructType, max_files: int
 
 def run_available(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> int:
     """Process what has arrived since the last run, then stop. Returns the rows of all batches; without new data no batch runs."""
-    return sum(_batches(stream, checkpoint, on_batch).values())
-
-
-def _batches(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> dict[int, int]:
-    """Rows of each batch that ran, counted once however often the job reads its batch."""
     rows: dict[int, int] = {}
 
     def counted(batch: DataFrame, batch_id: int) -> None:
-        on_batch(batch, batch_id)
-        rows[batch_id] = batch.count()
+        seen = Observation()
+        on_batch(batch.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)
+        rows[batch_id] = seen.get["rows"] if _has_ended(seen) else batch.count()
+
+    _run(stream, checkpoint, counted)
+    return sum(rows.values())
+
 
+def _has_ended(seen: Observation, wait: float = 0.2) -> bool:
+    """Whether the job has read its batch to the end, so that its rows are counted. The count follows the job by a moment."""
+    end = time.monotonic() + wait
+    while not (ended := seen._jo.future().isCompleted()) and time.monotonic() < end:
+        time.sleep(0.01)
+    return ended
+
+
+def _run(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> None:
     q = (
-        stream.writeStream.foreachBatch(counted)
+        stream.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return rows
 
 
 def run_if_data(stream: DataFrame, checkpoint: str, job: Callable[[DataFrame, int], None]) -> bool:
-    """Run a job only when the stream has rows it has not consumed yet. Returns whether it ran."""
-    return bool(_batches(stream, checkpoint, job))
+    """Run a job for the batches that have rows, and say whether there was one. A batch of empty files is passed over; its first row is looked for, no more."""
+    ran = []
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            job(batch, batch_id)
+            ran.append(batch_id)
+
+    _run(stream, checkpoint, on_batch)
+    return bool(ran)
 
 
 def consume(stream: DataFrame, log_path: str, checkpoint: str) -> int:
@@ -81,25 +99,58 @@ def read_rollup(spark: SparkSession, out_path: str) -> DataFrame:
     return rows.groupBy("hour").agg(F.sum("new_rows").alias("new_rows"))
 
 
+def windowed_rollup(stream: DataFrame, ts: str, out_path: str, checkpoint: str, late: str = "1 hour", window: str = "1 hour") -> int:
+    """Rows per event-time window, kept in Spark's state store below the checkpoint. Returns how many counts were written.
+
+    A row counts in the window of its own time, in whichever batch it comes, until the watermark has passed the end of that window: the newest time seen in
+    earlier batches less ``late``. Rows that come later than that are left out, and their window's state is gone by then, so the state holds the windows of that
+    span only. Each batch writes the windows that it changed with their whole counts, so a batch that runs again changes nothing. Times without a zone
+    are read as UTC.
+    """
+    at = F.col(ts)
+    if dict(stream.dtypes)[ts] == "timestamp_ntz":
+        at = F.to_timestamp_ltz(F.concat(at.cast("string"), F.lit("Z")))
+    counts = stream.select(at.alias("_at")).withWatermark("_at", late).groupBy(F.window("_at", window)).agg(F.count(F.lit(1)).alias("new_rows"))
+    written = 0
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal written
+        seen = Observation()
+        start = F.to_timestamp_ntz(F.date_format(F.to_utc_timestamp("window.start", F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        batch.observe(seen, F.count(F.lit(1)).alias("rows")).select(start.alias("hour"), "new_rows").write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        written += seen.get["rows"]
+
+    q = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return written
+
+
+def read_windows(spark: SparkSession, out_path: str) -> DataFrame:
+    """Rows per window as of the last batch that changed it."""
+    rows = read_or_empty(spark, out_path, "hour timestamp_ntz, new_rows bigint, batch_id bigint")
+    return rows.groupBy("hour").agg(F.max_by("new_rows", "batch_id").alias("new_rows"))
+
+
 class RevenueSummaries:
     """Monthly, quarterly and yearly summaries kept up to date from new orders.
 
     A batch recomputes only the months it touches, from stored day sums; then only the quarters
-    of those months, and the years of those quarters. Each level keeps, per period, the rows of the last batch
-    that touched it.
+    of those months, and the years of those quarters. Each level is a table in parts (days by month, months by quarter, quarters and years by year), of which a batch reads and
+    rewrites those it touches, under its own number. The lists of touched periods are bounded by the calendar. The present and the former rows of a part are kept, so a batch that
+    fails can run again; older ones are deleted, so neither the files nor the bytes read grow with the number of batches.
     """
 
-    DAYS = "sale_date date, revenue_cents bigint, num_orders bigint, month date, batch_id bigint"
-    MONTHS = (
-        "month date, total_cents bigint, total_orders bigint, days bigint, best_cents bigint, "
-        "quarter date, batch_id bigint"
-    )
-    QUARTERS = "quarter date, total_cents bigint, total_orders bigint, year int, batch_id bigint"
-    YEARS = "year int, total_cents bigint, total_orders bigint, batch_id bigint"
+    DAYS = "sale_date date, revenue_cents bigint, num_orders bigint, month date"
+    MONTHS = "month date, total_cents bigint, total_orders bigint, days bigint, best_cents bigint, quarter date"
+    QUARTERS = "quarter date, total_cents bigint, total_orders bigint, year int"
+    YEARS = "year int, total_cents bigint, total_orders bigint, of_year int"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        table = lambda level, ddl, part: PartTable(spark, f"{self.path}/{level}", ddl, part)
+        self.days, self.months = table("days", self.DAYS, "month"), table("months", self.MONTHS, "quarter")
+        self.quarters, self.years = table("quarters", self.QUARTERS, "year"), table("years", self.YEARS, "of_year")
 
     def refresh(self, stream: DataFrame, date: str, amount: str) -> int:
         """Take in the new orders. Returns the rows read."""
@@ -109,60 +160,43 @@ class RevenueSummaries:
 
         return run_available(stream, f"{self.path}/checkpoint", on_batch)
 
-    def _stored(self, level: str, ddl: str, before: int | None = None) -> DataFrame:
-        df = read_or_empty(self.spark, f"{self.path}/{level}", ddl)
-        return df if before is None else df.where(F.col("batch_id") < before)
-
-    def _latest(self, level: str, ddl: str, period: str, before: int | None = None) -> DataFrame:
-        """Per period, the rows of the last batch that wrote it."""
-        rows = self._stored(level, ddl, before)
-        last = rows.groupBy(period).agg(F.max("batch_id").alias("batch_id"))
-        return rows.join(last, [period, "batch_id"], "left_semi")
-
-    def _write(self, df: DataFrame, level: str, batch_id: int) -> DataFrame:
-        path = f"{self.path}/{level}/batch_id={batch_id}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
-
     def _refresh_batch(self, batch: DataFrame, batch_id: int, date: str, amount: str) -> None:
         day = F.col(date).cast("date")
         new = batch.groupBy(day.alias("sale_date")).agg(
             F.sum(cents(amount)).alias("revenue_cents"), F.count(F.lit(1)).alias("num_orders")
         ).withColumn("month", D.month_start("sale_date"))
-        new = self._write(new, "incoming", batch_id)
-        touched = new.select("month").distinct()
+        # A row for each day; the part of no month holds orders without a date, which no summary has.
+        path = f"{self.path}/incoming/batch_id={batch_id}"
+        new.where("sale_date is not null").coalesce(1).write.mode("overwrite").parquet(path)
+        new = self.spark.read.parquet(path)
+        months = [r.month for r in new.select("month").distinct().collect()]
+        if not months:
+            return
+        quarters = sorted({m.replace(month=(m.month - 1) // 3 * 3 + 1) for m in months})
+        years = sorted({m.year for m in months})
 
         sums = ["revenue_cents", "num_orders"]
-        stored = self._latest("days", self.DAYS, "month", batch_id).join(touched, "month", "left_semi")
-        days = self._write(incremental_sum(new, stored, ["sale_date", "month"], sums), "days", batch_id)
+        self.days.change(months, lambda old: incremental_sum(new, old, ["sale_date", "month"], sums), batch_id)
 
-        months = days.groupBy("month").agg(
+        fresh = self.days.read(months).groupBy("month").agg(
             F.sum("revenue_cents").alias("total_cents"),
             F.sum("num_orders").alias("total_orders"),
             F.count(F.lit(1)).alias("days"),
             F.max("revenue_cents").alias("best_cents"),
         ).withColumn("quarter", D.quarter_start("month"))
-        months = self._write(months, "months", batch_id)
-
-        quarters = (
-            self._latest("months", self.MONTHS, "month", batch_id + 1)
-            .join(months.select("quarter").distinct(), "quarter", "left_semi")
-            .groupBy("quarter")
-            .agg(F.sum("total_cents").alias("total_cents"), F.sum("total_orders").alias("total_orders"))
-            .withColumn("year", F.year("quarter"))
-        )
-        quarters = self._write(quarters, "quarters", batch_id)
+        self.months.change(quarters, lambda old: old.where(~F.col("month").isin(months)).unionByName(fresh), batch_id)
 
-        years = (
-            self._latest("quarters", self.QUARTERS, "quarter", batch_id + 1)
-            .join(quarters.select("year").distinct(), "year", "left_semi")
-            .groupBy("year")
-            .agg(F.sum("total_cents").alias("total_cents"), F.sum("total_orders").alias("total_orders"))
-        )
-        self._write(years, "years", batch_id)
+        def total(rows: DataFrame, period: str) -> DataFrame:
+            return rows.groupBy(period).agg(F.sum("total_cents").alias("total_cents"), F.sum("total_orders").alias("total_orders"))
+
+        changed = total(self.months.read(quarters), "quarter").withColumn("year", F.year("quarter"))
+        self.quarters.change(years, lambda old: old.where(~F.col("quarter").isin(quarters)).unionByName(changed), batch_id)
+        self.years.replace(total(self.quarters.read(years), "year").withColumn("of_year", F.col("year")), years, batch_id)
+        for level in (self.days, self.months, self.quarters, self.years):
+            level.clean()
 
     def monthly(self) -> DataFrame:
-        return self._latest("months", self.MONTHS, "month").select(
+        return self.months.read().select(
             "month",
             dbl(money("total_cents")).alias("total_revenue"),
             "total_orders",
@@ -171,7 +205,7 @@ class RevenueSummaries:
         )
 
     def quarterly(self) -> DataFrame:
-        return self._latest("quarters", self.QUARTERS, "quarter").select(
+        return self.quarters.read().select(
             "quarter",
             dbl(money("total_cents")).alias("quarterly_revenue"),
             F.col("total_orders").alias("quarterly_orders"),
@@ -179,7 +213,7 @@ class RevenueSummaries:
         )
 
     def yearly(self) -> DataFrame:
-        return self._latest("years", self.YEARS, "year").select(
+        return self.years.read().select(
             "year",
             dbl(money("total_cents")).alias("annual_revenue"),
             F.col("total_orders").alias("annual_orders"),

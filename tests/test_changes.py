@@ -168,3 +168,127 @@ def test_summaries_equal_a_full_recompute_in_any_number_of_loads(spark, tmp_path
     total = orders.agg(F.sum("price")).first()[0]
     assert sum(r[1] for r in results[0][2]) == pytest.approx(total)
     assert len(results[0][0]) == 5 and len(results[0][1]) == 2 and len(results[0][2]) == 2
+
+
+def test_counting_reads_a_batch_once(spark, tmp_path):
+    """A job that writes its batch is one scan of it, and its rows are known; one that reads nothing is counted on its own."""
+    path = str(tmp_path / "in")
+    spark.range(500).repartition(3).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    def job(batch, batch_id):
+        batch.mapInArrow(seen, "id long").groupBy((F.col("id") % 7).alias("k")).count().write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={batch_id}")
+
+    stream = jobs.follow(spark, path, spark.range(1).schema)
+    # The rows pass through the counter below the job's own plan.
+    watched = stream.mapInArrow(seen, "id long")
+    assert jobs.run_available(watched, str(tmp_path / "cp"), lambda b, i: b.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={i}")) == 500
+    assert reads.value == 500
+    assert jobs.run_available(stream, str(tmp_path / "cp2"), lambda b, i: None) == 500
+
+
+def test_an_empty_file_does_not_run_the_job(spark, tmp_path):
+    path, ran = str(tmp_path / "in"), []
+    schema = spark.range(1).schema
+    spark.range(0).write.parquet(path)
+    run = lambda: jobs.run_if_data(jobs.follow(spark, path, schema), str(tmp_path / "cp"), lambda b, i: ran.append(b.count()))
+    assert run() is False and ran == []
+    spark.range(4).write.mode("append").parquet(path)
+    assert run() is True and ran == [4]
+    assert run() is False and ran == [4]
+
+
+def test_windows_count_late_rows_up_to_the_watermark(spark, tmp_path, rows):
+    """Rows within an hour of the newest time count in their own window, also after a restart; later ones are left out."""
+    path, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    event = "ts timestamp_ntz"
+
+    def send(*times):
+        spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+        jobs.windowed_rollup(jobs.follow(spark, path, spark.createDataFrame([], event).schema), "ts", out, cp)
+        return {str(r.hour)[11:16]: r.new_rows for r in jobs.read_windows(spark, out).collect()}
+
+    assert send("2024-05-01 09:10:00", "2024-05-01 09:20:00", "2024-05-01 10:30:00") == {"09:00": 2, "10:00": 1}
+    # The watermark stands at 09:30, so the window of nine o'clock is still open.
+    assert send("2024-05-01 09:05:00", "2024-05-01 12:45:00") == {"09:00": 3, "10:00": 1, "12:00": 1}
+    # It stands at 11:45 now: ten o'clock has ended, eleven o'clock has not.
+    assert send("2024-05-01 10:59:00", "2024-05-01 11:01:00") == {"09:00": 3, "10:00": 1, "11:00": 1, "12:00": 1}
+    # Without its commit the last batch runs again, from the state before it, and nothing counts twice.
+    commits = sorted((p for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for p in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        p.unlink(missing_ok=True)
+    assert send("2024-05-01 12:50:00") == {"09:00": 3, "10:00": 1, "11:00": 1, "12:00": 2}
+
+
+def test_windows_equal_the_batch_result(spark, tmp_path, rows):
+    events = spark.sql("SELECT timestamp_ntz'2024-03-30 20:00:00' + make_dt_interval(0, 0, CAST(id * 7 AS INT)) AS ts FROM range(400)")
+    path, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    events.repartition(5).write.parquet(path)
+    jobs.windowed_rollup(jobs.follow(spark, path, events.schema, max_files=1), "ts", out, cp, late="30 days")
+    assert rows(jobs.read_windows(spark, out)) == rows(events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).count())
+
+
+def test_a_refresh_touches_only_its_periods(spark, tmp_path):
+    """Neither the files that are kept nor those that a refresh opens grow with the number of batches, and a lost batch runs again."""
+    source = str(tmp_path / "in")
+    kept = jobs.RevenueSummaries(spark, str(tmp_path / "kept"))
+    load = lambda day, n: spark.sql(f"SELECT CAST(timestamp'{day}' AS timestamp_ntz) AS d, CAST(10 AS DOUBLE) AS price FROM range({n})")
+    sizes, opened = [], []
+    held = kept.days.read
+
+    def watched(parts=None, before=None):
+        df = held(parts, before)
+        if parts is not None:
+            opened.append(len(df.inputFiles()))
+        return df
+
+    kept.days.read = watched
+    days = ["2023-01-05", "2023-02-05", "2023-06-05", "2024-01-05"] + ["2024-01-06", "2024-01-07"] * 3
+    for day in days:
+        load(day, 3).coalesce(1).write.mode("append").parquet(source)
+        kept.refresh(jobs.follow(spark, source, load(day, 1).schema), "d", "price")
+        sizes.append(len(list((tmp_path / "kept" / "days" / "data").rglob("part-*.parquet"))))
+    assert sizes[-1] == sizes[-2] == sizes[-3] <= 5 and max(opened) == 1
+    plan = kept.days.read(["2024-01-01"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    want = {(2023, 9 * 10.0, 9), (2024, 21 * 10.0, 21)}
+    assert {tuple(r) for r in kept.yearly().collect()} == want
+    # The last batch failed after its levels were written: it runs again and replaces them.
+    commits = sorted((p for p in (tmp_path / "kept" / "checkpoint" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for p in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        p.unlink(missing_ok=True)
+    kept.refresh(jobs.follow(spark, source, load("2024-01-05", 1).schema), "d", "price")
+    assert {tuple(r) for r in kept.yearly().collect()} == want
+    assert kept.monthly().count() == 4 and kept.quarterly().count() == 3
+
+
+def test_parts(spark, tmp_path, rows):
+    """Changed parts are rewritten, others keep their files; a commit is seen whole, may run again, and an emptied part goes."""
+    from brightledger.sources.parts import PartTable
+
+    table = PartTable(spark, str(tmp_path / "t"), "k int, v string, part string", "part")
+    assert table.read().count() == 0 and table.parts() == {}
+    make = lambda *r: spark.createDataFrame(list(r), "k int, v string, part string")
+    table.replace(make((1, "a", "x"), (2, "b", "y/z"), (3, "c", "w 1")), ["x", "y/z", "w 1"])
+    files = lambda: {str(p.relative_to(tmp_path)) for p in (tmp_path / "t" / "data").rglob("*.parquet")}
+    first = files()
+    table.change(["x"], lambda old: old.withColumn("v", F.lit("new")))
+    assert rows(table.read(), "k", "v") == [(1, "new"), (2, "b"), (3, "c")] and first < files()
+    assert rows(table.read(["y/z", "none"]), "k") == [(2,)] and len(table.read(["y/z"]).inputFiles()) == 1
+    assert rows(table.read(before=1), "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    table.replace(make((9, "again", "x"), (8, "stray", "other")), ["x"], commit=1)
+    assert rows(table.read(), "k", "v") == [(2, "b"), (3, "c"), (9, "again")]
+    table.replace(make(), ["w 1"])
+    assert rows(table.read(), "k") == [(2,), (9,)]
+    # An unfinished commit is not seen.
+    table._fs.delete(table._path(f"{table.path}/commits/2.json"), False)
+    assert rows(table.read(), "k") == [(2,), (3,), (9,)]
+    table.replace(make((5, "e", "v")), ["v"])
+    table.change(["v"], lambda old: old.withColumn("k", F.col("k") + 1))
+    table.clean(1)
+    assert rows(table.read(), "k") == [(2,), (3,), (6,), (9,)] and len(files()) == 4 and table.commits() == [3]
