@@ -1,13 +1,16 @@
 """The same scalar rules as native expressions and as Python functions.
 
 Use the native form: it stays in generated code. The Python forms exist so that user code
-written as functions keeps working. They move Arrow batches; the scalar ones work on whole batches, and the table
-function is called once for each row, as its call form asks.
+written as functions keeps working. They take and give whole Arrow batches; only the table function that is joined laterally is
+called once for each row, as Spark joins no other kind that way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,7 +76,7 @@ def split_rows(df: DataFrame, text: str, sep: str) -> DataFrame:
 
 @F.udtf(returnType="item string, position int", useArrow=True)
 class SplitToRows:
-    """Table function form of ``split_rows``."""
+    """Table function form of ``split_rows``, for a lateral join."""
 
     def eval(self, text: str, sep: str):
         if text is not None:
@@ -81,9 +84,29 @@ class SplitToRows:
                 yield piece.strip(), position
 
 
+@F.arrow_udtf(returnType="id bigint, item string, position int")
+class SplitTable:
+    """Table function form of ``split_rows`` over a table (id, text) and a separator: record batches in, tables out, no loop over rows."""
+
+    def eval(self, table: pa.RecordBatch, sep: pa.Array) -> Iterator[pa.Table]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if table.num_rows:
+            pieces = pc.split_pattern(table.column(1).cast(pa.string()), sep[0].as_py() or ",")
+            owner = pc.list_parent_indices(pieces)
+            sizes = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False)
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            yield pa.table({
+                "id": pc.take(table.column(0), owner), "item": pc.utf8_trim(pc.list_flatten(pieces), " "), "position": pa.array(place, pa.int32()),
+            })
+
+
 def register(spark: SparkSession) -> None:
     """Make the functions callable from SQL."""
     spark.udtf.register("split_to_rows", SplitToRows)
+    spark.udtf.register("split_table", SplitTable)
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION revenue_tier(revenue DOUBLE) RETURNS STRING RETURN CASE "
         + " ".join(f"WHEN revenue >= {bound} THEN '{label}'" for bound, label in TIERS)

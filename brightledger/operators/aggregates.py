@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -107,24 +108,28 @@ def conditional_counts(daily: DataFrame) -> DataFrame:
 def distinct_counts(orders: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct customers and days per status.
 
-    Exact counts expand each row once per distinct column after a map-side pass; the
-    approximate form is a single mergeable sketch per group.
+    The exact form counts days from sums by (status, day), which the calendar bounds, and customers from (status, customer), so that no row is expanded and a
+    hot status is spread before it is counted. The approximate form is a mergeable sketch of the customers per (status, day), merged over the days.
     """
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return orders.groupBy("o_orderstatus").agg(
-        count(F.col("o_custkey")).alias("customers"),
-        count(F.col("o_orderdate").cast("date")).alias("days"),
-        F.count(F.lit(1)).alias("num_orders"),
-    )
+    day = F.col("o_orderdate").cast("date").alias("_day")
+    sketch = [F.hll_sketch_agg(F.col("o_custkey").cast("bigint")).alias("_s")] if approximate else []
+    days = orders.groupBy("o_orderstatus", day).agg(F.count(F.lit(1)).alias("_n"), *sketch)
+    merged = [F.hll_sketch_estimate(F.hll_union_agg("_s")).alias("customers")] if approximate else []
+    by_status = days.groupBy("o_orderstatus").agg(*merged, F.count("_day").alias("days"), F.sum("_n").alias("num_orders"))
+    if not approximate:
+        pairs = orders.groupBy("o_orderstatus", "o_custkey").agg(F.lit(1).alias("_one"))
+        customers = pairs.groupBy(F.col("o_orderstatus").alias("_status")).agg(F.count("o_custkey").alias("customers"))
+        by_status = by_status.join(customers, F.col("o_orderstatus").eqNullSafe(F.col("_status")))
+    return by_status.select("o_orderstatus", "customers", "days", "num_orders")
 
 
 def text_per_group(df: DataFrame, key: str, text: str, order: str, sep: str = ". ") -> DataFrame:
     """LISTAGG ... WITHIN GROUP: the whole text of each group in order, one row per group."""
     sql = (
-        f"SELECT {key}, listagg({text}, '{sep}') WITHIN GROUP (ORDER BY {order}) AS full_text, "
+        f"SELECT {key}, listagg({text}, :sep) WITHIN GROUP (ORDER BY {order}) AS full_text, "
         f"count(*) AS num_texts FROM {{src}} GROUP BY {key}"
     )
-    return df.sparkSession.sql(sql, src=df)
+    return df.sparkSession.sql(sql, args={"sep": sep}, src=df)
 
 
 def values_per_month(daily: DataFrame) -> DataFrame:
@@ -239,20 +244,23 @@ def gold_agg_quarterly(fact: DataFrame) -> DataFrame:
     )
 
 
-def customer_metrics(customer: DataFrame, orders: DataFrame) -> DataFrame:
-    """Per customer: distinct transactions, active days, revenue, mean, first and last day, lifetime days.
+def customer_days(orders: DataFrame) -> DataFrame:
+    """State of the customer metrics, one row per (customer, day): sums, rows, and a sketch of the order keys. States of different loads are merged by ``merge_customer_days``."""
+    return orders.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.sum(cents("o_totalprice")).alias("cents"),
+        F.count(F.lit(1)).alias("rows"),
+        F.hll_sketch_agg(F.col("o_orderkey").cast("bigint")).alias("order_sketch"),
+    )
 
-    Orders shrink to one row per customer before the outer join, so the join is one row to one row.
-    """
-    day = F.col("o_orderdate").cast("date")
-    facts = orders.groupBy("o_custkey").agg(
-        F.count_distinct(F.col("o_orderkey")).alias("total_transactions"),
-        F.count_distinct(day).alias("days_with_purchase"),
-        F.sum(cents("o_totalprice")).alias("_c"),
-        F.count(F.lit(1)).alias("_n"),
-        F.min(day).alias("_first"),
-        F.max(day).alias("_last"),
+
+def merge_customer_days(state: DataFrame, new: DataFrame) -> DataFrame:
+    """The state after more orders: sums add up, sketches unite, so an order that comes twice is still one."""
+    return state.unionByName(new).groupBy("o_custkey", "day").agg(
+        F.sum("cents").alias("cents"), F.sum("rows").alias("rows"), F.hll_union_agg("order_sketch").alias("order_sketch")
     )
+
+
+def _metrics(customer: DataFrame, facts: DataFrame) -> DataFrame:
     return customer.join(facts, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         "c_custkey",
         "c_name",
@@ -266,6 +274,38 @@ def customer_metrics(customer: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def _by_customer(days: DataFrame, cents: str, rows: str, *more: Column) -> DataFrame:
+    """Days, sums and span of each customer, from one row per (customer, day)."""
+    return days.groupBy("o_custkey").agg(
+        F.count("day").alias("days_with_purchase"), F.sum(cents).alias("_c"), F.sum(rows).alias("_n"),
+        F.min("day").alias("_first"), F.max("day").alias("_last"), *more,
+    )
+
+
+def customer_metrics_from(customer: DataFrame, state: DataFrame) -> DataFrame:
+    """Customer metrics from the kept state: everything exact but the distinct transactions, which are the estimate of the united sketches."""
+    transactions = F.hll_sketch_estimate(F.hll_union_agg("order_sketch")).alias("total_transactions")
+    return _metrics(customer, _by_customer(state, "cents", "rows", transactions))
+
+
+def customer_metrics(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per customer: distinct transactions, active days, revenue, mean, first and last day, lifetime days.
+
+    Orders are summed to (customer, order) and from there to (customer, day): no row is expanded for the two distinct counts, and a hot
+    customer is spread over its orders until few rows are left. An order with rows on several days counts on each of them, and once as a transaction.
+    """
+    day = F.col("o_orderdate").cast("date").alias("day")
+    # One exchange serves the sums and the window; order rows are hardly ever equal, so a map-side pass would find nothing to add up.
+    own = orders.select("o_custkey", "o_orderkey", "o_totalprice", day).repartition("o_custkey", "o_orderkey")
+    lines = own.groupBy("o_custkey", "o_orderkey", "day").agg(F.sum(cents("o_totalprice")).alias("cents"), F.count(F.lit(1)).alias("rows"))
+    # The first day of an order stands for it; within one customer and order there are few days.
+    first = F.min("day").over(W.partitionBy("o_custkey", "o_orderkey"))
+    days = lines.withColumn("_first", first).groupBy("o_custkey", "day").agg(
+        F.sum("cents").alias("cents"), F.sum("rows").alias("rows"), F.count_if(F.col("o_orderkey").isNotNull() & F.col("day").eqNullSafe(F.col("_first"))).alias("orders")
+    )
+    return _metrics(customer, _by_customer(days, "cents", "rows", F.sum("orders").alias("total_transactions")))
+
+
 def customer_ltv(orders: DataFrame) -> DataFrame:
     """Lifetime value and distinct orders per customer."""
     return (

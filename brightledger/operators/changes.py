@@ -26,7 +26,7 @@ def net_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     n = new.select(*cols, F.lit(True).alias("_here")).alias("n")
     cond = F.lit(True)
     for k in keys:
-        cond = cond & (F.col(f"o.{k}") == F.col(f"n.{k}"))
+        cond = cond & F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))  # a NULL key is a key
     same = F.lit(True)
     for c in cols:
         same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
@@ -46,9 +46,17 @@ def net_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return o.join(n, cond, "full").where(~(was & now & same)).select(F.inline(rows))
 
 
+def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key is not among those of ``gone``; a NULL key is a key."""
+    met = F.lit(True)
+    for k in keys:
+        met = met & F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
+    return df.alias("_l").join(gone.select(*keys).alias("_r"), met, "left_anti").select(*df.columns)
+
+
 def appended(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key the old version does not have."""
-    return new.join(old.select(*keys), list(keys), "left_anti").select(*new.columns)
+    return without_keys(new, old, keys)
 
 
 def labelled(changes: DataFrame, keep_before: bool = False) -> DataFrame:
@@ -77,7 +85,7 @@ def apply_changes(
 def upsert(df: DataFrame, updates: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``updates`` replace or join those of ``df``; keys in ``deletes`` go."""
     gone = updates.select(*keys).unionByName(deletes.select(*keys))
-    return df.join(gone, list(keys), "left_anti").select(*df.columns).unionByName(updates.select(*df.columns))
+    return without_keys(df, gone, keys).unionByName(updates.select(*df.columns))
 
 
 def log_rows(df: DataFrame, op: str, commit_ts: str, change_id: int) -> DataFrame:
@@ -94,11 +102,11 @@ def log_changes(changes: DataFrame, commit_ts: str, change_id: int) -> DataFrame
     return rows.withColumns({"commit_ts": F.lit(commit_ts).cast("timestamp_ntz"), "change_id": F.lit(change_id)})
 
 
-def _state(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+def latest_state(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("commit_ts", "change_id")) -> DataFrame:
     """Latest entry per key, without deleted keys. An aggregate with a map-side pass."""
     cols = [c for c in log.columns if c not in ("op", "commit_ts", "change_id")]
     rest = [c for c in cols if c not in keys]
-    last = F.max_by(F.struct("op", *rest), F.struct("commit_ts", "change_id")).alias("_r")
+    last = F.max_by(F.struct("op", *rest), F.struct(*order)).alias("_r")
     return (
         log.groupBy(*keys).agg(last).where(F.col("_r.op") != "D")
         .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*cols)
@@ -108,17 +116,17 @@ def _state(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 def as_of(log: DataFrame, keys: Sequence[str], ts: str, offset_seconds: int = 0) -> DataFrame:
     """The table at a moment, or that many seconds before or after it."""
     at = F.lit(ts).cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(offset_seconds))
-    return _state(log.where(F.col("commit_ts") <= at), keys)
+    return latest_state(log.where(F.col("commit_ts") <= at), keys)
 
 
 def before_change(log: DataFrame, keys: Sequence[str], change_id: int) -> DataFrame:
     """The table just before a given change."""
-    return _state(log.where(F.col("change_id") < change_id), keys)
+    return latest_state(log.where(F.col("change_id") < change_id), keys)
 
 
 def restore(current: DataFrame, log: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """The current rows, and those of an earlier moment whose key is gone."""
-    lost = as_of(log, keys, ts).join(current.select(*keys), list(keys), "left_anti")
+    lost = without_keys(as_of(log, keys, ts), current, keys)
     return current.unionByName(lost.select(*current.columns))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -33,3 +36,29 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
 def broadcast_bytes(df: DataFrame) -> int:
     """How many bytes the session lets Spark broadcast for a join; 0 if it lets it broadcast nothing."""
     return max(0, df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def range_bounds(source: DataFrame, key: Column, parts: int) -> list[int]:
+    """Bounds of ``parts`` ranges of a whole number with about as many rows of ``source`` each: one aggregate with a mergeable quantile sketch."""
+    shares = [k / parts for k in range(1, parts)]
+    found = source.agg(F.percentile_approx(key, shares, 10_000).alias("b")).first()["b"] if shares else []
+    return sorted(set(found or []))
+
+
+def clustered(df: DataFrame, key: Column, bounds: Sequence[int], *order: str) -> DataFrame:
+    """The rows in ranges of ``key``, sorted within each.
+
+    ``repartitionByRange`` runs the frame once for a sample and once for its rows. Here the bounds are known, for example from the table that the key comes from,
+    so the frame runs once. A range is found by binary search; rows without a key are in the first.
+    """
+    if not bounds:
+        return df.repartition(1).sortWithinPartitions(*order)
+    found, n = F.array(*[F.lit(b).cast("bigint") for b in bounds]), len(bounds)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+
+    def ahead(at: Column, step: Column) -> Column:
+        next_ = at + step
+        return F.when((next_ <= n) & (F.element_at("_bounds", F.least(next_, F.lit(n))) <= F.col("_key")), next_).otherwise(at)
+
+    placed = df.withColumns({"_bounds": found, "_key": key.cast("bigint")}).withColumn("_range", F.aggregate(steps, F.lit(0), ahead))
+    return placed.drop("_bounds", "_key").repartitionById(n + 1, F.col("_range")).drop("_range").sortWithinPartitions(*order)

@@ -275,6 +275,15 @@ def validate_row_count(df: DataFrame, min_rows: int = 0, max_rows: int | None =
     return n >= min_rows and not (max_rows and n > max_rows)
 
 
+def row_count_rule(df: DataFrame, name: str, min_rows: int = 0, max_rows: int | None = None) -> DataFrame:
+    """The number of rows and whether it is within limits, as one row, also for an empty table. Nothing runs before the result is read."""
+    n = F.count(F.lit(1))
+    return df.agg(n.alias("rows")).select(
+        F.lit(name).alias("table"), "rows", (F.col("rows") >= min_rows).alias("above_minimum"),
+        (F.col("rows") <= max_rows if max_rows else F.lit(True)).alias("below_maximum"),
+    )
+
+
 def validate_duplicates(df: DataFrame, subset: list[str]) -> bool:
     """No key occurs twice; NULLs count as equal."""
     return duplicates(df, subset).isEmpty()

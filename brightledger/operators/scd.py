@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import strings as S
+from ..sources.parts import PartTable
+from .layout import stored
 from .windows import dedup_latest
 
 VERSION_COLUMNS = ["effective_date", "end_date", "is_current"]
@@ -40,17 +42,19 @@ def scd2_merge(
     """The next state of a type 2 dimension.
 
     A key whose attributes changed closes on the day before ``as_of`` and opens a new version; a new key
-    opens a version; an unchanged or absent key stays. Closed history passes through untouched.
+    opens a version; an unchanged or absent key stays. A version that opened on that day or later is replaced, as it would end before it began. Of incoming rows
+    with the same key the one with the greatest attributes counts. Closed history passes through untouched.
     One outer join of the open rows on the key; each match yields one or two rows.
     """
     today = F.lit(as_of).cast("date")
     extra = [c for c in current.columns if c not in [*keys, *attrs, *VERSION_COLUMNS]]
     history = current.where(~F.col("is_current"))
     old = current.where(F.col("is_current")).alias("o")
-    new = incoming.select(*keys, *attrs, F.lit(True).alias("_new")).alias("n")
+    one = incoming.groupBy(*keys).agg(F.max(F.struct(*attrs)).alias("_a"))
+    new = one.select(*keys, *[F.col(f"_a.{a}").alias(a) for a in attrs], F.lit(True).alias("_new")).alias("n")
     cond = None
     for k in keys:
-        c = F.col(f"o.{k}") == F.col(f"n.{k}")
+        c = F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))
         cond = c if cond is None else cond & c
     both = old.join(new, cond, "full")
 
@@ -67,11 +71,68 @@ def scd2_merge(
     keep = version("o", F.col("o.effective_date"), open_end, F.lit(True))
     close = version("o", F.col("o.effective_date"), F.date_sub(today, 1), F.lit(False))
     start = version("n", today, open_end, F.lit(True))
-    rows = F.when(was & is_in & ~same, F.array(close, start)).when(was, F.array(keep)).otherwise(F.array(start))
+    again = version("n", F.col("o.effective_date"), open_end, F.lit(True))
+    changed = was & is_in & ~same
+    rows = F.when(changed & (F.col("o.effective_date") >= today), F.array(again)).when(changed, F.array(close, start)).when(was, F.array(keep)).otherwise(F.array(start))
     merged = both.select(F.inline(rows)).select(*current.columns)
     return history.unionByName(merged)
 
 
+class Scd2Table:
+    """A type 2 dimension as a stored table. Open rows lie in buckets of their keys; the versions that a merge closes are a part of their own.
+
+    A merge reads the open rows of the buckets that incoming keys fall into, and rewrites those in which a key is new or changed. Closed history is never read or written again,
+    other than by a second merge on the same day.
+    """
+
+    PART = "_part"
+
+    def __init__(self, spark: SparkSession, path: str, ddl: str, keys: Sequence[str], attrs: Sequence[str], buckets: int = 64):
+        self.keys, self.attrs, self.buckets = list(keys), list(attrs), buckets
+        columns = f"{ddl}, effective_date date, end_date date, is_current boolean"
+        self.table = PartTable(spark, path, f"{columns}, {self.PART} string", self.PART)
+        self.columns = [c for c in self.table.schema.fieldNames() if c != self.PART]
+
+    def _open(self) -> Column:
+        return F.concat(F.lit("open-"), F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string"))
+
+    def _parts(self, rows: DataFrame) -> list[str]:
+        """Names of buckets, as many as there are buckets at most."""
+        return sorted(r[0] for r in rows.select(self._open()).distinct().collect())
+
+    def merge(self, incoming: DataFrame, as_of: str) -> list[str]:
+        """Take in the present rows of some or all keys. Returns the parts that were rewritten."""
+        incoming = incoming.select(*self.keys, *self.attrs)
+        open_rows = self.table.read(self._parts(incoming)).select(*self.columns)
+        same = [*self.keys, *self.attrs]
+        met = F.lit(True)
+        for c in same:
+            met = met & F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}"))
+        changed = stored(incoming.alias("n").join(open_rows.alias("o"), met, "left_anti"), "changed")
+        touched = self._parts(changed)
+        if not touched:
+            return []
+        closed = f"closed-{as_of}"
+        rows = self.table.read([*touched, closed]).select(*self.columns)
+        # All rows of a key that has a changed one, so that the same row of it is chosen as if all were merged.
+        same_key = F.lit(True)
+        for k in self.keys:
+            same_key = same_key & F.col(f"n.{k}").eqNullSafe(F.col(f"c.{k}"))
+        again = incoming.alias("n").join(changed.alias("c"), same_key, "left_semi")
+        merged = scd2_merge(rows, again, self.keys, self.attrs, as_of)
+        part = F.when(F.col("is_current"), self._open()).otherwise(F.lit(closed))
+        self.table.replace(merged.withColumn(self.PART, part), [*touched, closed])
+        return touched
+
+    def read(self) -> DataFrame:
+        """All versions."""
+        return self.table.read().select(*self.columns)
+
+    def current(self) -> DataFrame:
+        """Open versions; closed ones are not opened."""
+        return self.table.read(p for p in self.table.parts() if p.startswith("open-")).select(*self.columns)
+
+
 def scd2_current(dim: DataFrame) -> DataFrame:
     """Open rows, and only active ones where the dimension says so."""
     rows = dim.where(F.col("is_current"))

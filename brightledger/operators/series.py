@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.numbers import dbl, r2, ratio, round_half_up
+from .layout import stored
 
 EPOCH = "2000-01-01"
 PASSES = 3
@@ -31,7 +32,11 @@ def _day(ts: str) -> Column:
     return F.datediff(F.col(ts), F.lit(EPOCH).cast("date"))
 
 
-def _cells(df: DataFrame, ts: str, value: str, keys: Sequence[str], decimals: int) -> DataFrame:
+SUMS = ("n", "sx", "sxx", "sy", "sxy", "syy")
+
+
+def _exact_cells(df: DataFrame, ts: str, value: str, keys: Sequence[Column | str], decimals: int) -> DataFrame:
+    """Exact sums of each (keys, month, weekday)."""
     x = _day(ts).cast("bigint")
     y = F.col(value).cast(f"decimal(18,{decimals})")
     return (
@@ -46,13 +51,13 @@ def _cells(df: DataFrame, ts: str, value: str, keys: Sequence[str], decimals: in
             F.sum(y * y).alias("syy"),
             F.max(ts).alias("last"),
         )
-        .select(
-            *keys, "m", "w", "last",
-            *[dbl(c).alias(c) for c in ("n", "sx", "sxx", "sy", "sxy", "syy")],
-        )
     )
 
 
+def _as_doubles(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return cells.select(*keys, "m", "w", "last", *[dbl(c).alias(c) for c in SUMS])
+
+
 def ts_fit(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), decimals: int = 2) -> DataFrame:
     """One model row per series: slope, level, month and weekday effects (as maps), deviation, rows, last date.
 
@@ -60,7 +65,11 @@ def ts_fit(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), decimal
     fitted as far as its rows go: on one day the slope is 0, and with one row there is no deviation. Only a
     series without any value has no model.
     """
-    cells = _cells(df, ts, value, keys, decimals)
+    return _fit(_as_doubles(_exact_cells(df, ts, value, keys, decimals), keys), keys)
+
+
+def _fit(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Models from cells."""
     # All windows below partition by the keys or finer, so this is their only shuffle.
     cells = cells.repartition(*keys) if keys else cells.coalesce(1)
     whole, by_m, by_w = W.partitionBy(*keys), W.partitionBy(*keys, "m"), W.partitionBy(*keys, "w")
@@ -154,18 +163,56 @@ def ts_evaluate(
     df: DataFrame, ts: str, value: str, holdout: int, keys: Sequence[str] = (), prediction_interval: float = 0.95
 ) -> DataFrame:
     """MAPE, MAE, MSE, RMSE and coverage in percent, on the last ``holdout`` days, from a model of the days before."""
+    return ts_backtest(df, ts, value, holdout, 1, keys=keys, prediction_interval=prediction_interval).drop("fold", "cutoff")
+
+
+def ts_backtest(
+    df: DataFrame, ts: str, value: str, holdout: int, folds: int, step: int | None = None, keys: Sequence[str] = (),
+    prediction_interval: float = 0.95, decimals: int = 2,
+) -> DataFrame:
+    """Rolling-origin evaluation: per fold, scores on the ``holdout`` days after its cut-off, from a model of all days up to it.
+
+    The last fold's cut-off lies ``holdout`` days before the end of the series, each earlier one ``step`` days (by default ``holdout``) before the next. The rows are stored once,
+    so whatever makes them runs once. One pass sums them to cells of the stretch between two cut-offs; the cells of a fold's model are the sums over all stretches up to its
+    cut-off, so k folds cost one pass over the rows and not 2k.
+    """
+    if folds < 1 or holdout < 1 or (step is not None and step < 1):
+        raise ValueError("folds, holdout and step must be 1 at least")
+    step = step or holdout
+    keys = list(keys)
+    rows = stored(df.select(*keys, F.col(ts).alias("_ts"), F.col(value).alias("_v")), "series")
     if keys:
-        last = df.groupBy(*keys).agg(F.max(ts).alias("_last"))
-        split = df.join(last, list(keys))
+        rows = rows.join(rows.groupBy(*keys).agg(F.max("_ts").alias("_last")), keys)
     else:
-        split = df.withColumn("_last", df.select(F.max(ts)).scalar())
-    edge = F.date_sub("_last", holdout)
-    train, test = split.where(F.col(ts) <= edge).drop("_last"), split.where(F.col(ts) > edge).drop("_last")
-    scored = ts_fitted(test, ts_fit(train, ts, value, keys), ts, value, keys, prediction_interval)
+        rows = rows.withColumn("_last", rows.select(F.max("_ts")).scalar())
+    # Days after the first cut-off.
+    after = F.datediff("_ts", F.date_sub("_last", holdout + (folds - 1) * step))
+    stretch = F.greatest(F.lit(0), F.ceil(after / step)).cast("int")
+    pieces = _exact_cells(rows.withColumn("_s", stretch).where(F.col("_s") < folds), "_ts", "_v", [*keys, "_s"], decimals)
+    upto = pieces.withColumn("fold", F.explode(F.sequence("_s", F.lit(folds - 1)))).groupBy(*keys, "fold", "m", "w").agg(
+        *[F.sum(c).alias(c) for c in SUMS], F.max("last").alias("last")
+    )
+    model = _fit(_as_doubles(upto, [*keys, "fold"]), [*keys, "fold"])
+    # A day is tested by the folds whose cut-off lies at most ``holdout`` days before it.
+    first = F.greatest(F.lit(0), F.ceil((after - holdout) / step)).cast("int")
+    final = F.least(F.lit(folds - 1), (F.ceil(after / step) - 1).cast("int"))
+    test = rows.where(after >= 1).withColumns({"_f": first, "_t": final}).where(F.col("_f") <= F.col("_t"))
+    test = test.select(*keys, "_ts", "_v", "_last", F.explode(F.sequence("_f", "_t")).alias("fold"))
+    met = F.col("r.fold") == F.col("m.fold")
+    for k in keys:
+        met = met & F.col(f"r.{k}").eqNullSafe(F.col(f"m.{k}"))
+    half = _z(prediction_interval) * F.col("sigma")
+    scored = (
+        test.alias("r").join(model.alias("m"), met, "left")
+        .select("r.*", *[F.col(f"m.{c}") for c in model.columns if c not in [*keys, "fold"]])
+        .withColumn("forecast", _point("_ts"))
+        .select(*keys, "fold", "_last", dbl("_v").alias("actual"), "forecast", (F.col("forecast") - half).alias("lower_bound"), (F.col("forecast") + half).alias("upper_bound"))
+    )
     miss = F.col("actual") - F.col("forecast")
     inside = F.col("actual").between(F.col("lower_bound"), F.col("upper_bound"))
     n = F.count(F.lit(1))
-    return scored.groupBy(*keys).agg(
+    return scored.groupBy(*keys, "fold").agg(
+        F.date_sub(F.max("_last"), F.lit(holdout) + (F.lit(folds - 1) - F.col("fold")) * step).alias("cutoff"),
         n.alias("n"),
         round_half_up(F.sum(F.abs(miss / F.nullif(F.col("actual"), F.lit(0.0)))) / n * 100, 4).alias("mape"),
         r2(F.sum(F.abs(miss)) / n).alias("mae"),

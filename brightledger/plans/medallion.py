@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import date_key
 from ..operators import aggregates as A
 from ..operators import calendar as C
 from ..operators import scd, series, star
+from ..operators.layout import clustered, range_bounds
 from ..sources.audit import PipelineLog
 from ..sources.loading import bronze_load
 from ..sources.versions import VersionedTable
@@ -66,8 +68,25 @@ def _forecast(days: int):
     return build
 
 
-# (layer, table, builder, columns to cluster the written files by)
-STEPS: list[tuple[str, str, Callable[[Tables, Read, str], DataFrame], Sequence[str]]] = [
+def _place(date_id: Column, customer: Column) -> Column:
+    """Day, then customer, as one number, so that one day with most of the rows still spreads over tasks."""
+    return date_id.cast("bigint") * (1 << 32) + F.least(F.greatest(customer, F.lit(0)), F.lit((1 << 32) - 1))
+
+
+def _by_orders(t: Tables, read: Read) -> tuple[DataFrame, Column]:
+    return t.orders, _place(date_key("o_orderdate"), F.col("o_custkey"))
+
+
+def _by_fact(t: Tables, read: Read) -> tuple[DataFrame, Column]:
+    return read("gold.fact_sales"), _fact_place()
+
+
+def _fact_place() -> Column:
+    return _place(F.col("date_id"), F.col("customer_id"))
+
+
+# (layer, table, builder, where the ranges are taken from that cluster the written files by day and customer)
+STEPS: list[tuple[str, str, Callable[[Tables, Read, str], DataFrame], Callable[[Tables, Read], tuple[DataFrame, Column]] | tuple]] = [
     ("bronze", "daily_sales", _bronze_daily, ()),
     ("bronze", "customer", _bronze_customer, ()),
     ("silver", "daily_sales", lambda t, read, d: star.silver_daily_sales(read("bronze.daily_sales")), ()),
@@ -75,8 +94,8 @@ STEPS: list[tuple[str, str, Callable[[Tables, Read, str], DataFrame], Sequence[s
     ("gold", "dim_date", _dim_date, ()),
     ("gold", "dim_product", lambda t, read, d: star.gold_dim_product(t.part), ()),
     ("gold", "fact_daily_sales", lambda t, read, d: star.gold_fact_daily(read("silver.daily_sales")), ()),
-    ("gold", "fact_sales", lambda t, read, d: star.gold_fact_sales(t.lineitem, t.orders, t.part), ("date_id", "customer_id")),
-    ("gold", "agg_daily_sales", lambda t, read, d: star.gold_agg_daily_sales(read("gold.fact_sales")), ("date_id", "customer_id")),
+    ("gold", "fact_sales", lambda t, read, d: star.gold_fact_sales(t.lineitem, t.orders, t.part), _by_orders),
+    ("gold", "agg_daily_sales", lambda t, read, d: star.gold_agg_daily_sales(read("gold.fact_sales")), _by_fact),
     ("gold", "agg_monthly_sales", lambda t, read, d: A.gold_agg_monthly(read("gold.fact_daily_sales")), ()),
     ("gold", "agg_quarterly_sales", lambda t, read, d: A.gold_agg_quarterly(read("gold.fact_daily_sales")), ()),
     ("gold", "customer_metrics", lambda t, read, d: A.customer_metrics(t.customer, t.orders), ()),
@@ -123,8 +142,9 @@ def run_medallion(
         def job(layer=layer, table=table, build=build, cluster=cluster) -> int:
             df = build(tables, read, as_of)
             if cluster:
-                # Two columns, so that one day with most of the rows still spreads over tasks.
-                df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
+                source, key = cluster(tables, read)
+                parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                df = clustered(df, _fact_place(), range_bounds(source, key, parts), "date_id", "customer_id")
             target = stored(f"{layer}.{table}")
             return target.read(target.write(df, "REFRESH")).count()
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import changes as C
 from ..session import scratch_path
 from ..sources.audit import PipelineLog
+from ..sources.kept import KeptTable
+from ..sources.parts import BucketTable
 from ..streaming import jobs
 from .q_relational import AVG, MAX, MONTH, PER_ORDER, QUARTER, SUM, SUM_N, on_daily
 from .registry import query
@@ -18,18 +20,27 @@ N_COLS = ", ".join(f"n.{c}" for c in COLS.split(", "))
 O_COLS = ", ".join(f"o.{c}" for c in COLS.split(", "))
 CHANGED = "n.c_mktsegment <> o.c_mktsegment"
 
-query(
-    "apply_changes",
-    f"""SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal, c_mktsegment
-        FROM customer WHERE c_custkey % 11 <> 0""",
-)(
-    lambda t: C.apply_changes(
-        t.customer,
-        {"c_acctbal": F.col("c_acctbal") * 2},
-        where=F.col("c_custkey") % 7 == 0,
-        delete_where=F.col("c_custkey") % 11 == 0,
-    )
-)
+APPLIED = """SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+  FROM customer WHERE c_custkey % 11 <> 0"""
+
+
+def _statements():
+    """UPDATE of every 7th key and DELETE of every 11th."""
+    return {"set_values": {"c_acctbal": F.col("c_acctbal") * 2}, "where": F.col("c_custkey") % 7 == 0, "delete_where": F.col("c_custkey") % 11 == 0}
+
+
+query("apply_changes", APPLIED)(lambda t: C.apply_changes(t.customer, **_statements()))
+
+
+def _applied_in_place(t):
+    """The same changes to a stored table, which rewrites the buckets they touch."""
+    table = BucketTable(t.spark, scratch_path(t.spark, "customers"), t.customer.schema.toDDL(), KEY, buckets=16)
+    table.load(t.customer)
+    table.update(**_statements())
+    return table.read()
+
+
+query("apply_changes_stored", APPLIED)(_applied_in_place)
 
 NET = f"""
   SELECT {O_COLS}, 'DELETE' AS action, n.c_custkey IS NOT NULL AS is_update, md5(CAST(o.c_custkey AS VARCHAR)) AS row_id
@@ -121,20 +132,22 @@ def _windowed(t):
 query("stream_hourly_windows", HOURLY)(_windowed)
 
 
-def customer_log(t):
-    """Kept log of the customers: all inserted in January 2024, the later version committed in June."""
-    first = C.log_rows(t.customer, "I", "2024-01-01 00:00:00", 1)
-    then = C.log_changes(C.net_changes(t.customer, t.customer_v2, KEY), "2024-06-01 00:00:00", 2)
-    return first.unionByName(then)
+def kept_customers(t):
+    """The customers with their history: all inserted in January 2024, the later version committed in June, a snapshot after each."""
+    kept = KeptTable(t.spark, scratch_path(t.spark, "kept"), t.customer.schema.toDDL(), KEY, every=1)
+    kept.append(t.customer.withColumn("op", F.lit("I")), "2024-01-01 00:00:00")
+    changed = C.labelled(C.net_changes(t.customer, t.customer_v2, KEY))
+    kept.append(changed.withColumn("op", F.substring("change_type", 1, 1)), "2024-06-01 00:00:00")
+    return kept
 
 
 def _as_of(t):
-    log = customer_log(t)
+    kept = kept_customers(t)
     views = {
-        "at March": C.as_of(log, KEY, "2024-03-01 00:00:00"),
-        "at July": C.as_of(log, KEY, "2024-07-01 00:00:00"),
-        "90 days before July": C.as_of(log, KEY, "2024-07-01 00:00:00", -90 * 86400),
-        "before change 2": C.before_change(log, KEY, 2),
+        "at March": kept.as_of("2024-03-01 00:00:00"),
+        "at July": kept.as_of("2024-07-01 00:00:00"),
+        "90 days before July": kept.as_of("2024-07-01 00:00:00", -90 * 86400),
+        "before change 2": kept.before_change(2),
     }
     out = None
     for name, df in views.items():
@@ -161,7 +174,7 @@ query(
         f"""SELECT {COLS} FROM customer_v2 UNION ALL
             SELECT {COLS} FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM customer_v2)""",
     ),
-)(lambda t: C.restore(t.customer_v2, customer_log(t), KEY, "2024-03-01 00:00:00"))
+)(lambda t: kept_customers(t).restore("2024-03-01 00:00:00"))
 
 query(
     "table_compare",

@@ -324,6 +324,15 @@ def _lateral(t):
 query("udtf_lateral", SPLIT_SQL)(_lateral)
 
 
+def _table_function(t):
+    U.register(t.spark)
+    sql = "SELECT id AS p_partkey, item, position FROM split_table(TABLE(SELECT p_partkey, p_name FROM {part}), ' ')"
+    return t.spark.sql(sql, part=t.part)
+
+
+query("udtf_table", SPLIT_SQL)(_table_function)
+
+
 def _sql_udf(t):
     U.register(t.spark)
     sql = "SELECT sale_date, CAST(daily_revenue AS DOUBLE) AS daily_revenue, revenue_tier(revenue_index) AS tier FROM {daily}"

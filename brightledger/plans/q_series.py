@@ -9,6 +9,7 @@ from ..functions.numbers import cents, dbl, money, r2
 from ..operators import learning as L
 from ..operators import series as S
 from ..operators.basics import revenue_tier
+from ..operators.layout import stored
 from ..session import scratch_path
 from ..sources import writers
 from .q_relational import on_daily
@@ -70,7 +71,9 @@ def forecast(t, days):
 
 
 def combined(t, days=90):
-    return S.combined(t.daily, forecast(t, days))
+    """Actual and forecast days, from daily totals that are made once."""
+    daily = stored(t.daily, "daily")
+    return S.combined(daily, S.forecast_table(S.ts_fit(daily, "sale_date", "daily_revenue"), days))
 
 
 query(
@@ -99,6 +102,24 @@ query(
     ),
 )(lambda t: S.ts_evaluate(t.daily, "sale_date", "daily_revenue", 90))
 
+def _folds(t):
+    return S.ts_backtest(t.daily, "sale_date", "daily_revenue", 90, 3)
+
+
+def _fold_sql(k: int) -> str:
+    """The evaluation of fold k of 3, from its own model."""
+    return f"""SELECT * FROM (WITH allrows AS (SELECT sale_date AS d, daily_revenue AS v FROM daily), edge AS (SELECT MAX(d) - {90 * (3 - k)} AS e FROM allrows),
+      series AS (SELECT d, v FROM allrows, edge WHERE d <= e), {fit_sql('series')},
+      s AS (SELECT e, CAST(v AS DOUBLE) AS actual, {POINT} AS f, CAST({S.quantile(0.95)!r} AS DOUBLE) * sigma AS half
+        FROM allrows CROSS JOIN edge CROSS JOIN model LEFT JOIN em ON em.m = month(d) LEFT JOIN ew ON ew.w = dayofweek(d) WHERE d > e AND d <= e + 90)
+      SELECT {k} AS fold, MAX(e) AS cutoff, COUNT(*) AS n, {sql_r('SUM(abs((actual - f) / NULLIF(actual, 0))) / COUNT(*) * 100', 4)} AS mape,
+        {sql_r('SUM(abs(actual - f)) / COUNT(*)')} AS mae, round(SUM((actual - f) * (actual - f)) / COUNT(*), 0) AS mse,
+        {sql_r('sqrt(SUM((actual - f) * (actual - f)) / COUNT(*))')} AS rmse,
+        {sql_r('CAST(COUNT(CASE WHEN actual BETWEEN f - half AND f + half THEN 1 END) * 100 AS DOUBLE) / COUNT(*)')} AS coverage FROM s)"""
+
+
+query("ts_backtest", on_daily(" UNION ALL ".join(_fold_sql(k) for k in range(3))))(_folds)
+
 query(
     "ts_forecast_tables",
     on_daily(forecast_sql(180) + "SELECT 90 AS horizon, * FROM tab WHERE forecast_date <= (SELECT last_date + 90 FROM model) UNION ALL SELECT 180, * FROM tab"),
@@ -121,10 +142,15 @@ query(
     on_daily(forecast_sql(30) + COMBINED + "SELECT date, actual_revenue AS revenue, forecast_revenue, lower_bound, upper_bound, data_type FROM both_rows"),
 )(lambda t: combined(t, 30).drop("days_ahead").withColumnRenamed("actual_revenue", "revenue"))
 
+def _transition(t):
+    both = combined(t)
+    return S.transition(both, 15, both.where("data_type = 'ACTUAL'").select(F.max("date")).scalar())
+
+
 query(
     "ts_transition",
     on_daily(forecast_sql(90) + COMBINED + "SELECT * FROM both_rows WHERE date >= (SELECT MAX(sale_date) - 15 FROM daily)"),
-)(lambda t: S.transition(combined(t), 15, t.daily.select(F.max("sale_date")).scalar()))
+)(_transition)
 
 
 def _mean(col: str) -> str:
@@ -228,14 +254,19 @@ query("sink_export_forecast", on_daily(forecast_sql(90) + "SELECT * FROM tab"))(
 LABELLED_BEFORE = "1999-01-01"
 
 
-def _classified(t):
+def _predicted(t):
     """Tiers of new days from revenue, orders and weekday, learned from the days before; and whether class and probabilities hold."""
     rows = t.daily_indexed.select(
         "sale_date", dbl("daily_revenue").alias("daily_revenue"), "num_orders",
         D.dow0("sale_date").alias("day_of_week"), revenue_tier("revenue_index").alias("revenue_class"),
     )
     known, new = (rows.where(c) for c in (f"sale_date < '{LABELLED_BEFORE}'", f"sale_date >= '{LABELLED_BEFORE}'"))
-    found = L.predict(new, L.fit_classifier(known, ["daily_revenue", "num_orders", "day_of_week"], "revenue_class"))
+    return L.predict(new, L.fit_classifier(known, ["daily_revenue", "num_orders", "day_of_week"], "revenue_class"))
+
+
+def _classified(t):
+    """What is certain about the predictions, whatever the forest."""
+    found = _predicted(t)
     shares = [F.col(c) for c in found.columns if c.startswith("p_")]
     return found.agg(
         F.count(F.lit(1)).alias("new_days"),
@@ -258,6 +289,10 @@ query(
 )(_classified)
 
 
+# The predictions themselves: a row for each new day with its class, the predicted one and a probability for each. No SQL grows the same forest.
+query("ml_classify_predictions")(_predicted)
+
+
 def _insights(t):
     """What moved revenue between 1996 and 1999, over part type, status and priority."""
     year = F.year("o_orderdate")

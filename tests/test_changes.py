@@ -286,9 +286,105 @@ def test_parts(spark, tmp_path, rows):
     table.replace(make(), ["w 1"])
     assert rows(table.read(), "k") == [(2,), (9,)]
     # An unfinished commit is not seen.
-    table._fs.delete(table._path(f"{table.path}/commits/2.json"), False)
+    table.files.delete("commits/2.json")
     assert rows(table.read(), "k") == [(2,), (3,), (9,)]
     table.replace(make((5, "e", "v")), ["v"])
     table.change(["v"], lambda old: old.withColumn("k", F.col("k") + 1))
     table.clean(1)
     assert rows(table.read(), "k") == [(2,), (3,), (6,), (9,)] and len(files()) == 4 and table.commits() == [3]
+
+
+def test_a_kept_table_equals_a_full_replay(spark, tmp_path, rows):
+    """Random histories: at every moment the rows are those of the whole log, and a read opens one snapshot and the days after it."""
+    import random
+
+    from brightledger.sources.kept import KeptTable
+
+    rng = random.Random(4)
+    kept = KeptTable(spark, str(tmp_path / "kept"), "k int, v string", ["k"], every=3)
+    log, state, moments = [], {None: "nobody"}, []
+    kept.append(spark.createDataFrame([(None, "nobody", "I")], "k int, v string, op string"), "2031-01-01 00:00:00")
+    log.append((None, "nobody", "I", "2031-01-01 00:00:00", 1))
+    for n in range(2, 12):
+        ts = f"2031-01-{n // 2 + 1:02d} {n % 2 * 12:02d}:30:00"
+        entries = []
+        for k in rng.sample(range(8), 3):
+            op = rng.choice("UD") if k in state else "I"
+            entries.append((k, f"{k}-{n}", op))
+            state.pop(k, None) if op == "D" else state.update({k: f"{k}-{n}"})
+        assert kept.append(spark.createDataFrame(entries, "k int, v string, op string"), ts) == n
+        log += [(*e, ts, n) for e in entries]
+        moments.append(ts)
+    whole = spark.createDataFrame(log, "k int, v string, op string, commit_ts string, change_id int").withColumn("commit_ts", F.col("commit_ts").cast("timestamp_ntz"))
+    assert rows(kept.current()) == sorted(state.items(), key=lambda r: (r[0] is not None, str(r[0])))
+    for n, ts in enumerate(moments, 2):
+        assert rows(kept.as_of(ts)) == rows(C.as_of(whole, ["k"], ts)), ts
+        assert rows(kept.as_of(ts, -1)) == rows(C.as_of(whole, ["k"], ts, -1)), ts
+        assert rows(kept.before_change(n)) == rows(C.before_change(whole, ["k"], n))
+    assert kept.as_of("2030-12-31 00:00:00").count() == 0
+    assert rows(kept.restore(moments[0]), "k") == sorted({(k,) for k, *_ in rows(kept.as_of(moments[0]))} | {(k,) for k in state}, key=lambda r: (r[0] is not None, str(r[0])))
+    files = kept.as_of(moments[6]).inputFiles()
+    assert sum("/snapshots/" in f for f in files) > 0 and {f.split("/snapshots/")[1].split("/")[0] for f in files if "/snapshots/" in f} == {"change_id=6"}
+    assert {f.split("/log/")[1].rsplit("/", 1)[0] for f in files if "/log/" in f} == {"commit_day=2031-01-04/change_id=7", "commit_day=2031-01-05/change_id=8"}
+    with pytest.raises(ValueError):
+        kept.append(spark.createDataFrame([], "k int, v string, op string"), "2030-01-01 00:00:00")
+
+
+def test_changes_rewrite_only_their_buckets(spark, tmp_path, rows):
+    from brightledger.sources.parts import BucketTable
+
+    data = spark.range(200).selectExpr("id AS k", "CAST(id % 10 AS INT) AS v", "CASE WHEN id % 3 > 0 THEN 'x' END AS s")
+    table = BucketTable(spark, str(tmp_path / "t"), "k bigint, v int, s string", ["k"], buckets=16)
+    table.load(data)
+    files = lambda: {str(p) for p in (tmp_path / "t" / "data").rglob("part-*.parquet")}
+    first = files()
+    touched = table.update({"v": F.col("v") + 100}, where=F.col("k") == 7)
+    assert len(touched) == 1 and first < files() and len(files() - first) == 1
+    assert rows(table.read()) == rows(C.apply_changes(data, {"v": F.col("v") + 100}, F.col("k") == 7))
+    # Rows that go are known after the update; a NULL condition hits nothing.
+    gone = (F.col("v") == 200) | (F.col("s") == "none")
+    want = C.apply_changes(table.read(), {"v": F.lit(200)}, F.col("k").isin(3, 5), gone)
+    want = rows(want)
+    assert len(table.update({"v": F.lit(200)}, F.col("k").isin(3, 5), gone)) <= 2 and rows(table.read()) == want and table.read().count() == 198
+    assert table.update(delete_where=F.col("k") == -1) == [] and table.update({"v": F.lit(1)}, F.col("k") < 0) == []
+    news = spark.createDataFrame([(9, 1, "new"), (1000, 2, "new")], "k bigint, v int, s string")
+    want = rows(C.upsert(table.read(), news, data.where("k = 11"), ["k"]))
+    assert len(table.upsert(news, data.where("k = 11"))) <= 3 and rows(table.read()) == want
+
+
+LOADS = {
+    "2024-01-01": [("a", "Rome", "x"), ("b", "Oslo", None), ("c", "Bern", "z")],
+    "2024-02-01": [("a", "Rome", "x"), ("b", "Oslo", "y")],
+    "2024-03-01": [("a", "Paris", "x"), ("b", "Oslo", "y"), ("d", "Lima", None)],
+    "2024-04-01": [("a", "Paris", "x"), ("d", "Lima", None)],
+}
+DIM = "key string, city string, tier string"
+
+
+def test_two_merges_on_one_day(spark):
+    """The second one replaces what the first one opened; of two rows of a key the greater counts."""
+    load = lambda data: spark.createDataFrame(data, DIM)
+    dim = spark.createDataFrame([], f"{DIM}, effective_date date, end_date date, is_current boolean")
+    for day, data in (("2024-01-01", [("a", "Rome", "x")]), ("2024-06-01", [("a", "Bonn", "x")]), ("2024-06-01", [("a", "Kiel", "x"), ("a", "Kiel", "a"), (None, "Nice", "n")])):
+        dim = scd.scd2_merge(dim, load(data), ["key"], ["city", "tier"], day)
+    dim = scd.scd2_merge(dim, load([(None, "Nice", "n")]), ["key"], ["city", "tier"], "2024-07-01")
+    assert {(r.key, r.city, r.tier, str(r.effective_date), str(r.end_date), r.is_current) for r in dim.collect()} == {
+        ("a", "Rome", "x", "2024-01-01", "2024-05-31", False), ("a", "Kiel", "x", "2024-06-01", "None", True), (None, "Nice", "n", "2024-06-01", "None", True),
+    }
+
+
+def test_a_stored_dimension_rewrites_only_what_changes(spark, tmp_path, rows):
+    load = lambda data: spark.createDataFrame(data, DIM)
+    table = scd.Scd2Table(spark, str(tmp_path / "dim"), DIM, ["key"], ["city", "tier"], buckets=8)
+    dim = spark.createDataFrame([], f"{DIM}, effective_date date, end_date date, is_current boolean")
+    files = lambda: {p.name for p in (tmp_path / "dim" / "data").rglob("part-*.parquet")}
+    merges = [*LOADS.items(), ("2024-04-01", [("a", "Metz", "x")]), ("2024-05-01", [("a", "Metz", "y"), ("a", "Metz", "x")])]
+    for day, data in merges:
+        before = files()
+        touched = table.merge(load(data), day)
+        dim = scd.scd2_merge(dim, load(data), ["key"], ["city", "tier"], day)
+        assert rows(table.read()) == rows(dim), day
+        assert len(files() - before) <= len(touched) + 1 and before <= files()
+    assert rows(table.current(), "key") == [("a",), ("b",), ("c",), ("d",)]
+    assert table.merge(load([("c", "Bern", "z")]), "2024-06-01") == []
+    assert all("closed" not in f for f in table.current().inputFiles())

@@ -17,6 +17,8 @@ TABLES = (
 ).split()
 QUERIES = {name: q for name, q in entry.queries().items() if name in entry.REGISTRY}
 ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in entry.REGISTRY}
+# Has no SQL; tested in test_series.py.
+NO_SQL = {"ml_classify_predictions"}
 # Finds nothing in the smallest tables: no month there has more than 28 days with orders.
 MAY_BE_EMPTY = {"having_count"}
 
@@ -51,7 +53,7 @@ def test_same_rows(spark, duck, name):
 
 
 def test_every_query_has_a_check():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | NO_SQL
 
 
 def test_entry(spark):

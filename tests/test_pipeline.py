@@ -143,3 +143,67 @@ def test_a_hot_join_key_is_split(spark, rows):
             spark.conf.set(k, v)
     assert got == want
     assert "skew=true" in text
+
+
+def test_clustered_rows_are_made_once(spark):
+    """Ranges from known bounds: a counter below the layout sees every row once, and ranges don't overlap."""
+    from brightledger.operators import layout
+
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    source = spark.range(4000).selectExpr("IF(id % 3 = 0, 77, id * 7919 % 1000) AS a", "id AS b")
+    key = F.col("a") * 10000 + F.col("b")
+    bounds = layout.range_bounds(source, key, 8)
+    out = layout.clustered(source.mapInArrow(seen, source.schema), key, bounds, "a", "b")
+    parts = out.rdd.glom().collect()
+    assert made.value == 4000 and sum(map(len, parts)) == 4000 and "rangepartitioning" not in plan(out)
+    sizes = [len(p) for p in parts if p]
+    assert len(sizes) == 8 and max(sizes) < 1.5 * 4000 / 8
+    assert [tuple(r) for p in parts for r in p] == sorted(tuple(r) for p in parts for r in p)
+    assert layout.range_bounds(source.limit(0), key, 8) == [] and layout.clustered(source, key, [], "a").count() == 4000
+    empty = source.withColumn("a", F.when(F.col("b") % 2 == 0, F.col("a")))
+    assert layout.clustered(empty, F.col("a") * 10000 + F.col("b"), bounds, "a", "b").count() == 4000
+
+
+def test_distinct_counts_expand_nothing(spark):
+    t = Tables(spark, SF)
+    from brightledger.operators import aggregates as A
+
+    for df in (A.customer_metrics(t.customer, t.orders), A.distinct_counts(t.orders), A.distinct_counts(t.orders, True), A.customer_metrics_from(t.customer, A.customer_days(t.orders))):
+        assert "Expand" not in plan(df)
+
+
+def test_sketched_customer_metrics(spark, rows):
+    """Merged states of two loads equal the state of both, an order that comes twice is one, and the estimate is close."""
+    from brightledger.operators import aggregates as A
+
+    t = Tables(spark, "/root/testdata/sf0.01")
+    exact = {r.c_custkey: r for r in A.customer_metrics(t.customer, t.orders).collect()}
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    state = A.merge_customer_days(A.customer_days(t.orders.where(early)), A.customer_days(t.orders.where(~early)))
+    got = {r.c_custkey: r for r in A.customer_metrics_from(t.customer, state).collect()}
+    assert set(got) == set(exact)
+    for k, r in exact.items():
+        assert {c: v for c, v in got[k].asDict().items() if c != "total_transactions"} == {c: v for c, v in r.asDict().items() if c != "total_transactions"}
+        assert abs(got[k].total_transactions - r.total_transactions) <= max(1, 0.05 * r.total_transactions)
+    hot = t.orders.withColumn("o_custkey", F.lit(1).cast("bigint"))
+    twice = A.merge_customer_days(A.customer_days(hot), A.customer_days(hot))
+    one = next(r for r in A.customer_metrics_from(t.customer, twice).collect() if r.c_custkey == 1)
+    n = hot.select("o_orderkey").distinct().count()
+    assert abs(one.total_transactions - n) <= 0.05 * n
+    many = spark.createDataFrame([(1, 5, 2.0, "2024-01-01"), (1, 5, 3.0, "2024-01-02"), (1, 6, 1.0, "2024-01-02"), (1, None, 1.0, "2024-01-03"), (2, 7, 1.0, None)], "o_custkey long, o_orderkey long, o_totalprice double, d string")
+    many = many.withColumn("o_orderdate", F.col("d").cast("timestamp_ntz"))
+    c = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "c_custkey long, c_name string")
+    assert rows(A.customer_metrics(c, many), "c_custkey", "total_transactions", "days_with_purchase", "total_revenue") == [(1, 2, 3, 7.0), (2, 1, 0, 1.0), (3, 0, 0, None)]
+
+
+def test_a_quote_may_separate_texts(spark):
+    from brightledger.operators import aggregates as A
+
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], "k string, t string, o int")
+    assert A.text_per_group(df, "k", "t", "o", "' \\ '").first().full_text == "x' \\ 'y"

@@ -93,3 +93,35 @@ def test_anomaly_finds_a_planted_day(spark):
     )
     flagged = S.ts_anomaly(df, S.ts_fit(df, "sale_date", "daily_revenue"), "sale_date", "daily_revenue").where("is_anomaly")
     assert [r.ts for r in flagged.collect()] == [day]
+
+
+def test_backtest_equals_an_evaluation_of_every_cut_off(spark):
+    """Folds that overlap and folds apart, with and without keys, against a model of its own for each."""
+    df = daily_sales(spark, n=400).unionByName(daily_sales(spark, n=400).where("sale_date < '2023-01-10'").limit(0))
+    last = df.agg(F.max("sale_date")).first()[0]
+    for holdout, folds, step in ((30, 3, 30), (40, 4, 15), (10, 2, 60)):
+        got = {r.fold: r for r in S.ts_backtest(df, "sale_date", "daily_revenue", holdout, folds, step).collect()}
+        assert set(got) == set(range(folds))
+        for k in range(folds):
+            cut = F.date_sub(F.lit(last), holdout + (folds - 1 - k) * step)
+            part = df.where(F.col("sale_date") <= F.date_add(cut, holdout))
+            one = S.ts_evaluate(part, "sale_date", "daily_revenue", holdout).first()
+            assert all(getattr(got[k], c) == getattr(one, c) for c in ("n", "mape", "mae", "mse", "rmse", "coverage"))
+    both = df.withColumn("k", F.lit("a")).unionByName(df.withColumn("k", F.lit("b")).where(F.col("sale_date") < F.date_sub(F.lit(last), 45)))
+    keyed = {(r.k, r.fold): r.mape for r in S.ts_backtest(both, "sale_date", "daily_revenue", 20, 2, keys=["k"]).collect()}
+    alone = {r.fold: r.mape for r in S.ts_backtest(df, "sale_date", "daily_revenue", 20, 2).collect()}
+    assert {f: m for (k, f), m in keyed.items() if k == "a"} == alone and len(keyed) == 4
+
+
+def test_predictions_come_out(spark):
+    from brightledger.plans.catalog import REGISTRY
+
+    rows = REGISTRY["ml_classify_predictions"](spark, "/root/testdata/sf0.01").collect()
+    names = [c for c in rows[0].asDict() if c.startswith("p_")]
+    assert len(rows) > 100 and len(names) >= 3
+    right = 0
+    for r in rows:
+        shares = {c: r[c] for c in names}
+        assert abs(sum(shares.values()) - 1) < 1e-9 and shares[f"p_{r.predicted_class.lower()}"] == max(shares.values())
+        right += r.predicted_class == r.revenue_class
+    assert right >= 0.9 * len(rows)
