@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -291,19 +290,14 @@ def customer_metrics_from(customer: DataFrame, state: DataFrame) -> DataFrame:
 def customer_metrics(customer: DataFrame, orders: DataFrame) -> DataFrame:
     """Per customer: distinct transactions, active days, revenue, mean, first and last day, lifetime days.
 
-    Orders are summed to (customer, order) and from there to (customer, day): no row is expanded for the two distinct counts, and a hot
-    customer is spread over its orders until few rows are left. An order with rows on several days counts on each of them, and once as a transaction.
+    Each distinct count is an aggregate of its own: days from sums by (customer, day), transactions from (customer, order). No row is expanded for them, and a hot
+    customer is spread over days and orders until few rows are left.
     """
     day = F.col("o_orderdate").cast("date").alias("day")
-    # One exchange serves the sums and the window; order rows are hardly ever equal, so a map-side pass would find nothing to add up.
-    own = orders.select("o_custkey", "o_orderkey", "o_totalprice", day).repartition("o_custkey", "o_orderkey")
-    lines = own.groupBy("o_custkey", "o_orderkey", "day").agg(F.sum(cents("o_totalprice")).alias("cents"), F.count(F.lit(1)).alias("rows"))
-    # The first day of an order stands for it; within one customer and order there are few days.
-    first = F.min("day").over(W.partitionBy("o_custkey", "o_orderkey"))
-    days = lines.withColumn("_first", first).groupBy("o_custkey", "day").agg(
-        F.sum("cents").alias("cents"), F.sum("rows").alias("rows"), F.count_if(F.col("o_orderkey").isNotNull() & F.col("day").eqNullSafe(F.col("_first"))).alias("orders")
-    )
-    return _metrics(customer, _by_customer(days, "cents", "rows", F.sum("orders").alias("total_transactions")))
+    days = orders.groupBy("o_custkey", day).agg(F.sum(cents("o_totalprice")).alias("cents"), F.count(F.lit(1)).alias("rows"))
+    each = orders.groupBy(F.col("o_custkey").alias("_c2"), "o_orderkey").agg(F.lit(1).alias("_one"))
+    transactions = each.groupBy("_c2").agg(F.count("o_orderkey").alias("total_transactions"))
+    return _metrics(customer, _by_customer(days, "cents", "rows").join(transactions, F.col("o_custkey") == F.col("_c2")))
 
 
 def customer_ltv(orders: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def dim_v1(t):
 
 
 def dim_v2(t):
-    return scd.scd2_merge(dim_v1(t), t.customer_v2, ["c_custkey"], ["c_name", "c_mktsegment"], "2024-06-01")
+    return scd.scd2_merge(dim_v1(t), t.customer_v2, ["c_custkey"], ["c_name", "c_mktsegment"], "2024-06-01", unique=True)
 
 
 SCD2 = with_sql(

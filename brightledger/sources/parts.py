@@ -44,7 +44,7 @@ class PartTable:
             wanted = {str(p) for p in parts}
             held = {p: c for p, c in held.items() if p in wanted}
         if not held:
-            return self.spark.createDataFrame([], self.schema)
+            return self._none()
         paths = [f"{self.path}/data/{self._folder(p)}/{COMMIT}={c}" for p, c in sorted(held.items())]
         rows = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*paths)
         if parts is not None:
@@ -52,6 +52,10 @@ class PartTable:
             rows = rows.where(F.col(self.part).isin([F.lit(p).cast(kind) for p in sorted(held)]))
         return rows.select(*self.schema.fieldNames())
 
+    def _none(self) -> DataFrame:
+        """No rows, in a form that the optimizer knows to be empty."""
+        return self.spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]).limit(0)
+
     def _folder(self, part: str) -> str:
         return f"{self.part}={self.files.escape(part)}"
 
@@ -61,8 +65,10 @@ class PartTable:
         commit = (done[-1] + 1 if done else 0) if commit is None else commit
         wanted = sorted({str(p) for p in parts})
         held = {p: c for p, c in self.parts(before=commit).items() if p not in set(wanted)}
-        for p in wanted:  # of a commit that runs again and has no rows for the part now
-            self.files.delete(f"data/{self._folder(p)}/{COMMIT}={commit}")
+        there = set(self.files.names("data"))
+        for p in wanted:  # left by a commit that runs again
+            if self._folder(p) in there:
+                self.files.delete(f"data/{self._folder(p)}/{COMMIT}={commit}")
         own = rows.where(F.col(self.part).cast("string").isin(wanted)).select(*self.schema.fieldNames())
         # One task writes a part, so its files are few.
         own.withColumn(COMMIT, F.lit(commit).cast("bigint")).repartition(self.part).write.partitionBy(self.part, COMMIT).mode("append").parquet(f"{self.path}/data")

@@ -135,13 +135,13 @@ class RevenueSummaries:
     """Monthly, quarterly and yearly summaries kept up to date from new orders.
 
     A batch recomputes only the months it touches, from stored day sums; then only the quarters
-    of those months, and the years of those quarters. Each level is a table in parts (days by month, months by quarter, quarters and years by year), of which a batch reads and
+    of those months, and the years of those quarters. Each level is a table in parts (days by quarter, all others by year), of which a batch reads and
     rewrites those it touches, under its own number. The lists of touched periods are bounded by the calendar. The present and the former rows of a part are kept, so a batch that
     fails can run again; older ones are deleted, so neither the files nor the bytes read grow with the number of batches.
     """
 
-    DAYS = "sale_date date, revenue_cents bigint, num_orders bigint, month date"
-    MONTHS = "month date, total_cents bigint, total_orders bigint, days bigint, best_cents bigint, quarter date"
+    DAYS = "sale_date date, revenue_cents bigint, num_orders bigint, month date, quarter date"
+    MONTHS = "month date, total_cents bigint, total_orders bigint, days bigint, best_cents bigint, quarter date, year int"
     QUARTERS = "quarter date, total_cents bigint, total_orders bigint, year int"
     YEARS = "year int, total_cents bigint, total_orders bigint, of_year int"
 
@@ -149,7 +149,7 @@ class RevenueSummaries:
         self.spark = spark
         self.path = path.rstrip("/")
         table = lambda level, ddl, part: PartTable(spark, f"{self.path}/{level}", ddl, part)
-        self.days, self.months = table("days", self.DAYS, "month"), table("months", self.MONTHS, "quarter")
+        self.days, self.months = table("days", self.DAYS, "quarter"), table("months", self.MONTHS, "year")
         self.quarters, self.years = table("quarters", self.QUARTERS, "year"), table("years", self.YEARS, "of_year")
 
     def refresh(self, stream: DataFrame, date: str, amount: str) -> int:
@@ -175,22 +175,24 @@ class RevenueSummaries:
         quarters = sorted({m.replace(month=(m.month - 1) // 3 * 3 + 1) for m in months})
         years = sorted({m.year for m in months})
 
-        sums = ["revenue_cents", "num_orders"]
-        self.days.change(months, lambda old: incremental_sum(new, old, ["sale_date", "month"], sums), batch_id)
+        sums, of = ["revenue_cents", "num_orders"], F.col("month").isin(months)
+        new = new.withColumn("quarter", D.quarter_start("month"))
+        self.days.change(quarters, lambda old: incremental_sum(new, old, ["sale_date", "month", "quarter"], sums), batch_id)
 
-        fresh = self.days.read(months).groupBy("month").agg(
+        fresh = self.days.read(quarters).where(of).groupBy("month").agg(
             F.sum("revenue_cents").alias("total_cents"),
             F.sum("num_orders").alias("total_orders"),
             F.count(F.lit(1)).alias("days"),
             F.max("revenue_cents").alias("best_cents"),
-        ).withColumn("quarter", D.quarter_start("month"))
-        self.months.change(quarters, lambda old: old.where(~F.col("month").isin(months)).unionByName(fresh), batch_id)
+        ).withColumns({"quarter": D.quarter_start("month"), "year": F.year("month")})
+        self.months.change(years, lambda old: old.where(~of).unionByName(fresh), batch_id)
 
         def total(rows: DataFrame, period: str) -> DataFrame:
             return rows.groupBy(period).agg(F.sum("total_cents").alias("total_cents"), F.sum("total_orders").alias("total_orders"))
 
-        changed = total(self.months.read(quarters), "quarter").withColumn("year", F.year("quarter"))
-        self.quarters.change(years, lambda old: old.where(~F.col("quarter").isin(quarters)).unionByName(changed), batch_id)
+        of_quarters = F.col("quarter").isin(quarters)
+        changed = total(self.months.read(years).where(of_quarters), "quarter").withColumn("year", F.year("quarter"))
+        self.quarters.change(years, lambda old: old.where(~of_quarters).unionByName(changed), batch_id)
         self.years.replace(total(self.quarters.read(years), "year").withColumn("of_year", F.col("year")), years, batch_id)
         for level in (self.days, self.months, self.quarters, self.years):
             level.clean()

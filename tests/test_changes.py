@@ -255,7 +255,7 @@ def test_a_refresh_touches_only_its_periods(spark, tmp_path):
         sizes.append(len(list((tmp_path / "kept" / "days" / "data").rglob("part-*.parquet"))))
     assert sizes[-1] == sizes[-2] == sizes[-3] <= 5 and max(opened) == 1
     plan = kept.days.read(["2024-01-01"])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "PartitionFilters: [" in plan and "quarter" in plan.split("PartitionFilters: [")[1].split("]")[0]
     want = {(2023, 9 * 10.0, 9), (2024, 21 * 10.0, 21)}
     assert {tuple(r) for r in kept.yearly().collect()} == want
     # The last batch failed after its levels were written: it runs again and replaces them.
