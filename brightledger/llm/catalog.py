@@ -183,7 +183,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_spelling_variants")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word with its near words, its form and its root; one in 199 runs of letters is misspelt first."""
-    return spelling.group(spelling.vocabulary(spelling.misspelt(spelling.occurrences(table(spark, sf_dir, "documents")))))
+    # A misspelling only shortens a run.
+    runs = spelling.occurrences(table(spark, sf_dir, "documents"), spelling.LENGTH)
+    return spelling.group(spelling.vocabulary(spelling.misspelt(runs)))
 
 
 @query("pipeline")

@@ -1,8 +1,8 @@
 """Spelling variants: words one edit apart, each led to its most frequent neighbour.
 
 Two words are near if they differ by exactly one inserted, deleted or replaced character. They are found by blocked Gram matrices: a word is the vector of its
-letter counts; the squared distance of two vectors is |a|^2 + |b|^2 - 2ab, and all products ab of two blocks of words are one matrix
-product. One edit changes at most two counts by one, so near words have a squared distance of two at most; pairs that have it are compared letter by letter.
+letter counts; the squared distance of two vectors is |a|^2 + |b|^2 - 2ab, and all distances of two blocks of words are one matrix
+product (each vector has its square and a one as two more elements). One edit changes at most two counts by one, so near words have a squared distance of two at most; pairs that have it are compared letter by letter.
 
 Words of one length form a group, as an edit changes the length by one at most. It also changes the number of letters of one fixed half of the
 characters by one at most, so groups are split by that number as well, and a group meets itself and three neighbours. A group is cut into blocks of about ``BLOCK`` words by a hash; a pair
@@ -29,8 +29,10 @@ from .common import settle, text_or_empty
 LETTERS = r"[A-Za-zÀ-ÿ]+"
 BLOCK, BLOCK_CHARS = 2048, 1 << 20
 RATIO = 5
+#: Shorter words have no variants.
+LENGTH = 6
 #: Characters meet in so many counts; that two share one only lowers a distance.
-DIMENSIONS = 128
+DIMENSIONS = 32
 #: Pairs compared letter by letter at a time.
 _COMPARED = 1 << 16
 
@@ -42,10 +44,11 @@ NEAR = "word string, other string, other_n bigint"
 _NEAR_TYPES = pa.schema([("word", pa.string()), ("other", pa.string()), ("other_n", pa.int64())])
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, run) for each maximal run of letters of every whole text, A-Z lower-cased."""
+def occurrences(docs: DataFrame, least_length: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, run) for each maximal run of letters of every whole text that has the least length, A-Z lower-cased."""
     runs = F.regexp_extract_all(text_or_empty(text_col), F.lit(LETTERS), F.lit(0))
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode(runs).alias("run")).withColumn("run", F.translate("run", _UPPER, _LOWER))
+    long = docs.select(F.col(id_col).alias("doc_id"), F.explode(runs).alias("run")).where(F.length("run") >= least_length)
+    return long.withColumn("run", F.translate("run", _UPPER, _LOWER))
 
 
 def misspelt(runs: DataFrame, every: int = 199) -> DataFrame:
@@ -56,21 +59,21 @@ def misspelt(runs: DataFrame, every: int = 199) -> DataFrame:
     return runs.withColumn("run", F.when(h % every == 0, less).otherwise(F.col("run")))
 
 
-def vocabulary(runs: DataFrame, least_length: int = 6, least_count: int = 5) -> DataFrame:
+def vocabulary(runs: DataFrame, least_length: int = LENGTH, least_count: int = 5) -> DataFrame:
     """(word, n): the distinct runs that are long and frequent enough. Counted on the map side first."""
     return runs.where(F.length("run") >= least_length).groupBy(F.col("run").alias("word")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_count)
 
 
-def _codes(block: list[str], length: int) -> np.ndarray:
+def _codes(block: pa.StringArray) -> np.ndarray:
     """The code points of words of one length, a row for each."""
-    return np.frombuffer("".join(block).encode("utf-32-le"), np.uint32).reshape(len(block), length)
+    return np.frombuffer("".join(block.to_pylist()).encode("utf-32-le"), np.uint32).reshape(len(block), -1)
 
 
 def letter_counts(codes: np.ndarray) -> np.ndarray:
     """How often each character (modulo DIMENSIONS) stands in each word."""
     n = len(codes)
-    flat = (codes % DIMENSIONS + np.arange(n, dtype=np.uint32)[:, None].astype(np.int64) * DIMENSIONS).reshape(-1)
-    return np.bincount(flat, minlength=n * DIMENSIONS).reshape(n, DIMENSIONS).astype(np.float32)
+    flat = codes % DIMENSIONS + DIMENSIONS * np.arange(n, dtype=np.int64)[:, None]
+    return np.bincount(flat.reshape(-1), minlength=n * DIMENSIONS).reshape(n, DIMENSIONS).astype(np.float32)
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -82,45 +85,46 @@ def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return front + back >= a.shape[1]
 
 
-def near_pairs(a: list[str], b: list[str] | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places in a and b of words that are near; words within a list have one length, those of b the same or one more. No b: a with itself, each pair once."""
-    x = _codes(a, len(a[0]))
-    y = x if b is None else _codes(b, len(b[0]))
+def near_pairs(a: pa.StringArray, b: pa.StringArray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in a and b of words that are near; words within an array have one length, those of b the same or one more. No b: a with itself, each pair once."""
+    x = _codes(a)
+    y = x if b is None else _codes(b)
     u = letter_counts(x)
     v = u if b is None else letter_counts(y)
-    own, other = (u * u).sum(1), (v * v).sum(1)
-    # A few hundred rows of the product at a time.
-    step = max(1, (1 << 20) // len(y))
+    one = lambda m: np.ones((len(m), 1), np.float32)
+    square = lambda m: (m * m).sum(1, keepdims=True)
+    left, right = np.hstack([-2 * u, square(u), one(u)]), np.hstack([v, one(v), square(v)]).T
+    # Some hundred rows of the product at a time.
+    step = max(1, (1 << 18) // len(y))
     for low in range(0, len(x), step):
-        distance = own[low : low + step, None] + other[None, :] - 2 * (u[low : low + step] @ v.T)
-        i, j = np.nonzero(distance <= 2.5)
+        distance = left[low : low + step] @ right
+        i, j = np.divmod(np.flatnonzero(distance < 2.5), len(y))
         i += low
         if b is None:
             i, j = i[i < j], j[i < j]
         size = max(1, _COMPARED * 8 // y.shape[1])
         for k in range(0, len(i), size):
             hit = one_edit(x[i[k : k + size]], y[j[k : k + size]])
-            yield i[k : k + size][hit], j[k : k + size][hit]
+            if hit.any():
+                yield i[k : k + size][hit], j[k : k + size][hit]
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of blocks to their near words, each pair in both directions."""
     for batch in batches:
         for k in range(batch.num_rows):
-            a, b = (batch.column(c)[k].as_py() for c in ("a", "b"))
-            own = [w["word"] for w in a]
-            other = own if b is None else [w["word"] for w in b]
-            n, m = (np.array([w["n"] for w in side], np.int64) for side in (a, a if b is None else b))
-            x, y = np.array(own, object), np.array(other, object)
-            for i, j in near_pairs(own, None if b is None else other):
-                if len(i):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([x[i], y[j]]), pa.string()), pa.array(np.concatenate([y[j], x[i]]), pa.string()),
-                            pa.array(np.concatenate([m[j], n[i]])),
-                        ],
-                        schema=_NEAR_TYPES,
-                    )
+            first, second = (batch.column(c)[k].values for c in ("a", "b"))
+            other = first if second is None else second
+            word, n, word_b, m = first.field("word"), first.field("n"), other.field("word"), other.field("n")
+            for i, j in near_pairs(word, None if second is None else word_b):
+                a, b = word.take(pa.array(i)), word_b.take(pa.array(j))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([a, b]).cast(pa.string()), pa.concat_arrays([b, a]).cast(pa.string()),
+                        pa.concat_arrays([m.take(pa.array(j)), n.take(pa.array(i))]),
+                    ],
+                    schema=_NEAR_TYPES,
+                )
 
 
 def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:

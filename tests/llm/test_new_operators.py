@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -282,6 +283,6 @@ def test_squared_distances_lose_no_pair():
     a = ["".join(map(chr, rng.integers(97, 100, 6))) for _ in range(300)]
     b = ["".join(map(chr, rng.integers(97, 100, 7))) for _ in range(300)]
     for x, y in ((a, b), (a, None)):
-        got = {(int(i), int(j)) for p, q in spelling.near_pairs(x, y) for i, j in zip(p, q)}
+        got = {(int(i), int(j)) for p, q in spelling.near_pairs(pa.array(x), None if y is None else pa.array(y)) for i, j in zip(p, q)}
         other = x if y is None else y
         assert got == {(i, j) for i, v in enumerate(x) for j, w in enumerate(other) if is_near(v, w) and (y is not None or i < j)}
