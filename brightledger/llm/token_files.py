@@ -50,10 +50,9 @@ _CHUNK_TYPES = pa.schema(
     + [(c, pa.int64()) for c in ("doc_no", "carry")]
     + [(c, pa.list_(pa.int64())) for c in ("doc_ids", "doc_starts")]
 )
-PIECES = "shard long, doc_no long, doc_id long, start long, position long, length long, crc long, data binary"
-_PIECE_TYPES = pa.schema(
-    [(c, pa.int64()) for c in ("shard", "doc_no", "doc_id", "start", "position", "length", "crc")] + [("data", pa.binary())]
-)
+PIECES = "shard long, doc_no long, doc_id long, start long, position long, length long, crc long"
+_PIECE_TYPES = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
+DOCS = "shard long, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def to_planes(ids: np.ndarray, level: int = 3) -> list[bytes]:
@@ -74,6 +73,29 @@ def from_planes(planes: list[bytes]) -> np.ndarray:
     return np.ascontiguousarray(flat.T).view("<u4").reshape(-1)
 
 
+def _times(a: int, b: int) -> int:
+    """The product of two polynomials modulo that of crc32, bits in its order (the highest bit is the constant)."""
+    out = 0
+    while a:
+        if a & 0x80000000:
+            out ^= b
+        a = a << 1 & 0xFFFFFFFF
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return out
+
+
+def crc32_joined(first: int, second: int, length: int) -> int:
+    """crc32 of A + B from those of A and of B and the number of bytes of B."""
+    power, square = 1 << 31, 1 << 30  # 1 and x
+    n = 8 * length
+    while n:
+        if n & 1:
+            power = _times(power, square)
+        square = _times(square, square)
+        n >>= 1
+    return _times(power, first) ^ second
+
+
 def _blocks(path: str, end_id: int, block: int):
     """A task's documents, in order, to rows of CHUNKS."""
     end = np.array([end_id], "<u4").tobytes()
@@ -89,13 +111,12 @@ def _blocks(path: str, end_id: int, block: int):
             n = len(data) // PLANES
             own = [d for d in docs if d[1] < done + n]
             docs = docs[len(own) :]
-            row = {
-                "shard": shard, "block": number, "first": done, "n_ids": n, "planes": to_planes(np.frombuffer(data, "<u4")),
-                "doc_no": begun, "carry": (own[0][1] - done) if own else n,
-                "doc_ids": [d[0] for d in own], "doc_starts": [d[1] for d in own],
-            }
+            row = [
+                shard, number, done, n, to_planes(np.frombuffer(data, "<u4")), begun, (own[0][1] - done) if own else n,
+                [d[0] for d in own], [d[1] for d in own],
+            ]
             number, begun, done = number + 1, begun + len(own), done + n
-            return pa.RecordBatch.from_pylist([row], _CHUNK_TYPES)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _CHUNK_TYPES, strict=True)], schema=_CHUNK_TYPES)
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -130,54 +151,57 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: s
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks to one row for each document and block: with a checksum if the document is whole, else with its ids."""
+    """Blocks to one row for each document and block, with the checksum of its ids there."""
     import zlib
 
     for batch in batches:
         for row in batch.to_pylist():
-            data = from_planes(row["planes"]).tobytes()
-            first, n = row["first"], row["n_ids"]
-            starts = [None] * bool(row["carry"]) + row["doc_starts"]
-            ids = [None] * bool(row["carry"]) + row["doc_ids"]
-            at = [first] * bool(row["carry"]) + row["doc_starts"] + [first + n]
-            number = row["doc_no"] - bool(row["carry"])
-            out = []
-            for i, (doc_id, start) in enumerate(zip(ids, starts, strict=True)):
-                own = data[(at[i] - first) * PLANES : (at[i + 1] - first) * PLANES]
-                # The last document of a block may go on in the next one.
-                whole = start is not None and i + 1 < len(ids)
-                out.append(
-                    {
-                        "shard": row["shard"], "doc_no": number + i, "doc_id": doc_id, "start": start, "position": at[i],
-                        "length": at[i + 1] - at[i], "crc": zlib.crc32(own) if whole else None, "data": None if whole else own,
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(out, _PIECE_TYPES)
+            data = memoryview(from_planes(row["planes"])).cast("B")
+            first, n, carried = row["first"], row["n_ids"], bool(row["carry"])
+            starts, ids = [None] * carried + row["doc_starts"], [None] * carried + row["doc_ids"]
+            at = np.array([first] * carried + row["doc_starts"] + [first + n], np.int64)
+            number = row["doc_no"] - carried
+            edges = (PLANES * (at - first)).tolist()
+            crc = [zlib.crc32(data[a:b]) for a, b in zip(edges, edges[1:])]
+            size = len(ids)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(size, row["shard"])), pa.array(np.arange(number, number + size)), pa.array(ids, pa.int64()),
+                    pa.array(starts, pa.int64()), pa.array(at[:-1]), pa.array(np.diff(at)), pa.array(crc, pa.int64()),
+                ],
+                schema=_PIECE_TYPES,
+            )
+
+
+def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The checksum of each document from those of its pieces, in order."""
+    for batch in batches:
+        out = []
+        for pieces in batch.column("parts").to_pylist():
+            total = pieces[0]["crc"]
+            for p in pieces[1:]:
+                total = crc32_joined(total, p["crc"], PLANES * p["length"])
+            out.append(total)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "doc_id", "start", "n_tokens")), pa.array(out, pa.int64())], names=[c.split()[0] for c in DOCS.split(", ")])
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The documents in files written by ``write``: doc_id, start over all shards, n_tokens, ids_crc32."""
+    """The documents in files written by ``write``: doc_id, start over all shards, n_tokens, ids_crc32. No ids leave their block."""
     chunks = spark.read.schema(CHUNKS).parquet(path)
-    split = F.when(F.col("data").isNotNull(), F.struct("position", "data"))
-    joined = F.array_join(F.transform(F.sort_array("parts"), lambda p: F.hex(p["data"])), "")
     docs = (
         chunks.mapInArrow(_pieces, PIECES)
         .groupBy("shard", "doc_no")
         .agg(
             F.max("doc_id").alias("doc_id"), F.max("start").alias("start"), F.sum("length").alias("n_tokens"),
-            F.max("crc").alias("crc"), F.collect_list(split).alias("parts"),
+            F.sort_array(F.collect_list(F.struct("position", "length", "crc"))).alias("parts"),
         )
+        .mapInArrow(_checksums, DOCS)
     )
     # One row for each shard.
     sizes = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     earlier = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    return docs.join(offsets, "shard").select(
-        "doc_id",
-        (F.col("offset") + F.col("start")).alias("start"),
-        "n_tokens",
-        F.coalesce(F.col("crc"), F.crc32(F.unhex(joined))).alias("ids_crc32"),
-    )
+    return docs.join(offsets, "shard").select("doc_id", (F.col("offset") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def ids_of(spark: SparkSession, path: str) -> DataFrame:

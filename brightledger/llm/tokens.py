@@ -3,7 +3,8 @@
 The ids are those of ``Tokenizer.encode`` over the whole text. A byte-level tokenizer of this kind never
 joins a character that is not white space with white space after it, so a text may be cut there. Most
 pieces have been seen before, so each task keeps the ids of about ``MEMO`` pieces and has the library
-encode only new ones, many of them in one call. Texts or tokenizers for which the cut is not known to be safe
+encode only new ones, many of them in one call. A new piece that ends in punctuation after a letter or digit is put together from its two parts, as such a
+tokenizer never joins those either. Texts or tokenizers for which the cut is not known to be safe
 are encoded whole.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from functools import lru_cache
 from itertools import islice
 
@@ -68,57 +70,79 @@ class Encoder:
             self.width = np.zeros(max(vocab.values()) + 1, np.int64)
             for token, i in vocab.items():
                 self.width[i] = len(token)
+        # Punctuation that is a token's part by itself: an apostrophe may begin a contraction, and other strings may hold some.
+        self.tails = "".join(c for c in string.punctuation if c != "'" and not any(c in a for a in added))
         self._forget(0)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.dtype("<u4"))
+        # Without offsets, which nothing here needs.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.dtype("<u4"))
 
     def _forget(self, keep: int) -> None:
         """Keep the first pieces only: the earlier a piece was met, the more frequent it tends to be."""
         if not keep:
-            self.memo, self.begin, self.flat = _Numbers(), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.dtype("<u4"))
+            self.memo, self.flat, self.used = _Numbers(), np.zeros(1 << 14, np.dtype("<u4")), 0
+            self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         else:
             self.memo = _Numbers(islice(self.memo.items(), keep))
-        self.known = keep
-
-    def _store(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Append the ids of the next pieces; ``begin[k]`` to ``begin[k + 1]`` are those of piece k."""
-        low, n = int(self.begin[self.known]), len(sizes)
-        while self.known + n >= len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros(len(self.begin), np.int64)])
-        while low + len(ids) > len(self.flat):
+            self.used = int((self.begin[:keep] + self.size[:keep]).max())
+
+    def _store(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep the ids of pieces, which lie one after the other; those of piece k are ``flat[begin[k] : begin[k] + size[k]]``."""
+        while len(self.memo) > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.begin, self.size))
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), self.flat.dtype)])
-        self.flat[low : low + len(ids)] = ids
-        self.begin[self.known + 1 : self.known + n + 1] = low + np.cumsum(sizes)
-        self.known += n
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.begin[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
+        self.used += len(ids)
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str], numbers: list[int]) -> None:
         """Encode new pieces in one call. Those without leading white space get a line feed, whose id is dropped again."""
         lead = [p if p[0].isspace() else "\n" + p for p in new]
         ids = self._ids("".join(lead))
         ends = np.cumsum(self.width[ids])
-        cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) for p in lead])) + 1
+        cuts = np.searchsorted(ends, np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in lead])) + 1
         sizes = np.diff(cuts, prepend=0)
         added = np.array([full is not p for p, full in zip(new, lead, strict=True)])
         own = np.ones(len(ids), bool)
         own[(cuts - sizes)[added]] = False
-        self._store(ids[own], sizes - added)
-
-    def _learn_all(self, new: list[str]) -> None:
-        held, size = [], 0
-        for p in new:
-            if p.isspace() or size > _JOIN:
-                if held:
-                    self._learn(held)
-                held, size = [], 0
-            if p.isspace():
+        self._store(np.array(numbers), ids[own], sizes - added)
+
+    def _learn_all(self) -> None:
+        """The ids of all pieces that are new, parts before what they make up."""
+        held, whole, size, at = [], [], 0, len(self.memo) - len(self.memo.new)
+        made, heads, tails = [], [], []
+        number, new = self.memo.__getitem__, self.memo.new
+        for k, p in enumerate(new, at):  # grows meanwhile by parts, which have no parts themselves
+            head = p.rstrip(self.tails)
+            if head and len(head) < len(p) and head[-1].isalnum():
+                made.append(k)
+                heads.append(number(head))
+                tails.append(number(p[len(head) :]))
+            elif p.isspace():
                 ids = self._ids(p)
-                self._store(ids, np.array([len(ids)]))
+                self._store(np.array([k]), ids, np.array([len(ids)]))
             else:
                 held.append(p)
+                whole.append(k)
                 size += len(p)
+                if size > _JOIN:
+                    self._learn(held, whole)
+                    held, whole, size = [], [], 0
         if held:
-            self._learn(held)
+            self._learn(held, whole)
+        if made:
+            parts = np.stack([heads, tails], axis=1)
+            self._store(np.array(made), self._flat(parts.reshape(-1)), self.size[parts].sum(1))
+        self.memo.new = []
+
+    def _flat(self, code: np.ndarray) -> np.ndarray:
+        """The ids of pieces, one after the other."""
+        sizes = self.size[code]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.begin[code] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -127,15 +151,11 @@ class Encoder:
         cut = [_pieces(t) if self.cut_is_safe and not _odd(t) else None for t in texts]
         number = self.memo.__getitem__
         codes = [np.fromiter(map(number, c or ()), np.int64, len(c or ())) for c in cut]
-        if len(self.memo) > self.known:
-            self._learn_all(self.memo.new)
-            self.memo.new = []
+        if self.memo.new:
+            self._learn_all()
         code = np.concatenate(codes or [np.zeros(0, np.int64)])
-        begin = self.begin[code]
-        sizes = self.begin[code + 1] - begin
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        upto = np.concatenate([[0], ends])[np.cumsum([0] + [len(c) for c in codes])].tolist()
+        ids = self._flat(code)
+        upto = np.concatenate([[0], np.cumsum(self.size[code])])[np.cumsum([0] + [len(c) for c in codes])].tolist()
         return [
             self._ids(t).tobytes() if c is None else ids[low:high].tobytes()
             for t, c, low, high in zip(texts, cut, upto, upto[1:], strict=False)
