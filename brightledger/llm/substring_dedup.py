@@ -96,7 +96,7 @@ class Unit:
         for n in sizes:
             self.texts.append(data[at : at + n])
             at += n
-        parts = [words.split(self.texts[a:b]) for a, b in words.chunks(self.texts)]
+        self.parts = parts = [words.split(self.texts[a:b]) for a, b in words.chunks(self.texts)]
         self.hash = np.concatenate([p.hashes() for p in parts] or [np.zeros(0, np.uint64)])
         self.counts = np.concatenate([np.diff(p.first) for p in parts] or [np.zeros(0, np.int64)])
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
@@ -125,7 +125,9 @@ class Unit:
         period = period_for(self.width)
         where = np.flatnonzero((self.left[:n] >= self.width) & (seen[period : period + n] > seen[:n]))
         high = words.window_hashes(self.hash, self.width, seed=1)[where]
-        low = words.window_hashes(self.hash, self.width, seed=2)[where] >> np.uint64(32)
+        # From other hashes of the words, so that two words that share one hash still differ.
+        other = np.concatenate([p.hashes(seed=1) for p in self.parts])
+        low = words.window_hashes(other, self.width, seed=2)[where] >> np.uint64(32)
         return where, high, low.astype(np.uint32)
 
     def owners(self, where: np.ndarray) -> np.ndarray:

@@ -1,7 +1,7 @@
 """Words of whole texts as numpy arrays: positions, 64-bit hashes and rolling hashes of windows.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage
-return. All work is vectorised over a chunk of texts; a chunk is about ``CHUNK_BYTES``, and a longer
+return. Words of up to 16 bytes are hashed from two numbers that hold all their bytes; longer ones by xxh3, so no pattern of letters gives equal hashes. All work is vectorised over a chunk of texts; a chunk is about ``CHUNK_BYTES``, and a longer
 text is a chunk of its own, so memory follows the longest text and not the batch.
 """
 
@@ -18,8 +18,9 @@ CHUNK_BYTES = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-_WINDOW_BASE = 0xD1342543DE82EF95
+_WINDOW_BASE = 0xD1342543DE82EF95  # odd, so that it has an inverse modulo 2**64
+#: The lowest n bytes of a 64-bit number.
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 @lru_cache(maxsize=8)
@@ -55,17 +56,24 @@ class Words:
     end: np.ndarray
     first: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        n = len(self.data)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes, one for each seed."""
+        import xxhash
+
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        power, inverse = _powers_for(_BASE, n)
-        total = np.empty(n + 1, np.uint64)
-        total[0] = 0
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-        h = (total[self.end] - total[self.start]) * inverse[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64))
+        size = self.end - self.start
+        padded = np.concatenate([self.data, np.zeros(16, np.uint8)])
+        eight = np.ndarray(len(self.data) + 9, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        low = eight[self.start] & _LOW[np.minimum(size, 8)]
+        high = eight[self.start + 8] & _LOW[np.clip(size - 8, 0, 8)]
+        h = mix(mix(low, 2 * seed) ^ mix(high + size.astype(np.uint64), 2 * seed + 1), seed)
+        long = np.flatnonzero(size > 16)
+        if len(long):
+            data = memoryview(self.data)
+            spans = zip(self.start[long].tolist(), self.end[long].tolist(), strict=True)
+            h[long] = [xxhash.xxh3_64_intdigest(data[a:b], seed) for a, b in spans]
+        return h
 
     def owner(self) -> np.ndarray:
         """The text number of each word."""
