@@ -1,8 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
 The terms of a text are its lower-case words without ASCII punctuation and the first four, five and six bytes of each, so that endings do not
-hide a stem. A text holds a term or not. Of the hashed terms, those whose presence is most clearly tied to a label in the sample
-get a weight and a vector; the log odds are the sum of the weights plus the sum, over all pairs of terms present, of the product of
+hide a stem. A text holds a term or not. Of the hashed terms, those whose presence is most clearly tied to a label in the sample get a weight and a vector, and so do those
+of the most frequent ones that are tied to it together with another: two terms may tell nothing each and all together. The log odds are the sum of the weights plus the sum, over all pairs of terms present, of the product of
 their vectors. So two terms that are harmless alone can count together, and the pairs cost no more than the terms: the sum over pairs is half of
 the squared sum less the sum of squares. Weights and vectors are learned by stochastic gradient descent (Adagrad) in numpy.
 
@@ -22,6 +22,7 @@ from . import subwords, training, words
 
 BITS, PREFIXES = 20, (4, 5, 6)
 SAMPLE, TERMS, LEAST_Z, SIZE, EPOCHS, RATE, DECAY = 4000, 4096, 2.5, 8, 12, 0.1, 1e-3
+PAIRED, LEAST_COUNT, LEAST_PAIR_Z = 2048, 20, 6.0
 
 _BLANKED = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -72,6 +73,34 @@ class Model:
         return out
 
 
+def _paired(owner: np.ndarray, slot: np.ndarray, y: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The terms, of the ``PAIRED`` most frequent ones, whose presence beside some other changes the odds beyond what each does alone.
+
+    For each pair the log odds of the four cases (both, one, the other, neither) give the interaction and its standard error; ``LEAST_PAIR_Z`` allows for some million pairs.
+    """
+    n = len(y)
+    frequent = np.argsort(-np.minimum(count, n - count), kind="stable")[:PAIRED]
+    frequent = frequent[np.minimum(count, n - count)[frequent] >= LEAST_COUNT]
+    column = np.full(1 << BITS, -1, np.int64)
+    column[frequent] = np.arange(len(frequent))
+    held = column[slot] >= 0
+    present = np.zeros((n, len(frequent)), np.float32)
+    present[owner[held], column[slot[held]]] = 1
+    best = np.zeros(len(frequent))
+    for low in range(0, len(frequent), 256):
+        effect, variance = 0.0, 0.0
+        for sign, rows in ((1, present[y == 1]), (-1, present[y == 0])):
+            some, every = rows[:, low : low + 256], rows.sum(0)[None, :]
+            both = some.T @ rows
+            one, other = some.sum(0)[:, None] - both, every - both
+            for odds, cell in ((1, both), (-1, one), (-1, other), (1, len(rows) - both - one - other)):
+                effect = effect + sign * odds * np.log(cell + 0.5)
+                variance = variance + 1 / (cell + 0.5)
+        z = np.abs(effect) / np.sqrt(variance)
+        best[low : low + 256] = z.max(1)
+    return frequent[best >= LEAST_PAIR_Z]
+
+
 def fit(rows: list[tuple[str, int]], seed: int = 0) -> Model:
     """Learn from (text, label) rows."""
     y = np.array([label for _, label in rows], np.int64)
@@ -93,6 +122,8 @@ def fit(rows: list[tuple[str, int]], seed: int = 0) -> Model:
     clear[a + b < 5] = 0  # counts of at least four
     chosen = np.argsort(-clear, kind="stable")[:TERMS]
     chosen = chosen[clear[chosen] >= LEAST_Z]
+    paired = _paired(owner, slot, y, (a + b - 1).astype(np.int64))
+    chosen = np.concatenate([chosen, np.setdiff1d(paired, chosen)])
     place[chosen] = np.arange(len(chosen))
     row = place[slot]
     owner, row = owner[row >= 0], row[row >= 0]
