@@ -2,7 +2,8 @@
 
 A page is read once into text blocks. Elements that name themselves as something else than the article (navigation, header,
 footer, aside, form, script, style, or a class, id or role of such a kind, such as an advert, a notice or comments) are
-left out with their content. If the page marks its article (``<article>`` or ``<main>``), the blocks inside are the text.
+left out with their content. A name counts if all its parts say so (``comment-list``, ``cookieBanner``), not if one of them does (``social-sciences``, ``ad-hoc``);
+and an element inside the article that holds more text than all the rest of it is kept, whatever its name. If the page marks its article (``<article>`` or ``<main>``, with text), the blocks inside are the text.
 
 Otherwise the page is compared with its neighbours: the different pages of a host (equal ones count once, empty ones not) are put in
 order of URL path, and the blocks of a page are aligned by a longest common subsequence with those of the page before and after it. What they
@@ -40,7 +41,7 @@ BLOCKS = frozenset(
     "h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object audio video canvas".split())
+RAW = frozenset("script style textarea title noscript iframe template svg object audio video canvas".split())
 LEFT_OUT = frozenset("nav footer aside form menu dialog button select datalist label".split())
 ARTICLE = frozenset("article main".split())
 PARTS = frozenset(
@@ -49,6 +50,11 @@ PARTS = frozenset(
     "comment comments reply replies discussion disqus share sharing social related recommended recommendations widget widgets toolbar "
     "pagination pager login signup search alert".split()
 )
+#: Words that only say where a part stands or what holds it.
+NEUTRAL = frozenset(
+    "site page main user users reader readers post posts article articles top bottom left right side upper lower global list lists section area box boxes bar bars block blocks "
+    "container wrapper wrap inner outer content item items group thread links link button buttons column col row panel slot unit fixed sticky the js".split()
+)
 #: Pages that must agree before a line of a marked article is deleted.
 LEAST_MET = 4
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
@@ -62,6 +68,15 @@ _host = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 _path = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"
 
 
+def _says(names: list[str]) -> bool:
+    """Whether one of the names consists of parts that are all known, one of them as something else than the article."""
+    for name in names:
+        parts = [p.lower() for p in _part.findall(name)]
+        if any(p in PARTS for p in parts) and all(p in PARTS or p in NEUTRAL for p in parts):
+            return True
+    return False
+
+
 def left_out(name: str, attributes: str, inside: bool) -> bool:
     """Whether an element says that it is not part of the article."""
     if name in LEFT_OUT or name == "header" and not inside:
@@ -75,7 +90,7 @@ def left_out(name: str, attributes: str, inside: bool) -> bool:
         elif name in ARTICLE:
             found = not PARTS.isdisjoint(value.lower().split())
         else:
-            found = any(p.lower() in PARTS for p in _part.findall(value)) or ("header" in value.lower().split() and not inside)
+            found = _says(value.split()) or ("header" in value.lower().split() and not inside)
         if found:
             return True
     return False
@@ -83,8 +98,21 @@ def left_out(name: str, attributes: str, inside: bool) -> bool:
 
 def blocks(page: str) -> tuple[list[str], list[str], bool]:
     """The blocks of the article, those outside it, and whether the page marks an article."""
+    kept: frozenset[int] = frozenset()
+    while True:
+        inner, outer, marked, gone = _blocks(page, kept)
+        # An element that holds most of the article is no side matter. Each turn keeps one more, the largest.
+        size, at = max(gone, default=(0, 0))
+        if size <= sum(map(len, inner)) + sum(n for n, _ in gone) - size:
+            return (inner, outer, True) if inner else ([], outer, False)
+        kept |= {at}
+
+
+def _blocks(page: str, kept: frozenset[int]) -> tuple[list[str], list[str], bool, list[tuple[int, int]]]:
+    """Blocks inside and outside, whether there is an article, and of each element that its name leaves out of the article: characters of text, place in the page."""
     inner, outer, held, depth, marked, at = [], [], [], 0, False, 0
     skip, nested = "", 0  # the element that is left out, and how often it is open within itself
+    began, gone, lost = -1, [], 0  # where it begins if its name alone leaves it out, and its text so far
 
     def close() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -92,9 +120,17 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
         if text:
             (inner if depth else outer).append(text)
 
+    def leave() -> None:
+        nonlocal began, lost
+        if began >= 0:
+            gone.append((lost, began))
+        began, lost = -1, 0
+
     while m := _tag.search(page, at):
         if not skip:
             held.append(page[at : m.start()])
+        elif began >= 0:
+            lost += len("".join(page[at : m.start()].split()))
         at = m.end()
         name = (m[2] or m[5] or "").lower()
         if not name:
@@ -111,6 +147,7 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
             around = skip not in ARTICLE and name in ARTICLE and (ends and depth or not ends and not left_out(name, attributes, bool(depth)))
             if nested <= 0 or around or skip == "p" and name in BLOCKS:
                 skip = ""
+                leave()
                 if nested <= 0 and not around:
                     if name != "p" or ends:
                         continue
@@ -123,15 +160,19 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
         if ends:
             depth -= name in ARTICLE and depth > 0
         elif name not in VOID and not attributes.endswith("/"):
-            if left_out(name, attributes, bool(depth)):
+            if m.start() not in kept and left_out(name, attributes, bool(depth)):
                 close()
                 skip, nested = name, 1
+                began, lost = (m.start() if depth and not left_out(name, "", True) else -1), 0
             elif name in ARTICLE:
                 depth, marked = depth + 1, True
     if not skip:
         held.append(page[at:])
         close()
-    return inner, outer, marked
+    elif began >= 0:
+        lost += len("".join(page[at:].split()))
+        leave()
+    return inner, outer, marked, gone
 
 
 def shared(a: list[int], b: list[int]) -> np.ndarray:
