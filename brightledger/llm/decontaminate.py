@@ -89,7 +89,7 @@ class Items:
         split = words.split(texts)
         h = split.hashes()
         owner = split.owner()
-        found = []
+        best: list[np.ndarray] = []
         for mask, seen, key, low, item, place in self.seeds:
             s = seed_hashes(h, mask)
             if not len(s) or not len(key):
@@ -100,30 +100,76 @@ class Items:
             hit = key[np.minimum(k, len(key) - 1)] == s[at]
             at, k = at[hit], k[hit]
             count = low[k + 1] - low[k]
-            entry = np.repeat(low[k] - np.cumsum(count) + count, count) + np.arange(count.sum())
-            # Where the item's first word would lie; one row for each text, item and shift.
-            found.append(np.stack([np.repeat(owner[at], count), item[entry], np.repeat(at, count) - place[entry]], axis=1))
-        if not found:
+            # A part of the meetings at a time, however often a seed occurs on either side.
+            upto = np.cumsum(count)
+            for a, b in _slices(upto, _MEETINGS):
+                n = count[a:b]
+                entry = np.repeat(low[k[a:b]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                # Where the item's first word would lie; one row for each text, item and shift.
+                best.append(self._verify(split.first, h, np.repeat(owner[at[a:b]], n), item[entry], np.repeat(at[a:b], n) - place[entry]))
+        if not best:
             return []
-        return self._verify(split.first, h, np.unique(np.concatenate(found), axis=0))
-
-    def _verify(self, first: np.ndarray, h: np.ndarray, rows: np.ndarray) -> list[tuple]:
-        best: dict[tuple[int, int], tuple] = {}
-        for text, item, shift in rows.tolist():
-            if self.size[item] < LEAST and (text, item) in best:  # found whole already
-                continue
-            own = self.hash[self.first[item] : self.first[item + 1]]
-            low, high = max(shift, int(first[text])), min(shift + len(own), int(first[text + 1]))
-            span = min(SPAN, len(own))
-            if high - low < span:
-                continue
-            equal = np.concatenate([[0], np.cumsum(h[low:high] == own[low - shift : high - shift])])
-            runs = equal[span:] - equal[:-span]
-            at = int(runs.argmax())
-            n = int(runs[at])
-            if n >= (SHARE * span if len(own) >= LEAST else span) and n > best.get((text, item), (0,) * 6)[5]:
-                best[text, item] = (text, item, low + at - int(first[text]), low + at - shift, span, n)
-        return list(best.values())
+        return list(map(tuple, _best(np.concatenate(best))[:, [0, 1, 3, 4, 5, 6]].tolist()))
+
+    def _verify(self, first: np.ndarray, h: np.ndarray, text: np.ndarray, item: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        """(text, item, shift, word of the text, word of the item, words of the run, equal words) of the best overlap of each text and item, by equal words along the diagonals."""
+        # Distinct places: the owner of the first word and the item tell the rest.
+        key = np.unique((shift + self.size.max(initial=0)) * len(self.ids) + item)
+        shift, item = key // len(self.ids) - self.size.max(initial=0), key % len(self.ids)
+        text = np.searchsorted(first, np.maximum(shift, 0), side="right") - 1
+        parts = []
+        for own in (text, text + 1):  # a shift before the first word of a text lies in the text before
+            ok = own < len(first) - 1
+            t, i, d = own[ok], item[ok], shift[ok]
+            low, high = np.maximum(d, first[t]), np.minimum(d + self.size[i], first[t + 1])
+            span = np.minimum(SPAN, self.size[i])
+            fits = (high - low >= span) & ((own[ok] == text[ok]) | (d < first[t]))
+            parts.append(np.stack([t, i, d, low, high, span], axis=1)[fits])
+        rows = np.concatenate(parts)
+        out = []
+        for a, b in _slices(np.cumsum(rows[:, 4] - rows[:, 3]), _MEETINGS):
+            t, i, d, low, high, span = rows[a:b].T
+            n = high - low
+            ends = np.cumsum(n)
+            at = np.arange(ends[-1]) + np.repeat(low - ends + n, n)
+            equal = h[at] == self.hash[at + np.repeat(self.first[i] - d, n)]
+            total = np.concatenate([[0], np.cumsum(equal)])
+            # The runs of ``span`` words of each row, and the best of them, the first if several are.
+            runs = n - span + 1
+            stop = np.cumsum(runs)
+            begin = np.arange(stop[-1]) + np.repeat(ends - n - stop + runs, runs)
+            value = total[begin + np.repeat(span, runs)] - total[begin]
+            big = int(runs.max()) + 1
+            score = value * big + (np.repeat(stop, runs) - np.arange(stop[-1]))
+            top = np.maximum.reduceat(score, stop - runs)
+            same, place = top // big, runs - top % big
+            least = np.where(self.size[i] >= LEAST, SHARE * span, span)
+            ok = same >= least
+            found = np.stack([t, i, d, low + place - first[t], low + place - d, span, same], axis=1)
+            out.append(_best(found[ok]))
+        return np.concatenate(out) if out else np.zeros((0, 7), np.int64)
+
+
+#: Words or meetings that are looked at together.
+_MEETINGS = 1 << 19
+
+
+def _slices(upto: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``most`` together, from running sums; one larger row is a range of its own."""
+    low, n = 0, len(upto)
+    while low < n:
+        before = upto[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(upto, before + most, side="right")))
+        yield low, high
+        low = high
+
+
+def _best(rows: np.ndarray) -> np.ndarray:
+    """Of each text and item the row with most equal words, and of these the one that starts first."""
+    rows = rows[np.lexsort((rows[:, 2], -rows[:, 6], rows[:, 1], rows[:, 0]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
+    return rows[new]
 
 
 @lru_cache(maxsize=2)

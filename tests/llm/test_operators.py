@@ -78,6 +78,22 @@ def test_a_forgotten_piece_is_learned_again(tokenizer, monkeypatch):
         assert enc.encode(texts) == [enc._ids(t).tobytes() for t in texts]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab9é.,!?'|<&- \n", max_size=9), max_size=30))
+def test_pieces_with_punctuation_are_put_together(parts):
+    import public_tokenizers
+
+    enc = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" ".join(parts), "".join(parts)]
+    want = [np.array(enc.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert enc.encode(texts) == want and enc.encode(texts[::-1]) == want[::-1]
+
+
+@given(st.binary(max_size=80), st.binary(max_size=300))
+def test_checksums_are_joined(a, b):
+    assert token_files.crc32_joined(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
 @pytest.mark.parametrize("n", [1, 7, 4096])
 def test_planes_round_trip(n):
     ids = np.random.default_rng(n).integers(0, 1 << 32, n, np.uint32)
@@ -510,3 +526,129 @@ def test_word_hashes_do_not_depend_on_the_chunk():
     parts = [words.split([t]) for t in texts]
     assert np.array_equal(whole.hashes(), np.concatenate([p.hashes() for p in parts]))
     assert np.diff(whole.first).tolist() == [3, 0, 0, 2, 1] and list(words.chunks(texts, 3)) != list(words.chunks(texts, 100))
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_a_polynomial_confuses_stay_apart(spark):
+    """Two words of 1,024 letters, equal under any polynomial modulo 2**64, in the operators that compare words by hashes."""
+    x, y = thue_morse(1024), thue_morse(1024, "b", "a")
+    h = words.split([f"{x} {y} {x}".encode()]).hashes()
+    assert h[0] == h[2] != h[1]
+    for seed in (0, 1):
+        short = words.split([b"a b ab ba a\x00 aa aaaaaaaa aaaaaaaaa aaaaaaaaaaaaaaaa aaaaaaaaaaaaaaaaa aaaaaaaab baaaaaaaa"]).hashes(seed)
+        assert len(set(short.tolist())) == 12
+    assert (words.split([b"one two"]).hashes(0) != words.split([b"one two"]).hashes(1)).all()
+    tail = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"{x} {tail}"), (2, f"{y} {tail}")], "doc_id long, text string")
+    kept = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs, width=31).collect()}
+    assert kept == {1: 0, 2: 0}
+    pair = spark.createDataFrame([(1, f"{x} {x}"), (2, f"{y} {y}")], "doc_id long, text string")
+    assert {r.component_id for r in near_dedup.groups(pair, shingle=2, percent=80).collect()} == {1, 2}
+    items = spark.createDataFrame([(7, " ".join([y] * 9))], "item_id long, text string")
+    assert decontaminate.find(spark.createDataFrame([(1, " ".join([x] * 9))], "doc_id long, text string"), items).count() == 0
+
+
+def test_common_openings_cost_bounded_work():
+    """800 items share an opening that stands 4,000 times in one text: every meeting is looked at, in parts."""
+    import time
+    import tracemalloc
+
+    opening = "which of the following statements"
+    items = decontaminate.Items([(i, f"{opening} tells about case number x{i} y{i} z{i} best") for i in range(800)])
+    text = " ".join(f"{opening} a{i} b{i}" for i in range(4000)) + f" {opening} tells about case number x7 y7 z7 best"
+    items.search([b"which of the following"])
+    tracemalloc.start()
+    began = time.perf_counter()
+    found = items.search([decontaminate.normal(text)])
+    took, (_, peak) = time.perf_counter() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert (0, 7, 28000, 0, 13, 13) in found and peak < 200e6 and took < 20
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=18), max_size=4), st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=16), min_size=1, max_size=3))
+def test_best_overlaps_equal_a_plain_loop(texts, items):
+    """Items of every length, over few words, so that seeds meet everywhere."""
+    got = decontaminate.Items([(k, " ".join(x)) for k, x in enumerate(items)]).search([" ".join(t).encode() for t in texts])
+    want = {}
+    for t, text in enumerate(texts):
+        for k, item in enumerate(items):
+            span = min(decontaminate.SPAN, len(item))
+            least = decontaminate.SHARE * span if len(item) >= decontaminate.LEAST else span
+            best = None
+            for d in range(-len(item), len(text)):
+                low, high = max(d, 0), min(d + len(item), len(text))
+                for a in range(low, high - span + 1):
+                    same = sum(text[a + x] == item[a + x - d] for x in range(span))
+                    if same >= least and (best is None or same > best[0]):
+                        best = (same, a, a - d)
+            if best:
+                want[t, k] = best
+    assert {(t, k): (same, a, b) for t, k, a, b, _, same in got} == want
+
+
+CASES = [
+    ('<article><div class="social-sciences"><p>one</p></div><p>two</p></article>', "one two"),
+    ('<main><section id="related-work"><h2>Related work</h2><p>text</p></section><p>rest</p></main>', "Related work text rest"),
+    ('<article><p>a</p><p class="ad-hoc">b</p></article>', "a b"),
+    ('<article><div class="content alert-system"><p>the whole article stands here</p></div></article>', "the whole article stands here"),
+    ('<article><div class="share"><p>the whole article stands in this element</p></div><p>end</p></article>', "the whole article stands in this element end"),
+    ("<article><p>E = <math><mi>m</mi><msup>c2</msup></math> holds</p></article>", "E = mc2 holds"),
+    ('<article></article><div><p>the text</p></div>', "the text"),
+    ('<article><p>a long enough text</p><div class="comment-list"><p>first!</p></div><div id="cookieBanner">ok?</div><ul class="site-footer x"><li>c</li></ul></article>', "a long enough text"),
+    ('<article><p>a long enough text</p><p class="ad">buy</p><nav>n</nav><aside>s</aside></article>', "a long enough text"),
+]
+
+
+@pytest.mark.parametrize("page, want", CASES)
+def test_names_lose_no_text_of_the_article(page, want):
+    inner, outer, marked = html_text.blocks(page)
+    assert " ".join(inner if marked else inner + outer) == want
+
+
+def plain_lcs(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+@given(st.lists(st.integers(0, 30), max_size=12, unique=True), st.lists(st.integers(0, 30), max_size=12, unique=True))
+def test_shared_lines_are_a_longest_common_subsequence(a, b):
+    assert html_text.shared(a, b).sum() == plain_lcs(a, b)
+
+
+def test_html_of_odd_rows(spark, odd, none):
+    long = "<article>" + "".join(f"<p>line {i}</p>" for i in range(20_000)) + "</article>"
+    pages = [(1, "http://h.x/a", None), (None, None, "<p>no id"), (2, "http://h.x/b", ""), (3, "http://h.x/c", long), (3, "http://h.x/c", long)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    df = df.withColumns({c: F.lit("x") for c in ("rid", "host", "key", "marked", "lines", "position", "gone", "count")})
+    got = html_text.extract(df).collect()
+    whole = "\n\n".join(f"line {i}" for i in range(20_000))
+    assert Counter((r.page_id, r.text) for r in got) == Counter({(1, ""): 1, (None, "no id"): 1, (2, ""): 1, (3, whole): 2})
+    assert html_text.extract(df.where("false")).count() == 0
+
+
+def test_pairs_without_a_signal_of_their_own_are_learned():
+    """The label is 1 if both terms stand in a text or neither: no term tells anything alone."""
+    rng = random.Random(2)
+    rows = []
+    for _ in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        w = [f"w{rng.randrange(300)}" for _ in range(30)] + ["insultword"] * a + ["groupname"] * b
+        rng.shuffle(w)
+        rows.append((" ".join(w), int(a == b)))
+    model = toxicity.fit(rows[:3000])
+    texts = [t for t, _ in rows[3000:]]
+    got = model.score(texts)
+    assert ((got >= 0.5) == [y for _, y in rows[3000:]]).mean() > 0.9
+    # A slow scorer: the bias, the weight of each term, and the product of the vectors of each pair.
+    for text, score in zip(texts[:40], got):
+        _, slot = toxicity._terms([toxicity._normal(text)])
+        own = sorted({int(r) for r in model.place[np.unique(slot)] if r >= 0})
+        odds = model.bias + sum(model.weight[r] for r in own) + sum(model.vector[r] @ model.vector[q] for r, q in itertools.combinations(own, 2))
+        assert 1 / (1 + np.exp(-odds)) == pytest.approx(score, abs=1e-9)

@@ -114,12 +114,16 @@ def test_decontamination(spark, duck, texts):
 
 
 def test_main_text_is_made_of_the_articles_lines(spark, duck, texts):
+    """Every page has exactly one document whose lines it holds, below a title that begins the first of them."""
     lines = {" ".join(line.split()) for _, t in texts for line in t.split("\n")}
+    whole = {tuple(b for b in (" ".join(line.split()) for line in t.split("\n")) if b) for _, t in texts}
     got = catalog.QUERIES["op10_html_text"](spark, SF).collect()
     assert len(got) == duck.execute("SELECT count(*) FROM pages").fetchone()[0]
     for r in got:
         title, *rest = r.text.split("\n\n")
         assert r.n_chars == len(r.text) and all(b in lines for b in rest) and (not rest or rest[0].startswith(title[:50]))
+    found = [tuple(r.text.split("\n\n")[1:]) in whole for r in got]
+    assert all(found)
 
 
 @pytest.mark.parametrize("name, label, parts, held, least", [("op4_quality", "quality", 4, 2, 0.97), ("op8_toxicity", "toxic", 3, 1, 0.93)])
