@@ -343,24 +343,61 @@ def test_overlaps(spark, odd, none):
     assert decontaminate.find(none, benchmark).count() == 0 == decontaminate.find(docs, benchmark.where("false")).count()
 
 
-def test_slices_of_a_large_benchmark(spark, monkeypatch):
+def test_a_large_benchmark_is_joined(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SLICE_BYTES", 200)
     benchmark = spark.createDataFrame([(i, " ".join(f"t{i}w{k}" for k in range(14))) for i in range(20)], "item_id long, text string")
     docs = benchmark.select(F.col("item_id").alias("doc_id"), "text")
-    assert len(list(decontaminate.slices(benchmark))) > 3
+    assert decontaminate.small(decontaminate.folded(benchmark)) is None
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.find(docs, benchmark).collect()) == [(i, i) for i in range(20)]
     assert decontaminate.remove(docs, benchmark).count() == 0
 
 
-def test_a_repeated_row_of_the_benchmark_is_in_one_slice_once(spark, monkeypatch):
+def test_a_repeated_row_of_the_benchmark_is_folded(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SLICE_BYTES", 200)
     rows = [(i, " ".join(f"t{i}w{k}" for k in range(14))) for i in range(6)]
     benchmark = spark.createDataFrame(rows + rows[:1] * 30, "item_id long, text string")
-    got = list(decontaminate.slices(benchmark))
-    assert all(sum(len(t) for _, t, _ in s) <= 200 for s in got)
-    assert sorted(r for s in got for r in s) == [(i, t, 31 if i == 0 else 1) for i, t in rows]
+    every = decontaminate.folded(benchmark)
+    assert sorted(every.collect()) == [(i, t, 31 if i == 0 else 1) for i, t in rows]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert Counter(r.item_id for r in decontaminate.find(docs, benchmark).collect()) == {0: 31, **{i: 1 for i in range(1, 6)}}
+    monkeypatch.undo()
+    assert sorted(decontaminate.small(every)) == sorted(every.collect())
+    assert Counter(r.item_id for r in decontaminate.find(docs, benchmark).collect()) == {0: 31, **{i: 1 for i in range(1, 6)}}
+
+
+def test_the_join_and_the_search_in_tasks_give_the_same_rows(spark, odd, monkeypatch):
+    rng = random.Random(5)
+    items, texts = [], []
+    for _ in range(60):
+        n = rng.choice([1, 2, 3, 5, 7, 8, 9, 10, 11, 12, 13, 14, 20, 40])
+        items.append([f"w{rng.randrange(60)}" for _ in range(n)])
+    for _ in range(500):
+        x = list(rng.choice(items))
+        for k in rng.sample(range(len(x)), rng.randrange(0, len(x) // 3 + 1)):
+            x[k] = "other"
+        texts.append(" ".join([f"W{rng.randrange(60)}," for _ in range(rng.randrange(6))] + x[rng.randrange(3) :] + [f"w{rng.randrange(60)}" for _ in range(rng.randrange(6))]))
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 40 + [(None, texts[1]), (900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd.select("doc_id", "text")).withColumns({"key": F.lit(1), "item": F.lit("x")})
+    bench = [(i, " ".join(x)) for i, x in enumerate(items)] + [(3, " ".join(items[3])), (70, " ".join(items[4])), (71, None), (72, ""), (73, "!"), (None, " ".join(items[5]))]
+    benchmark = spark.createDataFrame(bench, "item_id long, text string")
+    searched = Counter(decontaminate.find(docs, benchmark).collect())
+    left = Counter(decontaminate.remove(docs, benchmark).collect())
+    assert len(searched) > 300
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 100)
+    joined = decontaminate.find(docs, benchmark)
+    assert Counter(joined.collect()) == searched
+    assert "CartesianProduct" not in (plan := joined._jdf.queryExecution().toString()) and "BroadcastNestedLoopJoin" not in plan
+    kept = decontaminate.remove(docs, benchmark)
+    assert Counter(kept.collect()) == left and kept.columns == docs.columns
+    assert decontaminate.find(docs.where("false"), benchmark).count() == 0 == decontaminate.remove(docs.where("false"), benchmark).count()
+
+
+def test_a_full_table_of_bits_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 100)
+    monkeypatch.setattr(decontaminate, "_BITS", (1 << 15, 1 << 15))
+    benchmark = spark.createDataFrame([(i, " ".join(f"t{i}w{k}" for k in range(14))) for i in range(900)], "item_id long, text string")
+    docs = benchmark.select(F.col("item_id").alias("doc_id"), "text")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.find(docs, benchmark).collect()) == [(i, i) for i in range(900)]
 
 
 # --- chat -----------------------------------------------------------------------------------
