@@ -9,7 +9,7 @@ A document's set is its distinct shingles of ``shingle`` consecutive words, A-Z
    corrected for chance agreement, is clearly too low are dropped; the rest are confirmed on the full sets.
 3. The links found so far give groups. A bucket whose nodes are all in one group can add nothing. In the others only pairs across groups matter, between nodes that are
    not of the bucket's largest group and the rest; they are compared in blocks of ``BLOCK`` nodes, first by their signatures to see which nodes take part at
-   all, then on the full sets. Only links come out of a block, one for each node and group.
+   all, then on the full sets, about ``BLOCK_BYTES`` of them at a time. Only links come out of a block, one for each node and group.
 
 Nothing is capped: a bucket of any size is dealt out to as many blocks as it needs. A pair at a similarity of exactly 0.8 shares no band with probability 3e-6, and passes the
 estimate with probability above 0.999999; more similar pairs miss far less.
@@ -34,6 +34,8 @@ from .common import settle, text_or_empty
 from .graph import components
 
 BLOCK = 1024
+#: Bytes of full sets that are compared in one block; a block with more is dealt out to smaller ones.
+BLOCK_BYTES = 64 << 20
 #: A pair is dropped if its estimated similarity is lower than the threshold by more than this, 4.8 standard deviations.
 MARGIN = 0.12
 
@@ -148,7 +150,7 @@ def _plausible(share: float):
             near = near[H.estimate(regs[near], regs[i][None], size[near], size[i][None]) >= share - _margin(share)]
             if len(near):
                 takes[near] = takes[i] = True
-        return table.select(["band", "mb", "sb", "role", "stray", "node", "component"]).filter(pa.array(takes))
+        return table.select(["band", "mb", "sb", "role", "stray", "node", "component", "n"]).filter(pa.array(takes))
 
     return run
 
@@ -266,11 +268,25 @@ def _across(placed: DataFrame, sets: DataFrame, percent: int, share: float) -> D
         signature["registers"].alias("registers"), signature["bands"].alias("bands"),
     )
     plausible = settle(
-        seen.groupBy("band", "mb", "sb").applyInArrow(_plausible(share), "band long, mb int, sb int, role int, stray boolean, node long, component long"),
+        seen.groupBy("band", "mb", "sb").applyInArrow(_plausible(share), "band long, mb int, sb int, role int, stray boolean, node long, component long, n long"),
         "plausible",
     )
-    full = plausible.join(sets.select("node", "shingles"), "node")
-    return settle(full.groupBy("band", "mb", "sb").applyInArrow(_block_links(percent), "a long, b long"), "links")
+    full = _by_bytes(plausible).join(sets.select("node", "shingles"), "node")
+    return settle(full.groupBy("band", "mb", "sb", "mp", "sp").applyInArrow(_block_links(percent), "a long, b long"), "links")
+
+
+def _by_bytes(rows: DataFrame) -> DataFrame:
+    """Rows of blocks with mp and sp, the parts of a block in which its members and strays meet: one part, or as many of each as its sets need."""
+    block = W.partitionBy("band", "mb", "sb")
+    rows = rows.withColumn("parts", F.ceil(8 * F.sum("n").over(block) / BLOCK_BYTES).cast("int")).withColumn("asked", F.max("role").over(block)).drop("n")
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    whole = rows.where("parts <= 1").withColumns({"mp": F.lit(0), "sp": F.lit(0)})
+    large = rows.where("parts > 1")
+    members = large.where("role = 0").withColumn("mp", F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int")).withColumn("sp", parts)
+    # In a block that holds its whole bucket the strays are among the members.
+    strays = large.where("role = 1 or asked = 0 and stray").withColumn("role", F.lit(1))
+    strays = strays.withColumn("mp", parts).withColumn("sp", F.pmod(F.xxhash64("node", F.lit(2)), "parts").cast("int"))
+    return whole.unionByName(members).unionByName(strays).drop("parts", "asked")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

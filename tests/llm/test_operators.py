@@ -250,9 +250,11 @@ def plain_groups(rows, n, percent):
     return Counter((i, len(sets[k]), least[top[k]]) for k, (i, _) in enumerate(rows))
 
 
-def test_groups_equal_all_pairs(spark, odd, none, monkeypatch):
-    """A crowd of copies at similarities about the threshold, in blocks far smaller than the crowd, and the odd rows."""
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+@pytest.mark.parametrize("block, size", [(16, 64 << 20), (16, 4000), (1024, 20_000)])
+def test_groups_equal_all_pairs(spark, odd, none, monkeypatch, block, size):
+    """A crowd of copies at similarities about the threshold, in blocks and parts of blocks far smaller than the crowd, and the odd rows."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", size)
     rng = random.Random(11)
     base = [f"w{k}" for k in range(140)]
     rows = []
@@ -276,6 +278,22 @@ def test_groups_equal_all_pairs(spark, odd, none, monkeypatch):
     assert near_dedup.groups(none).count() == 0 and near_dedup.deduplicate(none).count() == 0
 
 
+def test_parts_of_a_block_hold_each_pair_once_asked(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 800)
+    cols = "band long, mb int, sb int, role int, stray boolean, node long, component long, n long"
+    whole = [(1, 0, 0, 0, k % 3 == 0, k, k, 20) for k in range(30)]  # a bucket in one block
+    dealt = [(2, 0, 1, 0, False, k, k, 20) for k in range(20)] + [(2, 0, 1, 1, True, 100 + k, 100 + k, 20) for k in range(20)]
+    light = [(3, 0, 0, 0, k == 0, k, k, 5) for k in range(10)]
+    got = near_dedup._by_bytes(spark.createDataFrame(whole + dealt + light, cols)).collect()
+    met = defaultdict(lambda: ([], []))
+    for r in got:
+        met[r.band, r.mp, r.sp][r.role].append(r.node)
+    pairs = Counter((key[0], a, b) for key, (members, asked) in met.items() for a in members for b in asked)
+    assert pairs == Counter([(1, a, b) for a in range(30) for b in range(0, 30, 3)] + [(2, a, 100 + b) for a in range(20) for b in range(20)])
+    assert sorted(met[3, 0, 0][0]) == list(range(10)) and not met[3, 0, 0][1]
+    assert max(len(m) + len(a) for m, a in met.values()) < 30
+
+
 @pytest.mark.parametrize("percent, rows", [(95, 6), (80, 6), (70, 4), (60, 3), (50, 2), (10, 1)])
 def test_bands_find_pairs_at_any_percent(percent, rows):
     s = percent / 100
