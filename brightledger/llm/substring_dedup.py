@@ -8,14 +8,15 @@ hashed at positions whose residue modulo a period lies in a difference cover. Fo
 brings both to such a position, so they share an aligned anchor. The steps:
 
 1. Documents are put into units of about ``UNIT_BYTES`` of text, compressed and written to the shared folder.
-2. Each unit sends its distinct anchor hashes, cut into buckets by value. A bucket answers with one bit for each:
-   does it occur more than once?
-3. Matches extend from the anchors: only windows around a repeated anchor are hashed in full (96 bits). Each unit settles its own repeats and sends
-   the first of each; a bucket answers which of them has an earlier one elsewhere.
+2. Each unit asks of its distinct anchor hashes, one bit for each: does it occur more than once?
+3. Matches extend from the anchors: only windows around a repeated anchor are hashed in full (96 bits). Each unit settles its own repeats and asks
+   which of its firsts has an earlier one elsewhere.
 4. Each unit marks the covered words and joins the others by one space.
 
-A hash travels once per unit however often it occurs, so a passage that fills a third of all rows is no larger in its
-bucket than any other; buckets are as many as the size of the text asks for.
+Questions take two steps. Units belong to herds, as many as a herd has units. First a post, which stands for a herd and a wide range of hash values, folds what
+the units of the herd ask to one question for each hash; then a bucket, a narrow range, meets one question from each herd. Answers go back the
+same way. So messages grow as the power 1.5 of the text, not with its square, and a hash travels once per unit and once per herd however often it occurs:
+a passage that fills a third of all rows is in its post and its bucket no larger than any other. Posts and buckets hold the same at any size of the text.
 
 Defined cases: null text has no words; texts with fewer words than a window keep all; a null doc_id is smaller than any other; rows that
 share a doc_id are ordered by unit and place in it, so one of them counts as the earlier; an empty table gives an
@@ -24,6 +25,7 @@ empty result; a text of any length is one part of one unit.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import compress
 
@@ -37,7 +39,7 @@ from . import words
 from .common import settle, text_or_empty
 
 UNIT_BYTES = 4 << 20
-#: Text for each bucket, about 7 MB of anchor hashes.
+#: Text for each post and each bucket, about 7 MB of anchor hashes.
 BUCKET_BYTES = 16 << 20
 
 #: Perfect difference sets: every residue of the period is a difference of two members.
@@ -144,9 +146,9 @@ def _firsts(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], later
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where the buckets begin in sorted 64-bit keys."""
-    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+def _cuts(keys: np.ndarray, buckets: int, low: int = 0, high: int | None = None) -> np.ndarray:
+    """Where the buckets ``low`` to ``high`` (by default all) of ``buckets`` begin in sorted 64-bit keys, which all belong to them."""
+    edges = np.array([(b << 64) // buckets for b in range(low + 1, buckets if high is None else high)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
@@ -163,79 +165,144 @@ def _answer(parts: list[dict] | None) -> np.ndarray:
     return np.concatenate([np.zeros(0, bool)] + [_flags(p["bits"], p["n"]) for p in parts or []])
 
 
-def _send_anchors(width: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _messages(keys: np.ndarray, cut: np.ndarray, first: int, name: str, same: dict[str, int], more: dict) -> pa.RecordBatch:
+    """A row for each range between cuts that holds keys: its number from ``first``, the values ``same`` and what ``more`` makes of the span."""
+    some = np.flatnonzero(np.diff(cut))
+    spans = [(cut[k], cut[k + 1]) for k in some]
+    columns = {name: pa.array(some + first, pa.int64())}
+    columns |= {k: pa.array(np.full(len(some), v, np.int64)) for k, v in same.items()}
+    columns |= {k: pa.array([make(a, b) for a, b in spans], pa.binary()) for k, make in more.items()}
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _joined(group: pa.Table, column: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind)] + [np.frombuffer(x, kind) for x in group.column(column).to_pylist()])
+
+
+class Anchors:
+    """Questions of step 2: rows of keys, and which of them occur again in the same unit or herd."""
+
+    COLUMNS = "keys binary, again binary"
+    KEYS = "keys"
+
+    @staticmethod
+    def send(row: dict, width: int, posts: int) -> pa.RecordBatch:
+        _, h = Unit(row["ids"], row["sizes"], row["texts"], width).anchors()
+        keys, count = np.unique(h, return_counts=True)
+        return Anchors._pack(keys, count > 1, _cuts(keys, posts), 0, "post", {"herd": row["herd"], "unit": row["unit"]})
+
+    @staticmethod
+    def _pack(keys: np.ndarray, again: np.ndarray, cut: np.ndarray, first: int, name: str, same: dict[str, int]) -> pa.RecordBatch:
+        return _messages(keys, cut, first, name, same, {"keys": lambda a, b: keys[a:b].tobytes(), "again": lambda a, b: _bits(again[a:b])})
+
+    @staticmethod
+    def _kinds(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct keys, which of them occur more than once, and the place of each asked key among them."""
+        keys = [np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()]
+        again = np.concatenate([_flags(x, len(k)) for x, k in zip(group.column("again").to_pylist(), keys, strict=True)])
+        kinds, at, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        many = count > 1
+        many[at[again]] = True
+        return kinds, many, at
+
+    @staticmethod
+    def fold(group: pa.Table, buckets: int, low: int, high: int, same: dict[str, int]) -> pa.RecordBatch:
+        kinds, many, _ = Anchors._kinds(group)
+        return Anchors._pack(kinds, many, _cuts(kinds, buckets, low, high), low, "bucket", same)
+
+    @staticmethod
+    def decide(group: pa.Table) -> np.ndarray:
+        _, many, at = Anchors._kinds(group)
+        return many[at]
+
+    @staticmethod
+    def back(group: pa.Table, answer: np.ndarray) -> np.ndarray:
+        """Bits for what the units asked, from the bits for the distinct keys of their herd."""
+        _, _, at = Anchors._kinds(group)
+        return answer[at]
+
+
+class Windows:
+    """Questions of step 3: rows of windows with the document and the unit that each stands in."""
+
+    COLUMNS = "high binary, low binary, docs binary, units binary"
+    KEYS = "high"
+
+    @staticmethod
+    def send(row: dict, width: int, posts: int) -> pa.RecordBatch:
+        unit = Unit(row["ids"], row["sizes"], row["texts"], width)
+        where, high, low = _candidates(unit, row["anchors"])
+        first, _ = _firsts(high, low)
+        ids = np.array([_LEAST_ID if d is None else d for d in unit.ids], np.int64)
+        docs = ids[unit.owners(where[first])]
+        units = np.full(len(first), row["unit"], np.int64)
+        return Windows._pack(high[first], low[first], docs, units, _cuts(high[first], posts), 0, "post", {"herd": row["herd"], "unit": row["unit"]})
+
+    @staticmethod
+    def _pack(high, low, docs, units, cut: np.ndarray, first: int, name: str, same: dict[str, int]) -> pa.RecordBatch:
+        columns = {"high": high, "low": low, "docs": docs, "units": units}
+        return _messages(high, cut, first, name, same, {k: lambda a, b, v=v: v[a:b].tobytes() for k, v in columns.items()})
+
+    @staticmethod
+    def _kinds(group: pa.Table) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+        """All asked windows, the places of the first of each kind, and which windows are not the first."""
+        high, low = _joined(group, "high", np.uint64), _joined(group, "low", np.uint32)
+        docs, units = _joined(group, "docs", np.int64), _joined(group, "units", np.int64)
+        order = np.lexsort((units, docs))
+        first, later = _firsts(high[order], low[order])
+        not_first = np.empty(len(order), bool)
+        not_first[order] = later
+        return (high, low, docs, units), order[first], not_first
+
+    @staticmethod
+    def fold(group: pa.Table, buckets: int, low: int, high: int, same: dict[str, int]) -> pa.RecordBatch:
+        rows, first, _ = Windows._kinds(group)
+        rows = [x[first] for x in rows]
+        return Windows._pack(*rows, _cuts(rows[0], buckets, low, high), low, "bucket", same)
+
+    @staticmethod
+    def decide(group: pa.Table) -> np.ndarray:
+        return Windows._kinds(group)[2]
+
+    @staticmethod
+    def back(group: pa.Table, answer: np.ndarray) -> np.ndarray:
+        _, first, later = Windows._kinds(group)
+        later[first] = answer
+        return later
+
+
+def _replies(group: pa.Table, keys: str, flags: np.ndarray, columns: list[str]) -> pa.Table:
+    """The bits for each row of a group, beside the columns that name the row."""
+    sizes = [len(x) // 8 for x in group.column(keys).to_pylist()]
+    ends = np.cumsum(sizes)
+    bits = [_bits(flags[e - n : e]) for n, e in zip(sizes, ends, strict=True)]
+    return pa.table({c: group.column(c) for c in columns} | {"n": pa.array(sizes, pa.int64()), "bits": pa.array(bits, pa.binary())})
+
+
+def _ask(units: DataFrame, kind: type, width: int, posts: int, buckets: int) -> DataFrame:
+    """(unit, post, n, bits): answers to what the units ask; ``buckets`` is a multiple of ``posts``."""
+    own, per = kind.COLUMNS, buckets // posts
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, h = Unit(row["ids"], row["sizes"], row["texts"], width).anchors()
-                keys, count = np.unique(h, return_counts=True)
-                cut = _cuts(keys, buckets)
-                some = np.flatnonzero(np.diff(cut))
-                spans = [(cut[b], cut[b + 1]) for b in some]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some, pa.int64()),
-                        pa.array(np.full(len(some), row["unit"]), pa.int64()),
-                        pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
-                        pa.array([_bits(count[a:b] > 1) for a, b in spans], pa.binary()),
-                    ],
-                    names=["bucket", "unit", "keys", "again"],
-                )
+                yield kind.send(row, width, posts)
 
-    return run
+    def fold(group: pa.Table) -> pa.Table:
+        herd, post = group.column("herd")[0].as_py(), group.column("post")[0].as_py()
+        return pa.Table.from_batches([kind.fold(group, buckets, post * per, (post + 1) * per, {"herd": herd, "post": post})])
 
+    def decide(group: pa.Table) -> pa.Table:
+        return _replies(group, kind.KEYS, kind.decide(group), ["herd", "post", "bucket"])
 
-def _count_anchors(group: pa.Table) -> pa.Table:
-    keys = [np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()]
-    every = np.concatenate(keys)
-    again = np.concatenate([_flags(x, len(k)) for x, k in zip(group.column("again").to_pylist(), keys, strict=True)])
-    kinds, at, count = np.unique(every, return_inverse=True, return_counts=True)
-    many = count > 1
-    many[at[again]] = True
-    return _reply(group, keys, many[at])
-
-
-def _first_windows(group: pa.Table) -> pa.Table:
-    high = [np.frombuffer(x, np.uint64) for x in group.column("high").to_pylist()]
-    sizes = [len(x) for x in high]
-    low = np.concatenate([np.frombuffer(x, np.uint32) for x in group.column("low").to_pylist()])
-    docs = np.concatenate([np.frombuffer(x, np.int64) for x in group.column("docs").to_pylist()])
-    unit = np.repeat(np.array(group.column("unit").to_pylist(), np.int64), sizes)
-    order = np.lexsort((unit, docs))
-    _, later = _firsts(np.concatenate(high)[order], low[order])
-    out = np.empty(len(order), bool)
-    out[order] = later
-    return _reply(group, high, out)
-
-
-def _reply(group: pa.Table, keys: list[np.ndarray], flags: np.ndarray) -> pa.Table:
-    ends = np.cumsum([len(k) for k in keys])
-    bits = [_bits(flags[e - len(k) : e]) for k, e in zip(keys, ends, strict=True)]
-    return pa.table(
-        {"unit": group.column("unit"), "bucket": group.column("bucket"), "n": pa.array([len(k) for k in keys], pa.int64()), "bits": pa.array(bits, pa.binary())}
-    )
+    def back(asked: pa.Table, replies: pa.Table) -> pa.Table:
+        answer = _answer(replies.sort_by("bucket").to_pylist())
+        return _replies(asked, kind.KEYS, kind.back(asked, answer), ["unit", "post"])
 
-
-def _send_windows(width: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                unit = Unit(row["ids"], row["sizes"], row["texts"], width)
-                where, high, low = _candidates(unit, row["anchors"])
-                first, _ = _firsts(high, low)
-                high, low = high[first], low[first]
-                ids = np.array([_LEAST_ID if d is None else d for d in unit.ids], np.int64)
-                docs = ids[unit.owners(where[first])]
-                cut = _cuts(high, buckets)
-                some = np.flatnonzero(np.diff(cut))
-                spans = [(cut[b], cut[b + 1]) for b in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int64()), pa.array(np.full(len(some), row["unit"]), pa.int64())]
-                    + [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (high, low, docs)],
-                    names=["bucket", "unit", "high", "low", "docs"],
-                )
-
-    return run
+    asked = units.mapInArrow(send, f"post long, herd long, unit long, {own}")
+    folded = asked.groupBy("herd", "post").applyInArrow(fold, f"bucket long, herd long, post long, {own}")
+    replies = folded.groupBy("bucket").applyInArrow(decide, "herd long, post long, bucket long, n long, bits binary")
+    return asked.groupBy("herd", "post").cogroup(replies.groupBy("herd", "post")).applyInArrow(back, "unit long, post long, n long, bits binary")
 
 
 def _candidates(unit: Unit, answer: list[dict] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -287,25 +354,20 @@ def remove_repeats(docs: DataFrame, width: int = 20, id_col: str = "doc_id", tex
         ),
         "units",
     )
-    total = units.agg(F.sum("bytes")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    reply = "unit long, bucket long, n long, bits binary"
+    total, count = units.agg(F.sum("bytes"), F.count(F.lit(1))).first()
+    herd = max(1, math.isqrt(count))
+    posts = -(-herd * UNIT_BYTES // BUCKET_BYTES)
+    # At least a bucket for each shuffle partition, and as many for each post.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(total or 0) // BUCKET_BYTES))
+    buckets = posts * -(-buckets // posts)
+    units = units.withColumn("herd", F.pmod(F.xxhash64("unit"), F.lit(max(1, -(-count // herd)))))
 
     def by_unit(answers: DataFrame, name: str) -> DataFrame:
-        return answers.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "bits"))).alias(name))
+        return answers.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("post", "n", "bits"))).alias(name))
 
-    anchors = settle(
-        units.mapInArrow(_send_anchors(width, buckets), "bucket long, unit long, keys binary, again binary")
-        .groupBy("bucket")
-        .applyInArrow(_count_anchors, reply),
-        "anchors",
-    )
+    anchors = settle(_ask(units, Anchors, width, posts, buckets), "anchors")
     known = units.join(by_unit(anchors, "anchors"), "unit", "left")
-    windows = (
-        known.mapInArrow(_send_windows(width, buckets), "bucket long, unit long, high binary, low binary, docs binary")
-        .groupBy("bucket")
-        .applyInArrow(_first_windows, reply)
-    )
+    windows = _ask(known, Windows, width, posts, buckets)
     return known.join(by_unit(windows, "windows"), "unit", "left").mapInArrow(
         _remove(width), "doc_id long, n_words long, n_removed long, text string"
     )

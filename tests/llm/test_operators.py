@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -154,10 +155,14 @@ def kept_words(rows, width):
     return Counter(out)
 
 
-@pytest.mark.parametrize("width", [2, 5, 20, 40])
-def test_repeats_are_removed_as_by_a_plain_loop(spark, monkeypatch, width):
-    """Small units and few words, so that repeats lie within and across units, at every shift, and one line is in a third of the texts."""
+@pytest.mark.parametrize(("width", "bucket"), [(2, 16 << 20), (2, 700), (5, 16 << 20), (20, 16 << 20), (20, 700), (40, 16 << 20)])
+def test_repeats_are_removed_as_by_a_plain_loop(spark, monkeypatch, width, bucket):
+    """Small units and few words, so that repeats lie within and across units, at every shift, and one line is in a third of the texts.
+
+    Small buckets make several posts, so that herds fold what their units ask, and several buckets for each post.
+    """
     monkeypatch.setattr(substring_dedup, "UNIT_BYTES", 3000)
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", bucket)
     rng = random.Random(width)
     line = " ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(60))
     rows = []
@@ -171,11 +176,24 @@ def test_repeats_are_removed_as_by_a_plain_loop(spark, monkeypatch, width):
             text += "\n" + line + "\n" + text[: rng.randrange(200)] + " " + line
         rows.append((i * 7 % 150, text))
     rows += [(500, None), (501, ""), (502, "  "), (503, rows[3][1])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
     got = Counter(tuple(r) for r in substring_dedup.remove_repeats(docs, width).select("doc_id", "n_words", "n_removed", "text").collect())
     assert got == kept_words(rows, width)
 
 
+def test_herds_ask_once_for_each_hash():
+    """A post folds the questions of its units, and the answers return to each of them in its own order."""
+    keys = [np.array(k, np.uint64) for k in ([1, 5, 9 << 60], [1, 7], [5, 7, 8])]
+    again = [np.array(a, bool) for a in ([0, 0, 0], [0, 0], [0, 0, 1])]
+    post = pa.table({"unit": [10, 11, 12], "post": [0] * 3, "keys": [k.tobytes() for k in keys], "again": [substring_dedup._bits(a) for a in again]})
+    folded = pa.Table.from_batches([substring_dedup.Anchors.fold(post, 4, 0, 4, {"herd": 3, "post": 0})])
+    assert folded.column("bucket").to_pylist() == [0, 2] and folded.column("herd").to_pylist() == [3, 3]
+    assert [np.frombuffer(k, np.uint64).tolist() for k in folded.column("keys").to_pylist()] == [[1, 5, 7, 8], [9 << 60]]
+    assert substring_dedup._flags(folded.column("again").to_pylist()[0], 4).tolist() == [True, True, True, True]
+    back = substring_dedup.Anchors.back(post, np.array([1, 0, 1, 1, 0], bool))
+    assert back.tolist() == [True, False, False, True, True, False, True, True]
+
+
 def test_repeats_on_odd_rows(odd, none):
     got = substring_dedup.remove_repeats(odd, 2).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in ROWS)
