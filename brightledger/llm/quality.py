@@ -36,6 +36,11 @@ class Model:
     weight: np.ndarray
     bias: float
 
+    @property
+    def informed(self) -> bool:
+        """Whether texts differ in score; not so without labels of both kinds."""
+        return bool(self.weight.any())
+
     def score(self, texts: list[str]) -> np.ndarray:
         data = [t.encode() for t in texts]
         out = np.zeros(len(data))

@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -573,6 +573,65 @@ def test_models_on_odd_rows_and_few_labels(spark, odd, none, module):
     assert kept.columns == odd.columns and kept.count() == len(ROWS) and quality.accepted(odd, quality.fit([]), 0.6).count() == 0
 
 
+def plain_quality(model, text):
+    """The score of one text, feature by feature."""
+    mask = (1 << 32) - 1
+
+    def slot(h):
+        h = ((h ^ (h >> 15)) * 0x85EBCA6B) & mask
+        h = ((h ^ (h >> 13)) * 0xC2B2AE35) & mask
+        return h >> (32 - quality.BITS)
+
+    blanks = re.compile(rb"[\x20\x09-\x0d]")
+    data = text.encode()
+    found = [w for w in blanks.split(data) if w]
+    kinds = [[slot(int(words.split([w]).hashes()[0]) >> 32) for w in found]]
+    padded = blanks.sub(b" ", data) + b" "
+    for n in quality.GRAMS:
+        grams = [padded[i : i + n] for i in range(len(padded) - n + 1)]
+        kinds.append([slot((n + sum(c * pow(0x9E3779B1, k + 1, 1 << 32) for k, c in enumerate(g))) & mask) for g in grams if b" " not in g[1:-1]])
+    looks = []
+    for i, w in enumerate(found):
+        upper = sum(0x41 <= c <= 0x5A for c in w)
+        lower = sum(0x61 <= c <= 0x7A or c >= 0x80 for c in w)
+        digits = sum(0x30 <= c <= 0x39 for c in w)
+        code = (0 if lower else min(upper, 2)) + (3 if lower else 0) + 4 * min(digits, 1) + 8 * min(len(w) - upper - lower - digits, 3)
+        code = code * 8 + min(len(w), 28) // 4
+        for back in (1, 2, 3):
+            code = code * 2 + (i >= back and found[i - back] == w)
+        looks.append(slot(code * 0x9E3779B1 & mask))
+    kinds.append(looks)
+    assert len(kinds) == quality.KINDS
+    odds = model.bias + sum(sum(float(model.weight[x]) for x in k) / len(k) for k in kinds if k) / quality.KINDS
+    return 1 / (1 + np.exp(-odds))
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet="aB9é.,!- \n\t\u2028語", max_size=60), max_size=8))
+def test_quality_scores_equal_a_plain_loop(found):
+    """Neighbours in a chunk do not matter, nor do empty texts and texts of blanks."""
+    rng = np.random.default_rng(5)
+    model = quality.Model(rng.normal(0, 2, 1 << quality.BITS).astype(np.float32), 0.3)
+    found = [*found, "", "  ", "word " * 300, "x" * 5000]
+    assert np.allclose(model.score(found), [plain_quality(model, t) for t in found], atol=1e-9)
+
+
+@pytest.mark.parametrize(("marks", "want"), [([], 6), ([(1, 0), (2, 0)], 6), ([(1, 1), (3, 1)], 6), ([(1, 1), (2, 0), (3, 1), (4, 0)], None)])
+def test_the_first_stage_keeps_all_unless_it_can_tell(spark, tmp_path, marks, want):
+    import corpus_pipeline
+
+    rows = [(1, "good plain words in a row"), (2, "zzz ### 000 zzz"), (3, "more good plain words here"), (4, "### zzz 000 ###"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame(marks, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.keep_quality(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    kept = {r.doc_id for r in got.collect()}
+    if want:
+        assert len(kept) == want
+    else:
+        assert {1, 3} <= kept and not kept & {2, 4} and len(kept & {5, 6}) in (0, 2)
+
+
 def test_the_sample_is_bounded_and_balanced(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
     labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("mark"))
