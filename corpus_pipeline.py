@@ -17,9 +17,12 @@ LEAST_QUALITY = 0.5
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the labelled documents and keep those that score as good."""
+    """Learn from the labelled documents and keep those that score as good.
+
+    Without labels of both kinds nothing tells good documents from others, and all stay. Null and empty texts score by the bias; equal texts score alike.
+    """
     model = quality.learn(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    return quality.accepted(docs, model, LEAST_QUALITY)
+    return quality.accepted(docs, model, LEAST_QUALITY) if model.informed else docs
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
