@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+#: Bytes of a table, as Spark estimates them, whose words one task groups in memory.
+PORTION = 2 << 20
+#: From so many portions on, a size is Spark's stand-in for an unknown one.
+PORTIONS = 1 << 20
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame, written to the scratch folder and read back.
@@ -21,16 +26,30 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """A small table, dealt by its keys; a large one as it lies.
 
-    A small table may be one row group, which one task reads while the others wait. Up to one scan split for each core the
-    rows are dealt, which moves little; beyond that the scan has splits enough, and moving whole texts would cost more than it gives.
+    A small table may be one row group, which one task reads while the others wait. Up to one scan split the
+    rows are dealt, which moves little; beyond that the scan has several, and moving whole texts would cost more than it gives.
+    """
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return df.repartition(*keys) if _estimated_bytes(df) <= conf.filesMaxPartitionBytes() else df
+
+
+def portioned(df: DataFrame, *keys: str) -> DataFrame:
+    """Texts dealt by their keys, a large table into portions of about ``PORTION`` estimated bytes.
+
+    Their words, grouped by the same keys and others, need no further exchange, and those of a portion fit into a task's memory, also where a scan split or
+    a partition of the advisory size would have to sort them on disk. The texts are moved once, which is less than moving their words.
+    Where Spark has no estimate, its own number of partitions holds.
     """
-    spark = df.sparkSession
-    conf = spark._jsparkSession.sessionState().conf()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(*keys) if size <= spark.sparkContext.defaultParallelism * conf.filesMaxPartitionBytes() else df
+    portions = -(-_estimated_bytes(df) // PORTION)
+    sized = df.sparkSession.sparkContext.defaultParallelism < portions < PORTIONS
+    return df.repartition(portions, *keys) if sized else df.repartition(*keys)
 
 
 def broadcast_bytes(df: DataFrame) -> int:

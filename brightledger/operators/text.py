@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import as_col, ratio, round_half_up
 from ..functions.strings import preview
-from .layout import broadcast_bytes, dealt, stored
+from .layout import broadcast_bytes, dealt, portioned, stored
 
 TOKEN_BREAK = r"[^\p{L}]+"
 SENTENCE_BREAK = r"[.!?\n]+"
 MICRO = 1_000_000
 GAIN = 4.0
-#: A broadcast word has at most so many characters, and its row at most so many bytes.
-HOT_LENGTH, HOT_ROW = 64, 512
+#: A broadcast word has at most so many characters. Its row takes at most so many bytes besides the word, as key and as value, and eight for each value.
+HOT_LENGTH, HOT_ROW = 64, 128
 
 
 def token_array(text: Column | str) -> Column:
@@ -56,14 +56,15 @@ def token_weights(docs: DataFrame, labels: DataFrame, positive: Column, id: str
 
 def _split_words(words: DataFrame) -> tuple[DataFrame | None, DataFrame]:
     """The most frequent words of a table (token, n, ...), as many as may be broadcast, and the others."""
-    rows = broadcast_bytes(words) // HOT_ROW if "n" in words.columns else 0
-    if not rows:
+    room = broadcast_bytes(words) if "n" in words.columns else 0
+    if room < HOT_ROW:
         return None, words
-    # The least count that no more words reach than there is room for. One row for each count.
+    # The least count that no more bytes of words reach than there is room for. One row for each count.
     short = F.length("token") <= HOT_LENGTH
     upto = W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, 0)
-    counts = words.where(short).groupBy("n").agg(F.count(F.lit(1)).alias("_k")).withColumn("_k", F.sum("_k").over(upto))
-    least = F.coalesce(counts.where(F.col("_k") <= rows).agg(F.min("n")).scalar(), F.lit((1 << 63) - 1))
+    taken = 2 * F.octet_length("token") + HOT_ROW + 8 * (len(words.columns) - 2)
+    counts = words.where(short).groupBy("n").agg(F.sum(taken).alias("_k")).withColumn("_k", F.sum("_k").over(upto))
+    least = F.coalesce(counts.where(F.col("_k") <= room).agg(F.min("n")).scalar(), F.lit((1 << 63) - 1))
     hot = short & (F.col("n") >= least)
     return words.where(hot), words.where(~hot)
 
@@ -99,7 +100,7 @@ def word_sums(rows: DataFrame, keys: Sequence[str], words: DataFrame, values: Se
 
 def _tokens(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, token); a text without tokens gives one row with a NULL token."""
-    return dealt(docs.select(id, text), id).select(id, F.explode_outer(token_array(text)).alias("token"))
+    return portioned(docs.select(id, text), id).select(id, F.explode_outer(token_array(text)).alias("token"))
 
 
 def sentiment(docs: DataFrame, weights: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -140,24 +141,23 @@ def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int
     ranking, and only the chosen ones are read back.
     """
     # In a struct, NULL equals NULL.
-    base = dealt(
-        rows.select(
-            F.struct(F.col(group).alias("v")).alias("_g"), F.struct((F.lit(0) if order is None else F.col(order)).alias("v")).alias("_o"), F.col(text).alias("_t")
-        ),
-        *(["_g"] if order is None else ["_g", "_o"]),  # a constant is no key
+    texts = rows.select(
+        F.struct(F.col(group).alias("v")).alias("_g"), F.struct((F.lit(0) if order is None else F.col(order)).alias("v")).alias("_o"), F.col(text).alias("_t")
     )
+    keys = ["_g"] if order is None else ["_g", "_o"]  # a constant is no key
+    base = portioned(texts, *keys)
     sentences = base.select("_g", "_o", F.posexplode(F.split("_t", SENTENCE_BREAK)).alias("_pos", "_s"))
     tokens = sentences.select("_g", "_o", "_pos", F.explode(token_array("_s")).alias("token"))
     # One row per (text, word) with the sentences it stands in: never longer than the text itself.
     places = tokens.groupBy("_g", "_o", "token").agg(F.collect_list("_pos").alias("_p"))
     if order is None:
         tf = places.withColumn("_tf", F.size("_p").cast("bigint"))
-        df = base.select(F.explode(F.array_distinct(token_array("_t"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        df = dealt(texts, "_g").select(F.explode(F.array_distinct(token_array("_t"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     else:
         per_group = stored(tokens.groupBy("_g", "token").agg(F.count(F.lit(1)).alias("_tf")), "term-counts")
         tf = places.join(per_group, ["_g", "token"])
         df = per_group.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    total = base.select(F.count_distinct("_g")).scalar()
+    total = texts.select(F.count_distinct("_g")).scalar()
     idf = df.withColumn("_n", total).select(
         "token", _micro(F.ln((F.col("_n") + 1).cast("double") / (F.col("n") + 1).cast("double")) + F.lit(1.0)).alias("idf"), "n"
     )
@@ -166,12 +166,13 @@ def summarize(rows: DataFrame, group: str, order: str | None, text: str, k: int
     w = W.partitionBy("_g").orderBy(F.desc("_score"), "_o", "_pos")
     chosen = scores.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).select("_g", "_o", "_pos")
     # At most k rows a group. Stored, so that the joins above are planned by themselves.
-    back = base.join(stored(chosen, "chosen"), ["_g", "_o"]).select(
+    chosen = stored(chosen, "chosen")
+    back = base.join(chosen.drop("_o") if order is None else chosen, keys).select(
         "_g", "_o", "_pos", F.trim(F.element_at(F.split("_t", SENTENCE_BREAK), F.col("_pos") + 1)).alias("_s")
     )
     parts = F.array_sort(F.collect_list(F.struct("_o", "_pos", "_s")))
     found = back.groupBy("_g").agg(F.concat_ws(". ", F.transform(parts, lambda p: p["_s"])).alias("summary"))
-    return base.select("_g").distinct().join(found, "_g", "left").select(F.col("_g.v").alias(group), "summary")
+    return texts.select("_g").distinct().join(found, "_g", "left").select(F.col("_g.v").alias(group), "summary")
 
 
 def extract_answers(

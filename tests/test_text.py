@@ -192,3 +192,26 @@ def test_ten_thousand_questions(spark):
     every = X.extract_answers(docs, few).collect()
     assert len(every) == 60 * 30 and {(r.doc_id, r.question_id) for r in every if r.answer} == {k for k in got if k[1] < 30}
     assert all((r.answer is None) == (r.score == 0) for r in every)
+
+
+def test_large_tables_of_texts_are_dealt_into_portions(spark, tmp_path, monkeypatch):
+    """The words of a task stay within a bound: a large table is dealt into portions by its size, which AQE doesn't merge."""
+    from brightledger.operators import layout
+
+    texts = [(i, f"alpha{i % 13} beta. gamma delta{i % 7}\nbeta omega") for i in range(4000)]
+    df = spark.createDataFrame(texts, "doc_id int, text string")
+    df.write.parquet(f"{tmp_path}/texts")
+    df = spark.read.parquet(f"{tmp_path}/texts")
+    want = sorted(map(str, X.summarize(df, "doc_id", None, "text").collect()))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    monkeypatch.setattr(layout, "PORTION", size // 40)
+    assert X._tokens(df, "doc_id", "text").rdd.getNumPartitions() >= 40
+    assert sorted(map(str, X.summarize(df, "doc_id", None, "text").collect())) == want
+
+
+def test_short_words_take_little_of_the_broadcast_room(spark, monkeypatch):
+    """Room is counted by the bytes of the words, so short ones are not left to the shuffle."""
+    table = spark.createDataFrame([(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}", 1000 - i, i) for i in range(600)], "token string, n long, idf long")
+    monkeypatch.setattr(X, "broadcast_bytes", lambda df: 100 * 512)
+    hot, rest = X._split_words(table)
+    assert hot.count() > 300 and hot.count() + rest.count() == 600
