@@ -12,13 +12,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+#: Short rows that go to one file at least, where their number is known.
+FILE_ROWS = 100_000
+
+
+def settle(df: DataFrame, label: str, rows: int | None = None, each: int = FILE_ROWS) -> DataFrame:
     """The frame, written to the shared folder and read back.
 
     It cuts the lineage: later steps see the same rows on every read, also when executors are lost
-    and when a column was made by a function that depends on the partitions.
+    and when a column was made by a function that depends on the partitions. ``rows`` is about how many rows are made or read for it: a small table with many
+    shuffle partitions is then a few files, of ``each`` of them. Each file costs its task a call of chmod or two, and on Linux a process that calls another one counts twice meanwhile.
     """
     shared_dir(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // each)))
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,6 +36,10 @@ from .graph import components
 BLOCK = 1024
 #: Bytes of full sets that are compared in one block; a block with more is dealt out to smaller ones.
 BLOCK_BYTES = 64 << 20
+#: Rows that a task compares at least, where a table has so few that its shuffle partitions hold less.
+WORK_ROWS = 2 * BLOCK
+#: Values of sets that are looked at at once within a block.
+VALUES = 1 << 20
 #: A pair is dropped if its estimated similarity is lower than the threshold by more than this, 4.8 standard deviations.
 MARGIN = 0.12
 
@@ -179,6 +183,12 @@ def _block_links(percent: int):
 
 def _common(rows: list[np.ndarray], cols: list[np.ndarray], width: int = 4096) -> np.ndarray:
     """How many values each row set shares with each column set."""
+    total = sum(len(s) for s in rows + cols)
+    if total > VALUES:
+        # Sets are sorted and values are spread evenly: a range of them after the other, so that the arrays below stay small.
+        bounds = np.linspace(0, 2.0**64, -(-2 * total // VALUES) + 1)[1:-1].astype(np.uint64)
+        cuts = [[np.split(s, np.searchsorted(s, bounds)) for s in side] for side in (rows, cols)]
+        return sum(_common(*([s[k] for s in side] for side in cuts), width) for k in range(len(bounds) + 1))
     values, at = np.unique(np.concatenate(rows + cols), return_inverse=True)
     owner = np.repeat(np.arange(len(rows) + len(cols)), [len(s) for s in rows + cols])
     order = np.argsort(at, kind="stable")
@@ -199,20 +209,23 @@ def groups(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col: str = "
     picked = picked.select("doc_id", F.xxhash64("text").alias("th"), "text")
     signed = settle(picked.mapInArrow(_sign(shingle, share), _SIGNED).withColumn("rid", F.monotonically_increasing_id()), "signatures")
     filled = signed.where("n > 0")
-    nodes = settle(filled.groupBy("key").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "nodes")
+    most = signed.count()
+    nodes = settle(filled.groupBy("key").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "nodes", most)
     # The band keys of one row for each distinct set.
     single = filled.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
     each = single.select(F.col("rid").alias("node"), F.explode("signatures").alias("s"))
     bands = settle(each.select("node", F.col("s.level").alias("level"), F.explode("s.bands").alias("band")), "bands")
-    buckets = settle(bands.groupBy("band").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "buckets")
-    crowd = settle(bands.join(buckets, "band"), "crowd")
+    banded = bands.count()
+    buckets = settle(bands.groupBy("band").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "buckets", banded)
+    crowd = settle(bands.join(buckets, "band"), "crowd", banded)
+    crowded = crowd.count()
 
     # Full sets of the nodes that share a band with any other, from their texts.
     needed = crowd.select("node").distinct().join(signed.withColumnRenamed("rid", "node"), "node").select("node", "doc_id", "th", "key", "signatures")
     same = (picked["th"] == needed["th"]) & picked["doc_id"].eqNullSafe(needed["doc_id"])
     texts = picked.join(needed, same).select("node", "key", "signatures", "text")
     sets = settle(
-        texts.mapInArrow(_sets(shingle), "node long, shingles binary, " + _SIGNED.rpartition(", ")[2]).dropDuplicates(["node"]), "sets"
+        texts.mapInArrow(_sets(shingle), "node long, shingles binary, " + _SIGNED.rpartition(", ")[2]).dropDuplicates(["node"]), "sets", crowded, WORK_ROWS
     )
 
     def side(name: str, k: int) -> DataFrame:
@@ -220,7 +233,7 @@ def groups(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col: str = "
 
     pairs = crowd.where("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     known = pairs.join(side("a", 1), "a").join(side("b", 2), "b").select("a", "b", "set1", "set2", "sig1", "sig2")
-    links = settle(known.mapInArrow(_confirm(percent, share), "a long, b long"), "links")
+    links = settle(known.mapInArrow(_confirm(percent, share), "a long, b long"), "links", crowded, WORK_ROWS)
 
     def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
         return rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -234,7 +247,7 @@ def groups(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col: str = "
     by_key = settle(least.join(smallest, "component").select("key", "component", "component_id"), "groups")
     rows = filled.select("doc_id", "th", "n", "rid", "key").join(by_key, "key")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
-    stays = settle(rows.groupBy("component").agg(F.min(order).alias("stays")).select(F.col("stays.rid").alias("rid"), F.lit(True).alias("first")), "stays")
+    stays = settle(rows.groupBy("component").agg(F.min(order).alias("stays")).select(F.col("stays.rid").alias("rid"), F.lit(True).alias("first")), "stays", most)
     linked = rows.join(stays, "rid", "left").select("doc_id", "th", "n", "component_id", F.coalesce("first", F.lit(False)).alias("first"))
     empty = signed.where("n = 0").select("doc_id", "th", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
     return linked.unionByName(empty).withColumnRenamed("n", "n_shingles")
@@ -252,6 +265,7 @@ def _across(placed: DataFrame, sets: DataFrame, percent: int, share: float) -> D
         .withColumn("others", F.col("rows") - F.col("main.n"))
         .select("band", F.col("main.component").alias("main"), *(b.alias(c) for b, c in zip(blocks, ("mbs", "sbs"), strict=True))),
         "mixed",
+        placed.count(),
     )
     rows = placed.join(mixed, "band").withColumn("stray", F.col("component") != F.col("main"))
 
@@ -262,6 +276,7 @@ def _across(placed: DataFrame, sets: DataFrame, percent: int, share: float) -> D
     members = dealt(rows, 0, own[0], F.explode(F.sequence(F.lit(0), F.col("sbs") - 1)))
     strays = dealt(rows.where("stray and (mbs > 1 or sbs > 1)"), 1, F.explode(F.sequence(F.lit(0), F.col("mbs") - 1)), own[1])
     block = settle(members.unionByName(strays), "blocks")
+    size = block.count()
     signature = F.filter("signatures", lambda s: s["level"] == F.col("level"))[0]
     seen = block.join(sets.select("node", F.length("shingles").alias("bytes"), "signatures"), "node").select(
         "band", "mb", "sb", "role", "stray", "node", "component", (F.col("bytes") / 8).cast("long").alias("n"),
@@ -270,9 +285,11 @@ def _across(placed: DataFrame, sets: DataFrame, percent: int, share: float) -> D
     plausible = settle(
         seen.groupBy("band", "mb", "sb").applyInArrow(_plausible(share), "band long, mb int, sb int, role int, stray boolean, node long, component long, n long"),
         "plausible",
+        size,
+        WORK_ROWS,
     )
     full = _by_bytes(plausible).join(sets.select("node", "shingles"), "node")
-    return settle(full.groupBy("band", "mb", "sb", "mp", "sp").applyInArrow(_block_links(percent), "a long, b long"), "links")
+    return settle(full.groupBy("band", "mb", "sb", "mp", "sp").applyInArrow(_block_links(percent), "a long, b long"), "links", plausible.count(), WORK_ROWS)
 
 
 def _by_bytes(rows: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from brightledger.llm import chat, decontaminate, exact_dedup, graph, html_text, hyperminhash, near_dedup, packing, quality, substring_dedup, token_files, tokens, toxicity, training, words
+from brightledger.llm import chat, common, decontaminate, exact_dedup, graph, html_text, hyperminhash, near_dedup, packing, quality, substring_dedup, token_files, tokens, toxicity, training, words
 
 from .conftest import ROWS
 
@@ -784,3 +784,36 @@ def test_pairs_without_a_signal_of_their_own_are_learned():
         own = sorted({int(r) for r in model.place[np.unique(slot)] if r >= 0})
         odds = model.bias + sum(model.weight[r] for r in own) + sum(model.vector[r] @ model.vector[q] for r, q in itertools.combinations(own, 2))
         assert 1 / (1 + np.exp(-odds)) == pytest.approx(score, abs=1e-9)
+
+
+def test_small_tables_of_links_are_few_files(spark, monkeypatch):
+    """A step writes files by its rows, not one for each shuffle partition: a file is a call of chmod, and the steps are many."""
+    written = []
+
+    def counted(df, *a):
+        out = common.settle(df, *a)
+        written.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "settle", counted)
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(1, 300).selectExpr("id as a", "id - 1 as b")
+        assert {r.component for r in graph.components(df).collect()} == {0}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(written) > 5 and max(written) == 1
+
+
+def test_common_values_in_ranges(monkeypatch):
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 400, np.uint64) * np.uint64(2)
+    sets = [np.unique(rng.choice(pool, n)) for n in (1, 50, 300, 120, 7)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets[:3]]
+    for values in (1 << 20, 100):
+        monkeypatch.setattr(near_dedup, "VALUES", values)
+        assert near_dedup._common(sets[:3], sets).tolist() == want
