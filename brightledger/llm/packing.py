@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, shared_dir
 from .common import text_or_empty
-from .tokens import encoder
+from .tokens import encoder, portions
 
 LONGEST = 2048
 
@@ -44,10 +44,9 @@ def _cut(path: str, end_id: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, number = encoder(path), TaskContext.get().partitionId() << SHARD_BITS
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low in range(0, len(ids), 256):
+            for ids, texts in portions(batch, 256):
                 out = []
-                for doc_id, data in zip(ids[low : low + 256], enc.encode(texts[low : low + 256]), strict=True):
+                for doc_id, data in zip(ids, enc.encode(texts), strict=True):
                     data += end
                     n, at = len(data) // 4, 0
                     for size in lengths(n, longest):

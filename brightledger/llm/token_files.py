@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, shared_dir
 from .common import text_or_empty
-from .tokens import encoder
+from .tokens import encoder, portions
 
 BLOCK = 1 << 16
 PLANES = 4
@@ -119,9 +119,8 @@ def _blocks(path: str, end_id: int, block: int):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _CHUNK_TYPES, strict=True)], schema=_CHUNK_TYPES)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low in range(0, len(ids), 64):
-                for doc_id, data in zip(ids[low : low + 64], enc.encode(texts[low : low + 64]), strict=True):
+            for ids, texts in portions(batch, 64):
+                for doc_id, data in zip(ids, enc.encode(texts), strict=True):
                     docs.append((doc_id, total))
                     total += len(data) // PLANES + 1
                     held += [data, end]

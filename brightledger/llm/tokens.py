@@ -2,8 +2,8 @@
 
 The ids are those of ``Tokenizer.encode`` over the whole text. A byte-level tokenizer of this kind never
 joins a character that is not white space with white space after it, so a text may be cut there. Most
-pieces have been seen before, so each task keeps the ids of about ``MEMO`` pieces and has the library
-encode only new ones, many of them in one call. A new piece that ends in punctuation after a letter or digit is put together from its two parts, as such a
+pieces have been seen before, so each worker keeps the ids of about ``MEMO`` pieces, of ``MEMO_BYTES`` at most, and has the library
+encode only new ones, many of them in one call. Twice as many pieces save no time worth their memory: most are met once. A new piece that ends in punctuation after a letter or digit is put together from its two parts, as such a
 tokenizer never joins those either. Texts or tokenizers for which the cut is not known to be safe
 are encoded whole.
 """
@@ -14,12 +14,19 @@ import json
 import os
 import re
 import string
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
 
 import numpy as np
-
-MEMO = 1_200_000
+import pyarrow as pa
+import pyarrow.compute as pc
+
+MEMO = 250_000
+#: Characters of the kept pieces plus bytes of their ids: long pieces, such as texts without white space, count by their size.
+MEMO_BYTES = 32 << 20
+#: Bytes of texts that become Python objects at a time.
+PORTION = 4 << 20
 _JOIN = 1 << 16
 
 _pieces = re.compile(r"\s*\S+|\s+").findall
@@ -81,11 +88,22 @@ class Encoder:
     def _forget(self, keep: int) -> None:
         """Keep the first pieces only: the earlier a piece was met, the more frequent it tends to be."""
         if not keep:
-            self.memo, self.flat, self.used = _Numbers(), np.zeros(1 << 14, np.dtype("<u4")), 0
+            self.memo, self.flat, self.used, self.chars = _Numbers(), np.zeros(1 << 14, np.dtype("<u4")), 0, 0
             self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         else:
             self.memo = _Numbers(islice(self.memo.items(), keep))
             self.used = int((self.begin[:keep] + self.size[:keep]).max())
+            self.chars = sum(map(len, self.memo))
+            self.flat = self.flat[: max(self.used, 1 << 14)].copy()
+
+    def _bound(self) -> None:
+        """Forget pieces if they are too many or take too much."""
+        if len(self.memo) > MEMO:
+            self._forget(MEMO // 2)
+        if self.chars + 4 * self.used > MEMO_BYTES:
+            # As many of the first pieces as take half of that. Ids lie in about the order of their pieces, so each is counted with all before it.
+            upto = np.cumsum([len(p) for p in self.memo]) + 4 * np.maximum.accumulate((self.begin + self.size)[: len(self.memo)])
+            self._forget(int(np.searchsorted(upto, MEMO_BYTES // 2)))
 
     def _store(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """Keep the ids of pieces, which lie one after the other; those of piece k are ``flat[begin[k] : begin[k] + size[k]]``."""
@@ -136,6 +154,7 @@ class Encoder:
         if made:
             parts = np.stack([heads, tails], axis=1)
             self._store(np.array(made), self._flat(parts.reshape(-1)), self.size[parts].sum(1))
+        self.chars += sum(map(len, self.memo.new))
         self.memo.new = []
 
     def _flat(self, code: np.ndarray) -> np.ndarray:
@@ -146,8 +165,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        if len(self.memo) > MEMO:
-            self._forget(MEMO // 2)
+        self._bound()
         cut = [_pieces(t) if self.cut_is_safe and not _odd(t) else None for t in texts]
         number = self.memo.__getitem__
         codes = [np.fromiter(map(number, c or ()), np.int64, len(c or ())) for c in cut]
@@ -167,3 +185,13 @@ def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """The encoder of this Python process."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path, special_as_text)
+
+
+def portions(batch: pa.RecordBatch, rows: int) -> Iterator[tuple[list, list[str]]]:
+    """The ids and texts of a batch (its two columns, no text null) as lists of ``rows`` at most, and of one text or ``PORTION`` bytes."""
+    ends, low = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while low < len(ends):
+        fits = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PORTION, "right"))
+        part = batch.slice(low, min(rows, max(1, fits - low)))
+        yield part.column(0).to_pylist(), part.column(1).to_pylist()
+        low += part.num_rows
