@@ -72,12 +72,10 @@ def clustered(df: DataFrame, key: Column, bounds: Sequence[int], *order: str) ->
     """
     if not bounds:
         return df.repartition(1).sortWithinPartitions(*order)
+    # One column a step, as each is used twice in the next: all of them are compiled, which a lambda over the steps is not.
     found, n = F.array(*[F.lit(b).cast("bigint") for b in bounds]), len(bounds)
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
-
-    def ahead(at: Column, step: Column) -> Column:
-        next_ = at + step
-        return F.when((next_ <= n) & (F.element_at("_bounds", F.least(next_, F.lit(n))) <= F.col("_key")), next_).otherwise(at)
-
-    placed = df.withColumns({"_bounds": found, "_key": key.cast("bigint")}).withColumn("_range", F.aggregate(steps, F.lit(0), ahead))
-    return placed.drop("_bounds", "_key").repartitionById(n + 1, F.col("_range")).drop("_range").sortWithinPartitions(*order)
+    placed = df.withColumn("_key", key.cast("bigint")).withColumn("_at", F.lit(0))
+    for step in [1 << k for k in reversed(range(n.bit_length()))]:
+        ahead = F.get(found, F.col("_at") + (step - 1)) <= F.col("_key")
+        placed = placed.withColumn("_at", F.col("_at") + F.when(ahead, step).otherwise(0))
+    return placed.drop("_key").repartitionById(n + 1, F.col("_at")).drop("_at").sortWithinPartitions(*order)

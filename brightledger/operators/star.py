@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -99,27 +99,26 @@ def gold_fact_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
 def gold_agg_daily_sales(fact: DataFrame, day: int | None = None) -> DataFrame:
     """Totals per day, customer and product, with new and repeat customers counted on one day.
 
-    That day is the last day of the fact unless given. Customers seen before it join on
-    (customer, day), so all rows of other days match nothing and no customer gathers its history.
+    That day is the last day of the fact unless given. Only its rows meet the customers seen before it; the totals of
+    all other days need no join, so they are not moved for one, and no customer gathers its history.
     """
     last = fact.select(F.max("date_id")).scalar() if day is None else F.lit(day)
-    totals = (
-        fact.where(~F.col("is_cancelled"))
-        .groupBy("date_id", "customer_id", "product_id")
-        .agg(
-            F.sum("net_amount").alias("_net"),
-            F.sum("quantity").alias("total_quantity"),
-            F.count(F.lit(1)).alias("transaction_count"),
+    on_day, other = F.col("date_id") == last, F.coalesce(F.col("date_id") != last, F.lit(True))
+
+    def totals(rows: Column) -> DataFrame:
+        return (
+            fact.where(~F.col("is_cancelled") & rows)
+            .groupBy("date_id", "customer_id", "product_id")
+            .agg(
+                F.sum("net_amount").alias("_net"),
+                F.sum("quantity").alias("total_quantity"),
+                F.count(F.lit(1)).alias("transaction_count"),
+            )
         )
-    )
-    seen = (
-        fact.where(F.col("date_id") < last)
-        .select(F.col("customer_id").alias("_c"))
-        .distinct()
-        .withColumn("_d", last)
-    )
-    joined = totals.join(seen, (F.col("customer_id") == F.col("_c")) & (F.col("date_id") == F.col("_d")), "left")
-    on_day = F.col("date_id") == last
+
+    seen = fact.where(F.col("date_id") < last).select(F.col("customer_id").alias("_c")).distinct()
+    met = totals(on_day).join(seen, F.col("customer_id") == F.col("_c"), "left")
+    joined = met.unionByName(totals(other).withColumn("_c", F.lit(None).cast(fact.schema["customer_id"].dataType)))
     return joined.select(
         "date_id", "customer_id", "product_id",
         dbl("_net").alias("total_sales"),

@@ -108,6 +108,38 @@ def test_hot_customer_in_daily_totals(spark):
     assert first_day.agg(F.sum("new_customers")).first()[0] == 100
 
 
+def test_only_the_last_day_meets_earlier_customers(spark):
+    """Totals of other days, and of rows without a day, are not moved for the join with the customers seen before."""
+    rows = [(d, c, 0, 1, False) for d in (20240101, 20240102, None) for c in (1, 2, None)] + [(20240102, 3, 0, 5, False), (20240103, 4, 0, 1, True)]
+    rows += [(20240103, c, 0, 1, False) for c in (2, 8, 9)]
+    fact = spark.createDataFrame(rows, "date_id int, customer_id bigint, product_id bigint, quantity int, is_cancelled boolean").withColumn("net_amount", F.col("quantity").cast("decimal(18,2)"))
+    out = star.gold_agg_daily_sales(fact)
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.date_id, r.customer_id): (r.transaction_count, r.new_customers, r.repeat_customers) for r in out.collect()}
+    want = {(d, c): (1, 0, 0) for d, c, _, _, x in rows if not x}
+    want |= {(20240103, 2): (1, 0, 1), (20240103, 8): (1, 1, 0), (20240103, 9): (1, 1, 0)}
+    assert got == want and out.count() == len(want)
+    assert star.gold_agg_daily_sales(fact, day=20240109).agg(F.sum("new_customers"), F.count("*")).first() == (0, len(want))
+    undated = fact.withColumn("date_id", F.lit(None).cast("int"))
+    assert star.gold_agg_daily_sales(undated).agg(F.sum("new_customers"), F.sum("transaction_count")).first() == (0, len(rows) - 1)
+    assert star.gold_agg_daily_sales(fact.limit(0)).count() == 0
+
+
+def test_ranges_are_found_by_compiled_code(spark):
+    """Every number of bounds gives the ranges of a plain search; a lambda over the steps would be run row by row, uncompiled."""
+    from bisect import bisect_right
+
+    from brightledger.operators import layout
+
+    source = spark.range(60).withColumn("k", F.when(F.col("id") != 30, F.col("id")))
+    for n in (1, 2, 3, 4, 7, 8, 21):
+        bounds = [60 * k // n for k in range(n)]
+        out = layout.clustered(source, F.col("k"), bounds, "id")
+        assert "lambda" not in plan(out)
+        parts = out.rdd.glom().collect()
+        assert {r.id: at for at, p in enumerate(parts) for r in p} == {i: 0 if i == 30 else bisect_right(bounds, i) for i in range(60)}
+
+
 def test_scratch_data_lies_in_one_folder_that_can_be_cleared(spark):
     from pathlib import Path
 
