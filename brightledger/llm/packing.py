@@ -38,11 +38,11 @@ def lengths(n: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in reversed(range(longest.bit_length())) if n % longest >> b & 1]
 
 
-def _cut(path: str, end_id: int, longest: int):
+def _cut(path: str, end_id: int, longest: int, memo: int | None):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, number = encoder(path), TaskContext.get().partitionId() << SHARD_BITS
+        enc, number = encoder(path, memo=memo), TaskContext.get().partitionId() << SHARD_BITS
         for batch in batches:
             for ids, texts in portions(batch, 256):
                 out = []
@@ -58,8 +58,11 @@ def _cut(path: str, end_id: int, longest: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = LONGEST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian, 32 bits each)."""
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = LONGEST, id_col: str = "doc_id", text_col: str = "text", memo: int | None = None) -> DataFrame:
+    """The pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian, 32 bits each).
+
+    ``memo``: how many pieces of text a worker keeps the ids of; fewer take less memory and more time, and give the same ids.
+    """
     if longest < 1 or longest & longest - 1:
         raise ValueError("longest must be a power of two")
     spark = docs.sparkSession
@@ -67,7 +70,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = LONGES
     path = scratch_path(spark, "packed")
     (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-        .mapInArrow(_cut(tokenizer, end_id, longest), PIECES)
+        .mapInArrow(_cut(tokenizer, end_id, longest, memo), PIECES)
         .write.partitionBy("length")
         .option("compression", "zstd")
         .parquet(path)

@@ -14,6 +14,8 @@ from brightledger.llm.common import settle, table, vocabulary
 
 #: Documents with a lower probability of good quality go.
 LEAST_QUALITY = 0.5
+#: Pieces of text a worker keeps the ids of: the executors still hold the memory of the other stages.
+MEMO = 250_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids with their checksums."""
-    return packing.checked(packing.pack(docs, vocabulary("byte_bpe_50k.json")))
+    return packing.checked(packing.pack(docs, vocabulary("byte_bpe_50k.json"), memo=MEMO))
 
 
 STAGES = [

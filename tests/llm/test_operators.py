@@ -79,9 +79,15 @@ def test_a_forgotten_piece_is_learned_again(tokenizer, monkeypatch):
         assert enc.encode(texts) == [enc._ids(t).tobytes() for t in texts]
 
 
-def test_a_worker_keeps_a_bounded_number_of_pieces(tokenizer):
-    """Three workers of an executor took 300 to 470 MB each for a million pieces, most of them met once."""
-    enc = tokens.Encoder(tokenizer)
+def test_a_worker_of_the_pipeline_keeps_fewer_pieces(tokenizer, monkeypatch):
+    """A worker took 300 MB and more for a million pieces, beside what the stages before had left in the executor."""
+    import corpus_pipeline
+
+    given = []
+    monkeypatch.setattr(packing, "pack", lambda docs, path, **options: given.append(options))
+    monkeypatch.setattr(packing, "checked", lambda pieces: pieces)
+    corpus_pipeline.pack(None, None, "")
+    enc = tokens.Encoder(tokenizer, **given[0])
     for k in range(25):
         enc.encode([" ".join(f"x{k * 20_000 + j}" for j in range(20_000))])
     assert len(enc.memo) <= 300_000 and len(enc.flat) <= 1 << 21
