@@ -3,7 +3,8 @@
 The ids are those of ``Tokenizer.encode`` over the whole text. A byte-level tokenizer of this kind never
 joins a character that is not white space with white space after it, so a text may be cut there. Most
 pieces have been seen before, so each worker keeps the ids of about ``MEMO`` pieces, of ``MEMO_BYTES`` at most, and has the library
-encode only new ones, many of them in one call. A million pieces take some 300 MB; fewer cost time, as those forgotten are encoded again. A new piece that ends in punctuation after a letter or digit is put together from its two parts, as such a
+encode only new ones, many of them in one call. A million pieces take some 300 MB; fewer cost time, as those forgotten are encoded again. Short pieces are cut and
+found by numpy, in a table that holds all their bytes; a piece becomes a Python string only if it is long, new or has lost its place in the table to another one. A new piece that ends in punctuation after a letter or digit is put together from its two parts, as such a
 tokenizer never joins those either. Texts or tokenizers for which the cut is not known to be safe
 are encoded whole.
 """
@@ -22,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from . import words
+
 MEMO = 1_200_000
 #: Characters of the kept pieces plus bytes of their ids: long pieces, such as texts without white space, count by their size.
 MEMO_BYTES = 64 << 20
@@ -32,6 +35,11 @@ _JOIN = 1 << 16
 _pieces = re.compile(r"\s*\S+|\s+").findall
 # White space for Python, but not for the tokenizer.
 _odd = re.compile("[\x1c-\x1f]").search
+# These and white space of more than one byte.
+_rare = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+
+#: Rows of the table of short pieces, as a power of two, and the bytes of the longest piece in it.
+PLACES, SHORT = 18, 15
 
 
 class _Numbers(dict):
@@ -92,11 +100,14 @@ class Encoder:
         if not keep:
             self.memo, self.flat, self.used, self.chars = _Numbers(), np.zeros(1 << 14, np.dtype("<u4")), 0, 0
             self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+            # Of a short piece at its place: its bytes and their number, as two numbers, and its own number.
+            self.table = np.zeros((1 << PLACES, 3), np.uint64)
         else:
             self.memo = _Numbers(islice(self.memo.items(), keep))
             self.used = int((self.begin[:keep] + self.size[:keep]).max())
             self.chars = sum(map(len, self.memo))
             self.flat = self.flat[: max(self.used, 1 << 14)].copy()
+            self.table[self.table[:, 2] >= keep] = 0
 
     def _bound(self) -> None:
         """Forget pieces if they are too many or take too much."""
@@ -166,20 +177,59 @@ class Encoder:
         ends = np.cumsum(sizes)
         return self.flat[np.repeat(self.begin[code] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
+    def _ask(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of pieces, new ones too."""
+        return np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces))
+
+    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the pieces of each text. All white space in these texts is one byte long."""
+        parts = [t.encode() for t in texts]
+        raw = b"".join(parts)
+        upto = np.cumsum([0, *map(len, parts)])
+        n = len(raw)
+        if not n:
+            return [np.zeros(0, np.int64) for _ in texts]
+        padded = np.frombuffer(raw + bytes(16), np.uint8)
+        space = np.take(words._SPACE, padded[:n])
+        cut = space.copy()
+        cut[1:] &= ~space[:-1]
+        cut[upto[:-1][upto[:-1] < n]] = True
+        start = np.flatnonzero(cut)
+        size = np.diff(start, append=n)
+        # All bytes of a short piece and their number.
+        eight = np.ndarray(n + 9, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        low = eight[start] & words._LOW[np.minimum(size, 8)]
+        high = eight[start + 8] & words._LOW[np.clip(size - 8, 0, 7)] | np.minimum(size, SHORT + 1).astype(np.uint64) << np.uint64(56)
+        place = (words.mix(low ^ words.mix(high)) >> np.uint64(64 - PLACES)).astype(np.int64)
+        held = np.take(self.table, place, axis=0)
+        code = held[:, 2].astype(np.int64)
+        rest = np.flatnonzero((held[:, 0] != low) | (held[:, 1] != high) | (size > SHORT))
+        code[rest] = self._ask([raw[a:b].decode() for a, b in zip(start[rest].tolist(), (start + size)[rest].tolist(), strict=True)])
+        rest = rest[size[rest] <= SHORT]
+        self.table[place[rest]] = np.stack([low[rest], high[rest], code[rest].astype(np.uint64)], axis=1)
+        return np.split(code, np.searchsorted(start, upto[1:-1]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         self._bound()
-        cut = [_pieces(t) if self.cut_is_safe and not _odd(t) else None for t in texts]
-        number = self.memo.__getitem__
-        codes = [np.fromiter(map(number, c or ()), np.int64, len(c or ())) for c in cut]
+        codes: list[np.ndarray | None] = [None] * len(texts)
+        if self.cut_is_safe:
+            rare = {i for i, t in enumerate(texts) if _rare(t)}
+            plain = [i for i in range(len(texts)) if i not in rare]
+            for i, c in zip(plain, self._numbers([texts[i] for i in plain]), strict=False):
+                codes[i] = c
+            for i in rare:
+                codes[i] = None if _odd(texts[i]) else self._ask(_pieces(texts[i]))
         if self.memo.new:
             self._learn_all()
+        whole = [c is None for c in codes]
+        codes = [np.zeros(0, np.int64) if c is None else c for c in codes]
         code = np.concatenate(codes or [np.zeros(0, np.int64)])
         ids = self._flat(code)
         upto = np.concatenate([[0], np.cumsum(self.size[code])])[np.cumsum([0] + [len(c) for c in codes])].tolist()
         return [
-            self._ids(t).tobytes() if c is None else ids[low:high].tobytes()
-            for t, c, low, high in zip(texts, cut, upto, upto[1:], strict=False)
+            self._ids(t).tobytes() if alone else ids[low:high].tobytes()
+            for t, alone, low, high in zip(texts, whole, upto, upto[1:], strict=False)
         ]
 
 
@@ -190,11 +240,18 @@ def encoder(path: str, special_as_text: bool = False, memo: int | None = None) -
     return Encoder(path, special_as_text, memo)
 
 
-def portions(batch: pa.RecordBatch, rows: int) -> Iterator[tuple[list, list[str]]]:
-    """The ids and texts of a batch (its two columns, no text null) as lists of ``rows`` at most, and of one text or ``PORTION`` bytes."""
-    ends, low = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+def ranges(texts: pa.Array, rows: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts, none null, of ``rows`` at most, and of one text or ``PORTION`` bytes."""
+    ends, low = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
     while low < len(ends):
         fits = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PORTION, "right"))
-        part = batch.slice(low, min(rows, max(1, fits - low)))
+        high = min(len(ends), low + min(rows, max(1, fits - low)))
+        yield low, high
+        low = high
+
+
+def portions(batch: pa.RecordBatch, rows: int) -> Iterator[tuple[list, list[str]]]:
+    """The ids and texts of a batch (its two columns, no text null) as lists for each of the ranges."""
+    for low, high in ranges(batch.column(1), rows):
+        part = batch.slice(low, high - low)
         yield part.column(0).to_pylist(), part.column(1).to_pylist()
-        low += part.num_rows

@@ -105,6 +105,28 @@ def test_long_pieces_count_by_their_size(tokenizer, monkeypatch):
         assert enc.chars + 4 * enc.used < 10_000 + 20_000  # one call more
 
 
+def test_known_short_pieces_are_found_without_making_strings(tokenizer, monkeypatch):
+    """Each piece of each text was made a string and sought in a dictionary, also those met thousands of times."""
+    enc = tokens.Encoder(tokenizer)
+    texts = ["The frequent words, é and\nothers 17!", "", "  two\t tabs ", "a\0b a\0 a \0a", "exactly15bytes_ and sixteen__bytes_ or_more_than_that"]
+    want = [enc._ids(t).tobytes() for t in texts]
+    assert enc.encode(texts) == want
+    asked, ask = [], enc._ask
+    monkeypatch.setattr(enc, "_ask", lambda pieces: asked.extend(pieces) or ask(pieces))
+    assert enc.encode(texts * 50) == want * 50
+    assert set(asked) == {" sixteen__bytes_", " or_more_than_that"}
+    assert enc.encode(["a\u3000 b", "x\x1cy", "c\xa0\n d"] + texts) == [enc._ids(t).tobytes() for t in ("a\u3000 b", "x\x1cy", "c\xa0\n d")] + want
+
+
+def test_the_table_of_short_pieces_forgets_with_the_others(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO", 50)
+    monkeypatch.setattr(tokens, "PLACES", 4)  # many pieces share a place
+    enc = tokens.Encoder(tokenizer)
+    for k in range(20):
+        texts = [f"some words {k} {j} and others{k * j}" for j in range(20)]
+        assert enc.encode(texts) == [enc._ids(t).tobytes() for t in texts]
+
+
 def test_portions_are_bounded_by_rows_and_bytes(monkeypatch):
     monkeypatch.setattr(tokens, "PORTION", 100)
     texts = ["", "a" * 60, "b" * 60, "c" * 500, "é" * 50, "", "d"] + ["e"] * 20
