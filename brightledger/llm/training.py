@@ -6,10 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
+from .tokens import ranges
 
 #: A labelled text longer than this is passed over when a model is fitted; scoring reads all texts whole.
 LONGEST = 1 << 16
@@ -42,14 +44,20 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: i
     return out
 
 
+def _scores(score: Callable[[list[str]], np.ndarray], texts: pa.Array) -> np.ndarray:
+    """The score of every text of a batch, null counting as empty. Only a portion of the batch becomes Python objects at a time."""
+    texts = pc.fill_null(texts, "")
+    parts = [score(texts.slice(low, high - low).to_pylist()) for low, high in ranges(texts, len(texts))]
+    return np.concatenate([np.zeros(0), *parts])
+
+
 def scored(docs: DataFrame, load: Callable[[], Callable[[list[str]], np.ndarray]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score of every whole text. ``load`` gives the scoring function in each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = load()
         for batch in batches:
-            values = score(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(score, batch.column(1)), pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
 
@@ -61,7 +69,7 @@ def filtered(docs: DataFrame, load: Callable[[], Callable[[list[str]], np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = load()
         for batch in batches:
-            yield batch.filter(pa.array(score([t or "" for t in batch.column(at).to_pylist()]) >= least))
+            yield batch.filter(pa.array(_scores(score, batch.column(at)) >= least))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -138,6 +138,28 @@ def test_portions_are_bounded_by_rows_and_bytes(monkeypatch):
     assert [part for _, part in tokens.portions(batch.slice(2, 2), 8)] == [texts[2:3], texts[3:4]]
 
 
+def test_a_batch_is_scored_by_portions(monkeypatch):
+    """All texts of a batch became Python objects at once, several times over."""
+    monkeypatch.setattr(tokens, "PORTION", 1000)
+    texts, most, ran = ["x" * (k % 7 * 30) if k % 5 else None for k in range(400)], [], []
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    def score(part):
+        most.append(sum(map(len, part)))
+        return np.array([len(t) / 200 for t in part])
+
+    class Docs:
+        columns, schema = ["doc_id", "text"], None
+
+        def mapInArrow(self, run, schema):
+            ran.append(run)
+
+    training.filtered(Docs(), lambda: score, 0.5)
+    got = [r for b in ran[0](iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
+    assert got == [{"doc_id": k, "text": t} for k, t in enumerate(texts) if t and len(t) >= 100]
+    assert max(most) <= 1000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab9é.,!?'|<&- \n", max_size=9), max_size=30))
 def test_pieces_with_punctuation_are_put_together(parts):
